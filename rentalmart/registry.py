@@ -140,3 +140,192 @@ def q_monthly_occupancy(spark, sf_dir):
 def q_pricing_analysis(spark, sf_dir):
     """J-14"""
     return marts.pricing_analysis(_dim_listing(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- J-11, J-12: incremental
+# Fixed snapshot date of the time-dependent checks, so reruns and the oracle agree.
+AS_OF = "2025-09-30"
+
+
+def _changed_known_keys(raw_cal: DataFrame) -> DataFrame:
+    """A later batch that repeats known days with a different price: must append nothing."""
+    return (raw_cal.where(F.col("date") >= F.lit("2000-01-01").cast("date"))
+            .withColumn("price", F.lit("$1.00")))
+
+
+@register("fct_reviews")
+def q_fct_reviews(spark, sf_dir):
+    """J-11: two batches (even review ids, then all) and a repeat with changed text."""
+    from rentalmart.plans import facts
+    from rentalmart.session import fresh_path
+    raw = adapters.raw_reviews(spark, sf_dir)
+    target = fresh_path(spark, "fct_reviews")
+    for b in [*adapters.review_batches(raw), raw.withColumn("comments", F.lit("changed"))]:
+        facts.fct_reviews(spark, staging.stg_reviews(b), target)
+    return facts.read_fct_reviews(spark, target)
+
+
+def _calendar_batches(spark, sf_dir):
+    raw = adapters.raw_calendar(spark, sf_dir)
+    return [*adapters.calendar_batches(raw), _changed_known_keys(raw)]
+
+
+@register("fct_calendar")
+def q_fct_calendar(spark, sf_dir):
+    """J-12: two batches (days before 1999, then all) and a repeat with changed prices."""
+    from rentalmart.plans import facts
+    from rentalmart.session import fresh_path
+    target = fresh_path(spark, "fct_calendar")
+    for b in _calendar_batches(spark, sf_dir):
+        facts.fct_calendar(spark, staging.stg_calendar(b), target)
+    return facts.read_fct_calendar(spark, target)
+
+
+@register("fct_calendar_stream")
+def q_fct_calendar_stream(spark, sf_dir):
+    """J-12 delivered by Structured Streaming: each batch lands as files, then one
+    availableNow run appends what arrived."""
+    from rentalmart.plans import facts
+    from rentalmart.session import fresh_path
+    from rentalmart.sources.schemas import RAW_CALENDAR
+    from rentalmart.streaming.delivery import deliver
+    landing, target = fresh_path(spark, "landing"), fresh_path(spark, "fct_calendar")
+    checkpoint = fresh_path(spark, "checkpoint")
+    for i, b in enumerate(_calendar_batches(spark, sf_dir)):
+        b.write.mode("overwrite").parquet(f"{landing}/batch={i}")
+        deliver(spark, landing, RAW_CALENDAR, staging.stg_calendar, facts.fct_calendar,
+                target, checkpoint, options={"recursiveFileLookup": "true"})
+    return facts.read_fct_calendar(spark, target)
+
+
+# ---------------------------------------------------------------- J-15 .. J-29: reports
+def _fct_reviews_fresh(spark, sf_dir):
+    return _stg_reviews(spark, sf_dir)  # first build: every staged review
+
+
+def _fct_calendar_fresh(spark, sf_dir):
+    from rentalmart.plans.facts import with_cal_key
+    return with_cal_key(_stg_calendar(spark, sf_dir))
+
+
+def _report(name: str, build):
+    @register(name)
+    def q(spark, sf_dir):
+        return build(spark, sf_dir)
+    q.__doc__ = build.__doc__
+    return q
+
+
+def _reports():
+    from rentalmart.plans import reports as R
+    _report("market_summary", lambda s, d: R.market_summary(_dim_listing(s, d)))
+    _report("listings_per_host", lambda s, d: R.listings_per_host(_dim_listing(s, d)))
+    _report("top_segments", lambda s, d: R.top_segments(
+        marts.pricing_analysis(_dim_listing(s, d))))
+    _report("price_rows", lambda s, d: R.price_rows(_dim_listing(s, d)))
+    _report("price_box", lambda s, d: R.price_box(_dim_listing(s, d)))
+    _report("occupancy_trend", lambda s, d: R.occupancy_trend(_monthly(s, d)))
+    _report("hosts_by_tier", lambda s, d: R.hosts_by_tier(_dim_host(s, d)))
+    _report("superhost_compare", lambda s, d: R.superhost_compare(_dim_host(s, d)))
+    _report("review_volume", lambda s, d: R.review_volume(_fct_reviews_fresh(s, d)))
+    _report("top_reviewed", lambda s, d: R.top_reviewed(_dim_listing(s, d)))
+    _report("room_breakdown", lambda s, d: R.room_breakdown(_dim_listing(s, d)))
+    _report("neighbourhood_gap", lambda s, d: R.neighbourhood_gap(_dim_listing(s, d)))
+    _report("quarterly_occupancy", lambda s, d: R.quarterly_occupancy(_monthly(s, d)))
+    _report("superhost_profile", lambda s, d: R.superhost_profile(_dim_host(s, d)))
+    _report("superhost_premium", lambda s, d: R.superhost_premium(
+        R.superhost_profile(_dim_host(s, d))))
+
+
+_reports()
+
+
+# ---------------------------------------------------------------- J-30 .. J-36: quality
+def _test_models(spark, sf_dir):
+    raw = adapters.raw_inputs(spark, sf_dir)
+    return {"raw_listings": raw.listings, "raw_reviews": raw.reviews,
+            "raw_calendar": raw.calendar, "raw_neighbourhoods": raw.neighbourhoods,
+            "stg_listings": staging.stg_listings(raw.listings),
+            "stg_reviews": staging.stg_reviews(raw.reviews),
+            "stg_calendar": staging.stg_calendar(raw.calendar)}
+
+
+@register("not_null")
+def q_not_null(spark, sf_dir):
+    """J-30: the 11 declared not-null tests, failures per column."""
+    from rentalmart.plans import quality
+    return quality.run_not_null_tests(_test_models(spark, sf_dir))
+
+
+@register("unique")
+def q_unique(spark, sf_dir):
+    """J-31: the 5 declared unique tests, duplicated values per column."""
+    from rentalmart.plans import quality
+    return quality.run_unique_tests(_test_models(spark, sf_dir))
+
+
+@register("non_positive_price")
+def q_non_positive_price(spark, sf_dir):
+    """J-32"""
+    from rentalmart.plans import quality
+    return quality.non_positive_price(_dim_listing(spark, sf_dir))
+
+
+@register("bad_review_dates")
+def q_bad_review_dates(spark, sf_dir):
+    """J-33"""
+    from rentalmart.plans import quality
+    return quality.bad_review_dates(_fct_reviews_fresh(spark, sf_dir), AS_OF)
+
+
+@register("quality_probe")
+def q_quality_probe(spark, sf_dir):
+    """J-34"""
+    from rentalmart.plans import quality
+    return quality.quality_probe(_dim_listing(spark, sf_dir), _fct_reviews_fresh(spark, sf_dir),
+                                 _fct_calendar_fresh(spark, sf_dir))
+
+
+@register("source_freshness")
+def q_source_freshness(spark, sf_dir):
+    """J-35"""
+    from rentalmart.plans import quality
+    return quality.all_source_freshness(_test_models(spark, sf_dir), AS_OF)
+
+
+@register("mart_freshness")
+def q_mart_freshness(spark, sf_dir):
+    """J-36: listings (last scrape), reviews and calendar."""
+    from rentalmart.plans import quality
+    return quality.union_all([
+        quality.mart_freshness(_stg_listings(spark, sf_dir), "last_scraped_date", AS_OF,
+                               "Listings (last_scraped)"),
+        quality.mart_freshness(_fct_reviews_fresh(spark, sf_dir), "review_date", AS_OF,
+                               "Reviews (most recent)"),
+        quality.mart_freshness(_fct_calendar_fresh(spark, sf_dir), "calendar_date", AS_OF,
+                               "Calendar (latest date)")])
+
+
+# ---------------------------------------------------------------- J-37, J-38
+@register("load_raw")
+def q_load_raw(spark, sf_dir):
+    """J-37: land the four inputs as CSV files, then load them to raw Parquet tables."""
+    from rentalmart.session import fresh_path
+    from rentalmart.sources import csv
+    raw = adapters.raw_inputs(spark, sf_dir)
+    landing = fresh_path(spark, "landing-csv")
+    frames = {"raw_listings": raw.listings, "raw_reviews": raw.reviews,
+              "raw_calendar": raw.calendar, "raw_neighbourhoods": raw.neighbourhoods}
+    for table, df in frames.items():
+        csv.write_csv(df, f"{landing}/{table}")
+    return csv.load_raw(spark, {t: f"{landing}/{t}" for t in frames},
+                        fresh_path(spark, "raw"))
+
+
+@register("run_pipeline")
+def q_run_pipeline(spark, sf_dir):
+    """J-38: build all models, run the tests and the quality gate; the step log."""
+    from rentalmart.plans.pipeline import run_pipeline
+    from rentalmart.session import fresh_path
+    return run_pipeline(spark, adapters.raw_inputs(spark, sf_dir),
+                        fresh_path(spark, "warehouse"), AS_OF, raise_on_failure=False)
