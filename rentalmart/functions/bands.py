@@ -8,6 +8,8 @@ Fixed values (defaults that must equal the reference's for equal results):
   host rating tiers:  >= 95 Elite, >= 85 Highly Rated, >= 70 Average,
                       else Needs Improvement
   host type label:    superhost Superhost, else Regular
+
+Each band is one SQL CASE (``*_sql``) and a Column built from it with one ``expr`` call.
 """
 
 from __future__ import annotations
@@ -28,40 +30,56 @@ class Bands:
 DEFAULT_BANDS = Bands()
 
 
-def _col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
-def price_tier(price, bands: Bands = DEFAULT_BANDS) -> Column:
+def price_tier_sql(price: str, bands: Bands = DEFAULT_BANDS) -> str:
     """NULL price falls through to Luxury, as in the reference."""
-    p = _col(price)
     low, mid, high = bands.price
-    return (F.when(p < low, "Budget").when(p < mid, "Mid-range")
-            .when(p < high, "Premium").otherwise("Luxury"))
+    return (f"CASE WHEN {price} < {low} THEN 'Budget' WHEN {price} < {mid} THEN 'Mid-range' "
+            f"WHEN {price} < {high} THEN 'Premium' ELSE 'Luxury' END")
 
 
-def rating_category(score, bands: Bands = DEFAULT_BANDS) -> Column:
-    s = _col(score)
+def rating_category_sql(score: str, bands: Bands = DEFAULT_BANDS) -> str:
     top, great, good = bands.rating
-    return (F.when(s >= top, "Excellent").when(s >= great, "Great")
-            .when(s >= good, "Good").when(s.isNotNull(), "Fair").otherwise("Unrated"))
+    return (f"CASE WHEN {score} >= {top} THEN 'Excellent' WHEN {score} >= {great} THEN 'Great' "
+            f"WHEN {score} >= {good} THEN 'Good' WHEN {score} IS NOT NULL THEN 'Fair' "
+            f"ELSE 'Unrated' END")
 
 
-def host_tier(is_superhost, num_listings, bands: Bands = DEFAULT_BANDS) -> Column:
+def host_tier_sql(is_superhost: str, num_listings: str, bands: Bands = DEFAULT_BANDS) -> str:
     power, multi = bands.host_listings
-    n = _col(num_listings)
-    return (F.when(_col(is_superhost), "Superhost").when(n >= power, "Power Host")
-            .when(n >= multi, "Multi-listing Host").otherwise("Single-listing Host"))
+    return (f"CASE WHEN {is_superhost} THEN 'Superhost' "
+            f"WHEN {num_listings} >= {power} THEN 'Power Host' "
+            f"WHEN {num_listings} >= {multi} THEN 'Multi-listing Host' "
+            f"ELSE 'Single-listing Host' END")
 
 
-def host_rating_tier(score, bands: Bands = DEFAULT_BANDS) -> Column:
+def host_rating_tier_sql(score: str, bands: Bands = DEFAULT_BANDS) -> str:
     """NULL average score falls through to Needs Improvement (unlike rating_category)."""
-    s = _col(score)
     top, great, good = bands.rating
-    return (F.when(s >= top, "Elite").when(s >= great, "Highly Rated")
-            .when(s >= good, "Average").otherwise("Needs Improvement"))
+    return (f"CASE WHEN {score} >= {top} THEN 'Elite' WHEN {score} >= {great} "
+            f"THEN 'Highly Rated' WHEN {score} >= {good} THEN 'Average' "
+            f"ELSE 'Needs Improvement' END")
 
 
-def host_type(is_superhost) -> Column:
+def host_type_sql(is_superhost: str) -> str:
     """A NULL superhost flag counts as Regular."""
-    return F.when(_col(is_superhost), "Superhost").otherwise("Regular")
+    return f"CASE WHEN {is_superhost} THEN 'Superhost' ELSE 'Regular' END"
+
+
+def price_tier(price: str, bands: Bands = DEFAULT_BANDS) -> Column:
+    return F.expr(price_tier_sql(price, bands))
+
+
+def rating_category(score: str, bands: Bands = DEFAULT_BANDS) -> Column:
+    return F.expr(rating_category_sql(score, bands))
+
+
+def host_tier(is_superhost: str, num_listings: str, bands: Bands = DEFAULT_BANDS) -> Column:
+    return F.expr(host_tier_sql(is_superhost, num_listings, bands))
+
+
+def host_rating_tier(score: str, bands: Bands = DEFAULT_BANDS) -> Column:
+    return F.expr(host_rating_tier_sql(score, bands))
+
+
+def host_type(is_superhost: str) -> Column:
+    return F.expr(host_type_sql(is_superhost))

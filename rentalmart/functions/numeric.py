@@ -1,12 +1,15 @@
 """Numeric expressions with the reference's exact semantics.
 
 The reference runs on an embedded columnar database whose numeric rules differ from
-Spark's in a few places. Each helper returns a built-in Column expression (no UDF), so
-whole-stage codegen is kept.
+Spark's in a few places. Each helper exists in two forms: ``*_sql`` returns Spark SQL
+text (for ``selectExpr`` / ``expr``), and the plain name returns a ``Column``. Both are
+built-in expressions (no UDF), so whole-stage codegen is kept. Given a column *name* (or
+any SQL text) the Column form is built with a single ``expr`` call, which keeps the number
+of driver-to-JVM round trips per query small.
 
 * ``round_half`` - ROUND on a DOUBLE: half away from zero on ``x * 10^n``, then divided
-  back. Spark's ``round`` on a double already rounds the shortest decimal form of its
-  argument half-up, so scaling first gives the same result as the reference.
+  back. Spark's ``round`` on a double rounds the shortest decimal form of its argument
+  half-up, so scaling first gives the same result as the reference.
 * ``avg_double`` - AVG of a DECIMAL is a DOUBLE: exact unscaled sum over count x scale.
 * ``to_int`` - DOUBLE to INT rounds half to even in the reference; Spark truncates, so
   ``rint`` first.
@@ -22,13 +25,73 @@ from pyspark.sql import functions as F
 MONEY_TYPE = "decimal(10,2)"
 
 
-def _col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def _d(x: float) -> str:
+    """A DOUBLE literal (a bare ``100.0`` is a DECIMAL literal in Spark SQL)."""
+    return f"{float(x)!r}D"
 
 
-def round_half(c, n: int = 0) -> Column:
+# ---------------------------------------------------------------- SQL text forms
+def round_half_sql(e: str, n: int = 0) -> str:
     """ROUND(double, n) of the reference: half away from zero, on the scaled value."""
-    x = _col(c).cast("double")
+    x = f"CAST({e} AS DOUBLE)"
+    if n == 0:
+        return f"round({x}, 0)"
+    s = _d(10 ** n)
+    return f"(round({x} * {s}, 0) / {s})"
+
+
+def avg_double_sql(e: str, scale: int = 0) -> str:
+    """AVG as a DOUBLE for integers or decimals of ``scale``: the sum stays exact and the
+    quotient is taken on the unscaled value, ``double(sum*10^s) / double(count*10^s)``,
+    which is how the reference's engine averages decimals (dividing the already scaled
+    double differs in the last bit and then flips ROUND at .5 ties)."""
+    if scale == 0:
+        return f"(CAST(sum({e}) AS DOUBLE) / CAST(count({e}) AS DOUBLE))"
+    p = 10 ** scale
+    return f"(CAST(sum({e}) * {p} AS DOUBLE) / CAST(count({e}) * {p} AS DOUBLE))"
+
+
+def to_int_sql(e: str) -> str:
+    """DOUBLE -> INT with half-to-even rounding (2.5 -> 2, 1.5 -> 2)."""
+    return f"CAST(rint(CAST({e} AS DOUBLE)) AS INT)"
+
+
+def money_sql(e: str) -> str:
+    """Money text such as ``$12,345.00`` to DECIMAL(10,2); NULL on text that is no number."""
+    return f"try_cast(translate({e}, '$,', '') AS {MONEY_TYPE})"
+
+
+def pct_sql(num: str, den: str, n: int = 1) -> str:
+    """ROUND(num * 100.0 / NULLIF(den, 0), n) as a DOUBLE."""
+    return round_half_sql(
+        f"CAST({num} AS DOUBLE) * {_d(100)} / CAST(nullif({den}, 0) AS DOUBLE)", n)
+
+
+def ratio_sql(num: str, den: str) -> str:
+    """num / den as a DOUBLE, NULL when the denominator is 0 or NULL."""
+    return f"try_divide(CAST({num} AS DOUBLE), CAST({den} AS DOUBLE))"
+
+
+def score_sql(e: str, n: int) -> str:
+    """Rescale a 0-5 score to 0-100: quantize to one decimal first, then times 20."""
+    return f"round(CAST({e} AS DECIMAL(3,1)) * 20, {n})"
+
+
+def count_true_sql(e: str) -> str:
+    """SUM(CASE WHEN e THEN 1 ELSE 0 END): NULL counts as not true."""
+    return f"CAST(sum(CASE WHEN {e} THEN 1 ELSE 0 END) AS BIGINT)"
+
+
+def count_not_true_sql(e: str) -> str:
+    """SUM(CASE WHEN e THEN 0 ELSE 1 END): NULL counts as not true."""
+    return f"CAST(sum(CASE WHEN {e} THEN 0 ELSE 1 END) AS BIGINT)"
+
+
+# ---------------------------------------------------------------- Column forms
+def round_half(c, n: int = 0) -> Column:
+    if isinstance(c, str):
+        return F.expr(round_half_sql(c, n))
+    x = c.cast("double")
     if n == 0:
         return F.round(x, 0)
     scale = float(10 ** n)
@@ -36,52 +99,41 @@ def round_half(c, n: int = 0) -> Column:
 
 
 def avg_double(c, scale: int = 0) -> Column:
-    """AVG as a DOUBLE, for integers and for decimals of the given ``scale``.
-
-    The sum stays exact; the quotient is taken on the unscaled integer value, i.e.
-    ``double(sum * 10^scale) / double(count * 10^scale)``, which is how the reference's
-    engine averages decimals (dividing the already scaled double differs in the last bit
-    and then flips ROUND at .5 ties).
-    """
-    x = _col(c)
+    if isinstance(c, str):
+        return F.expr(avg_double_sql(c, scale))
     if scale == 0:
-        return F.sum(x).cast("double") / F.count(x).cast("double")
+        return F.sum(c).cast("double") / F.count(c).cast("double")
     p = F.lit(10 ** scale)
-    return (F.sum(x) * p).cast("double") / (F.count(x) * p).cast("double")
+    return (F.sum(c) * p).cast("double") / (F.count(c) * p).cast("double")
 
 
 def to_int(c) -> Column:
-    """DOUBLE -> INT with half-to-even rounding (2.5 -> 2, 1.5 -> 2)."""
-    return F.rint(_col(c).cast("double")).cast("int")
+    if isinstance(c, str):
+        return F.expr(to_int_sql(c))
+    return F.rint(c.cast("double")).cast("int")
 
 
 def money(c) -> Column:
-    """Money text such as ``$12,345.00`` to DECIMAL(10,2); NULL on text that is no number."""
-    return F.translate(_col(c), "$,", "").try_cast(MONEY_TYPE)
+    if isinstance(c, str):
+        return F.expr(money_sql(c))
+    return F.translate(c, "$,", "").try_cast(MONEY_TYPE)
 
 
-def pct(numerator, denominator, n: int = 1) -> Column:
-    """ROUND(numerator * 100.0 / NULLIF(denominator, 0), n) as a DOUBLE."""
-    num = _col(numerator).cast("double") * F.lit(100.0)
-    den = F.nullif(_col(denominator), F.lit(0)).cast("double")
-    return round_half(num / den, n)
+def pct(numerator: str, denominator: str, n: int = 1) -> Column:
+    return F.expr(pct_sql(numerator, denominator, n))
 
 
-def ratio(numerator, denominator) -> Column:
-    """numerator / denominator as a DOUBLE, NULL when the denominator is 0 or NULL."""
-    return F.try_divide(_col(numerator).cast("double"), _col(denominator).cast("double"))
+def ratio(numerator: str, denominator: str) -> Column:
+    return F.expr(ratio_sql(numerator, denominator))
 
 
-def score_0_100(c, n: int) -> Column:
-    """Rescale a 0-5 score to 0-100: quantize to one decimal first, then times 20."""
-    return F.round(_col(c).cast("decimal(3,1)") * F.lit(20), n)
+def score_0_100(c: str, n: int) -> Column:
+    return F.expr(score_sql(c, n))
 
 
-def count_true(c) -> Column:
-    """SUM(CASE WHEN c THEN 1 ELSE 0 END): NULL counts as not true."""
-    return F.sum(F.when(_col(c), F.lit(1)).otherwise(F.lit(0))).cast("long")
+def count_true(c: str) -> Column:
+    return F.expr(count_true_sql(c))
 
 
-def count_not_true(c) -> Column:
-    """SUM(CASE WHEN c THEN 0 ELSE 1 END): NULL counts as not true."""
-    return F.sum(F.when(_col(c), F.lit(0)).otherwise(F.lit(1))).cast("long")
+def count_not_true(c: str) -> Column:
+    return F.expr(count_not_true_sql(c))

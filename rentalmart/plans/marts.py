@@ -21,10 +21,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rentalmart.functions.bands import (DEFAULT_BANDS, Bands, host_rating_tier, host_tier,
-                                        price_tier, rating_category)
-from rentalmart.functions.numeric import (avg_double, count_not_true, count_true, pct,
-                                          round_half)
+from rentalmart.functions.bands import (DEFAULT_BANDS, Bands, host_rating_tier_sql,
+                                        host_tier_sql, price_tier_sql, rating_category_sql)
+from rentalmart.functions.numeric import (avg_double_sql, count_not_true_sql,
+                                          count_true_sql, pct_sql, round_half_sql)
 from rentalmart.plans.staging import STG_LISTINGS_COLUMNS
 
 HOST_KEYS = ["host_id", "host_name", "host_since", "host_location", "host_response_time",
@@ -47,13 +47,17 @@ MIN_GROUP_SIZE = 5
 QUARTILES = (0.25, 0.5, 0.75)
 
 
+def _x(*exprs: str) -> list[F.Column]:
+    """SQL expressions (with aliases) as Columns, one ``expr`` call each."""
+    return [F.expr(e) for e in exprs]
+
+
 def review_stats(reviews: DataFrame) -> DataFrame:
     """J-04: reviews per listing with first and last review date."""
-    return reviews.groupBy("listing_id").agg(
-        F.count(F.lit(1)).alias("total_reviews"),
-        F.min("review_date").alias("first_review"),
-        F.max("review_date").alias("last_review"),
-    )
+    return reviews.groupBy("listing_id").agg(*_x(
+        "count(1) AS total_reviews",
+        "min(review_date) AS first_review",
+        "max(review_date) AS last_review"))
 
 
 def calendar_stats(calendar: DataFrame) -> DataFrame:
@@ -62,12 +66,13 @@ def calendar_stats(calendar: DataFrame) -> DataFrame:
     ``occupancy_rate_pct`` here is the share of *available* days (the monthly mart uses
     booked days under the same name). A NULL availability counts as not available.
     """
-    not_available_price = F.when(F.col("is_available"), F.lit(None)).otherwise(F.col("price"))
+    not_available_price = "CASE WHEN is_available THEN NULL ELSE price END"
     return (calendar.groupBy("listing_id")
-            .agg(avg_double(not_available_price, 2).alias("avg_price"),
-                 count_true("is_available").alias("available_days"),
-                 F.count(F.lit(1)).alias("total_days"))
-            .withColumn("occupancy_rate_pct", pct("available_days", "total_days", 1)))
+            .agg(*_x(f"{avg_double_sql(not_available_price, 2)} AS avg_price",
+                     f"{count_true_sql('is_available')} AS available_days",
+                     "count(1) AS total_days"))
+            .selectExpr("*", f"{pct_sql('available_days', 'total_days', 1)} "
+                             "AS occupancy_rate_pct"))
 
 
 def listings_enriched(listings: DataFrame, reviews: DataFrame, calendar: DataFrame,
@@ -76,27 +81,26 @@ def listings_enriched(listings: DataFrame, reviews: DataFrame, calendar: DataFra
     r = review_stats(reviews)
     cs = calendar_stats(calendar)
     joined = listings.join(r, "listing_id", "left").join(cs, "listing_id", "left")
-    return joined.select(
+    return joined.selectExpr(
         *STG_LISTINGS_COLUMNS,
-        F.coalesce(F.col("total_reviews"), F.lit(0).cast("long")).alias("total_reviews"),
+        "coalesce(total_reviews, CAST(0 AS BIGINT)) AS total_reviews",
         "first_review", "last_review",
-        F.col("avg_price").alias("avg_calendar_price"),
+        "avg_price AS avg_calendar_price",
         "available_days", "total_days", "occupancy_rate_pct",
-        price_tier("price", bands).alias("price_tier"),
-        rating_category("review_scores_rating", bands).alias("rating_category"),
+        f"{price_tier_sql('price', bands)} AS price_tier",
+        f"{rating_category_sql('review_scores_rating', bands)} AS rating_category",
     )
 
 
 def host_metrics(listings: DataFrame) -> DataFrame:
     """J-07: one row per distinct combination of the ten host attributes (NULLs group)."""
-    return listings.groupBy(*HOST_KEYS).agg(
-        F.count(F.lit(1)).alias("num_listings"),
-        round_half(avg_double("price", 2), 2).alias("avg_listing_price"),
-        round_half(avg_double("review_scores_rating", 1), 1).alias("avg_review_score"),
-        F.sum(F.col("number_of_reviews").cast("long")).alias("total_reviews_received"),
-        round_half(avg_double("reviews_per_month", 2), 2).alias("avg_reviews_per_month"),
-        round_half(avg_double("availability_365"), 0).alias("avg_availability_days"),
-    )
+    return listings.groupBy(*HOST_KEYS).agg(*_x(
+        "count(1) AS num_listings",
+        f"{round_half_sql(avg_double_sql('price', 2), 2)} AS avg_listing_price",
+        f"{round_half_sql(avg_double_sql('review_scores_rating', 1), 1)} AS avg_review_score",
+        "sum(CAST(number_of_reviews AS BIGINT)) AS total_reviews_received",
+        f"{round_half_sql(avg_double_sql('reviews_per_month', 2), 2)} AS avg_reviews_per_month",
+        f"{round_half_sql(avg_double_sql('availability_365'), 0)} AS avg_availability_days"))
 
 
 def dim_listing(enriched: DataFrame) -> DataFrame:
@@ -106,11 +110,10 @@ def dim_listing(enriched: DataFrame) -> DataFrame:
 
 def dim_host(metrics: DataFrame, bands: Bands = DEFAULT_BANDS) -> DataFrame:
     """J-09: host metrics + host tier + host rating tier."""
-    return metrics.select(
-        *metrics.columns,
-        host_tier("host_is_superhost", "num_listings", bands).alias("host_tier"),
-        host_rating_tier("avg_review_score", bands).alias("host_rating_tier"),
-    )
+    return metrics.selectExpr(
+        "*",
+        f"{host_tier_sql('host_is_superhost', 'num_listings', bands)} AS host_tier",
+        f"{host_rating_tier_sql('avg_review_score', bands)} AS host_rating_tier")
 
 
 def dim_neighbourhood(listings: DataFrame) -> DataFrame:
@@ -119,13 +122,14 @@ def dim_neighbourhood(listings: DataFrame) -> DataFrame:
     The source joins the distinct neighbourhoods to their own aggregate; both sides have
     the same filter and key set, so one aggregate gives the same rows with one shuffle.
     """
-    return (listings.where(F.col("neighbourhood").isNotNull())
+    return (listings.where("neighbourhood IS NOT NULL")
             .groupBy("neighbourhood")
-            .agg(F.count(F.lit(1)).alias("num_listings"),
-                 round_half(avg_double("price", 2), 2).alias("avg_price"),
-                 round_half(avg_double("review_scores_rating", 1), 1).alias("avg_review_score"),
-                 round_half(avg_double("availability_365"), 0)
-                 .alias("avg_availability_days")))
+            .agg(*_x("count(1) AS num_listings",
+                     f"{round_half_sql(avg_double_sql('price', 2), 2)} AS avg_price",
+                     f"{round_half_sql(avg_double_sql('review_scores_rating', 1), 1)} "
+                     "AS avg_review_score",
+                     f"{round_half_sql(avg_double_sql('availability_365'), 0)} "
+                     "AS avg_availability_days")))
 
 
 def calendar_month_parts(calendar: DataFrame) -> DataFrame:
@@ -136,20 +140,16 @@ def calendar_month_parts(calendar: DataFrame) -> DataFrame:
     a nightly price are summed here, the ones without are counted and later priced at the
     listing price. ``n_zero`` counts the days that contribute 0 to revenue.
     """
-    avail = F.col("is_available")
-    price = F.col("price")
-    not_avail = avail == F.lit(False)
     return (calendar
-            .select("listing_id", F.trunc("calendar_date", "month").alias("month"),
-                    "is_available", "price")
+            .selectExpr("listing_id", "trunc(calendar_date, 'month') AS month",
+                        "is_available", "price")
             .groupBy("listing_id", "month")
-            .agg(F.count(F.lit(1)).alias("days_in_month"),
-                 count_not_true("is_available").alias("booked_days"),
-                 F.sum(F.when(not_avail, price)).alias("priced_sum"),
-                 F.count(F.when(not_avail & price.isNotNull(), F.lit(1))).alias("n_priced"),
-                 F.count(F.when(not_avail & price.isNull(), F.lit(1))).alias("n_unpriced"),
-                 F.count(F.when(not_avail.isNull() | ~not_avail, F.lit(1)))
-                 .alias("n_zero")))
+            .agg(*_x("count(1) AS days_in_month",
+                     f"{count_not_true_sql('is_available')} AS booked_days",
+                     "sum(CASE WHEN NOT is_available THEN price END) AS priced_sum",
+                     "count_if(NOT is_available AND price IS NOT NULL) AS n_priced",
+                     "count_if(NOT is_available AND price IS NULL) AS n_unpriced",
+                     "count_if(is_available IS NULL OR is_available) AS n_zero")))
 
 
 def monthly_occupancy(calendar: DataFrame, listings: DataFrame) -> DataFrame:
@@ -159,87 +159,77 @@ def monthly_occupancy(calendar: DataFrame, listings: DataFrame) -> DataFrame:
     the share of *booked* days. Nightly price falls back to the listing price.
     """
     parts = calendar_month_parts(calendar)
-    dims = listings.select("listing_id", "neighbourhood", "room_type",
-                           F.col("price").alias("listing_price"))
-    lp = F.col("listing_price")
-    has_lp = lp.isNotNull()
-    filled = F.when(has_lp, F.col("n_unpriced")).otherwise(F.lit(0))
-    fill_sum = F.when(has_lp, F.col("n_unpriced") * lp)
-    joined = (parts.join(dims, "listing_id")
-              .select("month", "listing_id", "neighbourhood", "room_type", "days_in_month",
-                      "booked_days",
-                      (F.coalesce(F.col("priced_sum"), F.lit(0))
-                       + F.coalesce(fill_sum, F.lit(0))).alias("value_sum"),
-                      (F.col("n_priced") + filled).alias("value_n"),
-                      F.col("n_zero")))
+    dims = listings.selectExpr("listing_id", "neighbourhood", "room_type",
+                               "price AS listing_price")
+    joined = parts.join(dims, "listing_id").selectExpr(
+        "month", "listing_id", "neighbourhood", "room_type", "days_in_month", "booked_days",
+        "coalesce(priced_sum, 0) + coalesce(CASE WHEN listing_price IS NOT NULL "
+        "THEN n_unpriced * listing_price END, 0) AS value_sum",
+        "n_priced + CASE WHEN listing_price IS NOT NULL THEN n_unpriced ELSE 0 END "
+        "AS value_n",
+        "n_zero")
     # Listing keys are unique, so this is one row per group already; the aggregate keeps
     # the source's grouping exact even if they were not, and needs no extra shuffle (the
     # join output is already clustered by listing_id).
     monthly = (joined.groupBy("month", "listing_id", "neighbourhood", "room_type")
-               .agg(F.sum("days_in_month").alias("days_in_month"),
-                    F.sum("booked_days").alias("booked_days"),
-                    F.sum("value_sum").alias("value_sum"),
-                    F.sum("value_n").alias("value_n"),
-                    F.sum("n_zero").alias("n_zero")))
-    value_n = F.col("value_n")
-    revenue = F.when(value_n + F.col("n_zero") > 0,
-                     F.round(F.col("value_sum"), 2).cast("decimal(38,2)"))
+               .agg(*_x("sum(days_in_month) AS days_in_month",
+                        "sum(booked_days) AS booked_days",
+                        "sum(value_sum) AS value_sum",
+                        "sum(value_n) AS value_n",
+                        "sum(n_zero) AS n_zero")))
+    revenue = ("CASE WHEN value_n + n_zero > 0 THEN "
+               "CAST(round(value_sum, 2) AS DECIMAL(38,2)) END")
+    avg_price = ("CASE WHEN value_n > 0 THEN CAST(value_sum * 100 AS DOUBLE) "
+                 "/ CAST(value_n * 100 AS DOUBLE) END")
     return (monthly
-            .withColumn("estimated_revenue", revenue)
-            .select(
+            .selectExpr("*", f"{revenue} AS estimated_revenue")
+            .selectExpr(
                 "month", "listing_id", "neighbourhood", "room_type",
-                F.col("days_in_month").cast("long").alias("days_in_month"),
-                F.col("booked_days").cast("long").alias("booked_days"),
-                (F.col("days_in_month") - F.col("booked_days")).cast("long")
-                .alias("available_days"),
-                pct("booked_days", "days_in_month", 1).alias("occupancy_rate_pct"),
-                round_half(F.when(value_n > 0, (F.col("value_sum") * 100).cast("double")
-                                  / (value_n * 100).cast("double")), 2).alias("avg_price"),
+                "CAST(days_in_month AS BIGINT) AS days_in_month",
+                "CAST(booked_days AS BIGINT) AS booked_days",
+                "CAST(days_in_month - booked_days AS BIGINT) AS available_days",
+                f"{pct_sql('booked_days', 'days_in_month', 1)} AS occupancy_rate_pct",
+                f"{round_half_sql(avg_price, 2)} AS avg_price",
                 "estimated_revenue",
-                round_half(F.col("estimated_revenue").cast("double")
-                           / F.nullif(F.col("booked_days"), F.lit(0)).cast("double"), 2)
-                .alias("avg_daily_rate")))
-
-
-def cents(c) -> F.Column:
-    col = F.col(c) if isinstance(c, str) else c
-    return (col * F.lit(100)).cast("long")
+                round_half_sql("CAST(estimated_revenue AS DOUBLE) / "
+                               "CAST(nullif(booked_days, 0) AS DOUBLE)", 2)
+                + " AS avg_daily_rate"))
 
 
-def quartiles_of(price_col: str = "price", qs=QUARTILES) -> F.Column:
+def quartiles_sql(price: str = "price", qs=QUARTILES) -> str:
     """Exact PERCENTILE_CONT of a money column, one pass for all quantiles.
 
     Works on integer cents and truncates the interpolated value to whole cents, as the
     reference does when it interpolates a DECIMAL. Returns array<double> of money values.
     """
-    p = F.percentile(cents(price_col), F.array(*[F.lit(q) for q in qs]))
-    return F.transform(p, lambda v: F.floor(v) / F.lit(100.0))
+    arr = ", ".join(f"{float(q)!r}D" for q in qs)
+    return (f"transform(percentile(CAST({price} * 100 AS BIGINT), array({arr})), "
+            f"v -> floor(v) / 100.0D)")
 
 
 def pricing_analysis(listings: DataFrame, min_n: int = MIN_GROUP_SIZE) -> DataFrame:
     """J-14: price statistics per (neighbourhood, room_type) with at least ``min_n``
     positively priced listings, sorted by the two keys (NULL keys last)."""
-    grouped = (listings.where(F.col("price") > 0)
+    grouped = (listings.where("price > 0")
                .groupBy("neighbourhood", "room_type")
-               .agg(F.count(F.lit(1)).alias("num_listings"),
-                    round_half(avg_double("price", 2), 2).alias("avg_price"),
-                    F.min("price").alias("min_price"),
-                    quartiles_of("price").alias("_q"),
-                    F.max("price").alias("max_price"),
-                    round_half(avg_double("review_scores_rating", 1), 1)
-                    .alias("avg_review_score"),
-                    round_half(F.avg("occupancy_rate_pct"), 1).alias("avg_occupancy_pct"),
-                    round_half(avg_double("reviews_per_month", 2), 2)
-                    .alias("avg_reviews_per_month"),
-                    round_half(avg_double("minimum_nights"), 0).alias("avg_min_nights"))
-               .where(F.col("num_listings") >= min_n))
-    return (grouped.select(
+               .agg(*_x("count(1) AS num_listings",
+                        f"{round_half_sql(avg_double_sql('price', 2), 2)} AS avg_price",
+                        "min(price) AS min_price",
+                        f"{quartiles_sql('price')} AS q",
+                        "max(price) AS max_price",
+                        f"{round_half_sql(avg_double_sql('review_scores_rating', 1), 1)} "
+                        "AS avg_review_score",
+                        f"{round_half_sql('avg(occupancy_rate_pct)', 1)} AS avg_occupancy_pct",
+                        f"{round_half_sql(avg_double_sql('reviews_per_month', 2), 2)} "
+                        "AS avg_reviews_per_month",
+                        f"{round_half_sql(avg_double_sql('minimum_nights'), 0)} "
+                        "AS avg_min_nights"))
+               .where(f"num_listings >= {int(min_n)}"))
+    return (grouped.selectExpr(
                 "neighbourhood", "room_type", "num_listings", "avg_price",
-                F.round(F.col("min_price"), 2).alias("min_price"),
-                F.col("_q")[0].alias("p25_price"),
-                F.col("_q")[1].alias("median_price"),
-                F.col("_q")[2].alias("p75_price"),
-                F.round(F.col("max_price"), 2).alias("max_price"),
+                "round(min_price, 2) AS min_price",
+                "q[0] AS p25_price", "q[1] AS median_price", "q[2] AS p75_price",
+                "round(max_price, 2) AS max_price",
                 "avg_review_score", "avg_occupancy_pct", "avg_reviews_per_month",
                 "avg_min_nights")
             .orderBy(F.asc_nulls_last("neighbourhood"), F.asc_nulls_last("room_type")))

@@ -12,8 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rentalmart.functions.bands import host_type
-from rentalmart.functions.numeric import avg_double, ratio, round_half
+from rentalmart.functions.bands import host_type_sql
+from rentalmart.functions.numeric import avg_double_sql, ratio_sql, round_half_sql
 
 PRICE_CAP = 100000
 TOP_SEGMENTS = 50
@@ -22,22 +22,28 @@ TOP_REVIEWED = 10
 GAP_N = 5
 
 
+def _x(*exprs: str) -> list[F.Column]:
+    return [F.expr(e) for e in exprs]
+
+
+def _r(e: str, n: int, alias: str) -> str:
+    return f"{round_half_sql(e, n)} AS {alias}"
+
+
 def market_summary(dim_listing: DataFrame) -> DataFrame:
     """J-15: one row of market KPIs."""
-    return dim_listing.agg(
-        F.count(F.lit(1)).alias("total_listings"),
-        F.countDistinct("host_id").alias("total_hosts"),
-        round_half(avg_double("price", 2), 0).alias("avg_price"),
-        round_half(avg_double("review_scores_rating", 1), 1).alias("avg_rating"),
-        round_half(F.avg("occupancy_rate_pct"), 1).alias("avg_occupancy"),
-    )
+    return dim_listing.agg(*_x(
+        "count(1) AS total_listings",
+        "count(DISTINCT host_id) AS total_hosts",
+        _r(avg_double_sql("price", 2), 0, "avg_price"),
+        _r(avg_double_sql("review_scores_rating", 1), 1, "avg_rating"),
+        _r("avg(occupancy_rate_pct)", 1, "avg_occupancy")))
 
 
 def listings_per_host(dim_listing: DataFrame) -> DataFrame:
     """J-16: J-15 plus listings per host (NULL when there are no hosts)."""
-    s = market_summary(dim_listing)
-    return s.withColumn("listings_per_host",
-                        round_half(ratio("total_listings", "total_hosts"), 1))
+    return market_summary(dim_listing).selectExpr(
+        "*", _r(ratio_sql("total_listings", "total_hosts"), 1, "listings_per_host"))
 
 
 def top_segments(pricing: DataFrame, n: int = TOP_SEGMENTS) -> DataFrame:
@@ -52,7 +58,7 @@ def top_segments(pricing: DataFrame, n: int = TOP_SEGMENTS) -> DataFrame:
 
 def price_rows(dim_listing: DataFrame, cap: float = PRICE_CAP) -> DataFrame:
     """J-18: listing prices inside (0, cap), the input of the price distribution."""
-    return (dim_listing.where((F.col("price") > 0) & (F.col("price") < cap))
+    return (dim_listing.where(f"price > 0 AND price < {cap}")
             .select("price", "room_type", "neighbourhood"))
 
 
@@ -61,53 +67,51 @@ def price_box(dim_listing: DataFrame, cap: float = PRICE_CAP) -> DataFrame:
     fences and the number of outliers. Computed where the data lives instead of shipping
     every price to a chart library."""
     rows = price_rows(dim_listing, cap)
-    q = F.percentile((F.col("price") * 100).cast("long"), [0.25, 0.5, 0.75])
     stats = (rows.groupBy("room_type")
-             .agg((q[0] / 100.0).alias("q1"), (q[1] / 100.0).alias("median"),
-                  (q[2] / 100.0).alias("q3"), F.count(F.lit(1)).alias("n"))
-             .withColumn("iqr", F.col("q3") - F.col("q1"))
-             .withColumn("lower_fence", F.col("q1") - F.lit(1.5) * F.col("iqr"))
-             .withColumn("upper_fence", F.col("q3") + F.lit(1.5) * F.col("iqr")))
+             .agg(*_x("percentile(CAST(price * 100 AS BIGINT), "
+                      "array(0.25D, 0.5D, 0.75D)) AS q", "count(1) AS n"))
+             .selectExpr("room_type", "n", "q[0] / 100.0D AS q1", "q[1] / 100.0D AS median",
+                         "q[2] / 100.0D AS q3")
+             .selectExpr("*", "q1 - 1.5D * (q3 - q1) AS lower_fence",
+                         "q3 + 1.5D * (q3 - q1) AS upper_fence"))
     # One stats row per room type: the join is broadcast when AQE measures it small, and
     # a hot room type on the big side is split by AQE's skew-join handling otherwise.
-    price = F.col("price").cast("double")
-    fences = stats.select(F.col("room_type").alias("_rt"), "lower_fence", "upper_fence")
-    outliers = (rows.join(fences, F.col("room_type").eqNullSafe(F.col("_rt")))
-                .where((price < F.col("lower_fence")) | (price > F.col("upper_fence")))
-                .groupBy("_rt")
-                .agg(F.count(F.lit(1)).alias("n_outliers")))
-    return (stats.join(outliers, F.col("room_type").eqNullSafe(F.col("_rt")), "left")
-            .select("room_type", "n", "q1", "median", "q3", "lower_fence", "upper_fence",
-                    F.coalesce(F.col("n_outliers"), F.lit(0).cast("long"))
-                    .alias("n_outliers")))
+    fences = stats.selectExpr("room_type AS _rt", "lower_fence", "upper_fence")
+    outliers = (rows.join(fences, F.expr("room_type <=> _rt"))
+                .where("CAST(price AS DOUBLE) < lower_fence OR "
+                       "CAST(price AS DOUBLE) > upper_fence")
+                .groupBy("_rt").agg(F.expr("count(1) AS n_outliers")))
+    return (stats.join(outliers, F.expr("room_type <=> _rt"), "left")
+            .selectExpr("room_type", "n", "q1", "median", "q3", "lower_fence", "upper_fence",
+                        "coalesce(n_outliers, CAST(0 AS BIGINT)) AS n_outliers"))
 
 
 def occupancy_trend(monthly: DataFrame) -> DataFrame:
     """J-20: average occupancy and price per month and room type (priced months only)."""
-    return (monthly.where(F.col("avg_price").isNotNull())
+    return (monthly.where("avg_price IS NOT NULL")
             .groupBy("month", "room_type")
-            .agg(round_half(F.avg("occupancy_rate_pct"), 1).alias("avg_occupancy"),
-                 round_half(F.avg("avg_price"), 0).alias("avg_price"))
+            .agg(*_x(_r("avg(occupancy_rate_pct)", 1, "avg_occupancy"),
+                     _r("avg(avg_price)", 0, "avg_price")))
             .orderBy(F.asc_nulls_last("month"), F.asc_nulls_last("room_type")))
 
 
 def hosts_by_tier(dim_host: DataFrame) -> DataFrame:
     """J-21: host rows per rating tier."""
-    return dim_host.groupBy("host_rating_tier").agg(F.count(F.lit(1)).alias("count"))
+    return dim_host.groupBy("host_rating_tier").agg(F.expr("count(1) AS count"))
 
 
 def superhost_compare(dim_host: DataFrame) -> DataFrame:
     """J-22: superhost vs regular (a NULL flag counts as regular); averages over hosts."""
-    return (dim_host.groupBy(host_type("host_is_superhost").alias("host_type"))
-            .agg(round_half(F.avg("avg_listing_price"), 0).alias("avg_price"),
-                 round_half(F.avg("avg_review_score"), 1).alias("avg_rating"),
-                 round_half(avg_double("total_reviews_received"), 0).alias("avg_reviews")))
+    return (dim_host.groupBy(F.expr(f"{host_type_sql('host_is_superhost')} AS host_type"))
+            .agg(*_x(_r("avg(avg_listing_price)", 0, "avg_price"),
+                     _r("avg(avg_review_score)", 1, "avg_rating"),
+                     _r(avg_double_sql("total_reviews_received"), 0, "avg_reviews"))))
 
 
 def review_volume(fct_reviews: DataFrame) -> DataFrame:
     """J-23: reviews per month."""
-    return (fct_reviews.groupBy(F.trunc("review_date", "month").alias("month"))
-            .agg(F.count(F.lit(1)).alias("review_count"))
+    return (fct_reviews.groupBy(F.expr("trunc(review_date, 'month') AS month"))
+            .agg(F.expr("count(1) AS review_count"))
             .orderBy(F.asc_nulls_last("month")))
 
 
@@ -122,13 +126,13 @@ def top_reviewed(dim_listing: DataFrame, n: int = TOP_REVIEWED) -> DataFrame:
 
 def room_breakdown(dim_listing: DataFrame) -> DataFrame:
     """J-25: per room type, listings and averages; by (rounded) price, highest first."""
-    return (dim_listing.where(F.col("price") > 0)
+    return (dim_listing.where("price > 0")
             .groupBy("room_type")
-            .agg(F.count(F.lit(1)).alias("n"),
-                 round_half(avg_double("price", 2), 0).alias("price"),
-                 round_half(avg_double("review_scores_rating", 1), 1).alias("rating"),
-                 round_half(F.avg("occupancy_rate_pct"), 1).alias("occ"),
-                 round_half(avg_double("minimum_nights"), 0).alias("min_nights"))
+            .agg(*_x("count(1) AS n",
+                     _r(avg_double_sql("price", 2), 0, "price"),
+                     _r(avg_double_sql("review_scores_rating", 1), 1, "rating"),
+                     _r("avg(occupancy_rate_pct)", 1, "occ"),
+                     _r(avg_double_sql("minimum_nights"), 0, "min_nights")))
             .orderBy(F.desc_nulls_last("price"), F.asc_nulls_last("room_type")))
 
 
@@ -138,33 +142,32 @@ def neighbourhood_gap(dim_listing: DataFrame, n: int = GAP_N) -> DataFrame:
     A NULL neighbourhood is a group of its own here. Each branch is labelled before the
     union, so the labels never depend on how many rows a branch returned.
     """
-    by_hood = (dim_listing.where(F.col("price") > 0)
+    by_hood = (dim_listing.where("price > 0")
                .groupBy("neighbourhood")
-               .agg(round_half(avg_double("price", 2), 0).alias("price"),
-                    F.count(F.lit(1)).alias("n")))
+               .agg(*_x(_r(avg_double_sql("price", 2), 0, "price"), "count(1) AS n")))
     top = (by_hood.orderBy(F.desc_nulls_last("price"), F.asc_nulls_last("neighbourhood"))
-           .limit(n).withColumn("type", F.lit("Top")))
+           .limit(n).selectExpr("'Top' AS type", "neighbourhood", "price", "n"))
     bottom = (by_hood.orderBy(F.asc_nulls_last("price"), F.asc_nulls_last("neighbourhood"))
-              .limit(n).withColumn("type", F.lit("Bottom")))
-    return top.unionByName(bottom).select("type", "neighbourhood", "price", "n")
+              .limit(n).selectExpr("'Bottom' AS type", "neighbourhood", "price", "n"))
+    return top.unionByName(bottom)
 
 
 def quarterly_occupancy(monthly: DataFrame) -> DataFrame:
     """J-27: average occupancy and price per quarter (no NULL-price filter)."""
-    return (monthly.groupBy(F.trunc("month", "quarter").alias("q"))
-            .agg(round_half(F.avg("occupancy_rate_pct"), 1).alias("occ"),
-                 round_half(F.avg("avg_price"), 0).alias("price"))
+    return (monthly.groupBy(F.expr("trunc(month, 'quarter') AS q"))
+            .agg(*_x(_r("avg(occupancy_rate_pct)", 1, "occ"),
+                     _r("avg(avg_price)", 0, "price")))
             .orderBy(F.asc_nulls_last("q")))
 
 
 def superhost_profile(dim_host: DataFrame) -> DataFrame:
     """J-28: host rows, price, rating, reviews and reviews per month by host type."""
-    return (dim_host.groupBy(host_type("host_is_superhost").alias("type"))
-            .agg(F.count(F.lit(1)).alias("n"),
-                 round_half(F.avg("avg_listing_price"), 0).alias("price"),
-                 round_half(F.avg("avg_review_score"), 1).alias("rating"),
-                 round_half(avg_double("total_reviews_received"), 0).alias("reviews"),
-                 round_half(F.avg("avg_reviews_per_month"), 2).alias("rvpm")))
+    return (dim_host.groupBy(F.expr(f"{host_type_sql('host_is_superhost')} AS type"))
+            .agg(*_x("count(1) AS n",
+                     _r("avg(avg_listing_price)", 0, "price"),
+                     _r("avg(avg_review_score)", 1, "rating"),
+                     _r(avg_double_sql("total_reviews_received"), 0, "reviews"),
+                     _r("avg(avg_reviews_per_month)", 2, "rvpm"))))
 
 
 def superhost_premium(profile: DataFrame) -> DataFrame:
@@ -173,17 +176,11 @@ def superhost_premium(profile: DataFrame) -> DataFrame:
     price_pct = (superhost price / regular price - 1) * 100, review_pct likewise for
     reviews, rating_diff = superhost rating - regular rating; NULL when a side is missing.
     """
-    def side(label: str, col: str):
-        return F.max(F.when(F.col("type") == label, F.col(col)))
-
-    wide = profile.agg(side("Superhost", "price").alias("s_price"),
-                       side("Regular", "price").alias("r_price"),
-                       side("Superhost", "reviews").alias("s_reviews"),
-                       side("Regular", "reviews").alias("r_reviews"),
-                       side("Superhost", "rating").alias("s_rating"),
-                       side("Regular", "rating").alias("r_rating"))
-    return wide.select(
-        ((ratio("s_price", "r_price") - F.lit(1.0)) * F.lit(100.0)).alias("price_pct"),
-        ((ratio("s_reviews", "r_reviews") - F.lit(1.0)) * F.lit(100.0)).alias("review_pct"),
-        (F.col("s_rating") - F.col("r_rating")).alias("rating_diff"),
+    sides = [f"max(CASE WHEN type = '{label}' THEN {col} END) AS {pre}_{col}"
+             for col in ("price", "reviews", "rating")
+             for label, pre in (("Superhost", "s"), ("Regular", "r"))]
+    return profile.agg(*_x(*sides)).selectExpr(
+        f"({ratio_sql('s_price', 'r_price')} - 1.0D) * 100.0D AS price_pct",
+        f"({ratio_sql('s_reviews', 'r_reviews')} - 1.0D) * 100.0D AS review_pct",
+        "s_rating - r_rating AS rating_diff",
         "s_price", "r_price", "s_reviews", "r_reviews", "s_rating", "r_rating")

@@ -2,106 +2,99 @@
 
 Pure narrow projections: no shuffle, and Catalyst prunes any column a consumer does not
 use down to the Parquet scan. Strict casts raise on bad input (ANSI mode), exactly where
-the reference's casts are strict; money uses TRY_CAST semantics.
+the reference's casts are strict; money uses TRY_CAST semantics. Each model is a single
+``selectExpr``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from rentalmart.functions.numeric import money, score_0_100, to_int
+from rentalmart.functions.numeric import money_sql, score_sql, to_int_sql
 
 SUB_SCORES = ["accuracy", "cleanliness", "checkin", "communication", "location", "value"]
 
-STG_LISTINGS_COLUMNS = [
-    "listing_id", "host_id", "last_scraped_date", "listing_name", "neighbourhood",
-    "latitude", "longitude", "property_type", "room_type", "accommodates", "bathrooms",
-    "bathrooms_text", "bedrooms", "beds", "amenities", "price", "minimum_nights",
-    "maximum_nights", "has_availability", "availability_365", "number_of_reviews",
-    "number_of_reviews_ltm", "first_review_date", "last_review_date",
-    "review_scores_rating", *[f"review_scores_{s}" for s in SUB_SCORES],
-    "instant_bookable", "host_listings_count", "reviews_per_month", "host_name",
-    "host_since", "host_location", "host_response_time", "host_response_rate",
-    "host_acceptance_rate", "host_is_superhost", "host_neighbourhood",
-    "host_total_listings_count", "host_has_profile_pic", "host_identity_verified",
+
+def _boolean(c: str) -> str:
+    return f"CAST({c} AS BOOLEAN) AS {c}"
+
+
+STG_LISTINGS_EXPRS = [
+    "CAST(id AS BIGINT) AS listing_id",
+    "CAST(host_id AS BIGINT) AS host_id",
+    "CAST(last_scraped AS DATE) AS last_scraped_date",
+    "name AS listing_name",
+    "coalesce(neighbourhood_cleansed, neighbourhood) AS neighbourhood",
+    "CAST(latitude AS DOUBLE) AS latitude",
+    "CAST(longitude AS DOUBLE) AS longitude",
+    "property_type",
+    "room_type",
+    f"{to_int_sql('accommodates')} AS accommodates",
+    "CAST(bathrooms AS DECIMAL(4,1)) AS bathrooms",
+    "bathrooms_text",
+    f"{to_int_sql('bedrooms')} AS bedrooms",
+    f"{to_int_sql('beds')} AS beds",
+    "amenities",
+    f"{money_sql('price')} AS price",
+    f"{to_int_sql('minimum_nights')} AS minimum_nights",
+    f"{to_int_sql('maximum_nights')} AS maximum_nights",
+    _boolean("has_availability"),
+    f"{to_int_sql('availability_365')} AS availability_365",
+    f"{to_int_sql('number_of_reviews')} AS number_of_reviews",
+    f"{to_int_sql('number_of_reviews_ltm')} AS number_of_reviews_ltm",
+    "CAST(first_review AS DATE) AS first_review_date",
+    "CAST(last_review AS DATE) AS last_review_date",
+    f"{score_sql('review_scores_rating', 1)} AS review_scores_rating",
+    *[f"CAST({score_sql(f'review_scores_{s}', 0)} AS INT) AS review_scores_{s}"
+      for s in SUB_SCORES],
+    _boolean("instant_bookable"),
+    f"{to_int_sql('calculated_host_listings_count')} AS host_listings_count",
+    "CAST(reviews_per_month AS DECIMAL(5,2)) AS reviews_per_month",
+    "host_name",
+    "CAST(host_since AS DATE) AS host_since",
+    "host_location",
+    "host_response_time",
+    "host_response_rate",
+    "host_acceptance_rate",
+    _boolean("host_is_superhost"),
+    "host_neighbourhood",
+    f"{to_int_sql('host_total_listings_count')} AS host_total_listings_count",
+    _boolean("host_has_profile_pic"),
+    _boolean("host_identity_verified"),
 ]
 
+STG_LISTINGS_COLUMNS = [e.rsplit(" AS ", 1)[-1] for e in STG_LISTINGS_EXPRS]
 
-def _bool(name: str):
-    return F.col(name).cast("boolean")
+STG_REVIEWS_EXPRS = [
+    "CAST(id AS BIGINT) AS review_id",
+    "CAST(listing_id AS BIGINT) AS listing_id",
+    "CAST(date AS DATE) AS review_date",
+    "CAST(reviewer_id AS BIGINT) AS reviewer_id",
+    "reviewer_name",
+    "comments",
+]
+
+STG_CALENDAR_EXPRS = [
+    "CAST(listing_id AS BIGINT) AS listing_id",
+    "CAST(date AS DATE) AS calendar_date",
+    "CAST(available AS BOOLEAN) AS is_available",
+    f"{money_sql('price')} AS price",
+    f"{money_sql('adjusted_price')} AS adjusted_price",
+    f"{to_int_sql('minimum_nights')} AS minimum_nights",
+    f"{to_int_sql('maximum_nights')} AS maximum_nights",
+]
 
 
 def stg_listings(raw: DataFrame) -> DataFrame:
     """J-01: one row per listing, 45 typed columns."""
-    c = F.col
-    return raw.select(
-        c("id").cast("long").alias("listing_id"),
-        c("host_id").cast("long").alias("host_id"),
-        c("last_scraped").cast("date").alias("last_scraped_date"),
-        c("name").alias("listing_name"),
-        F.coalesce(c("neighbourhood_cleansed"), c("neighbourhood")).alias("neighbourhood"),
-        c("latitude").cast("double").alias("latitude"),
-        c("longitude").cast("double").alias("longitude"),
-        c("property_type"),
-        c("room_type"),
-        to_int("accommodates").alias("accommodates"),
-        c("bathrooms").cast("decimal(4,1)").alias("bathrooms"),
-        c("bathrooms_text"),
-        to_int("bedrooms").alias("bedrooms"),
-        to_int("beds").alias("beds"),
-        c("amenities"),
-        money("price").alias("price"),
-        to_int("minimum_nights").alias("minimum_nights"),
-        to_int("maximum_nights").alias("maximum_nights"),
-        _bool("has_availability").alias("has_availability"),
-        to_int("availability_365").alias("availability_365"),
-        to_int("number_of_reviews").alias("number_of_reviews"),
-        to_int("number_of_reviews_ltm").alias("number_of_reviews_ltm"),
-        c("first_review").cast("date").alias("first_review_date"),
-        c("last_review").cast("date").alias("last_review_date"),
-        score_0_100("review_scores_rating", 1).alias("review_scores_rating"),
-        *[score_0_100(f"review_scores_{s}", 0).cast("int").alias(f"review_scores_{s}")
-          for s in SUB_SCORES],
-        _bool("instant_bookable").alias("instant_bookable"),
-        to_int("calculated_host_listings_count").alias("host_listings_count"),
-        c("reviews_per_month").cast("decimal(5,2)").alias("reviews_per_month"),
-        c("host_name"),
-        c("host_since").cast("date").alias("host_since"),
-        c("host_location"),
-        c("host_response_time"),
-        c("host_response_rate"),
-        c("host_acceptance_rate"),
-        _bool("host_is_superhost").alias("host_is_superhost"),
-        c("host_neighbourhood"),
-        to_int("host_total_listings_count").alias("host_total_listings_count"),
-        _bool("host_has_profile_pic").alias("host_has_profile_pic"),
-        _bool("host_identity_verified").alias("host_identity_verified"),
-    )
+    return raw.selectExpr(*STG_LISTINGS_EXPRS)
 
 
 def stg_reviews(raw: DataFrame) -> DataFrame:
     """J-02: one row per review."""
-    c = F.col
-    return raw.select(
-        c("id").cast("long").alias("review_id"),
-        c("listing_id").cast("long").alias("listing_id"),
-        c("date").cast("date").alias("review_date"),
-        c("reviewer_id").cast("long").alias("reviewer_id"),
-        c("reviewer_name"),
-        c("comments"),
-    )
+    return raw.selectExpr(*STG_REVIEWS_EXPRS)
 
 
 def stg_calendar(raw: DataFrame) -> DataFrame:
     """J-03: one row per listing and day (duplicates are kept, as in the source)."""
-    c = F.col
-    return raw.select(
-        c("listing_id").cast("long").alias("listing_id"),
-        c("date").cast("date").alias("calendar_date"),
-        _bool("available").alias("is_available"),
-        money("price").alias("price"),
-        money("adjusted_price").alias("adjusted_price"),
-        to_int("minimum_nights").alias("minimum_nights"),
-        to_int("maximum_nights").alias("maximum_nights"),
-    )
+    return raw.selectExpr(*STG_CALENDAR_EXPRS)

@@ -23,9 +23,12 @@ REGISTRY: dict[str, Query] = {}
 
 def portable(df: DataFrame) -> DataFrame:
     """Cast DECIMAL columns to DOUBLE (query boundary only)."""
-    return df.select(*[F.col(f.name).cast("double").alias(f.name)
-                       if isinstance(f.dataType, DecimalType) else F.col(f.name)
-                       for f in df.schema.fields])
+    fields = df.schema.fields
+    if not any(isinstance(f.dataType, DecimalType) for f in fields):
+        return df
+    return df.selectExpr(*[f"CAST(`{f.name}` AS DOUBLE) AS `{f.name}`"
+                           if isinstance(f.dataType, DecimalType) else f"`{f.name}`"
+                           for f in fields])
 
 
 def register(name: str):
@@ -149,8 +152,7 @@ AS_OF = "2025-09-30"
 
 def _changed_known_keys(raw_cal: DataFrame) -> DataFrame:
     """A later batch that repeats known days with a different price: must append nothing."""
-    return (raw_cal.where(F.col("date") >= F.lit("2000-01-01").cast("date"))
-            .withColumn("price", F.lit("$1.00")))
+    return raw_cal.where("date >= DATE'2000-01-01'").withColumn("price", F.lit("$1.00"))
 
 
 @register("fct_reviews")

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Columns of the test tables each adapter reads (so the Parquet scan prunes the rest).
@@ -29,23 +29,91 @@ LINEITEM_COLS = ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice",
 EVENTS_COLS = ["event_id", "ts", "user_id", "props"]
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
+_READS: dict[tuple[int, str], DataFrame] = {}
 
-def tenth_money(c: Column) -> Column:
-    """x / 10 as DECIMAL(10,2), computed in decimals so no engine rounds a double tie."""
-    cents = c.cast("decimal(12,2)")
-    return F.round(cents * F.lit(0.1).cast("decimal(2,1)"), 2).cast("decimal(10,2)")
 
-
-def money_text(amount: Column) -> Column:
-    """DECIMAL -> ``$12,345.60``."""
-    return F.concat(F.lit("$"), F.format_number(amount, 2))
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The test table as a lazy scan; the file listing is done once per session."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    if key not in _READS:
+        _READS[key] = spark.read.parquet(path)
+    return _READS[key]
 
 
-def _flag(cond: Column) -> Column:
-    return F.when(cond, F.lit("t")).otherwise(F.lit("f"))
+def tenth_money_sql(x: str) -> str:
+    """x / 10 as DECIMAL(10,2), computed in decimals so no engine rounds a double tie."""
+    return (f"CAST(round(CAST({x} AS DECIMAL(12,2)) * CAST(0.1 AS DECIMAL(2,1)), 2) "
+            f"AS DECIMAL(10,2))")
+
+
+def money_text_sql(x: str) -> str:
+    """amount -> ``$12,345.60``."""
+    return f"concat('$', format_number({tenth_money_sql(x)}, 2))"
+
+
+def _flag(cond: str) -> str:
+    return f"CASE WHEN {cond} THEN 't' ELSE 'f' END"
+
+
+def _score(offset: int) -> str:
+    return (f"CASE WHEN o_orderstatus = 'P' THEN CAST(NULL AS DOUBLE) "
+            f"ELSE CAST(300 + (o_orderkey + {offset}) % 201 AS DOUBLE) / 100 END")
+
+
+LISTING_EXPRS = [
+    "o_orderkey AS id",
+    "o_custkey AS host_id",
+    "CAST(o_orderdate AS DATE) AS last_scraped",
+    "concat('Listing ', CAST(o_orderkey AS STRING)) AS name",
+    "CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE n_name END AS neighbourhood_cleansed",
+    "CASE WHEN o_orderkey % 121 = 0 THEN NULL ELSE r_name END AS neighbourhood",
+    "CAST(35 + n_nationkey / 100 AS DOUBLE) AS latitude",
+    "CAST(139 + n_nationkey / 100 AS DOUBLE) AS longitude",
+    "o_orderstatus AS property_type",
+    "o_orderpriority AS room_type",
+    "CAST(1 + o_orderkey % 6 AS DOUBLE) AS accommodates",
+    "CAST((o_orderkey % 7) * 0.5 AS DOUBLE) AS bathrooms",
+    "CASE WHEN o_orderkey % 2 = 0 THEN '1 bath' ELSE '1.5 baths' END AS bathrooms_text",
+    "CAST((o_orderkey % 9) * 0.5 AS DOUBLE) AS bedrooms",
+    "CAST((o_orderkey % 7) * 0.5 AS DOUBLE) AS beds",
+    "CASE WHEN o_orderkey % 2 = 0 THEN '[\"Wifi\", \"Kitchen\"]' ELSE '[\"Wifi\"]' END "
+    "AS amenities",
+    "CASE WHEN o_orderkey % 37 = 0 THEN 'N/A' WHEN o_orderkey % 41 = 0 THEN NULL "
+    f"WHEN o_orderkey % 43 = 0 THEN '$0.00' ELSE {money_text_sql('o_totalprice')} END AS price",
+    "CAST(1 + o_orderkey % 30 AS DOUBLE) AS minimum_nights",
+    "CAST(30 + o_orderkey % 335 AS DOUBLE) AS maximum_nights",
+    f"{_flag('o_orderkey % 2 = 0')} AS has_availability",
+    "CAST(o_orderkey % 366 AS DOUBLE) AS availability_365",
+    "CAST((o_orderkey * 7) % 300 AS DOUBLE) AS number_of_reviews",
+    "CAST((o_orderkey * 3) % 60 AS DOUBLE) AS number_of_reviews_ltm",
+    "date_sub(CAST(o_orderdate AS DATE), CAST(o_orderkey % 400 AS INT)) AS first_review",
+    "CAST(o_orderdate AS DATE) AS last_review",
+    f"{_score(0)} AS review_scores_rating",
+    f"{_score(1)} AS review_scores_accuracy",
+    f"{_score(2)} AS review_scores_cleanliness",
+    f"{_score(3)} AS review_scores_checkin",
+    f"{_score(4)} AS review_scores_communication",
+    f"{_score(5)} AS review_scores_location",
+    f"{_score(6)} AS review_scores_value",
+    f"{_flag('o_orderkey % 3 = 0')} AS instant_bookable",
+    "CAST(1 + c_custkey % 10 AS DOUBLE) AS calculated_host_listings_count",
+    "CAST(o_orderkey % 997 AS DOUBLE) / 100 AS reviews_per_month",
+    "c_name AS host_name",
+    "date_add(DATE'2008-01-01', CAST(c_custkey % 4000 AS INT)) AS host_since",
+    "c_mktsegment AS host_location",
+    "CASE WHEN c_custkey % 3 = 0 THEN 'within an hour' WHEN c_custkey % 3 = 1 "
+    "THEN 'within a day' ELSE NULL END AS host_response_time",
+    "CASE WHEN c_custkey % 10 = 0 AND o_orderkey % 2 = 0 THEN '80%' ELSE '90%' END "
+    "AS host_response_rate",
+    "CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE '95%' END AS host_acceptance_rate",
+    "CASE WHEN c_custkey % 4 = 0 THEN 't' WHEN c_custkey % 4 = 3 THEN NULL ELSE 'f' END "
+    "AS host_is_superhost",
+    "n_name AS host_neighbourhood",
+    "CAST(c_custkey % 50 AS DOUBLE) AS host_total_listings_count",
+    "'t' AS host_has_profile_pic",
+    f"{_flag('c_custkey % 2 = 0')} AS host_identity_verified",
+]
 
 
 def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,126 +125,47 @@ def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     geo = n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey)
     df = (o.join(c, o.o_custkey == c.c_custkey)
           .join(F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey")))
-
-    k = F.col("o_orderkey")
-    ck = F.col("c_custkey")
-    status = F.col("o_orderstatus")
-    day = F.col("o_orderdate").cast("date")
-
-    def score(offset: int) -> Column:
-        return F.when(status == "P", F.lit(None).cast("double")).otherwise(
-            (F.lit(300) + (k + offset) % 201).cast("double") / 100)
-
-    price = (F.when(k % 37 == 0, F.lit("N/A"))
-             .when(k % 41 == 0, F.lit(None).cast("string"))
-             .when(k % 43 == 0, F.lit("$0.00"))
-             .otherwise(money_text(tenth_money(F.col("o_totalprice")))))
-    return df.select(
-        k.alias("id"),
-        F.col("o_custkey").alias("host_id"),
-        day.alias("last_scraped"),
-        F.concat(F.lit("Listing "), k.cast("string")).alias("name"),
-        F.when(k % 11 == 0, F.lit(None).cast("string")).otherwise(F.col("n_name"))
-        .alias("neighbourhood_cleansed"),
-        F.when(k % 121 == 0, F.lit(None).cast("string")).otherwise(F.col("r_name"))
-        .alias("neighbourhood"),
-        (F.lit(35) + F.col("n_nationkey") / 100).cast("double").alias("latitude"),
-        (F.lit(139) + F.col("n_nationkey") / 100).cast("double").alias("longitude"),
-        status.alias("property_type"),
-        F.col("o_orderpriority").alias("room_type"),
-        (F.lit(1) + k % 6).cast("double").alias("accommodates"),
-        ((k % 7) * 0.5).cast("double").alias("bathrooms"),
-        F.when(k % 2 == 0, F.lit("1 bath")).otherwise(F.lit("1.5 baths"))
-        .alias("bathrooms_text"),
-        ((k % 9) * 0.5).cast("double").alias("bedrooms"),
-        ((k % 7) * 0.5).cast("double").alias("beds"),
-        F.when(k % 2 == 0, F.lit('["Wifi", "Kitchen"]')).otherwise(F.lit('["Wifi"]'))
-        .alias("amenities"),
-        price.alias("price"),
-        (F.lit(1) + k % 30).cast("double").alias("minimum_nights"),
-        (F.lit(30) + k % 335).cast("double").alias("maximum_nights"),
-        _flag(k % 2 == 0).alias("has_availability"),
-        (k % 366).cast("double").alias("availability_365"),
-        ((k * 7) % 300).cast("double").alias("number_of_reviews"),
-        ((k * 3) % 60).cast("double").alias("number_of_reviews_ltm"),
-        F.date_sub(day, (k % 400).cast("int")).alias("first_review"),
-        day.alias("last_review"),
-        score(0).alias("review_scores_rating"),
-        score(1).alias("review_scores_accuracy"),
-        score(2).alias("review_scores_cleanliness"),
-        score(3).alias("review_scores_checkin"),
-        score(4).alias("review_scores_communication"),
-        score(5).alias("review_scores_location"),
-        score(6).alias("review_scores_value"),
-        _flag(k % 3 == 0).alias("instant_bookable"),
-        (F.lit(1) + ck % 10).cast("double").alias("calculated_host_listings_count"),
-        ((k % 997).cast("double") / 100).alias("reviews_per_month"),
-        F.col("c_name").alias("host_name"),
-        F.date_add(F.lit("2008-01-01").cast("date"), (ck % 4000).cast("int"))
-        .alias("host_since"),
-        F.col("c_mktsegment").alias("host_location"),
-        F.when(ck % 3 == 0, F.lit("within an hour")).when(ck % 3 == 1, F.lit("within a day"))
-        .otherwise(F.lit(None).cast("string")).alias("host_response_time"),
-        F.when((ck % 10 == 0) & (k % 2 == 0), F.lit("80%")).otherwise(F.lit("90%"))
-        .alias("host_response_rate"),
-        F.when(ck % 5 == 0, F.lit(None).cast("string")).otherwise(F.lit("95%"))
-        .alias("host_acceptance_rate"),
-        F.when(ck % 4 == 0, F.lit("t")).when(ck % 4 == 3, F.lit(None).cast("string"))
-        .otherwise(F.lit("f")).alias("host_is_superhost"),
-        F.col("n_name").alias("host_neighbourhood"),
-        (ck % 50).cast("double").alias("host_total_listings_count"),
-        F.lit("t").alias("host_has_profile_pic"),
-        _flag(ck % 2 == 0).alias("host_identity_verified"),
-    )
+    return df.selectExpr(*LISTING_EXPRS)
 
 
-def _calendar_rows(li: DataFrame, listing_id: Column, orphan: bool) -> DataFrame:
-    ln = F.col("l_linenumber")
-    price = F.when(ln == 7, F.lit(None).cast("string")).otherwise(
-        money_text(tenth_money(F.col("l_extendedprice"))))
-    adjusted = F.when(ln.isin(6, 7), F.lit(None).cast("string")).otherwise(
-        money_text(tenth_money(F.col("l_extendedprice"))))
-    available = (F.when(F.col("l_returnflag") == "N", F.lit("t"))
-                 .when((F.col("l_returnflag") == "A") & (F.col("l_linestatus") == "O")
-                       & (ln == 1), F.lit(None).cast("string"))
-                 .otherwise(F.lit("f")))
+def _calendar_exprs(listing_id: str, orphan: bool) -> list[str]:
+    money = money_text_sql("l_extendedprice")
+    available = ("CASE WHEN l_returnflag = 'N' THEN 't' WHEN l_returnflag = 'A' AND "
+                 "l_linestatus = 'O' AND l_linenumber = 1 THEN NULL ELSE 'f' END")
+    price = f"CASE WHEN l_linenumber = 7 THEN NULL ELSE {money} END"
     if orphan:
-        available = F.lit(None).cast("string")
-        price = F.lit(None).cast("string")
-    return li.select(
-        listing_id.alias("listing_id"),
-        F.col("l_shipdate").cast("date").alias("date"),
-        available.alias("available"),
-        price.alias("price"),
-        adjusted.alias("adjusted_price"),
-        F.col("l_quantity").cast("double").alias("minimum_nights"),
-        (F.col("l_quantity") + 30).cast("double").alias("maximum_nights"),
-    )
+        available = price = "CAST(NULL AS STRING)"
+    return [
+        f"{listing_id} AS listing_id",
+        "CAST(l_shipdate AS DATE) AS date",
+        f"{available} AS available",
+        f"{price} AS price",
+        f"CASE WHEN l_linenumber IN (6, 7) THEN NULL ELSE {money} END AS adjusted_price",
+        "CAST(l_quantity AS DOUBLE) AS minimum_nights",
+        "CAST(l_quantity + 30 AS DOUBLE) AS maximum_nights",
+    ]
 
 
 def raw_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One calendar day per line item, plus orphan days of unknown listings."""
     li = _table(spark, sf_dir, "lineitem").select(*LINEITEM_COLS)
-    known = _calendar_rows(li, F.col("l_orderkey"), orphan=False)
-    orphans = _calendar_rows(li.where(F.col("l_orderkey") % 500 == 0),
-                             F.lit(-1) - F.col("l_orderkey"), orphan=True)
+    known = li.selectExpr(*_calendar_exprs("l_orderkey", orphan=False))
+    orphans = (li.where("l_orderkey % 500 = 0")
+               .selectExpr(*_calendar_exprs("-1 - l_orderkey", orphan=True)))
     return known.unionByName(orphans)
 
 
 def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _table(spark, sf_dir, "events").select(*EVENTS_COLS)
-    eid = F.col("event_id")
-    day = (F.when(eid % 997 == 0, F.lit("2009-12-31").cast("date"))
-           .when(eid % 991 == 0, F.lit("2099-01-01").cast("date"))
-           .otherwise(F.date_add(F.col("ts").cast("date"), (eid % 720).cast("int"))))
-    reviewer = eid % 5000
-    return ev.select(
-        F.col("user_id").alias("listing_id"),
-        eid.alias("id"),
-        day.alias("date"),
-        reviewer.cast("long").alias("reviewer_id"),
-        F.concat(F.lit("User "), reviewer.cast("string")).alias("reviewer_name"),
-        F.col("props").alias("comments"),
+    return ev.selectExpr(
+        "user_id AS listing_id",
+        "event_id AS id",
+        "CASE WHEN event_id % 997 = 0 THEN DATE'2009-12-31' "
+        "WHEN event_id % 991 = 0 THEN DATE'2099-01-01' "
+        "ELSE date_add(CAST(ts AS DATE), CAST(event_id % 720 AS INT)) END AS date",
+        "CAST(event_id % 5000 AS BIGINT) AS reviewer_id",
+        "concat('User ', CAST(event_id % 5000 AS STRING)) AS reviewer_name",
+        "props AS comments",
     )
 
 
@@ -184,8 +173,7 @@ def raw_neighbourhoods(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = _table(spark, sf_dir, "nation").select("n_name", "n_regionkey")
     r = _table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     return (n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey)
-            .select(F.col("r_name").alias("neighbourhood_group"),
-                    F.col("n_name").alias("neighbourhood")))
+            .selectExpr("r_name AS neighbourhood_group", "n_name AS neighbourhood"))
 
 
 @dataclass
@@ -207,9 +195,8 @@ CALENDAR_BATCH1_BEFORE = "1999-01-01"
 
 
 def calendar_batches(raw_cal: DataFrame) -> list[DataFrame]:
-    first = raw_cal.where(F.col("date") < F.lit(CALENDAR_BATCH1_BEFORE).cast("date"))
-    return [first, raw_cal]
+    return [raw_cal.where(f"date < DATE'{CALENDAR_BATCH1_BEFORE}'"), raw_cal]
 
 
 def review_batches(raw_rev: DataFrame) -> list[DataFrame]:
-    return [raw_rev.where(F.col("id") % 2 == 0), raw_rev]
+    return [raw_rev.where("id % 2 = 0"), raw_rev]
