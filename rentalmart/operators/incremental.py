@@ -68,10 +68,14 @@ def append_new(spark: SparkSession, batch: DataFrame, target: str, keys: list[st
         to_write = batch.withColumn(partition_col, partition_expr)
 
     def write(df: DataFrame) -> None:
-        w = df.write.mode("append")
         if partition_col is not None:
-            w = w.partitionBy(partition_col)
-        w.parquet(target)
+            # Cluster rows by storage partition before writing: AQE then writes about one
+            # file per partition value, splitting a hot value into several files and
+            # coalescing small ones, instead of one file per (task, value).
+            df.hint("rebalance", partition_col).write.mode("append") \
+                .partitionBy(partition_col).parquet(target)
+        else:
+            df.write.mode("append").parquet(target)
 
     if existing is None:
         write(to_write)

@@ -17,6 +17,7 @@ from pyspark.sql import SparkSession
 # cluster already configured (spark-defaults, --conf) is kept.
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     # Call-site capture costs several driver<->JVM round trips per Column function.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.session.timeZone": "UTC",

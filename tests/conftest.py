@@ -1,0 +1,33 @@
+import os
+import sys
+
+import duckdb
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+
+SF_SMALL = "/root/testdata/sf0.001"
+TEST_TABLES = ["region", "nation", "customer", "orders", "lineitem", "events"]
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from rentalmart.session import get_session, shared_dir
+    s = get_session("local[*]", app="rentalmart-tests", shuffle_partitions=8)
+    shared_dir(s)  # uses spark.checkpoint.dir, or registers a private temp folder
+    yield s
+
+
+@pytest.fixture(scope="session")
+def duck():
+    con = duckdb.connect()
+    for t in TEST_TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
+    yield con
+    con.close()
+
+
+@pytest.fixture
+def scratch(tmp_path):
+    return str(tmp_path)
