@@ -1,0 +1,23 @@
+"""Streaming delivery of landed files into the incremental fact."""
+import datetime as dt
+
+from rentalmart.plans import facts, staging
+from rentalmart.sources.schemas import RAW_CALENDAR
+from rentalmart.streaming.delivery import deliver
+
+
+def test_available_now_runs_append_only_new_files(spark, scratch):
+    landing, target, ckpt = f"{scratch}/landing", f"{scratch}/fct", f"{scratch}/ckpt"
+    rows = [(1, dt.date(2024, 1, 1), "t", "$1.00", None, 1.0, 2.0),
+            (1, dt.date(2024, 1, 2), "f", "$2.00", None, 1.0, 2.0)]
+    spark.createDataFrame(rows[:1], RAW_CALENDAR).write.parquet(f"{landing}/b=0")
+    run = dict(options={"recursiveFileLookup": "true"})
+    deliver(spark, landing, RAW_CALENDAR, staging.stg_calendar, facts.fct_calendar, target,
+            ckpt, **run)
+    spark.createDataFrame(rows, RAW_CALENDAR).write.parquet(f"{landing}/b=1")
+    deliver(spark, landing, RAW_CALENDAR, staging.stg_calendar, facts.fct_calendar, target,
+            ckpt, **run)
+    deliver(spark, landing, RAW_CALENDAR, staging.stg_calendar, facts.fct_calendar, target,
+            ckpt, **run)  # nothing new landed: nothing appended
+    got = sorted(str(r.calendar_date) for r in facts.read_fct_calendar(spark, target).collect())
+    assert got == ["2024-01-01", "2024-01-02"]
