@@ -29,31 +29,37 @@ LINEITEM_COLS = ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice",
 EVENTS_COLS = ["event_id", "ts", "user_id", "props"]
 
 
-_READS: dict[tuple[int, str], DataFrame] = {}
+_READS: dict[tuple, DataFrame] = {}
 
 
-# Tables that play the role of large landed inputs (fact-like); the others are fixed-size
-# dimensions that are only ever broadcast.
-_LARGE = {"orders", "customer", "lineitem", "events"}
+# Tables that play the role of large landed inputs (fact-like), with their unique key; the
+# others are fixed-size dimensions that are only ever broadcast.
+_LARGE = {"orders": ["o_orderkey"], "customer": ["c_custkey"],
+          "lineitem": ["l_orderkey", "l_linenumber"], "events": ["event_id"]}
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def _table(spark: SparkSession, sf_dir: str, name: str,
+           cols: list[str] | None = None) -> DataFrame:
     """The test table as a lazy scan; the file listing is done once per session.
 
     Each test table is a single Parquet file with a single row group, so its scan is one
     task. A large input that yields fewer scan partitions than the session's parallelism
-    is rebalanced once (round-robin) before any per-row work, as the CSV loader does before
-    writing landed files to Parquet. Inputs that already arrive in many files keep their
-    scan partitioning untouched.
+    is spread once over the cores before any per-row work, as the CSV loader does before
+    writing landed files to Parquet. Hashing on the table's unique key spreads rows evenly
+    (a unique key cannot be hot) and is deterministic on task retries without the local
+    sort a round-robin repartition needs. Inputs that already arrive in many files keep
+    their scan partitioning untouched.
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
+    key = (id(spark), path, tuple(cols or ()))
     if key not in _READS:
         df = spark.read.parquet(path)
+        if cols:
+            df = df.select(*cols)  # prune before anything moves
         if name in _LARGE:
             cores = spark.sparkContext.defaultParallelism
-            if df._jdf.rdd().getNumPartitions() < cores:
-                df = df.repartition(cores)
+            if df.rdd.getNumPartitions() < cores:
+                df = df.repartition(cores, *_LARGE[name])
         _READS[key] = df
     return _READS[key]
 
@@ -134,8 +140,8 @@ LISTING_EXPRS = [
 
 
 def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = _table(spark, sf_dir, "orders").select(*ORDERS_COLS)
-    c = _table(spark, sf_dir, "customer").select(*CUSTOMER_COLS)
+    o = _table(spark, sf_dir, "orders", ORDERS_COLS)
+    c = _table(spark, sf_dir, "customer", CUSTOMER_COLS)
     n = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     r = _table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     # nation and region are fixed-size (25 and 5 rows): broadcasting them is bounded.
@@ -165,7 +171,7 @@ def _calendar_exprs(listing_id: str, orphan: bool) -> list[str]:
 
 def raw_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One calendar day per line item, plus orphan days of unknown listings."""
-    li = _table(spark, sf_dir, "lineitem").select(*LINEITEM_COLS)
+    li = _table(spark, sf_dir, "lineitem", LINEITEM_COLS)
     known = li.selectExpr(*_calendar_exprs("l_orderkey", orphan=False))
     orphans = (li.where("l_orderkey % 500 = 0")
                .selectExpr(*_calendar_exprs("-1 - l_orderkey", orphan=True)))
@@ -173,7 +179,7 @@ def raw_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = _table(spark, sf_dir, "events").select(*EVENTS_COLS)
+    ev = _table(spark, sf_dir, "events", EVENTS_COLS)
     return ev.selectExpr(
         "user_id AS listing_id",
         "event_id AS id",
