@@ -39,10 +39,17 @@ class AppendResult:
     mode: str  # "full" on the first run, "append" afterwards
 
 
-def read_target(spark: SparkSession, path: str) -> DataFrame | None:
-    """The target table, or None when it does not exist yet."""
+def is_table_name(target: str) -> bool:
+    """A catalog table (``db.name`` / ``name``) rather than a storage path."""
+    return "/" not in target and ":" not in target
+
+
+def read_target(spark: SparkSession, target: str) -> DataFrame | None:
+    """The target (catalog table or Parquet path), or None when it does not exist yet."""
+    if is_table_name(target):
+        return spark.table(target) if spark.catalog.tableExists(target) else None
     try:
-        return spark.read.parquet(path)
+        return spark.read.parquet(target)
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
             return None
@@ -56,11 +63,12 @@ def _shape(df: DataFrame, skip: str | None) -> list[tuple[str, str]]:
 def append_new(spark: SparkSession, batch: DataFrame, target: str, keys: list[str],
                partition_col: str | None = None, partition_expr: Column | None = None
                ) -> AppendResult:
-    """Append the rows of ``batch`` whose ``keys`` are not in the Parquet table ``target``.
+    """Append the rows of ``batch`` whose ``keys`` are not in ``target``.
 
-    ``partition_col``/``partition_expr`` name and compute the storage partition (a pure
-    function of the keys, e.g. ``trunc(date, 'month')``). The partition column lives only in
-    the directory layout; ``read_table`` drops it again.
+    ``target`` is a catalog table name (``db.table``; existence via the catalog, writes via
+    ``saveAsTable``) or a Parquet path. ``partition_col``/``partition_expr`` name and
+    compute the storage partition (a pure function of the keys, e.g.
+    ``trunc(date, 'month')``); ``read_table`` drops that column again.
     """
     existing = read_target(spark, target)
     to_write = batch
@@ -72,10 +80,14 @@ def append_new(spark: SparkSession, batch: DataFrame, target: str, keys: list[st
             # Cluster rows by storage partition before writing: AQE then writes about one
             # file per partition value, splitting a hot value into several files and
             # coalescing small ones, instead of one file per (task, value).
-            df.hint("rebalance", partition_col).write.mode("append") \
-                .partitionBy(partition_col).parquet(target)
+            df = df.hint("rebalance", partition_col)
+        w = df.write.mode("append").format("parquet")
+        if partition_col is not None:
+            w = w.partitionBy(partition_col)
+        if is_table_name(target):
+            w.saveAsTable(target)
         else:
-            df.write.mode("append").parquet(target)
+            w.save(target)
 
     if existing is None:
         write(to_write)
@@ -102,6 +114,7 @@ def append_new(spark: SparkSession, batch: DataFrame, target: str, keys: list[st
     return AppendResult(target, "append")
 
 
-def read_table(spark: SparkSession, path: str, partition_col: str | None = None) -> DataFrame:
-    df = spark.read.parquet(path)
+def read_table(spark: SparkSession, target: str,
+               partition_col: str | None = None) -> DataFrame:
+    df = spark.table(target) if is_table_name(target) else spark.read.parquet(target)
     return df.drop(partition_col) if partition_col else df

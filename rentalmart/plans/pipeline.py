@@ -19,6 +19,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rentalmart.operators.incremental import is_table_name
 from rentalmart.plans import facts, marts, quality, staging
 from rentalmart.sources.adapters import RawInputs
 
@@ -29,29 +30,49 @@ class PipelineFailed(RuntimeError):
 
 @dataclass
 class Warehouse:
+    """Where marts go: Parquet folders under ``root``, or - with ``database`` - catalog
+    tables ``<database>.<name>`` whose database is located under ``root``."""
     root: str
+    database: str | None = None
     steps: list[tuple[str, str, str]] = field(default_factory=list)
 
     def path(self, name: str) -> str:
+        if self.database:
+            return f"{self.database}.{name}"
         return f"{self.root.rstrip('/')}/{name}"
 
     def log(self, step: str, status: str, detail: str = "") -> None:
         self.steps.append((step, status, detail))
 
 
-def write_table(spark: SparkSession, df: DataFrame, path: str,
+def ensure_database(spark: SparkSession, wh: Warehouse) -> None:
+    if wh.database:
+        location = f"{wh.root.rstrip('/')}/{wh.database}.db"
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {wh.database} LOCATION '{location}'")
+
+
+def write_table(spark: SparkSession, df: DataFrame, target: str,
                 sort_by: list[str] | None = None) -> DataFrame:
-    """Full refresh of a mart table; returns the written table for downstream reads."""
+    """Full refresh of a mart (drop + create as select); returns the written table."""
     if sort_by:
         df = df.sortWithinPartitions(*sort_by)  # min/max stats per file prune later scans
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    w = df.write.mode("overwrite").format("parquet")
+    if is_table_name(target):
+        w.saveAsTable(target)
+        return spark.table(target)
+    w.save(target)
+    return spark.read.parquet(target)
 
 
 def build_models(spark: SparkSession, raw: RawInputs, wh: Warehouse) -> dict[str, DataFrame]:
     stg_l = staging.stg_listings(raw.listings)
     stg_r = staging.stg_reviews(raw.reviews)
     stg_c = staging.stg_calendar(raw.calendar)
+    if wh.database:  # staging models are views, as in the reference
+        stg_l.createOrReplaceTempView("stg_listings")
+        stg_r.createOrReplaceTempView("stg_reviews")
+        stg_c.createOrReplaceTempView("stg_calendar")
+    ensure_database(spark, wh)
     out: dict[str, DataFrame] = {"raw_listings": raw.listings, "raw_reviews": raw.reviews,
                                  "raw_calendar": raw.calendar,
                                  "raw_neighbourhoods": raw.neighbourhoods,
@@ -108,9 +129,13 @@ def run_tests(models: dict[str, DataFrame], as_of, wh: Warehouse) -> bool:
 
 
 def run_pipeline(spark: SparkSession, raw: RawInputs, warehouse: str, as_of,
-                 raise_on_failure: bool = True) -> DataFrame:
-    """Build every model, run the tests, then the quality gate. Returns the step log."""
-    wh = Warehouse(warehouse)
+                 raise_on_failure: bool = True, database: str | None = None) -> DataFrame:
+    """Build every model, run the tests, then the quality gate. Returns the step log.
+
+    ``database``: write the marts as catalog tables of that database (located under
+    ``warehouse``) instead of plain Parquet folders.
+    """
+    wh = Warehouse(warehouse, database)
     models = build_models(spark, raw, wh)
     tests_ok = run_tests(models, as_of, wh)
     if not tests_ok and raise_on_failure:

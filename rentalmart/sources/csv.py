@@ -59,13 +59,17 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def load_raw(spark: SparkSession, landing: dict[str, str], out_dir: str,
-             partitions: int | None = None) -> DataFrame:
-    """Load every landed file to ``<out_dir>/<table>`` as Parquet (overwrite).
+             partitions: int | None = None, database: str | None = None) -> DataFrame:
+    """Load every landed file to ``<out_dir>/<table>`` as Parquet (drop + create).
 
-    ``landing`` maps table name -> CSV path. A missing file is skipped and reported, as in
-    the reference. Returns the load report: table, rows, cols, skipped.
+    ``landing`` maps table name -> CSV path. With ``database`` the tables are catalog tables
+    ``<database>.<table>`` (read later with ``spark.table``). A missing file is skipped and
+    reported, as in the reference. Returns the load report: table, rows, cols, skipped.
     """
     report: list[LoadedTable] = []
+    if database:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} "
+                  f"LOCATION '{out_dir.rstrip('/')}/{database}.db'")
     for table, (_, schema) in RAW_TABLES.items():
         path = landing.get(table)
         if path is None or not _exists(spark, path):
@@ -73,13 +77,21 @@ def load_raw(spark: SparkSession, landing: dict[str, str], out_dir: str,
             continue
         df = read_csv(spark, path, schema)
         n = partitions or spark.sparkContext.defaultParallelism
-        df.repartition(n).write.mode("overwrite").parquet(f"{out_dir}/{table}")
-        loaded = spark.read.parquet(f"{out_dir}/{table}")
+        w = df.repartition(n).write.mode("overwrite").format("parquet")
+        if database:
+            w.saveAsTable(f"{database}.{table}")
+            loaded = spark.table(f"{database}.{table}")
+        else:
+            w.save(f"{out_dir}/{table}")
+            loaded = spark.read.parquet(f"{out_dir}/{table}")
         report.append(LoadedTable(table, loaded.count(), len(loaded.columns), False))
     return spark.createDataFrame(
         [(r.table, r.rows, r.cols, r.skipped) for r in report],
         "table string, rows long, cols int, skipped boolean")
 
 
-def read_raw(spark: SparkSession, out_dir: str, table: str) -> DataFrame:
+def read_raw(spark: SparkSession, out_dir: str, table: str,
+             database: str | None = None) -> DataFrame:
+    if database:
+        return spark.table(f"{database}.{table}")
     return spark.read.parquet(f"{out_dir}/{table}")

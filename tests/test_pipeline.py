@@ -21,3 +21,29 @@ def test_pipeline_gate_and_idempotent_rerun(spark, scratch):
     assert steps["raw_listings.id.unique"].status == "PASS"
     assert steps["quality: Total reviews"].status == "PASS"
     assert spark.read.parquet(f"{wh}/pricing_analysis").count() > 0
+
+
+def test_pipeline_with_catalog_tables(spark, scratch):
+    """Marts as catalog tables of one database; staging as temp views; a rerun appends
+    nothing to the fact tables (existence through the catalog)."""
+    from conftest import SF_SMALL
+    raw = adapters.raw_inputs(spark, SF_SMALL)
+    db = "marts_" + scratch.rstrip("/").split("/")[-1].replace("-", "_")
+    run_pipeline(spark, raw, scratch, "2025-09-30", raise_on_failure=False, database=db)
+    n1 = spark.table(f"{db}.fct_calendar").count()
+    run_pipeline(spark, raw, scratch, "2025-09-30", raise_on_failure=False, database=db)
+    assert spark.table(f"{db}.fct_calendar").count() == n1
+    assert spark.catalog.tableExists(f"{db}.pricing_analysis")
+    assert spark.table("stg_listings").count() == raw.listings.count()
+    spark.sql(f"DROP DATABASE {db} CASCADE")
+
+
+def test_load_raw_into_catalog(spark, scratch):
+    from rentalmart.sources import csv
+    path = f"{scratch}/neighbourhoods.csv"
+    with open(path, "w") as f:
+        f.write("neighbourhood_group,neighbourhood\n,Shibuya\n")
+    db = "raw_" + scratch.rstrip("/").split("/")[-1].replace("-", "_")
+    csv.load_raw(spark, {"raw_neighbourhoods": path}, scratch, database=db)
+    assert csv.read_raw(spark, scratch, "raw_neighbourhoods", db).count() == 1
+    spark.sql(f"DROP DATABASE {db} CASCADE")
