@@ -207,25 +207,41 @@ def quartiles_sql(price: str = "price", qs=QUARTILES) -> str:
             f"v -> floor(v) / 100.0D)")
 
 
-def pricing_analysis(listings: DataFrame, min_n: int = MIN_GROUP_SIZE) -> DataFrame:
+def pricing_analysis(listings: DataFrame, min_n: int = MIN_GROUP_SIZE,
+                     quantiles: str = "percentile") -> DataFrame:
     """J-14: price statistics per (neighbourhood, room_type) with at least ``min_n``
-    positively priced listings, sorted by the two keys (NULL keys last)."""
-    grouped = (listings.where("price > 0")
-               .groupBy("neighbourhood", "room_type")
-               .agg(*_x("count(1) AS num_listings",
-                        f"{round_half_sql(avg_double_sql('price', 2), 2)} AS avg_price",
-                        "min(price) AS min_price",
-                        f"{quartiles_sql('price')} AS q",
-                        "max(price) AS max_price",
-                        f"{round_half_sql(avg_double_sql('review_scores_rating', 1), 1)} "
-                        "AS avg_review_score",
-                        f"{round_half_sql('avg(occupancy_rate_pct)', 1)} AS avg_occupancy_pct",
-                        f"{round_half_sql(avg_double_sql('reviews_per_month', 2), 2)} "
-                        "AS avg_reviews_per_month",
-                        f"{round_half_sql(avg_double_sql('minimum_nights'), 0)} "
-                        "AS avg_min_nights"))
-               .where(f"num_listings >= {int(min_n)}"))
-    return (grouped.selectExpr(
+    positively priced listings, sorted by the two keys (NULL keys last).
+
+    ``quantiles="percentile"`` (default) uses the built-in exact ``percentile`` (buffer:
+    distinct prices per group); ``"bucketed"`` uses ``operators.quantiles`` (same values,
+    bounded memory per task however hot a segment is).
+    """
+    keys = ["neighbourhood", "room_type"]
+    priced = listings.where("price > 0")
+    aggs = ["count(1) AS num_listings",
+            f"{round_half_sql(avg_double_sql('price', 2), 2)} AS avg_price",
+            "min(price) AS min_price",
+            "max(price) AS max_price",
+            f"{round_half_sql(avg_double_sql('review_scores_rating', 1), 1)} "
+            "AS avg_review_score",
+            f"{round_half_sql('avg(occupancy_rate_pct)', 1)} AS avg_occupancy_pct",
+            f"{round_half_sql(avg_double_sql('reviews_per_month', 2), 2)} "
+            "AS avg_reviews_per_month",
+            f"{round_half_sql(avg_double_sql('minimum_nights'), 0)} AS avg_min_nights"]
+    if quantiles == "percentile":
+        grouped = priced.groupBy(*keys).agg(*_x(*aggs, f"{quartiles_sql('price')} AS q"))
+    elif quantiles == "bucketed":
+        from rentalmart.operators.quantiles import exact_quantiles
+        cents = priced.selectExpr(*keys, "CAST(price * 100 AS BIGINT) AS cents")
+        qdf = exact_quantiles(cents, keys, "cents", list(QUARTILES), out="_qc") \
+            .selectExpr("neighbourhood AS _n", "room_type AS _r",
+                        "transform(_qc, v -> floor(v) / 100.0D) AS q")
+        grouped = (priced.groupBy(*keys).agg(*_x(*aggs))
+                   .join(qdf, F.expr("neighbourhood <=> _n AND room_type <=> _r"), "left"))
+    else:
+        raise ValueError(f"unknown quantiles method {quantiles!r}")
+    return (grouped.where(f"num_listings >= {int(min_n)}")
+            .selectExpr(
                 "neighbourhood", "room_type", "num_listings", "avg_price",
                 "round(min_price, 2) AS min_price",
                 "q[0] AS p25_price", "q[1] AS median_price", "q[2] AS p75_price",

@@ -145,6 +145,12 @@ def q_pricing_analysis(spark, sf_dir):
     return marts.pricing_analysis(_dim_listing(spark, sf_dir))
 
 
+@register("pricing_analysis_bucketed")
+def q_pricing_analysis_bucketed(spark, sf_dir):
+    """J-14 with the skew-bounded exact quantile operator (same result)."""
+    return marts.pricing_analysis(_dim_listing(spark, sf_dir), quantiles="bucketed")
+
+
 # ---------------------------------------------------------------- J-11, J-12: incremental
 # Fixed snapshot date of the time-dependent checks, so reruns and the oracle agree.
 AS_OF = "2025-09-30"

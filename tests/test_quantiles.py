@@ -1,0 +1,38 @@
+"""Exact bucketed quantiles equal the built-in percentile, including hot and NULL groups."""
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from rentalmart.operators.quantiles import exact_quantiles
+
+QS = [0.0, 0.25, 0.5, 0.75, 0.9, 1.0]
+
+
+@pytest.fixture(scope="module")
+def data(spark):
+    rnd = random.Random(7)
+    rows = []
+    for i in range(3000):
+        g = "hot" if i % 3 == 0 else (None if i % 11 == 0 else f"g{i % 17}")
+        rows.append((g, i % 2, rnd.randint(-5_000_000, 50_000_000_000)))
+    rows += [("tiny", 0, 42)]
+    return spark.createDataFrame(rows, "g string, h int, v long")
+
+
+def _builtin(df, keys):
+    return {tuple(r[k] for k in keys): [round(x, 6) for x in r.q] for r in
+            df.groupBy(*keys).agg(F.percentile("v", QS).alias("q")).collect()}
+
+
+@pytest.mark.parametrize("keys,bits", [(["g"], 12), (["g", "h"], 8), ([], 12)])
+def test_equals_builtin_percentile(spark, data, keys, bits):
+    got = {tuple(r[k] for k in keys): [round(x, 6) for x in r.quantiles]
+           for r in exact_quantiles(data, keys, "v", QS, fanout_bits=bits).collect()}
+    assert got == _builtin(data, keys)
+
+
+def test_no_window_over_a_whole_group(spark, data):
+    plan = exact_quantiles(data, ["g"], "v", QS)._jdf.queryExecution().optimizedPlan() \
+        .toString()
+    assert "CartesianProduct" not in plan
