@@ -51,6 +51,17 @@ def avg_double_sql(e: str, scale: int = 0) -> str:
     return f"(CAST(sum({e}) * {p} AS DOUBLE) / CAST(count({e}) * {p} AS DOUBLE))"
 
 
+def avg_rounded_sql(e: str, scale: int) -> str:
+    """AVG of a DOUBLE column whose values are already rounded to ``scale`` decimals
+    (a mart's rounded averages and percentages).
+
+    Each value is read back as the decimal it was rounded to and summed exactly, so the
+    result does not depend on the order in which tasks add doubles; a true ``.5`` tie
+    then rounds the way the reference's engine rounds it.
+    """
+    return avg_double_sql(f"CAST({e} AS DECIMAL(24,{scale}))", scale)
+
+
 def to_int_sql(e: str) -> str:
     """DOUBLE -> INT with half-to-even rounding (2.5 -> 2, 1.5 -> 2)."""
     return f"CAST(rint(CAST({e} AS DOUBLE)) AS INT)"

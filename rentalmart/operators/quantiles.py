@@ -43,9 +43,14 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, qs: list[float],
     if not keys:  # one global group: a constant key keeps every join an equi-join
         return exact_quantiles(df.withColumn("_all", F.lit(0)), ["_all"], value, qs, out,
                                fanout_bits).drop("_all")
+    from rentalmart.session import shared_dir
+    shared_dir(df.sparkSession)  # checkpoints go to the cluster's shared folder
     v = F.col(value).cast("long")
+    # Every level reads the counts again: materialise them once (reliable checkpoint, so a
+    # lost executor does not send the levels back to the source), and cut each level's
+    # small rank table too, so the plan does not grow with the number of levels.
     freq = (df.where(v.isNotNull()).groupBy(*keys, v.alias("_v"))
-            .agg(F.count(F.lit(1)).alias("_c")))
+            .agg(F.count(F.lit(1)).alias("_c"))).checkpoint()
     lo_hi = freq.agg(F.min("_v"), F.max("_v")).first()  # one row: the value range
     if lo_hi is None or lo_hi[0] is None:
         return freq.select(*keys, F.array().cast("array<double>").alias(out)).limit(0)
@@ -88,7 +93,7 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, qs: list[float],
                         & (F.col("_rank") < F.col("_offset") + F.col("_before") + F.col("_cnt")))
                .select(*keys, "_qi", "_side", "_pos", "_rank",
                        (F.col("_offset") + F.col("_before")).alias("_offset"),
-                       F.col("_b").alias("_prefix")))
+                       F.col("_b").alias("_prefix"))).checkpoint()
         prev = s
 
     stats = cur.groupBy(*keys, "_qi").agg(

@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 
 from rentalmart.functions.bands import (DEFAULT_BANDS, Bands, host_rating_tier_sql,
                                         host_tier_sql, price_tier_sql, rating_category_sql)
-from rentalmart.functions.numeric import (avg_double_sql, count_not_true_sql,
-                                          count_true_sql, pct_sql, round_half_sql)
+from rentalmart.functions.numeric import (avg_double_sql, avg_rounded_sql,
+                                          count_not_true_sql, count_true_sql, pct_sql,
+                                          round_half_sql)
 from rentalmart.plans.staging import STG_LISTINGS_COLUMNS
 
 HOST_KEYS = ["host_id", "host_name", "host_since", "host_location", "host_response_time",
@@ -224,7 +225,7 @@ def pricing_analysis(listings: DataFrame, min_n: int = MIN_GROUP_SIZE,
             "max(price) AS max_price",
             f"{round_half_sql(avg_double_sql('review_scores_rating', 1), 1)} "
             "AS avg_review_score",
-            f"{round_half_sql('avg(occupancy_rate_pct)', 1)} AS avg_occupancy_pct",
+            f"{round_half_sql(avg_rounded_sql('occupancy_rate_pct', 1), 1)} AS avg_occupancy_pct",
             f"{round_half_sql(avg_double_sql('reviews_per_month', 2), 2)} "
             "AS avg_reviews_per_month",
             f"{round_half_sql(avg_double_sql('minimum_nights'), 0)} AS avg_min_nights"]

@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rentalmart.functions.bands import host_type_sql
-from rentalmart.functions.numeric import avg_double_sql, ratio_sql, round_half_sql
+from rentalmart.functions.numeric import (avg_double_sql, avg_rounded_sql, ratio_sql,
+                                          round_half_sql)
 
 PRICE_CAP = 100000
 TOP_SEGMENTS = 50
@@ -37,7 +38,7 @@ def market_summary(dim_listing: DataFrame) -> DataFrame:
         "count(DISTINCT host_id) AS total_hosts",
         _r(avg_double_sql("price", 2), 0, "avg_price"),
         _r(avg_double_sql("review_scores_rating", 1), 1, "avg_rating"),
-        _r("avg(occupancy_rate_pct)", 1, "avg_occupancy")))
+        _r(avg_rounded_sql("occupancy_rate_pct", 1), 1, "avg_occupancy")))
 
 
 def listings_per_host(dim_listing: DataFrame) -> DataFrame:
@@ -90,8 +91,8 @@ def occupancy_trend(monthly: DataFrame) -> DataFrame:
     """J-20: average occupancy and price per month and room type (priced months only)."""
     return (monthly.where("avg_price IS NOT NULL")
             .groupBy("month", "room_type")
-            .agg(*_x(_r("avg(occupancy_rate_pct)", 1, "avg_occupancy"),
-                     _r("avg(avg_price)", 0, "avg_price")))
+            .agg(*_x(_r(avg_rounded_sql("occupancy_rate_pct", 1), 1, "avg_occupancy"),
+                     _r(avg_rounded_sql("avg_price", 2), 0, "avg_price")))
             .orderBy(F.asc_nulls_last("month"), F.asc_nulls_last("room_type")))
 
 
@@ -103,8 +104,8 @@ def hosts_by_tier(dim_host: DataFrame) -> DataFrame:
 def superhost_compare(dim_host: DataFrame) -> DataFrame:
     """J-22: superhost vs regular (a NULL flag counts as regular); averages over hosts."""
     return (dim_host.groupBy(F.expr(f"{host_type_sql('host_is_superhost')} AS host_type"))
-            .agg(*_x(_r("avg(avg_listing_price)", 0, "avg_price"),
-                     _r("avg(avg_review_score)", 1, "avg_rating"),
+            .agg(*_x(_r(avg_rounded_sql("avg_listing_price", 2), 0, "avg_price"),
+                     _r(avg_rounded_sql("avg_review_score", 1), 1, "avg_rating"),
                      _r(avg_double_sql("total_reviews_received"), 0, "avg_reviews"))))
 
 
@@ -131,7 +132,7 @@ def room_breakdown(dim_listing: DataFrame) -> DataFrame:
             .agg(*_x("count(1) AS n",
                      _r(avg_double_sql("price", 2), 0, "price"),
                      _r(avg_double_sql("review_scores_rating", 1), 1, "rating"),
-                     _r("avg(occupancy_rate_pct)", 1, "occ"),
+                     _r(avg_rounded_sql("occupancy_rate_pct", 1), 1, "occ"),
                      _r(avg_double_sql("minimum_nights"), 0, "min_nights")))
             .orderBy(F.desc_nulls_last("price"), F.asc_nulls_last("room_type")))
 
@@ -155,8 +156,8 @@ def neighbourhood_gap(dim_listing: DataFrame, n: int = GAP_N) -> DataFrame:
 def quarterly_occupancy(monthly: DataFrame) -> DataFrame:
     """J-27: average occupancy and price per quarter (no NULL-price filter)."""
     return (monthly.groupBy(F.expr("trunc(month, 'quarter') AS q"))
-            .agg(*_x(_r("avg(occupancy_rate_pct)", 1, "occ"),
-                     _r("avg(avg_price)", 0, "price")))
+            .agg(*_x(_r(avg_rounded_sql("occupancy_rate_pct", 1), 1, "occ"),
+                     _r(avg_rounded_sql("avg_price", 2), 0, "price")))
             .orderBy(F.asc_nulls_last("q")))
 
 
@@ -164,10 +165,10 @@ def superhost_profile(dim_host: DataFrame) -> DataFrame:
     """J-28: host rows, price, rating, reviews and reviews per month by host type."""
     return (dim_host.groupBy(F.expr(f"{host_type_sql('host_is_superhost')} AS type"))
             .agg(*_x("count(1) AS n",
-                     _r("avg(avg_listing_price)", 0, "price"),
-                     _r("avg(avg_review_score)", 1, "rating"),
+                     _r(avg_rounded_sql("avg_listing_price", 2), 0, "price"),
+                     _r(avg_rounded_sql("avg_review_score", 1), 1, "rating"),
                      _r(avg_double_sql("total_reviews_received"), 0, "reviews"),
-                     _r("avg(avg_reviews_per_month)", 2, "rvpm"))))
+                     _r(avg_rounded_sql("avg_reviews_per_month", 2), 2, "rvpm"))))
 
 
 def superhost_premium(profile: DataFrame) -> DataFrame:
