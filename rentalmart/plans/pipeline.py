@@ -128,10 +128,12 @@ def run_tests(models: dict[str, DataFrame], as_of, wh: Warehouse) -> bool:
     return ok
 
 
-def run_pipeline(spark: SparkSession, raw: RawInputs, warehouse: str, as_of,
+def run_pipeline(spark: SparkSession, raw: RawInputs, warehouse: str, as_of=None,
                  raise_on_failure: bool = True, database: str | None = None) -> DataFrame:
     """Build every model, run the tests, then the quality gate. Returns the step log.
 
+    ``as_of``: the date the review-date test compares with (default: CURRENT_DATE).
+
     ``database``: write the marts as catalog tables of that database (located under
     ``warehouse``) instead of plain Parquet folders.
     """

@@ -3,7 +3,7 @@
 A test returns its violations as a DataFrame (no rows = pass), like the reference's test
 queries. All checks of one table run as one aggregate pass; uniqueness is a grouped count
 (combined map-side, so a hot value costs one partial row per task). Time-dependent checks
-take ``as_of`` instead of reading the clock, so reruns are reproducible.
+take ``as_of`` (a fixed date makes reruns reproducible; None means CURRENT_DATE).
 
 Fixed values (defaults that must equal the reference's):
   source freshness warn / error days: listings 180 / 365, reviews 90 / 180,
@@ -13,9 +13,7 @@ Fixed values (defaults that must equal the reference's):
 
 from __future__ import annotations
 
-import datetime as dt
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 EARLIEST_REVIEW = "2010-01-01"
@@ -47,7 +45,8 @@ UNIQUE_TESTS = {  # model -> columns declared unique
 
 
 def _lit_date(d) -> Column:
-    return F.lit(str(d)).cast("date")
+    """A fixed snapshot date, or the session's CURRENT_DATE when ``d`` is None."""
+    return F.current_date() if d is None else F.lit(str(d)).cast("date")
 
 
 def not_null(df: DataFrame, cols: list[str], model: str = "") -> DataFrame:
@@ -80,8 +79,8 @@ def non_positive_price(dim_listing: DataFrame) -> DataFrame:
     return dim_listing.where(F.col("price") <= 0).select("listing_id", "price")
 
 
-def bad_review_dates(fct_reviews: DataFrame, as_of) -> DataFrame:
-    """J-33: reviews dated after ``as_of`` or before 2010-01-01."""
+def bad_review_dates(fct_reviews: DataFrame, as_of=None) -> DataFrame:
+    """J-33: reviews dated after ``as_of`` (default: today) or before 2010-01-01."""
     d = F.col("review_date")
     return (fct_reviews.where((d > _lit_date(as_of)) | (d < _lit_date(EARLIEST_REVIEW)))
             .select("review_id", "review_date"))
@@ -141,7 +140,7 @@ def quality_probe(dim_listing: DataFrame, fct_reviews: DataFrame, fct_calendar:
     return out
 
 
-def source_freshness(df: DataFrame, col: str, warn_days: int, error_days: int, as_of,
+def source_freshness(df: DataFrame, col: str, warn_days: int, error_days: int, as_of=None,
                      source: str = "") -> DataFrame:
     """J-35: pass / warn / error by the age of the newest ``col`` value.
 
@@ -157,7 +156,7 @@ def source_freshness(df: DataFrame, col: str, warn_days: int, error_days: int, a
         .alias("status"))
 
 
-def mart_freshness(df: DataFrame, col: str, as_of, name: str = "",
+def mart_freshness(df: DataFrame, col: str, as_of=None, name: str = "",
                    limit_days: int = MART_STALE_DAYS) -> DataFrame:
     """J-36: OK / STALE by days since the newest ``col`` value (999 when empty)."""
     newest = df.agg(F.max(F.col(col)).alias("max_date"))
@@ -182,14 +181,8 @@ def run_unique_tests(models: dict[str, DataFrame]) -> DataFrame:
                       for m, cols in UNIQUE_TESTS.items() for c in cols])
 
 
-def all_source_freshness(raw: dict[str, DataFrame], as_of) -> DataFrame:
+def all_source_freshness(raw: dict[str, DataFrame], as_of=None) -> DataFrame:
     return union_all([source_freshness(raw[s], col, warn, err, as_of, s)
                       for s, (col, warn, err) in SOURCE_FRESHNESS.items()])
 
 
-def today() -> dt.date:
-    return dt.date.today()
-
-
-def spark_today(spark: SparkSession) -> dt.date:
-    return spark.range(1).select(F.current_date()).first()[0]

@@ -37,3 +37,20 @@ def test_load_raw_reports_and_skips_missing(spark, scratch):
     assert (rep["raw_neighbourhoods"].rows, rep["raw_neighbourhoods"].cols) == (2, 2)
     assert rep["raw_listings"].skipped and rep["raw_reviews"].skipped
     assert spark.read.parquet(f"{scratch}/raw/raw_neighbourhoods").count() == 2
+
+
+def test_gzip_csv_is_read_directly(spark, scratch):
+    import gzip
+    path = f"{scratch}/neighbourhoods.csv.gz"
+    with gzip.open(path, "wt") as f:
+        f.write("neighbourhood_group,neighbourhood\n,Shibuya\n,Minato\n")
+    assert csv.read_csv(spark, path, RAW_NEIGHBOURHOODS).count() == 2
+
+
+def test_default_as_of_is_current_date(spark):
+    import datetime as dt
+
+    from rentalmart.plans import quality
+    df = spark.createDataFrame([(1, dt.date.today() + dt.timedelta(days=3)),
+                                (2, dt.date(2015, 1, 1))], "review_id long, review_date date")
+    assert [r.review_id for r in quality.bad_review_dates(df).collect()] == [1]
