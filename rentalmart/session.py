@@ -7,7 +7,6 @@ are not already set, so a cluster's own configuration always wins.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -78,8 +77,3 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     """A new, unused location under the shared folder for one table of one run."""
     base = shared_dir(spark).rstrip("/")
     return f"{base}/rentalmart/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_scratch(prefix: str = "rentalmart-") -> str:
-    """A private scratch folder for tests on one machine (never used by jobs)."""
-    return tempfile.mkdtemp(prefix=prefix, dir=os.environ.get("TMPDIR", "/tmp"))

@@ -30,3 +30,41 @@ def test_pricing_plan_eliminates_unused_review_join(spark):
     plan = QUERIES["pricing_analysis"](spark, SF_SMALL)._jdf.queryExecution() \
         .executedPlan().toString()
     assert "events" not in plan  # review stats are not used by the mart
+
+
+def test_monthly_occupancy_aggregates_days_before_the_join(spark):
+    """The calendar reaches the join as (listing, month) partial sums, never as raw days."""
+    from conftest import SF_SMALL
+    plan = QUERIES["monthly_occupancy"](spark, SF_SMALL)._jdf.queryExecution() \
+        .optimizedPlan().toString()
+    join_at = plan.index("Join Inner")
+    below = plan[join_at:]
+    # the calendar branch below the join is an Aggregate keyed by listing and month
+    assert "Aggregate [listing_id" in below and "trunc(calendar_date" in below
+
+
+def test_incremental_fact_uses_an_anti_join(spark, scratch):
+    import datetime as dt
+    from decimal import Decimal
+
+    from rentalmart.plans import facts
+    rows = [(1, dt.date(2024, 1, 1), True, Decimal("1.00"), None, 1, 2)]
+    schema = ("listing_id long, calendar_date date, is_available boolean, "
+              "price decimal(10,2), adjusted_price decimal(10,2), minimum_nights int, "
+              "maximum_nights int")
+    t = f"{scratch}/f"
+    facts.fct_calendar(spark, spark.createDataFrame(rows, schema), t)
+    captured = []
+    from pyspark.sql import DataFrameWriter
+    orig = DataFrameWriter.save
+
+    def spy(self, *a, **k):
+        captured.append(self._df._jdf.queryExecution().optimizedPlan().toString())
+        return orig(self, *a, **k)
+    DataFrameWriter.save = spy
+    try:
+        facts.fct_calendar(spark, spark.createDataFrame(rows, schema), t)
+    finally:
+        DataFrameWriter.save = orig
+    assert captured and "LeftAnti" in captured[-1]
+    assert "calendar_month" in captured[-1]
