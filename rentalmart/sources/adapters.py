@@ -33,9 +33,9 @@ _READS: dict[tuple, DataFrame] = {}
 
 
 # Tables that play the role of large landed inputs (fact-like), with their unique key; the
-# others are fixed-size dimensions that are only ever broadcast.
-_LARGE = {"orders": ["o_orderkey"], "customer": ["c_custkey"],
-          "lineitem": ["l_orderkey", "l_linenumber"], "events": ["event_id"]}
+# others are small dimensions (customer is joined by broadcast when AQE measures it small).
+_LARGE = {"orders": ["o_orderkey"], "lineitem": ["l_orderkey", "l_linenumber"],
+          "events": ["event_id"]}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str,
