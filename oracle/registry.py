@@ -6,7 +6,7 @@ in the oracle engine) become BIGINT, matching the Spark query boundary.
 
 from __future__ import annotations
 
-from oracle.sql import query
+from oracle.sql import query, ravg
 
 ORACLE: dict[str, str] = {}
 
@@ -69,11 +69,11 @@ add("fct_calendar", _FCT_CAL, ["fct_calendar"], CAL_DEC)
 add("fct_calendar_stream", _FCT_CAL, ["fct_calendar"], CAL_DEC)
 
 # ---------------------------------------------------------------- reports
-_KPIS = """count(*) AS total_listings,
+_KPIS = f"""count(*) AS total_listings,
   count(DISTINCT host_id) AS total_hosts,
   round(avg(price), 0) AS avg_price,
   round(avg(review_scores_rating), 1) AS avg_rating,
-  round(avg(occupancy_rate_pct), 1) AS avg_occupancy"""
+  round({ravg("occupancy_rate_pct", 1)}, 1) AS avg_occupancy"""
 
 add("market_summary", f"SELECT {_KPIS} FROM dim_listing", ["dim_listing"])
 
@@ -112,10 +112,10 @@ LEFT JOIN kept k ON k.room_type IS NOT DISTINCT FROM f.room_type
   AND (k.cents / 100.0 < f.lower_fence OR k.cents / 100.0 > f.upper_fence)
 GROUP BY ALL""", ["dim_listing"])
 
-add("occupancy_trend", """
+add("occupancy_trend", f"""
 SELECT month, room_type,
-       round(avg(occupancy_rate_pct), 1) AS avg_occupancy,
-       round(avg(avg_price), 0) AS avg_price
+       round({ravg("occupancy_rate_pct", 1)}, 1) AS avg_occupancy,
+       round({ravg("avg_price", 2)}, 0) AS avg_price
 FROM monthly_occupancy
 WHERE avg_price IS NOT NULL
 GROUP BY ALL
@@ -128,8 +128,8 @@ _HOST_TYPE = "if(coalesce(host_is_superhost, false), 'Superhost', 'Regular')"
 
 add("superhost_compare", f"""
 SELECT {_HOST_TYPE} AS host_type,
-       round(avg(avg_listing_price), 0) AS avg_price,
-       round(avg(avg_review_score), 1) AS avg_rating,
+       round({ravg("avg_listing_price", 2)}, 0) AS avg_price,
+       round({ravg("avg_review_score", 1)}, 1) AS avg_rating,
        round(avg(total_reviews_received), 0) AS avg_reviews
 FROM dim_host GROUP BY 1""", ["dim_host"])
 
@@ -143,11 +143,11 @@ FROM dim_listing
 ORDER BY number_of_reviews DESC NULLS LAST, listing_id
 LIMIT 10""", ["dim_listing"], ("price", "review_scores_rating"))
 
-add("room_breakdown", """
+add("room_breakdown", f"""
 SELECT room_type, count(*) AS n,
        round(avg(price), 0) AS price,
        round(avg(review_scores_rating), 1) AS rating,
-       round(avg(occupancy_rate_pct), 1) AS occ,
+       round({ravg("occupancy_rate_pct", 1)}, 1) AS occ,
        round(avg(minimum_nights), 0) AS min_nights
 FROM dim_listing WHERE price > 0
 GROUP BY room_type
@@ -165,19 +165,19 @@ SELECT * FROM (SELECT 'Bottom' AS type, * FROM hood
                ORDER BY price NULLS LAST, neighbourhood NULLS LAST LIMIT 5)""",
     ["dim_listing"])
 
-add("quarterly_occupancy", """
+add("quarterly_occupancy", f"""
 SELECT CAST(date_trunc('quarter', month) AS DATE) AS q,
-       round(avg(occupancy_rate_pct), 1) AS occ,
-       round(avg(avg_price), 0) AS price
+       round({ravg("occupancy_rate_pct", 1)}, 1) AS occ,
+       round({ravg("avg_price", 2)}, 0) AS price
 FROM monthly_occupancy GROUP BY 1 ORDER BY 1""", ["monthly_occupancy"])
 
 _PROFILE = f"""
 SELECT {_HOST_TYPE} AS type,
        count(*) AS n,
-       round(avg(avg_listing_price), 0) AS price,
-       round(avg(avg_review_score), 1) AS rating,
+       round({ravg("avg_listing_price", 2)}, 0) AS price,
+       round({ravg("avg_review_score", 1)}, 1) AS rating,
        round(avg(total_reviews_received), 0) AS reviews,
-       round(avg(avg_reviews_per_month), 2) AS rvpm
+       round({ravg("avg_reviews_per_month", 2)}, 2) AS rvpm
 FROM dim_host GROUP BY 1"""
 add("superhost_profile", _PROFILE, ["dim_host"])
 
