@@ -199,17 +199,17 @@ _NN = [("raw_listings", "id"), ("raw_reviews", "id"), ("raw_neighbourhoods", "ne
        ("stg_reviews", "review_id"), ("stg_reviews", "listing_id"),
        ("stg_reviews", "review_date"), ("stg_calendar", "listing_id"),
        ("stg_calendar", "calendar_date"), ("stg_calendar", "is_available")]
-add("not_null", "\nUNION ALL\n".join(
+_NN_SQL = "\nUNION ALL\n".join(
     f"SELECT '{t}' AS model, '{c}' AS \"column\", COUNT(*) FILTER (WHERE {c} IS NULL) "
-    f"AS failures FROM {t}" for t, c in _NN),
-    ["raw_neighbourhoods", "stg_listings", "stg_reviews", "stg_calendar"])
+    f"AS failures FROM {t}" for t, c in _NN)
+add("not_null", _NN_SQL, ["raw_neighbourhoods", "stg_listings", "stg_reviews", "stg_calendar"])
 
 _UQ = [("raw_listings", "id"), ("raw_reviews", "id"), ("raw_neighbourhoods", "neighbourhood"),
        ("stg_listings", "listing_id"), ("stg_reviews", "review_id")]
-add("unique", "\nUNION ALL\n".join(
+_UQ_SQL = "\nUNION ALL\n".join(
     f"SELECT '{t}' AS model, '{c}' AS \"column\", (SELECT COUNT(*) FROM (SELECT {c} FROM {t} "
-    f"WHERE {c} IS NOT NULL GROUP BY {c} HAVING COUNT(*) > 1)) AS failures" for t, c in _UQ),
-    ["raw_neighbourhoods", "stg_listings", "stg_reviews"])
+    f"WHERE {c} IS NOT NULL GROUP BY {c} HAVING COUNT(*) > 1)) AS failures" for t, c in _UQ)
+add("unique", _UQ_SQL, ["raw_neighbourhoods", "stg_listings", "stg_reviews"])
 
 add("non_positive_price", "SELECT listing_id, price FROM dim_listing WHERE price <= 0",
     ["dim_listing"], ("price",))
@@ -224,7 +224,7 @@ def _py_date(c: str) -> str:
             f"|| ')'")
 
 
-add("quality_probe", f"""
+_PROBE_SQL = f"""
 SELECT 'Listings with price > 0' AS "check",
   '(' || CAST(COUNT(*) FILTER (WHERE price > 0) AS VARCHAR) || ',)' AS result,
   'PASS' AS status FROM dim_listing
@@ -239,8 +239,8 @@ SELECT 'Total reviews', '(' || CAST(COUNT(*) AS VARCHAR) || ',)', 'PASS' FROM fc
 UNION ALL
 SELECT 'Calendar date range', '(' || {_py_date('lo')} || ', ' || {_py_date('hi')} || ')',
   'PASS'
-FROM (SELECT MIN(calendar_date) AS lo, MAX(calendar_date) AS hi FROM fct_calendar)""",
-    ["dim_listing", "fct_reviews", "fct_calendar"])
+FROM (SELECT MIN(calendar_date) AS lo, MAX(calendar_date) AS hi FROM fct_calendar)"""
+add("quality_probe", _PROBE_SQL, ["dim_listing", "fct_reviews", "fct_calendar"])
 
 _SRC = [("raw_listings", "last_scraped", 180, 365), ("raw_reviews", "date", 90, 180),
         ("raw_calendar", "date", 30, 60)]
@@ -269,3 +269,34 @@ UNION ALL SELECT 'raw_reviews', COUNT(*), 6, false FROM raw_reviews
 UNION ALL SELECT 'raw_calendar', COUNT(*), 7, false FROM raw_calendar
 UNION ALL SELECT 'raw_neighbourhoods', COUNT(*), 2, false FROM raw_neighbourhoods""",
     ["raw_listings", "raw_reviews", "raw_calendar", "raw_neighbourhoods"])
+
+# The end-to-end step log on a fresh warehouse: every model built (facts by full load),
+# one row per declared test with its failure count, then the five quality probes.
+_BUILT = ", ".join(f"('{m}', 'OK', '{d}')" for m, d in [
+    ("dim_listing", ""), ("dim_host", ""), ("dim_neighbourhood", ""), ("fct_reviews", "full"),
+    ("fct_calendar", "full"), ("monthly_occupancy", ""), ("pricing_analysis", "")])
+
+
+def _test_rows(sql: str, suffix: str) -> str:
+    return (f"SELECT model || '.' || \"column\" || '.{suffix}' AS step, "
+            f"CASE WHEN failures = 0 THEN 'PASS' ELSE 'FAIL' END AS status, "
+            f"CAST(failures AS VARCHAR) || ' failures' AS detail FROM ({sql})")
+
+
+def _singular(name: str, where_sql: str) -> str:
+    return (f"SELECT '{name}' AS step, CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END AS status, "
+            f"CAST(n AS VARCHAR) || ' failures' AS detail FROM ({where_sql})")
+
+
+add("run_pipeline", "\nUNION ALL\n".join([
+    f"SELECT * FROM (VALUES {_BUILT}) AS built(step, status, detail)",
+    _test_rows(_NN_SQL, "not_null"),
+    _test_rows(_UQ_SQL, "unique"),
+    _singular("assert_listing_price_positive",
+              "SELECT count(*) AS n FROM dim_listing WHERE price <= 0"),
+    _singular("assert_review_date_valid",
+              f"SELECT count(*) AS n FROM fct_reviews "
+              f"WHERE review_date > {AS_OF} OR review_date < '2010-01-01'"),
+    f"SELECT 'quality: ' || \"check\" AS step, status, result AS detail FROM ({_PROBE_SQL})",
+]), ["raw_neighbourhoods", "stg_listings", "stg_reviews", "stg_calendar", "dim_listing",
+     "fct_reviews", "fct_calendar"])
