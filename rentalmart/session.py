@@ -60,16 +60,19 @@ def shared_dir(spark: SparkSession) -> str:
     local tests, a private folder under the temp dir is created and registered.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote session has no SparkContext; the conf is all there is
+        sc = None
+    if not configured and sc is not None:
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
+        if not configured and sc.getCheckpointDir():
+            return sc.getCheckpointDir()
     if not configured:
-        configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        current = spark.sparkContext.getCheckpointDir()
-        if current:
-            return current
         configured = tempfile.mkdtemp(prefix="rentalmart-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(configured)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(configured)
     return configured
 
 

@@ -57,8 +57,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str,
         if cols:
             df = df.select(*cols)  # prune before anything moves
         if name in _LARGE:
-            cores = spark.sparkContext.defaultParallelism
-            if df.rdd.getNumPartitions() < cores:
+            try:
+                cores = spark.sparkContext.defaultParallelism
+                spread = df.rdd.getNumPartitions() < cores
+            except Exception:  # no RDD API (e.g. a remote session): keep the scan as is
+                spread = False
+            if spread:
                 df = df.repartition(cores, *_LARGE[name])
         _READS[key] = df
     return _READS[key]
