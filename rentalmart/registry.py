@@ -43,31 +43,66 @@ def register(name: str):
 
 
 # ---------------------------------------------------------------- model chain helpers
+# The model chain is a lazy plan; building it costs driver-to-JVM round trips, not data
+# work. Each model's DataFrame is therefore built once per (session, folder) and reused by
+# every query that needs it - every action still reads and computes from the raw tables
+# (nothing is cached or persisted).
+_MODELS: dict[tuple, DataFrame] = {}
+
+
+def _model(fn):
+    def get(spark, sf_dir):
+        key = (fn.__name__, id(spark), sf_dir)
+        if key not in _MODELS:
+            _MODELS[key] = fn(spark, sf_dir)
+        return _MODELS[key]
+    get.__name__ = fn.__name__
+    return get
+
+
+_raw_listings = _model(adapters.raw_listings)
+_raw_reviews = _model(adapters.raw_reviews)
+_raw_calendar = _model(adapters.raw_calendar)
+_raw_neighbourhoods = _model(adapters.raw_neighbourhoods)
+
+
+def _raw_inputs(spark, sf_dir):
+    return adapters.RawInputs(_raw_listings(spark, sf_dir), _raw_reviews(spark, sf_dir),
+                              _raw_calendar(spark, sf_dir), _raw_neighbourhoods(spark, sf_dir))
+
+
+@_model
 def _stg_listings(spark, sf_dir):
-    return staging.stg_listings(adapters.raw_listings(spark, sf_dir))
+    return staging.stg_listings(_raw_listings(spark, sf_dir))
 
 
+@_model
 def _stg_reviews(spark, sf_dir):
-    return staging.stg_reviews(adapters.raw_reviews(spark, sf_dir))
+    return staging.stg_reviews(_raw_reviews(spark, sf_dir))
 
 
+@_model
 def _stg_calendar(spark, sf_dir):
-    return staging.stg_calendar(adapters.raw_calendar(spark, sf_dir))
+    return staging.stg_calendar(_raw_calendar(spark, sf_dir))
 
 
+@_model
 def _enriched(spark, sf_dir):
     return marts.listings_enriched(_stg_listings(spark, sf_dir), _stg_reviews(spark, sf_dir),
                                    _stg_calendar(spark, sf_dir))
 
 
+@_model
 def _dim_listing(spark, sf_dir):
     return marts.dim_listing(_enriched(spark, sf_dir))
 
 
+@_model
 def _dim_host(spark, sf_dir):
     return marts.dim_host(marts.host_metrics(_stg_listings(spark, sf_dir)))
 
 
+@_model
 def _monthly(spark, sf_dir):
     return marts.monthly_occupancy(_stg_calendar(spark, sf_dir), _dim_listing(spark, sf_dir))
 
@@ -166,7 +201,7 @@ def q_fct_reviews(spark, sf_dir):
     """J-11: two batches (even review ids, then all) and a repeat with changed text."""
     from rentalmart.plans import facts
     from rentalmart.session import fresh_path
-    raw = adapters.raw_reviews(spark, sf_dir)
+    raw = _raw_reviews(spark, sf_dir)
     target = fresh_path(spark, "fct_reviews")
     for b in [*adapters.review_batches(raw), raw.withColumn("comments", F.lit("changed"))]:
         facts.fct_reviews(spark, staging.stg_reviews(b), target)
@@ -174,7 +209,7 @@ def q_fct_reviews(spark, sf_dir):
 
 
 def _calendar_batches(spark, sf_dir):
-    raw = adapters.raw_calendar(spark, sf_dir)
+    raw = _raw_calendar(spark, sf_dir)
     return [*adapters.calendar_batches(raw), _changed_known_keys(raw)]
 
 
@@ -250,12 +285,13 @@ _reports()
 
 # ---------------------------------------------------------------- J-30 .. J-36: quality
 def _test_models(spark, sf_dir):
-    raw = adapters.raw_inputs(spark, sf_dir)
-    return {"raw_listings": raw.listings, "raw_reviews": raw.reviews,
-            "raw_calendar": raw.calendar, "raw_neighbourhoods": raw.neighbourhoods,
-            "stg_listings": staging.stg_listings(raw.listings),
-            "stg_reviews": staging.stg_reviews(raw.reviews),
-            "stg_calendar": staging.stg_calendar(raw.calendar)}
+    return {"raw_listings": _raw_listings(spark, sf_dir),
+            "raw_reviews": _raw_reviews(spark, sf_dir),
+            "raw_calendar": _raw_calendar(spark, sf_dir),
+            "raw_neighbourhoods": _raw_neighbourhoods(spark, sf_dir),
+            "stg_listings": _stg_listings(spark, sf_dir),
+            "stg_reviews": _stg_reviews(spark, sf_dir),
+            "stg_calendar": _stg_calendar(spark, sf_dir)}
 
 
 @register("not_null")
@@ -320,7 +356,7 @@ def q_load_raw(spark, sf_dir):
     """J-37: land the four inputs as CSV files, then load them to raw Parquet tables."""
     from rentalmart.session import fresh_path
     from rentalmart.sources import csv
-    raw = adapters.raw_inputs(spark, sf_dir)
+    raw = _raw_inputs(spark, sf_dir)
     landing = fresh_path(spark, "landing-csv")
     frames = {"raw_listings": raw.listings, "raw_reviews": raw.reviews,
               "raw_calendar": raw.calendar, "raw_neighbourhoods": raw.neighbourhoods}
@@ -335,5 +371,5 @@ def q_run_pipeline(spark, sf_dir):
     """J-38: build all models, run the tests and the quality gate; the step log."""
     from rentalmart.plans.pipeline import run_pipeline
     from rentalmart.session import fresh_path
-    return run_pipeline(spark, adapters.raw_inputs(spark, sf_dir),
+    return run_pipeline(spark, _raw_inputs(spark, sf_dir),
                         fresh_path(spark, "warehouse"), AS_OF, raise_on_failure=False)
