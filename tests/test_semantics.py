@@ -112,3 +112,18 @@ def test_superhost_premium_is_null_when_a_side_is_missing(spark):
     r = reports.superhost_premium(reports.superhost_profile(
         marts.dim_host(marts.host_metrics(lst)))).first()
     assert r.price_pct is None and r.rating_diff is None
+
+
+def test_b9_probe_passes_by_default_and_fails_below_an_optional_minimum(spark):
+    from rentalmart.plans import quality
+    lst = listings(spark, [(1, Decimal("10.00"), None, None, "A", "Room")])
+    rev = spark.createDataFrame([(1, D(2024, 1, 1))], "review_id long, review_date date")
+    c = cal(spark, [(1, D(2024, 1, 1), True, "10.00")])
+    default = {r.check: r for r in quality.quality_probe(lst, rev, c).collect()}
+    assert {r.status for r in default.values()} == {"PASS"}
+    assert default["Total reviews"].result == "(1,)"
+    assert default["Calendar date range"].result == \
+        "(datetime.date(2024, 1, 1), datetime.date(2024, 1, 1))"
+    strict = {r.check: r.status for r in quality.quality_probe(
+        lst, rev, c, min_values={"Total reviews": 2}).collect()}
+    assert strict["Total reviews"] == "FAIL" and strict["Neighbourhoods"] == "PASS"
