@@ -288,7 +288,7 @@ def _singular(name: str, where_sql: str) -> str:
             f"CAST(n AS VARCHAR) || ' failures' AS detail FROM ({where_sql})")
 
 
-add("run_pipeline", "\nUNION ALL\n".join([
+add("build_all", "\nUNION ALL\n".join([
     f"SELECT * FROM (VALUES {_BUILT}) AS built(step, status, detail)",
     _test_rows(_NN_SQL, "not_null"),
     _test_rows(_UQ_SQL, "unique"),

@@ -366,8 +366,8 @@ def q_load_raw(spark, sf_dir):
                         fresh_path(spark, "raw"))
 
 
-@register("run_pipeline")
-def q_run_pipeline(spark, sf_dir):
+@register("build_all")
+def q_build_all(spark, sf_dir):
     """J-38: build all models, run the tests and the quality gate; the step log."""
     from rentalmart.plans.pipeline import run_pipeline
     from rentalmart.session import fresh_path
