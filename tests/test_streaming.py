@@ -21,3 +21,19 @@ def test_available_now_runs_append_only_new_files(spark, scratch):
             ckpt, **run)  # nothing new landed: nothing appended
     got = sorted(str(r.calendar_date) for r in facts.read_fct_calendar(spark, target).collect())
     assert got == ["2024-01-01", "2024-01-02"]
+
+
+def test_replay_after_a_lost_checkpoint_appends_nothing(spark, scratch):
+    """A restarted delivery that replays every landed file (its checkpoint is gone) leaves
+    the fact unchanged: already-written keys are skipped by the anti-join."""
+    landing, target = f"{scratch}/landing", f"{scratch}/fct"
+    rows = [(k, dt.date(2024, 1, 1 + k % 20), "f", "$3.00", None, 1.0, 2.0) for k in range(40)]
+    spark.createDataFrame(rows + rows[:5], RAW_CALENDAR).write.parquet(f"{landing}/b=0")
+    run = dict(options={"recursiveFileLookup": "true"})
+    deliver(spark, landing, RAW_CALENDAR, staging.stg_calendar, facts.fct_calendar, target,
+            f"{scratch}/ckpt-a", **run)
+    first = sorted(map(tuple, facts.read_fct_calendar(spark, target).collect()))
+    deliver(spark, landing, RAW_CALENDAR, staging.stg_calendar, facts.fct_calendar, target,
+            f"{scratch}/ckpt-b", **run)  # new checkpoint: every file is replayed
+    assert sorted(map(tuple, facts.read_fct_calendar(spark, target).collect())) == first
+    assert len(first) == 45  # in-batch duplicates of the first delivery are kept
