@@ -47,14 +47,17 @@ def listings_per_host(dim_listing: DataFrame) -> DataFrame:
         "*", _r(ratio_sql("total_listings", "total_hosts"), 1, "listings_per_host"))
 
 
-def top_segments(pricing: DataFrame, n: int = TOP_SEGMENTS) -> DataFrame:
-    """J-17: the ``n`` priciest (neighbourhood, room type) segments."""
-    return (pricing
-            .select("neighbourhood", "room_type", "num_listings", "avg_price",
-                    "median_price", "p25_price", "p75_price", "avg_review_score")
-            .orderBy(F.desc_nulls_last("avg_price"), F.asc_nulls_last("neighbourhood"),
-                     F.asc_nulls_last("room_type"))
-            .limit(n))
+def top_segments(pricing: DataFrame, n: int = TOP_SEGMENTS,
+                 shown: int | None = None) -> DataFrame:
+    """J-17: the ``n`` priciest (neighbourhood, room type) segments; ``shown`` keeps the
+    first rows of those for display (the reference charts the first 20 of 50)."""
+    top = (pricing
+           .select("neighbourhood", "room_type", "num_listings", "avg_price",
+                   "median_price", "p25_price", "p75_price", "avg_review_score")
+           .orderBy(F.desc_nulls_last("avg_price"), F.asc_nulls_last("neighbourhood"),
+                    F.asc_nulls_last("room_type"))
+           .limit(n))
+    return top.limit(min(n, shown)) if shown is not None else top
 
 
 def price_rows(dim_listing: DataFrame, cap: float = PRICE_CAP) -> DataFrame:

@@ -127,3 +127,13 @@ def test_b9_probe_passes_by_default_and_fails_below_an_optional_minimum(spark):
     strict = {r.check: r.status for r in quality.quality_probe(
         lst, rev, c, min_values={"Total reviews": 2}).collect()}
     assert strict["Total reviews"] == "FAIL" and strict["Neighbourhoods"] == "PASS"
+
+
+def test_top_segments_display_keeps_the_first_of_the_top(spark):
+    lst = listings(spark, [(i, Decimal(10 * i), None, None, f"N{i % 9}", f"R{i % 4}")
+                           for i in range(1, 400)])
+    pricing = marts.pricing_analysis(marts.dim_listing(marts.listings_enriched(
+        lst, spark.createDataFrame([], "listing_id long, review_date date"), cal(spark, []))))
+    top = [r.avg_price for r in reports.top_segments(pricing, 50).collect()]
+    shown = [r.avg_price for r in reports.top_segments(pricing, 50, shown=20).collect()]
+    assert shown == top[:20] and top == sorted(top, reverse=True)
