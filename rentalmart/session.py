@@ -53,6 +53,9 @@ def get_session(master: str | None = None, app: str = "rentalmart",
     return spark
 
 
+_FALLBACK: dict[int, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written tables.
 
@@ -67,10 +70,11 @@ def shared_dir(spark: SparkSession) -> str:
     if not configured and sc is not None:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
         if not configured and sc.getCheckpointDir():
-            return sc.getCheckpointDir()
+            return sc.getCheckpointDir()  # registered earlier (e.g. by the fallback below)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="rentalmart-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
+        # Unset (local tests): a private folder, registered with the SparkContext only -
+        # spark.checkpoint.dir is a static setting and cannot be changed at run time.
+        configured = _FALLBACK.setdefault(id(spark), tempfile.mkdtemp(prefix="rentalmart-ckpt-"))
     if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(configured)
     return configured
