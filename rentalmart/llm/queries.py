@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import shards
+from . import classifier, fingerprints, packing, quality_rules, shards
 from .common import read
 
+#: Where the public tokenizers' files are.
+TOKENIZERS = "/opt/tokenizers"
+
+
+def tokenizer(name: str, folder: str = TOKENIZERS) -> str:
+    return Path(folder, name).read_text(encoding="utf-8")
+
 
 def op1_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = shards.minimax_shards(read(spark, sf_dir, "documents"), 40)
@@ -16,5 +25,27 @@ def op1_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op1_minimax_shards,)}
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(read(spark, sf_dir, "documents"))
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good = read(spark, sf_dir, "labels").where("quality = 1")
+    out = quality_rules.quality_rules(read(spark, sf_dir, "documents").select("doc_id", "text"), good)
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                      "base_failed", "llr", "kept")
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = packing.pack(read(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+    return out.drop("ids", "queue")
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return classifier.quality_scores(docs, read(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_minimax_shards, op3_fingerprints, op4_quality_rules, op6_packing, op10_quality_classifier)}
 ORACLE: dict[str, str] = {}
