@@ -7,7 +7,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import classifier, fingerprints, packing, quality_rules, shards
+from . import (bpe_job, classifier, fingerprints, html_template, line_dedup, ngram_join, packing, pseudo_lm,
+               quality_rules, shards)
 from .common import read
 
 #: Where the public tokenizers' files are.
@@ -25,6 +26,10 @@ def op1_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar(read(spark, sf_dir, "documents"))
+
+
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(read(spark, sf_dir, "documents"))
 
@@ -36,16 +41,34 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "base_failed", "llr", "kept")
 
 
+def op5_pseudo_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudo_lm.scores(read(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = packing.pack(read(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
     return out.drop("ids", "queue")
 
 
+def op7_html_template(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_template.extract(read(spark, sf_dir, "pages"))
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return line_dedup.dedup_lines(docs).drop("source")
+
+
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_job.digests(read(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return classifier.quality_scores(docs, read(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_minimax_shards, op3_fingerprints, op4_quality_rules, op6_packing, op10_quality_classifier)}
+    op1_minimax_shards, op2_ngram_join, op3_fingerprints, op4_quality_rules, op5_pseudo_lm, op6_packing,
+    op7_html_template, op8_line_dedup, op9_bpe, op10_quality_classifier)}
 ORACLE: dict[str, str] = {}
