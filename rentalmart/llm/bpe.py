@@ -19,24 +19,17 @@ from __future__ import annotations
 
 import codecs
 import json
+from array import array
 from collections.abc import Iterable, Iterator
 
 import regex
 from tokenizers import Tokenizer
 
-from .encoders import COMMON, REMEMBERED
+from .encoders import COMMON, REMEMBERED, byte_letters
 
 LONGEST_REMEMBERED = 48  # symbols of a word that is worth remembering
 
 
-def byte_letters() -> list[str]:
-    """The letter that stands for each byte: printable Latin-1 bytes stand for themselves,
-    the others for the letters from U+0100 on, in order."""
-    own = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or b >= 0xAE]
-    other = [b for b in range(256) if b not in own]
-    return [chr(b) if b in own else chr(256 + other.index(b)) for b in range(256)]
-
-
 def lookahead(merges: list[tuple[str, str]], size=len) -> int:
     """Symbols behind a token that decide whether it is final, for a ranked merge list."""
     right = {a + b: b for a, b in reversed(merges)}
@@ -78,24 +71,23 @@ class Encoder:
         self.split = regex.compile(steps[0]["pattern"]["Regex"]).findall
         self.odd = regex.compile(COMMON).search
         self.library = Tokenizer.from_str(spec)
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}
 
     def _merge(self, symbols: list[str]) -> list[str]:
         """The symbols after all merges, lowest rank first and from the left."""
-        rank, none = self.rank, len(self.rank)
-        while len(symbols) > 1:
-            best = min(rank.get(p, none) for p in zip(symbols, symbols[1:]))
+        symbols, rank, none = symbols[:], self.rank.get, len(self.rank)
+        ranks = [rank(p, none) for p in zip(symbols, symbols[1:])]
+        while ranks:
+            best = min(ranks)
             if best == none:
                 break
-            out, k, n = [], 0, len(symbols)
-            while k < n:
-                if k + 1 < n and rank.get((symbols[k], symbols[k + 1])) == best:
-                    out.append(symbols[k] + symbols[k + 1])
-                    k += 2
-                else:
-                    out.append(symbols[k])
-                    k += 1
-            symbols = out
+            k = ranks.index(best)
+            symbols[k] += symbols.pop(k + 1)
+            del ranks[k]
+            if k:
+                ranks[k - 1] = rank((symbols[k - 1], symbols[k]), none)
+            if k < len(ranks):
+                ranks[k] = rank((symbols[k], symbols[k + 1]), none)
         return symbols
 
     def word(self, letters: Iterable[str]) -> Iterator[int]:
@@ -125,30 +117,38 @@ class Encoder:
                 return words
             letters = self.letters
             return [w if w.isascii() else "".join([letters[b] for b in w.encode()]) for w in words]
+        if not text:
+            return []
         normal = self.library.normalizer.normalize_str(text) if self.library.normalizer else text
         return [w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(normal)]
 
-    def _plain(self, text: str) -> list[int]:
-        known, out = self.known, []
-        for w in self._words(text):
+    def _plain(self, text: str) -> bytes:
+        known, words = self.known, self._words(text)
+        try:
+            return b"".join([known[w] for w in words])
+        except KeyError:
+            pass
+        out = []
+        for w in words:
             ids = known.get(w)
             if ids is None:
-                ids = [*self.word(w)]
+                ids = array("I", self.word(w)).tobytes()
                 if len(w) <= LONGEST_REMEMBERED:
                     if len(known) >= REMEMBERED:
                         known.clear()
                     known[w] = ids
-            out += ids
-        return out
+            out.append(ids)
+        return b"".join(out)
+
+    def packed(self, text: str) -> bytes:
+        """The text's ids as little-endian unsigned 32-bit numbers."""
+        if "<|" not in text:
+            return self._plain(text)
+        parts = self.specials.split(text)
+        return b"".join([self.special[p].to_bytes(4, "little") if k % 2 else self._plain(p) for k, p in enumerate(parts)])
 
     def ids(self, text: str) -> list[int]:
-        out: list[int] = []
-        for k, part in enumerate(self.specials.split(text) if "<|" in text else [text]):
-            if k % 2:
-                out.append(self.special[part])
-            elif part:
-                out += self._plain(part)
-        return out
+        return array("I", self.packed(text)).tolist()
 
 
 class Decoder:

@@ -49,10 +49,10 @@ def digests(docs: DataFrame, spec: str, *, id_col: str = "doc_id", text_col: str
         for batch in batches:
             n, of_ids, of_text = [], [], []
             for text in batch.column("text").to_pylist():
-                ids = encoder.ids(text)
-                n.append(len(ids))
-                of_ids.append(hashlib.sha256(np.array(ids, dtype="<u4").tobytes()).hexdigest())
-                of_text.append(hashlib.sha256(decoder.text(ids).encode()).hexdigest())
+                ids = encoder.packed(text)
+                n.append(len(ids) // 4)
+                of_ids.append(hashlib.sha256(ids).hexdigest())
+                of_text.append(hashlib.sha256(decoder.text(np.frombuffer(ids, "<u4").tolist()).encode()).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n, pa.int64()), pa.array(of_ids), pa.array(of_text)],
                                              names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
 

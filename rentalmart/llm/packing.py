@@ -20,7 +20,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -152,22 +151,28 @@ def pack(docs: DataFrame, spec: str, *, id_col: str = "doc_id", text_col: str =
         F.expr(f"substring(ids, cast((low - at) * {width} + 1 as int), cast((high - low) * {width} as int))").alias("ids"))
     kind = "<u2" if width == 2 else "<u4"
 
-    def fill_span(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["queue", "low"], kind="stable").reset_index(drop=True)
-        queues = [[(i, 0, n) for i, n in zip(g.index, g["length"])] for _, g in frame.groupby("queue", sort=True)]
-        before = int(frame["before"].iloc[0])
-        ids = [np.frombuffer(x, kind).astype("<u4") for x in frame["ids"]]
-        got = fill(queues, before % window, window, least)
-        i = np.array([g[0] for g in got])
-        cut = [ids[d][s:s + n] for d, s, n, _ in got]
-        at = np.array([g[3] for g in got], dtype=np.int64) + before
-        own = frame.loc[i]
-        return pd.DataFrame({
-            "doc": own["doc"].to_numpy(), "start": own["start"].to_numpy() + np.array([g[1] for g in got]),
-            "length": np.array([g[2] for g in got]), "ids_crc32": [zlib.crc32(x.tobytes()) for x in cut],
-            "doc_tokens": own["doc_tokens"].to_numpy(), "sequence_id": at // window, "offset": at % window,
-            "queue": own["queue"].to_numpy(), "ids": [x.astype(np.int32) for x in cut]})
-
-    return rows.groupBy("span").applyInPandas(
+    def fill_span(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("queue", "ascending"), ("low", "ascending"), ("doc", "ascending")])
+        names, lengths = table["queue"].to_pylist(), table["length"].to_pylist()
+        queues: dict[str, list] = {}
+        for k, (q, n) in enumerate(zip(names, lengths)):
+            queues.setdefault(q, []).append((k, 0, n))
+        before = table["before"][0].as_py()
+        got = np.array(fill([*queues.values()], before % window, window, least), dtype=np.int64)
+        ids = np.frombuffer(b"".join(table["ids"].to_pylist()), kind).astype("<i4")
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        own, low, size, at = got[:, 0], ends[got[:, 0]] + got[:, 1], got[:, 2], got[:, 3] + before
+        packed = np.concatenate([ids[a:a + n] for a, n in zip(low.tolist(), size.tolist())])
+        stops = np.concatenate([[0], np.cumsum(size)])
+        raw = memoryview(packed.tobytes())
+        crc = [zlib.crc32(raw[4 * a:4 * b]) for a, b in zip(stops[:-1].tolist(), stops[1:].tolist())]
+        rows = table.take(pa.array(own))
+        return pa.table({
+            "doc": rows["doc"], "start": pa.array(rows["start"].to_numpy() + got[:, 1]), "length": pa.array(size),
+            "ids_crc32": pa.array(crc, pa.int64()), "doc_tokens": rows["doc_tokens"],
+            "sequence_id": pa.array(at // window), "offset": pa.array(at % window), "queue": rows["queue"],
+            "ids": pa.ListArray.from_arrays(pa.array(stops, pa.int32()), pa.array(packed, pa.int32()))})
+
+    return rows.groupBy("span").applyInArrow(
         fill_span, "doc long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
                    "offset long, queue string, ids array<int>").withColumnRenamed("doc", id_col)

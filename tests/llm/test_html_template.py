@@ -1,0 +1,78 @@
+import pytest
+
+from rentalmart.llm import html_template
+from rentalmart.llm.common import read
+from rentalmart.llm.html_page import blocks, scan
+
+SCHEMA = "page_id long, url string, html string, host string, text int"
+
+
+@pytest.fixture
+def pages_of(spark):
+    return lambda rows: spark.createDataFrame([(*r, "clash", 5) for r in rows], SCHEMA)
+
+
+def plain(page):
+    return blocks(scan(page)[1], set(), lambda t: 0)
+
+
+@pytest.mark.parametrize("page,want", [
+    ("<article><h1>A &amp; B</h1><p>x<b>y</b> z<br>w&nbsp; v</p></article>", ["A & B", "xy z", "w v"]),
+    ("<nav>menu</nav><article><p><b>one<br><p>two</article><footer>f</footer>", ["one", "two"]),
+    ("<body><header><h1>Site</h1></header><main><article><header><h1>T</h1></header><p>b</p></article></main>", ["T", "b"]),
+    ("<article><script>if (a<b) '</p>'</script><style>p{}</style><!-- <p>c</p> --><p>d</p></article>", ["d"]),
+    ("<article><p>a</p><aside>s</aside><form>f<input></form><section class='user-comments'>c</section><div id=cookieNotice>n</div></article>", ["a"]),
+    ("<article><table><tr><td>1<td>2<tr><td>3</table><ul><li>x<li>y</ul></article>", ["1", "2", "3", "x", "y"]),
+    ("<article><p title=\"a>b\">t</p><p>1 < 2 &lt; 3 &copy &#8364; &bogus;</p></article>", ["t", "1 < 2 < 3 © € &bogus;"]),
+    ("<div class=sidebar>s</div><div><p>no article</p></div>", ["no article"]),
+    ("<article class='teaser'>short</article><article>the longer one</article>", ["the longer one"]),
+    ("<article><p>cut <b>off</b> he", ["cut off he"]), ("<article><p>cut<a hre", ["cut"]),
+    ("", []), ("plain text", ["plain text"]), ("<", ["<"]), ("</p></div>x", ["x"]),
+    ("<article>" + "<div>" * 3000 + "deep" + "</div>" * 10, ["deep"]),
+])
+def test_page(page, want):
+    assert plain(page) == want
+
+
+def site(k, body):
+    return (f"<html><body><nav><a>n{k}</a></nav><div class='ad'>buy {k}</div><article><h1>Title {k}</h1><p>Share this story</p>"
+            f"{body}<p>Read more on our site</p></article><footer>f{k}</footer></body></html>")
+
+
+def test_template_texts_are_dropped_and_content_is_kept(pages_of):
+    rows = [(k, f"http://a.example/{k}", site(k, f"<p>own text {k}</p><p>more</p>" if k % 2 else f"<p>only {k}</p>")) for k in range(12)]
+    rows += [(100 + k, f"http://small.example/{k}", site(k, "<p>x</p>")) for k in range(2)]  # too few pages to tell
+    rows += [(200 + k, "http://same.example/p", site(7, "<p>same</p>")) for k in range(6)]  # nothing varies
+    got = {r.page_id: r.text for r in html_template.extract(pages_of(rows)).collect()}
+    assert got[1] == "Title 1\nown text 1\nmore" and got[4] == "Title 4\nonly 4"
+    assert got[100] == "Title 0\nShare this story\nx\nRead more on our site"
+    assert got[203] == "Title 7\nShare this story\nsame\nRead more on our site"
+
+
+def test_a_class_out_of_order_is_no_template(pages_of):
+    page = lambda k: "<article>" + "".join(f"<p class=c{j}>fixed {j}</p>" for j in ((0, 1, 2) if k else (2, 1, 0))) + f"<p>own {k}</p></article>"
+    got = html_template.extract(pages_of([(k, "http://o.example/", page(k)) for k in range(8)])).collect()
+    assert all("fixed 1" in r.text for r in got)
+
+
+def test_nested_classes():
+    outer, inner, crossed = {1: 10, 2: 10, 3: 10}, {4: 20, 5: 20, 6: 20}, {7: 30, 8: 30, 9: 30}
+    places = {1: 0, 2: 10, 3: 20, 4: 11, 5: 13, 6: 15, 7: 12, 8: 14, 9: 18}
+    assert html_template.nested({**outer, **inner, **crossed}, places) == {1, 2, 3, 7, 8, 9}
+
+
+def test_odd_pages(pages_of):
+    rows = [(0, None, None), (1, "", ""), (2, "not a url", "<p>x</p>"), (2, "not a url", "<p>x</p>"), (None, "http://h/", "<p>y</p>"),
+            (4, "http://h/", "<article>" + "<p>long words</p>" * 20_000)]
+    out = html_template.extract(pages_of(rows))
+    got = {r.page_id: r for r in out.collect()}
+    assert out.columns == ["page_id", "url", "text", "n_chars"] and out.count() == len(rows)
+    assert got[0].text == "" and got[0].n_chars == 0 and got[2].text == "x" and got[None].text == "y"
+    assert got[4].n_chars == 20_000 * 11 - 1
+    assert html_template.extract(pages_of([])).collect() == []
+
+
+def test_whole_table_equals_page_by_page(spark):
+    pages = read(spark, "/root/testdata/sf0.001", "pages")
+    got = {r.page_id: r.text for r in html_template.extract(pages).collect()}
+    assert got == {r.page_id: "\n".join(plain(r.html)) for r in pages.collect()}

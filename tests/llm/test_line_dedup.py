@@ -1,0 +1,60 @@
+from collections import defaultdict
+
+import pytest
+
+from rentalmart.llm import line_dedup
+from tests.llm.conftest import ODD
+
+
+def brute(rows, sites):
+    """Lines (of three words or more) on enough sites in differing surroundings, first kept."""
+    seen, around, where, n = defaultdict(set), defaultdict(set), {}, defaultdict(int)
+    for i, text, site in rows:
+        lines = (text or "").split("\n")
+        for k, x in enumerate(lines):
+            key = x.strip(" ")
+            if len(key.split()) >= 3:
+                seen[key].add(site)
+                n[key] += 1
+                before = lines[k - 1] if k else ""
+                after = lines[k + 1] if k + 1 < len(lines) else ""
+                around[key].add((" ".join(before.split(" ")[-3:]), " ".join(after.split(" ")[:3])))
+                where[key] = min(where.get(key, (i, k)), (i, k))
+    gone = {x for x in seen if len(seen[x]) >= sites and len(around[x]) >= max(sites * 0.85, 0.3 * n[x])}
+    return {i: "\n".join(x for k, x in enumerate(text.split("\n")) if x.strip(" ") not in gone or where[x.strip(" ")] == (i, k))
+            for i, text, _ in rows if text is not None}
+
+
+@pytest.mark.parametrize("sites", [3, 8])
+def test_boilerplate_goes_and_copies_stay(docs_of, sites):
+    rows = []
+    for k in range(60):
+        lines = [f"own first line {k} here", "All rights reserved. ", f"and own last line {k} there"]
+        if k % 5 == 0:
+            lines.insert(1, "Subscribe to our letter now")
+        rows.append((k, "\n".join(lines), f"site{k % 10}"))
+    rows += [(100 + k, "a copied text of\nsome length with\nthree lines here", f"site{k % 10}") for k in range(30)]
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs_of(rows), sites=sites).collect()}
+    assert got == brute(rows, sites)
+    assert got[1] == "own first line 1 here\nand own last line 1 there" and "rights" in got[0] and got[120] == rows[-1][1]
+
+
+def test_near_threshold_counts_are_exact(docs_of):
+    rows = [(k, f"head {k} of text\nshared by exactly {n}\ntail {k} of text", f"s{k % n}") for n in range(6, 13) for k in range(n * 1000, n * 1000 + n)]
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs_of(rows), sites=9).collect()}
+    assert got == brute(rows, 9)
+
+
+def test_odd_texts(docs_of):
+    docs = docs_of(ODD + [(None, "no id"), (3, "one")])
+    out = line_dedup.dedup_lines(docs)
+    rows = out.collect()
+    assert len(rows) == len(ODD) + 2 and out.columns == [*docs.columns, "n_lines", "n_removed"]
+    got = {r.doc_id: r for r in rows}
+    assert all(got[k].text == t for k, t in enumerate(ODD)) and got[0].n_lines == 0 and got[None].text == "no id"
+    assert line_dedup.dedup_lines(docs_of([])).collect() == []
+
+
+def test_no_python_in_the_plan(docs_of):
+    plan = line_dedup.dedup_lines(docs_of(ODD))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
