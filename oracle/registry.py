@@ -6,7 +6,7 @@ in the oracle engine) become BIGINT, matching the Spark query boundary.
 
 from __future__ import annotations
 
-from oracle.sql import query, ravg
+from oracle.sql import HOST_TYPE, band, query, ravg
 
 ORACLE: dict[str, str] = {}
 
@@ -45,25 +45,34 @@ add("monthly_occupancy", "SELECT * FROM monthly_occupancy", ["monthly_occupancy"
     ("estimated_revenue",), ("booked_days", "available_days"))
 add("pricing_analysis", "SELECT * FROM pricing_analysis", ["pricing_analysis"],
     ("min_price", "p25_price", "median_price", "p75_price", "max_price"))
-ORACLE["pricing_analysis_bucketed"] = ORACLE["pricing_analysis"]
 
 # ---------------------------------------------------------------- incremental facts
 AS_OF = "DATE '2025-09-30'"
 
+# Batch after batch; a row is appended when no row with its keys (NULL equals NULL) is there.
 add("fct_reviews", """
-SELECT * FROM rev_b1
-UNION ALL
-SELECT r.* FROM stg_reviews r LEFT JOIN rev_b1 t ON r.review_id = t.review_id
-WHERE t.review_id IS NULL
-""".replace("rev_b1", "(SELECT * FROM stg_reviews WHERE review_id % 2 = 0)"),
-    ["stg_reviews"])
+WITH one AS (SELECT * FROM stg_reviews WHERE review_id % 2 = 0),
+two AS (SELECT * FROM one UNION ALL
+        SELECT * FROM stg_reviews s WHERE NOT EXISTS (
+          SELECT 1 FROM one WHERE one.review_id IS NOT DISTINCT FROM s.review_id)),
+moved AS (SELECT * REPLACE (CAST(review_date + INTERVAL 2 MONTH AS DATE) AS review_date, 'changed' AS comments)
+          FROM stg_reviews)
+SELECT * FROM two UNION ALL
+SELECT * FROM moved s WHERE NOT EXISTS (SELECT 1 FROM two WHERE two.review_id IS NOT DISTINCT FROM s.review_id)
+""", ["stg_reviews"])
 
 _FCT_CAL = """
-SELECT * FROM fct_calendar WHERE calendar_date < DATE '1999-01-01'
-UNION ALL
-SELECT * FROM fct_calendar
-WHERE (listing_id, calendar_date) NOT IN (
-  SELECT listing_id, calendar_date FROM fct_calendar WHERE calendar_date < DATE '1999-01-01')
+WITH one AS (SELECT * FROM fct_calendar WHERE calendar_date < DATE '1999-01-01'),
+two AS (SELECT * FROM one UNION ALL
+        SELECT * FROM fct_calendar s WHERE NOT EXISTS (
+          SELECT 1 FROM one WHERE one.listing_id IS NOT DISTINCT FROM s.listing_id
+          AND one.calendar_date IS NOT DISTINCT FROM s.calendar_date)),
+undated AS (SELECT * REPLACE (CAST(NULL AS DATE) AS calendar_date, CAST(NULL AS VARCHAR) AS cal_key)
+            FROM fct_calendar WHERE listing_id % 700 = 0)
+SELECT * FROM two UNION ALL
+SELECT * FROM undated s WHERE NOT EXISTS (
+  SELECT 1 FROM two WHERE two.listing_id IS NOT DISTINCT FROM s.listing_id
+  AND two.calendar_date IS NOT DISTINCT FROM s.calendar_date)
 """
 add("fct_calendar", _FCT_CAL, ["fct_calendar"], CAL_DEC)
 add("fct_calendar_stream", _FCT_CAL, ["fct_calendar"], CAL_DEC)
@@ -88,8 +97,15 @@ FROM pricing_analysis
 ORDER BY avg_price DESC NULLS LAST, neighbourhood NULLS LAST, room_type NULLS LAST
 LIMIT 50""", ["pricing_analysis"], ("median_price", "p25_price", "p75_price"))
 
+add("top_segments_shown", """
+SELECT neighbourhood, room_type, num_listings, avg_price, median_price, p25_price,
+       p75_price, avg_review_score
+FROM pricing_analysis
+ORDER BY avg_price DESC NULLS LAST, neighbourhood NULLS LAST, room_type NULLS LAST
+LIMIT 20""", ["pricing_analysis"], ("median_price", "p25_price", "p75_price"))
+
 add("price_rows", """
-SELECT price, room_type, neighbourhood FROM dim_listing WHERE price BETWEEN 0.01 AND 99999.99
+SELECT price, room_type, neighbourhood FROM dim_listing WHERE price > 0 AND price < 100000
 """, ["dim_listing"], ("price",))
 
 add("price_box", """
@@ -118,24 +134,24 @@ SELECT month, room_type,
        round({ravg("avg_price", 2)}, 0) AS avg_price
 FROM monthly_occupancy
 WHERE avg_price IS NOT NULL
-GROUP BY ALL
-ORDER BY 1, 2""", ["monthly_occupancy"])
+GROUP BY month, room_type
+ORDER BY month, room_type""", ["monthly_occupancy"])
 
 add("hosts_by_tier", """
-SELECT host_rating_tier, count(*) AS count FROM dim_host GROUP BY ALL""", ["dim_host"])
+SELECT host_rating_tier, count(*) AS count FROM dim_host GROUP BY host_rating_tier""", ["dim_host"])
 
-_HOST_TYPE = "if(coalesce(host_is_superhost, false), 'Superhost', 'Regular')"
+_HOST_TYPE = band(HOST_TYPE)
 
 add("superhost_compare", f"""
 SELECT {_HOST_TYPE} AS host_type,
        round({ravg("avg_listing_price", 2)}, 0) AS avg_price,
        round({ravg("avg_review_score", 1)}, 1) AS avg_rating,
        round(avg(total_reviews_received), 0) AS avg_reviews
-FROM dim_host GROUP BY 1""", ["dim_host"])
+FROM dim_host GROUP BY host_type""", ["dim_host"])
 
 add("review_volume", """
 SELECT CAST(date_trunc('month', review_date) AS DATE) AS month, count(*) AS review_count
-FROM fct_reviews GROUP BY 1 ORDER BY 1""", ["fct_reviews"])
+FROM fct_reviews GROUP BY month ORDER BY month""", ["fct_reviews"])
 
 add("top_reviewed", """
 SELECT listing_name, number_of_reviews, price, review_scores_rating, neighbourhood, room_type
@@ -151,7 +167,7 @@ SELECT room_type, count(*) AS n,
        round(avg(minimum_nights), 0) AS min_nights
 FROM dim_listing WHERE price > 0
 GROUP BY room_type
-ORDER BY 3 DESC NULLS LAST, 1 NULLS LAST""", ["dim_listing"])
+ORDER BY ROUND(AVG(price), 0) DESC NULLS LAST, room_type NULLS LAST""", ["dim_listing"])
 
 _HOOD = """SELECT neighbourhood, round(avg(price), 0) AS price, count(*) AS n
   FROM dim_listing WHERE price > 0 GROUP BY neighbourhood"""
@@ -169,7 +185,7 @@ add("quarterly_occupancy", f"""
 SELECT CAST(date_trunc('quarter', month) AS DATE) AS q,
        round({ravg("occupancy_rate_pct", 1)}, 1) AS occ,
        round({ravg("avg_price", 2)}, 0) AS price
-FROM monthly_occupancy GROUP BY 1 ORDER BY 1""", ["monthly_occupancy"])
+FROM monthly_occupancy GROUP BY q ORDER BY q""", ["monthly_occupancy"])
 
 _PROFILE = f"""
 SELECT {_HOST_TYPE} AS type,
@@ -178,7 +194,7 @@ SELECT {_HOST_TYPE} AS type,
        round({ravg("avg_review_score", 1)}, 1) AS rating,
        round(avg(total_reviews_received), 0) AS reviews,
        round({ravg("avg_reviews_per_month", 2)}, 2) AS rvpm
-FROM dim_host GROUP BY 1"""
+FROM dim_host GROUP BY type"""
 add("superhost_profile", _PROFILE, ["dim_host"])
 
 add("superhost_premium", f"""
@@ -249,12 +265,13 @@ SELECT '{t}' AS source, max_loaded_at, age_days,
   CASE WHEN max_loaded_at IS NULL THEN 'error' WHEN age_days > {err} THEN 'error'
        WHEN age_days > {warn} THEN 'warn' ELSE 'pass' END AS status
 FROM (SELECT MAX({c}) AS max_loaded_at,
-        CAST(date_diff('day', MAX({c}), {AS_OF}) AS INTEGER) AS age_days FROM {t})"""
+        CAST(date_diff('day', MAX({c}), DATE '1999-02-15') AS INTEGER) AS age_days FROM {t})"""
     for t, c, warn, err in _SRC), ["raw_listings", "raw_reviews", "raw_calendar"])
 
 _MARTS = [("Listings (last_scraped)", "stg_listings", "last_scraped_date"),
           ("Reviews (most recent)", "fct_reviews", "review_date"),
-          ("Calendar (latest date)", "fct_calendar", "calendar_date")]
+          ("Calendar (latest date)", "fct_calendar", "calendar_date"),
+          ("Reviews (none)", "(SELECT * FROM fct_reviews WHERE false)", "review_date")]
 add("mart_freshness", "\nUNION ALL\n".join(f"""
 SELECT '{n}' AS name, max_date, days_ago,
   CASE WHEN days_ago < 365 THEN 'OK' ELSE 'STALE' END AS status
@@ -262,13 +279,19 @@ FROM (SELECT MAX({c}) AS max_date,
         COALESCE(CAST(date_diff('day', MAX({c}), {AS_OF}) AS INTEGER), 999) AS days_ago
       FROM {t})""" for n, t, c in _MARTS), ["stg_listings", "fct_reviews", "fct_calendar"])
 
-add("load_raw", """
-SELECT 'raw_listings' AS "table", COUNT(*) AS rows, 46 AS cols, false AS skipped
-FROM raw_listings
-UNION ALL SELECT 'raw_reviews', COUNT(*), 6, false FROM raw_reviews
-UNION ALL SELECT 'raw_calendar', COUNT(*), 7, false FROM raw_calendar
-UNION ALL SELECT 'raw_neighbourhoods', COUNT(*), 2, false FROM raw_neighbourhoods""",
-    ["raw_listings", "raw_reviews", "raw_calendar", "raw_neighbourhoods"])
+# Each raw table's columns, its key column and its text columns.
+_RAW = [("raw_listings", 46, "id", ["name", "neighbourhood_cleansed", "neighbourhood", "property_type", "room_type",
+         "bathrooms_text", "amenities", "price", "has_availability", "instant_bookable", "host_name", "host_location",
+         "host_response_time", "host_response_rate", "host_acceptance_rate", "host_is_superhost", "host_neighbourhood",
+         "host_has_profile_pic", "host_identity_verified"]),
+        ("raw_reviews", 6, "listing_id", ["reviewer_name", "comments"]),
+        ("raw_calendar", 7, "listing_id", ["available", "price", "adjusted_price"]),
+        ("raw_neighbourhoods", 2, None, ["neighbourhood_group", "neighbourhood"])]
+add("load_raw", "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS \"table\", COUNT(*) AS rows, {n} AS cols, false AS skipped, "
+    f"CAST({f'SUM({key})' if key else 0} AS BIGINT) AS key_sum, "
+    f"CAST({' + '.join(f'COALESCE(SUM(LENGTH({c})), 0)' for c in text)} AS BIGINT) AS text_chars FROM {t}"
+    for t, n, key, text in _RAW), [t for t, *_ in _RAW])
 
 # The end-to-end step log on a fresh warehouse: every model built (facts by full load),
 # one row per declared test with its failure count, then the five quality probes.

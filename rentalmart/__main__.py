@@ -2,7 +2,7 @@
 
   ingest     landed CSV files -> raw tables, prints the load report      (J-37)
   build      raw tables -> models, tests, quality gate; prints the steps (J-38)
-  freshness  source freshness of the raw tables                          (J-35)
+  freshness  freshness of the raw tables and the marts             (J-35, J-36)
 
 The session comes from the launcher's configuration (master, resources, shared storage);
 only unset options get this package's defaults. Paths are cluster paths (e.g. object
@@ -26,24 +26,29 @@ def _raw(spark, raw_dir: str, database: str | None):
                      read["raw_neighbourhoods"])
 
 
+def _raw_db(args) -> str | None:
+    return f"{args.database}_raw" if args.database else None
+
+
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="rentalmart")
     sub = p.add_subparsers(dest="cmd", required=True)
+    database = "use catalog tables: raw tables in <database>_raw, marts in <database>"
     ing = sub.add_parser("ingest")
     ing.add_argument("--landing", required=True, help="folder with <input>.csv[.gz] files")
     ing.add_argument("--raw", required=True, help="output folder for the raw tables")
-    ing.add_argument("--database", help="write catalog tables into this database")
+    ing.add_argument("--database", help=database)
     bld = sub.add_parser("build")
     bld.add_argument("--raw", required=True)
     bld.add_argument("--warehouse", required=True)
-    bld.add_argument("--database", help="raw and mart tables live in catalog databases "
-                                        "<database>_raw / <database>")
+    bld.add_argument("--database", help=database)
     bld.add_argument("--as-of", help="date for the review-date test (default: today)")
     bld.add_argument("--keep-going", action="store_true",
                      help="record failing tests instead of stopping")
     fr = sub.add_parser("freshness")
     fr.add_argument("--raw", required=True)
-    fr.add_argument("--database")
+    fr.add_argument("--database", help=database)
+    fr.add_argument("--warehouse", help="also report the freshness of the marts in this folder")
     fr.add_argument("--as-of")
     args = p.parse_args(argv)
 
@@ -51,15 +56,14 @@ def main(argv: list[str] | None = None) -> int:
     if args.cmd == "ingest":
         from rentalmart.sources import csv
         landing = args.landing.rstrip("/")
-        files = {t: f"{landing}/{name}*" for t, (name, _) in RAW_TABLES.items()}  # .csv(.gz)
-        report = csv.load_raw(spark, files, args.raw, database=args.database)
+        files = {t: csv.landed(spark, landing, name) for t, (name, _) in RAW_TABLES.items()}
+        report = csv.load_raw(spark, files, args.raw, database=_raw_db(args))
         report.show(truncate=False)
         return 0
     if args.cmd == "build":
         from rentalmart.plans.pipeline import PipelineFailed, run_pipeline
-        raw_db = f"{args.database}_raw" if args.database else None
         try:
-            steps = run_pipeline(spark, _raw(spark, args.raw, raw_db), args.warehouse,
+            steps = run_pipeline(spark, _raw(spark, args.raw, _raw_db(args)), args.warehouse,
                                  args.as_of, raise_on_failure=not args.keep_going,
                                  database=args.database)
         except PipelineFailed as exc:
@@ -69,10 +73,16 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     if args.cmd == "freshness":
         from rentalmart.plans import quality
-        raw = _raw(spark, args.raw, args.database)
+        raw = _raw(spark, args.raw, _raw_db(args))
         models = {"raw_listings": raw.listings, "raw_reviews": raw.reviews,
                   "raw_calendar": raw.calendar}
         quality.all_source_freshness(models, args.as_of).show(truncate=False)
+        if args.warehouse or args.database:
+            from rentalmart.plans import facts, staging
+            base = f"{args.database}." if args.database else args.warehouse.rstrip("/") + "/"
+            quality.all_mart_freshness(
+                staging.stg_listings(raw.listings), facts.read_fct_reviews(spark, base + "fct_reviews"),
+                facts.read_fct_calendar(spark, base + "fct_calendar"), args.as_of).show(truncate=False)
         return 0
     return 2
 

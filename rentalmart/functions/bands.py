@@ -9,16 +9,13 @@ Fixed values (defaults that must equal the reference's for equal results):
                       else Needs Improvement
   host type label:    superhost Superhost, else Regular
 
-Each band is one SQL CASE (``*_sql``) and a Column built from it with one ``expr`` call.
+Each band is one SQL CASE.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 
 @dataclass(frozen=True)
 class Bands:
@@ -63,23 +60,3 @@ def host_rating_tier_sql(score: str, bands: Bands = DEFAULT_BANDS) -> str:
 def host_type_sql(is_superhost: str) -> str:
     """A NULL superhost flag counts as Regular."""
     return f"CASE WHEN {is_superhost} THEN 'Superhost' ELSE 'Regular' END"
-
-
-def price_tier(price: str, bands: Bands = DEFAULT_BANDS) -> Column:
-    return F.expr(price_tier_sql(price, bands))
-
-
-def rating_category(score: str, bands: Bands = DEFAULT_BANDS) -> Column:
-    return F.expr(rating_category_sql(score, bands))
-
-
-def host_tier(is_superhost: str, num_listings: str, bands: Bands = DEFAULT_BANDS) -> Column:
-    return F.expr(host_tier_sql(is_superhost, num_listings, bands))
-
-
-def host_rating_tier(score: str, bands: Bands = DEFAULT_BANDS) -> Column:
-    return F.expr(host_rating_tier_sql(score, bands))
-
-
-def host_type(is_superhost: str) -> Column:
-    return F.expr(host_type_sql(is_superhost))

@@ -1,11 +1,8 @@
 """Numeric expressions with the reference's exact semantics.
 
 The reference runs on an embedded columnar database whose numeric rules differ from
-Spark's in a few places. Each helper exists in two forms: ``*_sql`` returns Spark SQL
-text (for ``selectExpr`` / ``expr``), and the plain name returns a ``Column``. Both are
-built-in expressions (no UDF), so whole-stage codegen is kept. Given a column *name* (or
-any SQL text) the Column form is built with a single ``expr`` call, which keeps the number
-of driver-to-JVM round trips per query small.
+Spark's in a few places. Each helper returns Spark SQL text of built-in expressions (for
+``selectExpr`` / ``expr``), so whole-stage codegen is kept.
 
 * ``round_half`` - ROUND on a DOUBLE: half away from zero on ``x * 10^n``, then divided
   back. Spark's ``round`` on a double rounds the shortest decimal form of its argument
@@ -19,9 +16,6 @@ of driver-to-JVM round trips per query small.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 MONEY_TYPE = "decimal(10,2)"
 
 
@@ -51,6 +45,14 @@ def avg_double_sql(e: str, scale: int = 0) -> str:
     return f"(CAST(sum({e}) * {p} AS DOUBLE) / CAST(count({e}) * {p} AS DOUBLE))"
 
 
+def avg_of_sums_sql(total: str, n: str, scale: int) -> str:
+    """``avg_double_sql`` from partial sums ``total`` of ``scale`` decimals and counts ``n``."""
+    if scale == 0:
+        return f"(CAST(sum({total}) AS DOUBLE) / CAST(sum({n}) AS DOUBLE))"
+    p = 10 ** scale
+    return f"(CAST(sum({total}) * {p} AS DOUBLE) / CAST(sum({n}) * {p} AS DOUBLE))"
+
+
 def avg_rounded_sql(e: str, scale: int) -> str:
     """AVG of a DOUBLE column whose values are already rounded to ``scale`` decimals
     (a mart's rounded averages and percentages).
@@ -96,55 +98,3 @@ def count_true_sql(e: str) -> str:
 def count_not_true_sql(e: str) -> str:
     """SUM(CASE WHEN e THEN 0 ELSE 1 END): NULL counts as not true."""
     return f"CAST(sum(CASE WHEN {e} THEN 0 ELSE 1 END) AS BIGINT)"
-
-
-# ---------------------------------------------------------------- Column forms
-def round_half(c, n: int = 0) -> Column:
-    if isinstance(c, str):
-        return F.expr(round_half_sql(c, n))
-    x = c.cast("double")
-    if n == 0:
-        return F.round(x, 0)
-    scale = float(10 ** n)
-    return F.round(x * F.lit(scale), 0) / F.lit(scale)
-
-
-def avg_double(c, scale: int = 0) -> Column:
-    if isinstance(c, str):
-        return F.expr(avg_double_sql(c, scale))
-    if scale == 0:
-        return F.sum(c).cast("double") / F.count(c).cast("double")
-    p = F.lit(10 ** scale)
-    return (F.sum(c) * p).cast("double") / (F.count(c) * p).cast("double")
-
-
-def to_int(c) -> Column:
-    if isinstance(c, str):
-        return F.expr(to_int_sql(c))
-    return F.rint(c.cast("double")).cast("int")
-
-
-def money(c) -> Column:
-    if isinstance(c, str):
-        return F.expr(money_sql(c))
-    return F.translate(c, "$,", "").try_cast(MONEY_TYPE)
-
-
-def pct(numerator: str, denominator: str, n: int = 1) -> Column:
-    return F.expr(pct_sql(numerator, denominator, n))
-
-
-def ratio(numerator: str, denominator: str) -> Column:
-    return F.expr(ratio_sql(numerator, denominator))
-
-
-def score_0_100(c: str, n: int) -> Column:
-    return F.expr(score_sql(c, n))
-
-
-def count_true(c: str) -> Column:
-    return F.expr(count_true_sql(c))
-
-
-def count_not_true(c: str) -> Column:
-    return F.expr(count_not_true_sql(c))

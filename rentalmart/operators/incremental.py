@@ -10,11 +10,10 @@ Semantics kept from the reference:
 
 Plan: ``batch LEFT ANTI JOIN target_keys`` (explicit; Spark does not turn LEFT JOIN +
 IS NULL, or a two-column NOT IN, into an anti-join by itself - the latter becomes a
-nested-loop join). The target is stored as Parquet partitioned by a coarse derived column
-(e.g. the month of the date key); before the anti-join the target scan is restricted to
-the partition range present in the batch, so the join never reads history the batch cannot
-touch. Keys must be non-null (tested by the not-null checks); a row with a NULL key part
-is treated as unseen.
+nested-loop join). Keys are matched null-safely, so a replay appends nothing, also for rows
+with a NULL key part. Rows match on the keys alone. Where the storage partition is a function
+of the keys (the month of a date key), the target scan is restricted to the distinct
+partition values of the batch; otherwise the whole key column of the target is read.
 
 The write goes through the committer of the Parquet data source: tasks retried after an
 executor loss write again, and only committed task output becomes visible.
@@ -24,10 +23,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rentalmart.session import exists
+
 
 class SchemaChangeError(RuntimeError):
     """The batch's schema differs from the target table's (on_schema_change = fail)."""
@@ -48,12 +50,7 @@ def read_target(spark: SparkSession, target: str) -> DataFrame | None:
     """The target (catalog table or Parquet path), or None when it does not exist yet."""
     if is_table_name(target):
         return spark.table(target) if spark.catalog.tableExists(target) else None
-    try:
-        return spark.read.parquet(target)
-    except AnalysisException as exc:
-        if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
-            return None
-        raise
+    return spark.read.parquet(target) if exists(spark, target) else None
 
 
 def _shape(df: DataFrame, skip: str | None) -> list[tuple[str, str]]:
@@ -67,8 +64,8 @@ def append_new(spark: SparkSession, batch: DataFrame, target: str, keys: list[st
 
     ``target`` is a catalog table name (``db.table``; existence via the catalog, writes via
     ``saveAsTable``) or a Parquet path. ``partition_col``/``partition_expr`` name and
-    compute the storage partition (a pure function of the keys, e.g.
-    ``trunc(date, 'month')``); ``read_table`` drops that column again.
+    compute the storage partition, which must be a function of the keys (e.g.
+    ``trunc(date, 'month')`` of a date key); ``read_table`` drops that column again.
     """
     existing = read_target(spark, target)
     to_write = batch
@@ -76,11 +73,9 @@ def append_new(spark: SparkSession, batch: DataFrame, target: str, keys: list[st
         to_write = batch.withColumn(partition_col, partition_expr)
 
     def write(df: DataFrame) -> None:
-        if partition_col is not None:
-            # Cluster rows by storage partition before writing: AQE then writes about one
-            # file per partition value, splitting a hot value into several files and
-            # coalescing small ones, instead of one file per (task, value).
-            df = df.hint("rebalance", partition_col)
+        # Files sized by bytes; with a storage partition, about one file per value (a hot
+        # value is split into several) instead of one per (task, value).
+        df = df.hint("rebalance", *([partition_col] if partition_col is not None else []))
         w = df.write.mode("append").format("parquet")
         if partition_col is not None:
             w = w.partitionBy(partition_col)
@@ -99,18 +94,15 @@ def append_new(spark: SparkSession, batch: DataFrame, target: str, keys: list[st
             f"{target}: {_shape(existing, partition_col)}")
 
     seen = existing
-    join_keys = list(keys)
     if partition_col is not None:
-        # Partition pruning: only the target partitions the batch can collide with.
-        bounds = to_write.agg(F.min(partition_col).alias("lo"),
-                              F.max(partition_col).alias("hi")).first()
-        if bounds is None or bounds["lo"] is None:
-            write(to_write)  # empty batch, or all partition values NULL: nothing to match
-            return AppendResult(target, "append")
-        seen = existing.where(F.col(partition_col).between(bounds["lo"], bounds["hi"]))
-        join_keys.append(partition_col)
-    fresh = to_write.join(seen.select(*join_keys), join_keys, "left_anti")
-    write(fresh.select(*to_write.columns))
+        # One value per month in the batch, also NULL: a short list at any batch size.
+        values = [r[0] for r in to_write.select(partition_col).distinct().collect()]
+        part = F.col(partition_col)
+        seen = existing.where(part.isin([v for v in values if v is not None])
+                              | (part.isNull() if None in values else F.lit(False)))
+    seen = seen.select(*[F.col(k).alias(f"seen_{k}") for k in keys])
+    same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"seen_{k}")) for k in keys])
+    write(to_write.join(seen, same, "left_anti").select(*to_write.columns))
     return AppendResult(target, "append")
 
 

@@ -1,110 +1,35 @@
-"""Exact grouped quantiles (PERCENTILE_CONT) that stay bounded on hot groups.
+"""Exact grouped quantiles (PERCENTILE_CONT) from counts of distinct values.
 
-Spark's built-in ``percentile`` is exact and combines map-side, but its buffer keeps one
-entry per distinct value of a group, so a group holding a third of all rows with many
-distinct values concentrates that map in one task. ``exact_quantiles`` computes the same
-numbers by radix refinement over integer values, using only grouped counts, bounded
-windows and small joins:
-
-1. ``(group, value) -> count``: a plain aggregate, combined map-side and hash-distributed
-   on the *value* too, so a hot group is spread over all reducers.
-2. Per group ``n`` and the 0-based ranks ``floor((n-1)q)`` and ``ceil((n-1)q)`` each
-   quantile needs (at most 2 per quantile per group).
-3. Per level, from the most significant bits down (``fanout_bits`` per level): count the
-   values of each group per bucket ``value >> shift`` inside the bucket chosen at the
-   previous level, take running counts over those buckets (a window over at most
-   ``2^fanout_bits`` rows), and keep, per wanted rank, the bucket that contains it.
-   At shift 0 the bucket is the value itself.
-4. Interpolate between the two order statistics with Spark's ``percentile`` formula, so
-   results equal the built-in exactly.
-
-No step holds a whole group: the largest window has ``2^fanout_bits`` rows and every join
-is between the distributed counts and a table of at most (groups x ranks) rows, which AQE
-broadcasts when small or splits on skew otherwise. Values must be integral (e.g. cents).
+Spark's built-in ``percentile`` keeps every distinct value of a group in one buffer. Here the
+rows are first counted per (group, value), combined map-side and dealt by the value too, so a
+group that holds a third of all rows is spread over all reducers. Running counts over a
+group's distinct values then say which value has which rank: a sorted stream per group that
+can spill, as long as the group has distinct values, whatever its rows.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
-
+from pyspark.sql import DataFrame
 
-def _null_safe(keys: list[str], other: dict[str, str]):
-    conds = [F.col(k).eqNullSafe(F.col(other[k])) for k in keys]
-    return reduce(lambda a, b: a & b, conds) if conds else F.lit(True)
 
+def ranked(counts: DataFrame, keys: list[str], value: str, count: str = "c") -> DataFrame:
+    """``counts`` (one row per ``keys`` and ``value``) with ``n``, the rows of the group, and
+    ``upto``, those up to and including the value."""
+    group = f"PARTITION BY {', '.join(keys)}"
+    return counts.selectExpr(
+        "*", f"sum({count}) OVER ({group}) AS n",
+        f"sum({count}) OVER ({group} ORDER BY {value} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto")
 
-def exact_quantiles(df: DataFrame, keys: list[str], value: str, qs: list[float],
-                    out: str = "quantiles", fanout_bits: int = 12) -> DataFrame:
-    """``keys`` + ``out`` (array<double>, one entry per ``qs``) of each group's non-null
-    integral ``value``. Groups without values are absent."""
-    if not keys:  # one global group: a constant key keeps every join an equi-join
-        return exact_quantiles(df.withColumn("_all", F.lit(0)), ["_all"], value, qs, out,
-                               fanout_bits).drop("_all")
-    from rentalmart.session import shared_dir
-    shared_dir(df.sparkSession)  # checkpoints go to the cluster's shared folder
-    v = F.col(value).cast("long")
-    # Every level reads the counts again: materialise them once (reliable checkpoint, so a
-    # lost executor does not send the levels back to the source), and cut each level's
-    # small rank table too, so the plan does not grow with the number of levels.
-    freq = (df.where(v.isNotNull()).groupBy(*keys, v.alias("_v"))
-            .agg(F.count(F.lit(1)).alias("_c"))).checkpoint()
-    lo_hi = freq.agg(F.min("_v"), F.max("_v")).first()  # one row: the value range
-    if lo_hi is None or lo_hi[0] is None:
-        return freq.select(*keys, F.array().cast("array<double>").alias(out)).limit(0)
-    width = max(abs(int(lo_hi[0])), abs(int(lo_hi[1]))).bit_length() + 1
-    top = ((width - 1) // fanout_bits) * fanout_bits
-    shifts = list(range(top, -1, -fanout_bits))
 
-    # Wanted ranks: one row per (group, quantile index, lower/upper order statistic).
-    n = freq.groupBy(*keys).agg(F.sum("_c").alias("_n"))
-    wanted = []
-    for i, q in enumerate(qs):
-        pos = (F.col("_n") - 1).cast("double") * F.lit(float(q))
-        for side, rank in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
-            wanted.append(n.select(*keys, F.lit(i).alias("_qi"), F.lit(side).alias("_side"),
-                                   pos.alias("_pos"), rank.cast("long").alias("_rank")))
-    cur = reduce(DataFrame.unionByName, wanted).withColumn("_offset", F.lit(0).cast("long")) \
-        .withColumn("_prefix", F.lit(None).cast("long"))
+def quantile_sql(value: str, q: float, keys: list[str], count: str = "c") -> str:
+    """The quantile of the group as a window expression over a ``ranked`` table: linear
+    interpolation between the two neighbouring order statistics."""
+    pos = f"((n - 1) * {float(q)!r}D)"
 
-    ren = {k: f"_k{i}" for i, k in enumerate(keys)}
-    prev = None
-    for s in shifts:
-        if prev is None:
-            counts = freq.groupBy(*keys, F.lit(None).cast("long").alias("_prefix"),
-                                  F.shiftright("_v", s).alias("_b"))
-        else:
-            chosen = cur.select(*[F.col(k).alias(ren[k]) for k in keys],
-                                F.col("_prefix").alias("_p")).distinct()
-            counts = (freq.join(chosen, _null_safe(keys, ren)
-                                & (F.shiftright("_v", prev) == F.col("_p")))
-                      .groupBy(*keys, F.col("_p").alias("_prefix"),
-                               F.shiftright("_v", s).alias("_b")))
-        counts = counts.agg(F.sum("_c").alias("_cnt"))
-        w = Window.partitionBy(*keys, "_prefix").orderBy("_b") \
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        counts = counts.withColumn("_before", F.sum("_cnt").over(w) - F.col("_cnt"))
-        side = counts.select(*[F.col(k).alias(ren[k]) for k in keys],
-                             F.col("_prefix").alias("_pp"), "_b", "_cnt", "_before")
-        cur = (cur.join(side, _null_safe(keys, ren) & F.col("_prefix").eqNullSafe(F.col("_pp"))
-                        & (F.col("_rank") >= F.col("_offset") + F.col("_before"))
-                        & (F.col("_rank") < F.col("_offset") + F.col("_before") + F.col("_cnt")))
-               .select(*keys, "_qi", "_side", "_pos", "_rank",
-                       (F.col("_offset") + F.col("_before")).alias("_offset"),
-                       F.col("_b").alias("_prefix"))).checkpoint()
-        prev = s
+    def at(rank: str) -> str:
+        return (f"max(CASE WHEN {rank} >= upto - {count} AND {rank} < upto THEN {value} END) "
+                f"OVER (PARTITION BY {', '.join(keys)})")
 
-    stats = cur.groupBy(*keys, "_qi").agg(
-        F.first("_pos").alias("_pos"),
-        F.max(F.when(F.col("_side") == "lo", F.col("_prefix"))).alias("_lo"),
-        F.max(F.when(F.col("_side") == "hi", F.col("_prefix"))).alias("_hi"))
-    # Spark's percentile: (ceil - pos) * lower + (pos - floor) * higher, or lower if equal.
-    value_at = F.when(F.ceil("_pos") == F.floor("_pos"), F.col("_lo").cast("double")).otherwise(
-        (F.ceil("_pos") - F.col("_pos")) * F.col("_lo")
-        + (F.col("_pos") - F.floor("_pos")) * F.col("_hi"))
-    return (stats.groupBy(*keys)
-            .agg(F.sort_array(F.collect_list(F.struct("_qi", value_at.alias("_x"))))
-                 .alias("_s"))
-            .select(*keys, F.transform("_s", lambda e: e["_x"]).alias(out)))
+    low, high = at(f"floor({pos})"), at(f"ceil({pos})")
+    return (f"CASE WHEN {low} = {high} THEN CAST({low} AS DOUBLE) "
+            f"ELSE (ceil({pos}) - {pos}) * {low} + ({pos} - floor({pos})) * {high} END")

@@ -1,7 +1,8 @@
 """Incrementally appended facts (J-11 ``fct_reviews``, J-12 ``fct_calendar``).
 
-Both are stored as Parquet partitioned by the month of their date column, so the
-anti-join of a new batch only scans the target months the batch covers.
+The calendar is stored by the month of its date key, so a new batch is matched against the
+target months it covers only. A review's month is not a function of its key (a review can
+come again with another date), so reviews match on ``review_id`` against the whole target.
 """
 
 from __future__ import annotations
@@ -13,7 +14,6 @@ from rentalmart.operators.incremental import AppendResult, append_new, read_tabl
 
 REVIEW_KEYS = ["review_id"]
 CALENDAR_KEYS = ["listing_id", "calendar_date"]
-REVIEW_PART = "review_month"
 CALENDAR_PART = "calendar_month"
 
 
@@ -26,8 +26,7 @@ def with_cal_key(calendar: DataFrame) -> DataFrame:
 
 def fct_reviews(spark: SparkSession, reviews: DataFrame, target: str) -> AppendResult:
     """J-11: append staged reviews whose ``review_id`` is not in ``target``."""
-    return append_new(spark, reviews, target, REVIEW_KEYS, REVIEW_PART,
-                      F.trunc("review_date", "month"))
+    return append_new(spark, reviews, target, REVIEW_KEYS)
 
 
 def fct_calendar(spark: SparkSession, calendar: DataFrame, target: str) -> AppendResult:
@@ -37,7 +36,7 @@ def fct_calendar(spark: SparkSession, calendar: DataFrame, target: str) -> Appen
 
 
 def read_fct_reviews(spark: SparkSession, target: str) -> DataFrame:
-    return read_table(spark, target, REVIEW_PART)
+    return read_table(spark, target)
 
 
 def read_fct_calendar(spark: SparkSession, target: str) -> DataFrame:

@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 
 from rentalmart.functions.bands import (DEFAULT_BANDS, Bands, host_rating_tier_sql,
                                         host_tier_sql, price_tier_sql, rating_category_sql)
-from rentalmart.functions.numeric import (avg_double_sql, avg_rounded_sql,
+from rentalmart.operators.quantiles import quantile_sql, ranked
+from rentalmart.functions.numeric import (avg_double_sql, avg_of_sums_sql, avg_rounded_sql,
                                           count_not_true_sql, count_true_sql, pct_sql,
                                           round_half_sql)
 from rentalmart.plans.staging import STG_LISTINGS_COLUMNS
@@ -197,56 +198,33 @@ def monthly_occupancy(calendar: DataFrame, listings: DataFrame) -> DataFrame:
                 + " AS avg_daily_rate"))
 
 
-def quartiles_sql(price: str = "price", qs=QUARTILES) -> str:
-    """Exact PERCENTILE_CONT of a money column, one pass for all quantiles.
-
-    Works on integer cents and truncates the interpolated value to whole cents, as the
-    reference does when it interpolates a DECIMAL. Returns array<double> of money values.
-    """
-    arr = ", ".join(f"{float(q)!r}D" for q in qs)
-    return (f"transform(percentile(CAST({price} * 100 AS BIGINT), array({arr})), "
-            f"v -> floor(v) / 100.0D)")
-
-
-def pricing_analysis(listings: DataFrame, min_n: int = MIN_GROUP_SIZE,
-                     quantiles: str = "percentile") -> DataFrame:
+def pricing_analysis(listings: DataFrame, min_n: int = MIN_GROUP_SIZE) -> DataFrame:
     """J-14: price statistics per (neighbourhood, room_type) with at least ``min_n``
     positively priced listings, sorted by the two keys (NULL keys last).
 
-    ``quantiles="percentile"`` (default) uses the built-in exact ``percentile`` (buffer:
-    distinct prices per group); ``"bucketed"`` uses ``operators.quantiles`` (same values,
-    bounded memory per task however hot a segment is).
+    One pass: listings are counted per segment and price, with the exact sums of the averaged
+    columns; quartiles and averages follow from that table. PERCENTILE_CONT of money
+    truncates to whole cents.
     """
     keys = ["neighbourhood", "room_type"]
-    priced = listings.where("price > 0")
-    aggs = ["count(1) AS num_listings",
-            f"{round_half_sql(avg_double_sql('price', 2), 2)} AS avg_price",
-            "min(price) AS min_price",
-            "max(price) AS max_price",
-            f"{round_half_sql(avg_double_sql('review_scores_rating', 1), 1)} "
-            "AS avg_review_score",
-            f"{round_half_sql(avg_rounded_sql('occupancy_rate_pct', 1), 1)} AS avg_occupancy_pct",
-            f"{round_half_sql(avg_double_sql('reviews_per_month', 2), 2)} "
-            "AS avg_reviews_per_month",
-            f"{round_half_sql(avg_double_sql('minimum_nights'), 0)} AS avg_min_nights"]
-    if quantiles == "percentile":
-        grouped = priced.groupBy(*keys).agg(*_x(*aggs, f"{quartiles_sql('price')} AS q"))
-    elif quantiles == "bucketed":
-        from rentalmart.operators.quantiles import exact_quantiles
-        cents = priced.selectExpr(*keys, "CAST(price * 100 AS BIGINT) AS cents")
-        qdf = exact_quantiles(cents, keys, "cents", list(QUARTILES), out="_qc") \
-            .selectExpr("neighbourhood AS _n", "room_type AS _r",
-                        "transform(_qc, v -> floor(v) / 100.0D) AS q")
-        grouped = (priced.groupBy(*keys).agg(*_x(*aggs))
-                   .join(qdf, F.expr("neighbourhood <=> _n AND room_type <=> _r"), "left"))
-    else:
-        raise ValueError(f"unknown quantiles method {quantiles!r}")
-    return (grouped.where(f"num_listings >= {int(min_n)}")
-            .selectExpr(
-                "neighbourhood", "room_type", "num_listings", "avg_price",
-                "round(min_price, 2) AS min_price",
-                "q[0] AS p25_price", "q[1] AS median_price", "q[2] AS p75_price",
-                "round(max_price, 2) AS max_price",
-                "avg_review_score", "avg_occupancy_pct", "avg_reviews_per_month",
-                "avg_min_nights")
+    averaged = {"price": ("price", 2), "rating": ("review_scores_rating", 1),
+                "occupancy": ("CAST(occupancy_rate_pct AS DECIMAL(24,1))", 1),
+                "monthly": ("reviews_per_month", 2), "nights": ("minimum_nights", 0)}
+    counts = (listings.where("price > 0").groupBy(*keys, F.expr("price AS value"))
+              .agg(*_x("count(1) AS c", *[f"sum({e}) AS {n}_sum" for n, (e, _) in averaged.items()],
+                       *[f"count({e}) AS {n}_n" for n, (e, _) in averaged.items()])))
+    cents = "CAST(value * 100 AS BIGINT)"
+    quartiled = ranked(counts, keys, "value").selectExpr(
+        "*", *[f"floor({quantile_sql(cents, q, keys)}) / 100.0D AS q{k}" for k, q in enumerate(QUARTILES)])
+
+    def average(name: str, n: int) -> str:
+        return round_half_sql(avg_of_sums_sql(f"{name}_sum", f"{name}_n", averaged[name][1]), n)
+
+    return (quartiled.groupBy(*keys).agg(*_x(
+                "sum(c) AS num_listings", f"{average('price', 2)} AS avg_price",
+                "round(min(value), 2) AS min_price", "max(q0) AS p25_price", "max(q1) AS median_price",
+                "max(q2) AS p75_price", "round(max(value), 2) AS max_price",
+                f"{average('rating', 1)} AS avg_review_score", f"{average('occupancy', 1)} AS avg_occupancy_pct",
+                f"{average('monthly', 2)} AS avg_reviews_per_month", f"{average('nights', 0)} AS avg_min_nights"))
+            .where(f"num_listings >= {int(min_n)}")
             .orderBy(F.asc_nulls_last("neighbourhood"), F.asc_nulls_last("room_type")))

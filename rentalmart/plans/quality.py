@@ -13,7 +13,8 @@ Fixed values (defaults that must equal the reference's):
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 EARLIEST_REVIEW = "2010-01-01"
@@ -101,43 +102,53 @@ def _date_text(c: Column) -> Column:
                     F.lit(")"))
 
 
-def quality_probe(dim_listing: DataFrame, fct_reviews: DataFrame, fct_calendar: DataFrame,
-                  min_values: dict[str, int] | None = None) -> DataFrame:
+def quality_probe(dim_listing: DataFrame | None, fct_reviews: DataFrame | None,
+                  fct_calendar: DataFrame | None, min_values: dict[str, int] | None = None) -> DataFrame:
     """J-34: the five runtime checks as (check, result, status).
 
-    A check passes when it evaluates (as in the reference); ``min_values`` optionally
-    turns a count below a minimum into FAIL. Three single-pass aggregates, unioned.
+    A check passes when it evaluates (as in the reference); ``min_values`` optionally turns a
+    count below a minimum into FAIL. One aggregate per table. A table that cannot be read
+    (None, or an error when its checks are planned) fails its own checks with the error's
+    text, and the others go on.
     """
     mins = min_values or {}
-    listing = dim_listing.agg(
-        F.count_if(F.col("price") > 0).alias("a"),
-        F.count_if(F.col("number_of_reviews") > 0).alias("b"),
-        F.countDistinct("neighbourhood").alias("c"))
-    reviews = fct_reviews.agg(F.count(F.lit(1)).alias("d"))
-    calendar = fct_calendar.agg(F.min("calendar_date").alias("lo"),
-                                F.max("calendar_date").alias("hi"))
-
-    def status(name: str, value: Column) -> Column:
-        if name in mins:
-            return F.when(value >= F.lit(mins[name]), "PASS").otherwise("FAIL")
-        return F.lit("PASS")
-
-    def count_row(df: DataFrame, name: str, col: str) -> DataFrame:
-        v = F.col(col)
-        return df.select(F.lit(name).alias("check"), _tuple_text(v.cast("string"))
-                         .alias("result"), status(name, v).alias("status"))
-
-    rows = [count_row(listing, "Listings with price > 0", "a"),
-            count_row(listing, "Listings with reviews", "b"),
-            count_row(listing, "Neighbourhoods", "c"),
-            count_row(reviews, "Total reviews", "d"),
-            calendar.select(F.lit("Calendar date range").alias("check"),
-                            _tuple_text(_date_text(F.col("lo")), _date_text(F.col("hi")))
-                            .alias("result"), F.lit("PASS").alias("status"))]
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+
+    def counted(df: DataFrame, *checks: tuple[str, Column]) -> DataFrame:
+        totals = df.agg(*[c.alias(f"v{k}") for k, (_, c) in enumerate(checks)])
+        pairs = ", ".join(f"'{name}', v{k}" for k, (name, _) in enumerate(checks))
+        rows = totals.selectExpr(f"stack({len(checks)}, {pairs}) AS (check, v)")
+        least = F.coalesce(*[F.when(F.col("check") == n, F.lit(m)) for n, m in mins.items()], F.lit(None).cast("long"))
+        return rows.select("check", _tuple_text(F.col("v").cast("string")).alias("result"),
+                           F.when(F.col("v") < least, "FAIL").otherwise("PASS").alias("status"))
+
+    def dated(df: DataFrame, name: str) -> DataFrame:
+        span = df.agg(F.min("calendar_date").alias("lo"), F.max("calendar_date").alias("hi"))
+        return span.select(F.lit(name).alias("check"), _tuple_text(_date_text(F.col("lo")), _date_text(F.col("hi")))
+                           .alias("result"), F.lit("PASS").alias("status"))
+
+    groups = [
+        (dim_listing, ["Listings with price > 0", "Listings with reviews", "Neighbourhoods"],
+         lambda df, names: counted(df, *zip(names, (F.count_if(F.col("price") > 0), F.count_if(F.col("number_of_reviews") > 0),
+                                                   F.countDistinct("neighbourhood"))))),
+        (fct_reviews, ["Total reviews"], lambda df, names: counted(df, (names[0], F.count(F.lit(1))))),
+        (fct_calendar, ["Calendar date range"], lambda df, names: dated(df, names[0]))]
+    out = []
+    for df, names, probe in groups:
+        try:
+            if df is None:
+                raise ValueError("table is missing")
+            rows = probe(df, names)
+            rows.schema  # noqa: B018 - a missing column shows here, not in the middle of the job
+        except (PySparkException, ValueError) as exc:
+            text = str(exc).splitlines()[0]
+            rows = _session(dim_listing, fct_reviews, fct_calendar).createDataFrame(
+                [(n, text, "FAIL") for n in names], "check string, result string, status string")
+        out.append(rows)
+    return union_all(out)
+
+
+def _session(*frames: DataFrame | None):
+    return next((df.sparkSession for df in frames if df is not None), None) or SparkSession.active()
 
 
 def source_freshness(df: DataFrame, col: str, warn_days: int, error_days: int, as_of=None,
@@ -186,3 +197,8 @@ def all_source_freshness(raw: dict[str, DataFrame], as_of=None) -> DataFrame:
                       for s, (col, warn, err) in SOURCE_FRESHNESS.items()])
 
 
+def all_mart_freshness(listings: DataFrame, reviews: DataFrame, calendar: DataFrame, as_of=None) -> DataFrame:
+    """J-36 for the staged listings and the two facts."""
+    return union_all([mart_freshness(listings, "last_scraped_date", as_of, "Listings (last_scraped)"),
+                      mart_freshness(reviews, "review_date", as_of, "Reviews (most recent)"),
+                      mart_freshness(calendar, "calendar_date", as_of, "Calendar (latest date)")])

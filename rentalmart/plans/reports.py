@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from rentalmart.functions.bands import host_type_sql
 from rentalmart.functions.numeric import (avg_double_sql, avg_rounded_sql, ratio_sql,
                                           round_half_sql)
+from rentalmart.operators.quantiles import quantile_sql, ranked
 
 PRICE_CAP = 100000
 TOP_SEGMENTS = 50
@@ -70,24 +71,16 @@ def price_box(dim_listing: DataFrame, cap: float = PRICE_CAP) -> DataFrame:
     """J-19: box-plot summary per room type: quartiles (linear interpolation), 1.5 IQR
     fences and the number of outliers. Computed where the data lives instead of shipping
     every price to a chart library."""
-    rows = price_rows(dim_listing, cap)
-    stats = (rows.groupBy("room_type")
-             .agg(*_x("percentile(CAST(price * 100 AS BIGINT), "
-                      "array(0.25D, 0.5D, 0.75D)) AS q", "count(1) AS n"))
-             .selectExpr("room_type", "n", "q[0] / 100.0D AS q1", "q[1] / 100.0D AS median",
-                         "q[2] / 100.0D AS q3")
-             .selectExpr("*", "q1 - 1.5D * (q3 - q1) AS lower_fence",
-                         "q3 + 1.5D * (q3 - q1) AS upper_fence"))
-    # One stats row per room type: the join is broadcast when AQE measures it small, and
-    # a hot room type on the big side is split by AQE's skew-join handling otherwise.
-    fences = stats.selectExpr("room_type AS _rt", "lower_fence", "upper_fence")
-    outliers = (rows.join(fences, F.expr("room_type <=> _rt"))
-                .where("CAST(price AS DOUBLE) < lower_fence OR "
-                       "CAST(price AS DOUBLE) > upper_fence")
-                .groupBy("_rt").agg(F.expr("count(1) AS n_outliers")))
-    return (stats.join(outliers, F.expr("room_type <=> _rt"), "left")
-            .selectExpr("room_type", "n", "q1", "median", "q3", "lower_fence", "upper_fence",
-                        "coalesce(n_outliers, CAST(0 AS BIGINT)) AS n_outliers"))
+    keys = ["room_type"]
+    counts = (price_rows(dim_listing, cap).groupBy("room_type", F.expr("CAST(price * 100 AS BIGINT) AS cents"))
+              .agg(F.expr("count(1) AS c")))
+    fenced = (ranked(counts, keys, "cents")
+              .selectExpr("*", *[f"{quantile_sql('cents', q, keys)} / 100.0D AS {name}"
+                                 for name, q in (("q1", 0.25), ("median", 0.5), ("q3", 0.75))])
+              .selectExpr("*", "q1 - 1.5D * (q3 - q1) AS lower_fence", "q3 + 1.5D * (q3 - q1) AS upper_fence"))
+    return fenced.groupBy("room_type").agg(*_x(
+        "sum(c) AS n", *[f"max({c}) AS {c}" for c in ("q1", "median", "q3", "lower_fence", "upper_fence")],
+        "sum(IF(cents / 100.0D < lower_fence OR cents / 100.0D > upper_fence, c, 0)) AS n_outliers"))
 
 
 def occupancy_trend(monthly: DataFrame) -> DataFrame:

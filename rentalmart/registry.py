@@ -43,27 +43,10 @@ def register(name: str):
 
 
 # ---------------------------------------------------------------- model chain helpers
-# The model chain is a lazy plan; building it costs driver-to-JVM round trips, not data
-# work. Each model's DataFrame is therefore built once per (session, folder) and reused by
-# every query that needs it - every action still reads and computes from the raw tables
-# (nothing is cached or persisted).
-_MODELS: dict[tuple, DataFrame] = {}
-
-
-def _model(fn):
-    def get(spark, sf_dir):
-        key = (fn.__name__, id(spark), sf_dir)
-        if key not in _MODELS:
-            _MODELS[key] = fn(spark, sf_dir)
-        return _MODELS[key]
-    get.__name__ = fn.__name__
-    return get
-
-
-_raw_listings = _model(adapters.raw_listings)
-_raw_reviews = _model(adapters.raw_reviews)
-_raw_calendar = _model(adapters.raw_calendar)
-_raw_neighbourhoods = _model(adapters.raw_neighbourhoods)
+_raw_listings = adapters.raw_listings
+_raw_reviews = adapters.raw_reviews
+_raw_calendar = adapters.raw_calendar
+_raw_neighbourhoods = adapters.raw_neighbourhoods
 
 
 def _raw_inputs(spark, sf_dir):
@@ -71,38 +54,31 @@ def _raw_inputs(spark, sf_dir):
                               _raw_calendar(spark, sf_dir), _raw_neighbourhoods(spark, sf_dir))
 
 
-@_model
 def _stg_listings(spark, sf_dir):
     return staging.stg_listings(_raw_listings(spark, sf_dir))
 
 
-@_model
 def _stg_reviews(spark, sf_dir):
     return staging.stg_reviews(_raw_reviews(spark, sf_dir))
 
 
-@_model
 def _stg_calendar(spark, sf_dir):
     return staging.stg_calendar(_raw_calendar(spark, sf_dir))
 
 
-@_model
 def _enriched(spark, sf_dir):
     return marts.listings_enriched(_stg_listings(spark, sf_dir), _stg_reviews(spark, sf_dir),
                                    _stg_calendar(spark, sf_dir))
 
 
-@_model
 def _dim_listing(spark, sf_dir):
     return marts.dim_listing(_enriched(spark, sf_dir))
 
 
-@_model
 def _dim_host(spark, sf_dir):
     return marts.dim_host(marts.host_metrics(_stg_listings(spark, sf_dir)))
 
 
-@_model
 def _monthly(spark, sf_dir):
     return marts.monthly_occupancy(_stg_calendar(spark, sf_dir), _dim_listing(spark, sf_dir))
 
@@ -170,8 +146,8 @@ def q_dim_neighbourhood(spark, sf_dir):
 
 @register("monthly_occupancy")
 def q_monthly_occupancy(spark, sf_dir):
-    """J-13"""
-    return _monthly(spark, sf_dir)
+    """J-13, over the appended calendar fact."""
+    return marts.monthly_occupancy(_fct_calendar(spark, sf_dir), _dim_listing(spark, sf_dir))
 
 
 @register("pricing_analysis")
@@ -180,15 +156,10 @@ def q_pricing_analysis(spark, sf_dir):
     return marts.pricing_analysis(_dim_listing(spark, sf_dir))
 
 
-@register("pricing_analysis_bucketed")
-def q_pricing_analysis_bucketed(spark, sf_dir):
-    """J-14 with the skew-bounded exact quantile operator (same result)."""
-    return marts.pricing_analysis(_dim_listing(spark, sf_dir), quantiles="bucketed")
-
-
 # ---------------------------------------------------------------- J-11, J-12: incremental
 # Fixed snapshot date of the time-dependent checks, so reruns and the oracle agree.
 AS_OF = "2025-09-30"
+SOURCES_AS_OF = "1999-02-15"  # one source is fresh, one due and one late then
 
 
 def _changed_known_keys(raw_cal: DataFrame) -> DataFrame:
@@ -196,32 +167,46 @@ def _changed_known_keys(raw_cal: DataFrame) -> DataFrame:
     return raw_cal.where("date >= DATE'2000-01-01'").withColumn("price", F.lit("$1.00"))
 
 
-@register("fct_reviews")
-def q_fct_reviews(spark, sf_dir):
-    """J-11: two batches (even review ids, then all) and a repeat with changed text."""
+def _appended(spark, name, batches, stage, append, read):
+    """The fact after appending ``batches`` in order to a new table."""
+    from rentalmart.session import discard_at_exit, fresh_path
+    target = fresh_path(spark, name)
+    for b in batches:
+        append(spark, stage(b), target)
+    discard_at_exit(spark, target)
+    return read(spark, target)
+
+
+def _fct_reviews(spark, sf_dir, more=()):
     from rentalmart.plans import facts
-    from rentalmart.session import fresh_path
     raw = _raw_reviews(spark, sf_dir)
-    target = fresh_path(spark, "fct_reviews")
-    for b in [*adapters.review_batches(raw), raw.withColumn("comments", F.lit("changed"))]:
-        facts.fct_reviews(spark, staging.stg_reviews(b), target)
-    return facts.read_fct_reviews(spark, target)
+    return _appended(spark, "fct_reviews", [*adapters.review_batches(raw), *more],
+                     staging.stg_reviews, facts.fct_reviews, facts.read_fct_reviews)
+
+
+def _fct_calendar(spark, sf_dir, more=()):
+    from rentalmart.plans import facts
+    raw = _raw_calendar(spark, sf_dir)
+    return _appended(spark, "fct_calendar", [*adapters.calendar_batches(raw), *more],
+                     staging.stg_calendar, facts.fct_calendar, facts.read_fct_calendar)
+
+
+@register("fct_reviews")
+def q_fct_reviews(spark, sf_dir):
+    """J-11: even review ids, then all, then all again with another month and text."""
+    return _fct_reviews(spark, sf_dir, [adapters.moved_reviews(_raw_reviews(spark, sf_dir))])
 
 
-def _calendar_batches(spark, sf_dir):
+def _later_days(spark, sf_dir):
+    """Batches after the first two: known days with other prices, undated days twice."""
     raw = _raw_calendar(spark, sf_dir)
-    return [*adapters.calendar_batches(raw), _changed_known_keys(raw)]
+    return [_changed_known_keys(raw), adapters.undated_days(raw), adapters.undated_days(raw)]
 
 
 @register("fct_calendar")
 def q_fct_calendar(spark, sf_dir):
-    """J-12: two batches (days before 1999, then all) and a repeat with changed prices."""
-    from rentalmart.plans import facts
-    from rentalmart.session import fresh_path
-    target = fresh_path(spark, "fct_calendar")
-    for b in _calendar_batches(spark, sf_dir):
-        facts.fct_calendar(spark, staging.stg_calendar(b), target)
-    return facts.read_fct_calendar(spark, target)
+    """J-12: days before 1999, then all, known days with other prices, undated days twice."""
+    return _fct_calendar(spark, sf_dir, _later_days(spark, sf_dir))
 
 
 @register("fct_calendar_stream")
@@ -229,28 +214,23 @@ def q_fct_calendar_stream(spark, sf_dir):
     """J-12 delivered by Structured Streaming: each batch lands as files, then one
     availableNow run appends what arrived."""
     from rentalmart.plans import facts
-    from rentalmart.session import fresh_path
+    from rentalmart.session import discard, discard_at_exit, fresh_path
     from rentalmart.sources.schemas import RAW_CALENDAR
     from rentalmart.streaming.delivery import deliver
     landing, target = fresh_path(spark, "landing"), fresh_path(spark, "fct_calendar")
     checkpoint = fresh_path(spark, "checkpoint")
-    for i, b in enumerate(_calendar_batches(spark, sf_dir)):
+    batches = [*adapters.calendar_batches(_raw_calendar(spark, sf_dir)), *_later_days(spark, sf_dir)]
+    for i, b in enumerate(batches):
         b.write.mode("overwrite").parquet(f"{landing}/batch={i}")
         deliver(spark, landing, RAW_CALENDAR, staging.stg_calendar, facts.fct_calendar,
                 target, checkpoint, options={"recursiveFileLookup": "true"})
+    for path in (landing, checkpoint):
+        discard(spark, path)
+    discard_at_exit(spark, target)
     return facts.read_fct_calendar(spark, target)
 
 
 # ---------------------------------------------------------------- J-15 .. J-29: reports
-def _fct_reviews_fresh(spark, sf_dir):
-    return _stg_reviews(spark, sf_dir)  # first build: every staged review
-
-
-def _fct_calendar_fresh(spark, sf_dir):
-    from rentalmart.plans.facts import with_cal_key
-    return with_cal_key(_stg_calendar(spark, sf_dir))
-
-
 def _report(name: str, build):
     @register(name)
     def q(spark, sf_dir):
@@ -265,12 +245,14 @@ def _reports():
     _report("listings_per_host", lambda s, d: R.listings_per_host(_dim_listing(s, d)))
     _report("top_segments", lambda s, d: R.top_segments(
         marts.pricing_analysis(_dim_listing(s, d))))
+    _report("top_segments_shown", lambda s, d: R.top_segments(
+        marts.pricing_analysis(_dim_listing(s, d)), shown=R.TOP_SEGMENTS_SHOWN))
     _report("price_rows", lambda s, d: R.price_rows(_dim_listing(s, d)))
     _report("price_box", lambda s, d: R.price_box(_dim_listing(s, d)))
     _report("occupancy_trend", lambda s, d: R.occupancy_trend(_monthly(s, d)))
     _report("hosts_by_tier", lambda s, d: R.hosts_by_tier(_dim_host(s, d)))
     _report("superhost_compare", lambda s, d: R.superhost_compare(_dim_host(s, d)))
-    _report("review_volume", lambda s, d: R.review_volume(_fct_reviews_fresh(s, d)))
+    _report("review_volume", lambda s, d: R.review_volume(_fct_reviews(s, d)))
     _report("top_reviewed", lambda s, d: R.top_reviewed(_dim_listing(s, d)))
     _report("room_breakdown", lambda s, d: R.room_breakdown(_dim_listing(s, d)))
     _report("neighbourhood_gap", lambda s, d: R.neighbourhood_gap(_dim_listing(s, d)))
@@ -319,57 +301,67 @@ def q_non_positive_price(spark, sf_dir):
 def q_bad_review_dates(spark, sf_dir):
     """J-33"""
     from rentalmart.plans import quality
-    return quality.bad_review_dates(_fct_reviews_fresh(spark, sf_dir), AS_OF)
+    return quality.bad_review_dates(_fct_reviews(spark, sf_dir), AS_OF)
 
 
 @register("quality_probe")
 def q_quality_probe(spark, sf_dir):
     """J-34"""
     from rentalmart.plans import quality
-    return quality.quality_probe(_dim_listing(spark, sf_dir), _fct_reviews_fresh(spark, sf_dir),
-                                 _fct_calendar_fresh(spark, sf_dir))
+    return quality.quality_probe(_dim_listing(spark, sf_dir), _fct_reviews(spark, sf_dir),
+                                 _fct_calendar(spark, sf_dir))
 
 
 @register("source_freshness")
 def q_source_freshness(spark, sf_dir):
     """J-35"""
     from rentalmart.plans import quality
-    return quality.all_source_freshness(_test_models(spark, sf_dir), AS_OF)
+    return quality.all_source_freshness(_test_models(spark, sf_dir), SOURCES_AS_OF)
 
 
 @register("mart_freshness")
 def q_mart_freshness(spark, sf_dir):
     """J-36: listings (last scrape), reviews and calendar."""
     from rentalmart.plans import quality
-    return quality.union_all([
-        quality.mart_freshness(_stg_listings(spark, sf_dir), "last_scraped_date", AS_OF,
-                               "Listings (last_scraped)"),
-        quality.mart_freshness(_fct_reviews_fresh(spark, sf_dir), "review_date", AS_OF,
-                               "Reviews (most recent)"),
-        quality.mart_freshness(_fct_calendar_fresh(spark, sf_dir), "calendar_date", AS_OF,
-                               "Calendar (latest date)")])
+    reviews = _fct_reviews(spark, sf_dir)
+    marts_now = quality.all_mart_freshness(_stg_listings(spark, sf_dir), reviews, _fct_calendar(spark, sf_dir), AS_OF)
+    return marts_now.unionByName(quality.mart_freshness(reviews.where("false"), "review_date", AS_OF, "Reviews (none)"))
 
 
 # ---------------------------------------------------------------- J-37, J-38
 @register("load_raw")
 def q_load_raw(spark, sf_dir):
-    """J-37: land the four inputs as CSV files, then load them to raw Parquet tables."""
-    from rentalmart.session import fresh_path
+    """J-37: land the four inputs as CSV files and load them to raw Parquet tables: the load
+    report, with each loaded table's sum of its first whole-number column and the characters
+    in its text columns."""
+    from rentalmart.session import discard, discard_at_exit, fresh_path
     from rentalmart.sources import csv
     raw = _raw_inputs(spark, sf_dir)
-    landing = fresh_path(spark, "landing-csv")
+    landing, out = fresh_path(spark, "landing-csv"), fresh_path(spark, "raw")
     frames = {"raw_listings": raw.listings, "raw_reviews": raw.reviews,
               "raw_calendar": raw.calendar, "raw_neighbourhoods": raw.neighbourhoods}
     for table, df in frames.items():
         csv.write_csv(df, f"{landing}/{table}")
-    return csv.load_raw(spark, {t: f"{landing}/{t}" for t in frames},
-                        fresh_path(spark, "raw"))
+    report = csv.load_raw(spark, {t: f"{landing}/{t}" for t in frames}, out)
+    discard(spark, landing)
+    discard_at_exit(spark, out)
+    content = None
+    for table in frames:
+        loaded = csv.read_raw(spark, out, table)
+        key = next((f"sum(`{c}`)" for c, kind in loaded.dtypes if kind == "bigint"), "0")
+        chars = " + ".join(f"coalesce(sum(length(`{c}`)), 0)" for c, kind in loaded.dtypes if kind == "string")
+        one = loaded.selectExpr(f"CAST({key} AS BIGINT) AS key_sum", f"CAST({chars} AS BIGINT) AS text_chars") \
+            .withColumn("table", F.lit(table))
+        content = one if content is None else content.unionByName(one)
+    return report.join(content, "table")
 
 
 @register("build_all")
 def q_build_all(spark, sf_dir):
     """J-38: build all models, run the tests and the quality gate; the step log."""
     from rentalmart.plans.pipeline import run_pipeline
-    from rentalmart.session import fresh_path
-    return run_pipeline(spark, _raw_inputs(spark, sf_dir),
-                        fresh_path(spark, "warehouse"), AS_OF, raise_on_failure=False)
+    from rentalmart.session import discard_at_exit, fresh_path
+    warehouse = fresh_path(spark, "warehouse")
+    steps = run_pipeline(spark, _raw_inputs(spark, sf_dir), warehouse, AS_OF, raise_on_failure=False)
+    discard_at_exit(spark, warehouse)
+    return steps

@@ -1,8 +1,8 @@
 """Spark session and shared-folder helpers.
 
 Jobs never create a session themselves; they take the caller's. ``get_session`` is the
-convenience used by tests, the bench and the command line, and it only sets options that
-are not already set, so a cluster's own configuration always wins.
+convenience used by tests, the bench and the command line. It sets an option only where
+neither ``--conf`` nor spark-defaults has it, so a cluster's own configuration wins.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
 # Defaults for a session we create. Every one of them is only a default: anything the
@@ -42,45 +43,80 @@ def get_session(master: str | None = None, app: str = "rentalmart",
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    conf = dict(DEFAULT_CONF)
+    SparkContext._ensure_initialized()  # starts the JVM, which knows what was submitted
+    submitted = SparkConf()
+    for key, value in DEFAULT_CONF.items():
+        if not submitted.contains(key):
+            builder = builder.config(key, value)
     if shuffle_partitions:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
-    for key, value in conf.items():
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    for key, value in (extra or {}).items():  # asked for in code: always set
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("WARN")
     return spark
 
 
-_FALLBACK: dict[int, str] = {}
+class SharedFolderMissing(RuntimeError):
+    """No folder that all executors share is configured."""
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder for checkpoints and written tables.
+    """The shared folder for checkpoints and written tables: ``spark.checkpoint.dir``, or the
+    folder registered with the SparkContext.
 
-    Read from ``spark.checkpoint.dir`` (the cluster names it). Only when it is unset, as in
-    local tests, a private folder under the temp dir is created and registered.
+    Where neither is set, a session on a local master (one machine, as in tests) registers a
+    private temp folder; on a cluster that would scatter files over the machines' own disks,
+    so it is an error.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        sc = spark.sparkContext
-    except Exception:  # a remote session has no SparkContext; the conf is all there is
-        sc = None
-    if not configured and sc is not None:
-        configured = sc.getConf().get("spark.checkpoint.dir", None)
-        if not configured and sc.getCheckpointDir():
-            return sc.getCheckpointDir()  # registered earlier (e.g. by the fallback below)
+    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not configured and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
     if not configured:
-        # Unset (local tests): a private folder, registered with the SparkContext only -
-        # spark.checkpoint.dir is a static setting and cannot be changed at run time.
-        configured = _FALLBACK.setdefault(id(spark), tempfile.mkdtemp(prefix="rentalmart-ckpt-"))
-    if sc is not None and sc.getCheckpointDir() is None:
+        if not is_local(sc.master):
+            raise SharedFolderMissing("set spark.checkpoint.dir to a folder that all executors share")
+        configured = tempfile.mkdtemp(prefix="rentalmart-ckpt-")
+    if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(configured)
-    return configured
+    return configured if spark.conf.get("spark.checkpoint.dir", None) else sc.getCheckpointDir()
+
+
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process (``local-cluster`` is not)."""
+    return master == "local" or master.startswith("local[")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A new, unused location under the shared folder for one table of one run."""
+    """A new, unused location under the shared folder for one table of one run; ``discard``
+    it, or have it deleted with ``discard_at_exit`` once it is written."""
     base = shared_dir(spark).rstrip("/")
     return f"{base}/rentalmart/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _located(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` (a file, or a folder with anything but hidden files) exists, asked of
+    its file system."""
+    where, fs = _located(spark, path)
+    if not fs.exists(where):
+        return False
+    if not fs.getFileStatus(where).isDirectory():
+        return True
+    return any(not f.getPath().getName().startswith(("_", ".")) for f in fs.listStatus(where))
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    where, fs = _located(spark, path)
+    fs.delete(where, True)
+
+
+def discard_at_exit(spark: SparkSession, path: str) -> str:
+    """Delete ``path`` when the application ends."""
+    where, fs = _located(spark, path)
+    fs.deleteOnExit(where)
+    return path

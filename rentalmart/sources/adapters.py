@@ -29,43 +29,11 @@ LINEITEM_COLS = ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice",
 EVENTS_COLS = ["event_id", "ts", "user_id", "props"]
 
 
-_READS: dict[tuple, DataFrame] = {}
-
-
-# Tables that play the role of large landed inputs (fact-like), with their unique key; the
-# others are small dimensions (customer is joined by broadcast when AQE measures it small).
-_LARGE = {"orders": ["o_orderkey"], "lineitem": ["l_orderkey", "l_linenumber"],
-          "events": ["event_id"]}
-
-
 def _table(spark: SparkSession, sf_dir: str, name: str,
            cols: list[str] | None = None) -> DataFrame:
-    """The test table as a lazy scan; the file listing is done once per session.
-
-    Each test table is a single Parquet file with a single row group, so its scan is one
-    task. A large input that yields fewer scan partitions than the session's parallelism
-    is spread once over the cores before any per-row work, as the CSV loader does before
-    writing landed files to Parquet. Hashing on the table's unique key spreads rows evenly
-    (a unique key cannot be hot) and is deterministic on task retries without the local
-    sort a round-robin repartition needs. Inputs that already arrive in many files keep
-    their scan partitioning untouched.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path, tuple(cols or ()))
-    if key not in _READS:
-        df = spark.read.parquet(path)
-        if cols:
-            df = df.select(*cols)  # prune before anything moves
-        if name in _LARGE:
-            try:
-                cores = spark.sparkContext.defaultParallelism
-                spread = df.rdd.getNumPartitions() < cores
-            except Exception:  # no RDD API (e.g. a remote session): keep the scan as is
-                spread = False
-            if spread:
-                df = df.repartition(cores, *_LARGE[name])
-        _READS[key] = df
-    return _READS[key]
+    """The test table as a lazy scan of the columns it needs."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return df.select(*cols) if cols else df
 
 
 def tenth_money_sql(x: str) -> str:
@@ -93,7 +61,8 @@ LISTING_EXPRS = [
     "o_custkey AS host_id",
     "CAST(o_orderdate AS DATE) AS last_scraped",
     "concat('Listing ', CAST(o_orderkey AS STRING)) AS name",
-    "CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE n_name END AS neighbourhood_cleansed",
+    "CASE WHEN o_orderkey < 30 THEN 'HAMLET' WHEN o_orderkey % 11 = 0 THEN NULL ELSE n_name END "
+    "AS neighbourhood_cleansed",
     "CASE WHEN o_orderkey % 121 = 0 THEN NULL ELSE r_name END AS neighbourhood",
     "CAST(35 + n_nationkey / 100 AS DOUBLE) AS latitude",
     "CAST(139 + n_nationkey / 100 AS DOUBLE) AS longitude",
@@ -107,7 +76,8 @@ LISTING_EXPRS = [
     "CASE WHEN o_orderkey % 2 = 0 THEN '[\"Wifi\", \"Kitchen\"]' ELSE '[\"Wifi\"]' END "
     "AS amenities",
     "CASE WHEN o_orderkey % 37 = 0 THEN 'N/A' WHEN o_orderkey % 41 = 0 THEN NULL "
-    f"WHEN o_orderkey % 43 = 0 THEN '$0.00' ELSE {money_text_sql('o_totalprice')} END AS price",
+    "WHEN o_orderkey % 43 = 0 THEN '$0.00' WHEN o_orderkey % 499 = 0 THEN '$99,000.00' "
+    f"WHEN o_orderkey % 503 = 0 THEN '$150,000.00' ELSE {money_text_sql('o_totalprice')} END AS price",
     "CAST(1 + o_orderkey % 30 AS DOUBLE) AS minimum_nights",
     "CAST(30 + o_orderkey % 335 AS DOUBLE) AS maximum_nights",
     f"{_flag('o_orderkey % 2 = 0')} AS has_availability",
@@ -155,18 +125,14 @@ def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.selectExpr(*LISTING_EXPRS)
 
 
-def _calendar_exprs(listing_id: str, orphan: bool) -> list[str]:
+def _calendar_exprs() -> list[str]:
     money = money_text_sql("l_extendedprice")
-    available = ("CASE WHEN l_returnflag = 'N' THEN 't' WHEN l_returnflag = 'A' AND "
-                 "l_linestatus = 'O' AND l_linenumber = 1 THEN NULL ELSE 'f' END")
-    price = f"CASE WHEN l_linenumber = 7 THEN NULL ELSE {money} END"
-    if orphan:
-        available = price = "CAST(NULL AS STRING)"
     return [
-        f"{listing_id} AS listing_id",
+        "IF(orphan, -1 - l_orderkey, l_orderkey) AS listing_id",
         "CAST(l_shipdate AS DATE) AS date",
-        f"{available} AS available",
-        f"{price} AS price",
+        "CASE WHEN orphan THEN NULL WHEN l_returnflag = 'N' THEN 't' WHEN l_returnflag = 'A' AND "
+        "l_linestatus = 'O' AND l_linenumber = 1 THEN NULL ELSE 'f' END AS available",
+        f"CASE WHEN orphan OR l_linenumber = 7 THEN NULL ELSE {money} END AS price",
         f"CASE WHEN l_linenumber IN (6, 7) THEN NULL ELSE {money} END AS adjusted_price",
         "CAST(l_quantity AS DOUBLE) AS minimum_nights",
         "CAST(l_quantity + 30 AS DOUBLE) AS maximum_nights",
@@ -176,17 +142,19 @@ def _calendar_exprs(listing_id: str, orphan: bool) -> list[str]:
 def raw_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One calendar day per line item, plus orphan days of unknown listings."""
     li = _table(spark, sf_dir, "lineitem", LINEITEM_COLS)
-    known = li.selectExpr(*_calendar_exprs("l_orderkey", orphan=False))
-    orphans = (li.where("l_orderkey % 500 = 0")
-               .selectExpr(*_calendar_exprs("-1 - l_orderkey", orphan=True)))
-    return known.unionByName(orphans)
+    # one scan: every row gives its known day, and some an orphan day too
+    both = li.withColumn("orphan", F.expr(
+        "explode(if(l_orderkey % 500 = 0, array(false, true), array(false)))"))
+    return both.selectExpr(*_calendar_exprs())
 
 
 def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = _table(spark, sf_dir, "events", EVENTS_COLS)
+    """One review per event; some come twice and some have no id."""
+    ev = _table(spark, sf_dir, "events", EVENTS_COLS).withColumn(
+        "copy", F.expr("explode(if(event_id % 1009 = 0, array(1, 2), array(1)))"))
     return ev.selectExpr(
         "user_id AS listing_id",
-        "event_id AS id",
+        "CASE WHEN event_id % 1013 = 0 THEN NULL ELSE event_id END AS id",
         "CASE WHEN event_id % 997 = 0 THEN DATE'2009-12-31' "
         "WHEN event_id % 991 = 0 THEN DATE'2099-01-01' "
         "ELSE date_add(CAST(ts AS DATE), CAST(event_id % 720 AS INT)) END AS date",
@@ -217,7 +185,8 @@ def raw_inputs(spark: SparkSession, sf_dir: str) -> RawInputs:
 
 
 # Incremental batches (FIXTURES): batch 1 is a prefix in time / an even-id subset of the
-# same source, batch 2 is everything, batch 3 repeats known keys with changed values.
+# same source, batch 2 is everything; the calendar then gets days without a date, twice, and
+# the reviews known ids again with another month and text: all of these append nothing new.
 CALENDAR_BATCH1_BEFORE = "1999-01-01"
 
 
@@ -227,3 +196,14 @@ def calendar_batches(raw_cal: DataFrame) -> list[DataFrame]:
 
 def review_batches(raw_rev: DataFrame) -> list[DataFrame]:
     return [raw_rev.where("id % 2 = 0"), raw_rev]
+
+
+def undated_days(raw_cal: DataFrame) -> DataFrame:
+    """Days whose date is missing (a NULL key part)."""
+    return raw_cal.where("listing_id % 700 = 0").withColumn("date", F.lit(None).cast("date"))
+
+
+def moved_reviews(raw_rev: DataFrame) -> DataFrame:
+    """Every review again, with its date in another month and another text."""
+    return (raw_rev.withColumn("date", F.add_months("date", 2))
+            .withColumn("comments", F.lit("changed")))

@@ -2,34 +2,35 @@
 
 Files are read with their header, every column as text, then cast *by name* to the
 declared schema (``schemas.py``), so extra columns in a real export are ignored and a
-missing declared column is an error instead of a silent shift. Quoted fields may span
-lines (``multiLine``), which makes a CSV file one task; the data is therefore
-repartitioned once and written to Parquet, and every later job scans the Parquet.
-Gzip files (``.csv.gz``) are read directly.
+missing declared column is an error instead of a silent shift. Only listings and reviews
+have free text with line breaks in quotes (``multiLine``, one task per file); the calendar,
+the large input, and the neighbourhoods are split like any text file. Output files are
+sized by bytes (``rebalance``). Gzip files (``.csv.gz``) are read directly.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from rentalmart.session import exists
 from rentalmart.sources.schemas import RAW_TABLES
 
-CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"',
-               "mode": "FAILFAST"}
+CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "mode": "FAILFAST"}
+FREE_TEXT = {"raw_listings", "raw_reviews"}  # inputs whose quoted fields may span lines
 
 
 class MissingColumnError(ValueError):
     pass
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Read one landed CSV (file, folder or glob) and cast it to ``schema`` by name."""
-    text = spark.read.options(**CSV_OPTIONS).csv(path)
+def read_csv(spark: SparkSession, path: str, schema: StructType, free_text: bool = True) -> DataFrame:
+    """Read one landed CSV (file or folder) and cast it to ``schema`` by name; ``free_text``
+    allows line breaks inside quotes."""
+    text = spark.read.options(**CSV_OPTIONS, multiLine=free_text).csv(path)
     missing = [f.name for f in schema.fields if f.name not in text.columns]
     if missing:
         raise MissingColumnError(f"{path}: missing columns {missing}")
@@ -50,16 +51,13 @@ class LoadedTable:
     skipped: bool
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.format("text").load(path).schema  # noqa: B018 - resolves the path only
-        return True
-    except AnalysisException:
-        return False
+def landed(spark: SparkSession, folder: str, name: str) -> str | None:
+    """``<folder>/<name>``, else ``<name>.gz``, else None: one input, by its exact name."""
+    return next((p for p in (f"{folder}/{name}", f"{folder}/{name}.gz") if exists(spark, p)), None)
 
 
 def load_raw(spark: SparkSession, landing: dict[str, str], out_dir: str,
-             partitions: int | None = None, database: str | None = None) -> DataFrame:
+             database: str | None = None) -> DataFrame:
     """Load every landed file to ``<out_dir>/<table>`` as Parquet (drop + create).
 
     ``landing`` maps table name -> CSV path. With ``database`` the tables are catalog tables
@@ -72,12 +70,10 @@ def load_raw(spark: SparkSession, landing: dict[str, str], out_dir: str,
                   f"LOCATION '{out_dir.rstrip('/')}/{database}.db'")
     for table, (_, schema) in RAW_TABLES.items():
         path = landing.get(table)
-        if path is None or not _exists(spark, path):
+        if path is None or not exists(spark, path):
             report.append(LoadedTable(table, 0, 0, True))
             continue
-        df = read_csv(spark, path, schema)
-        n = partitions or spark.sparkContext.defaultParallelism
-        w = df.repartition(n).write.mode("overwrite").format("parquet")
+        w = read_csv(spark, path, schema, table in FREE_TEXT).hint("rebalance").write.mode("overwrite").format("parquet")
         if database:
             w.saveAsTable(f"{database}.{table}")
             loaded = spark.table(f"{database}.{table}")

@@ -14,7 +14,7 @@ TEST_TABLES = ["region", "nation", "customer", "orders", "lineitem", "events"]
 @pytest.fixture(scope="session")
 def spark():
     from rentalmart.session import get_session, shared_dir
-    s = get_session("local[*]", app="rentalmart-tests", shuffle_partitions=8)
+    s = get_session("local[4]", app="rentalmart-tests", shuffle_partitions=8)
     shared_dir(s)  # uses spark.checkpoint.dir, or registers a private temp folder
     yield s
 
