@@ -49,8 +49,10 @@ def test_score_quantized_before_rescale(spark):
 
 
 def test_cents_percentile_truncates(spark):
-    from rentalmart.plans.marts import quartiles_sql
-    df = spark.createDataFrame([(Decimal(v),) for v in ["1.00", "3.01", "3.02", "4.00"]],
-                               "price decimal(10,2)")
-    q = df.agg(F.expr(quartiles_sql("price")).alias("q")).first()["q"]
-    assert q == [2.5, 3.01, 3.26]  # 2.5075 -> 2.50, 3.2650 -> 3.26
+    from rentalmart.plans.marts import pricing_analysis
+    df = spark.createDataFrame([(Decimal(v),) for v in ["1.00", "3.01", "3.02", "4.00"]], "price decimal(10,2)").selectExpr(
+        "'a' AS neighbourhood", "'b' AS room_type", "price", "CAST(NULL AS DECIMAL(5,1)) AS review_scores_rating",
+        "1.5D AS occupancy_rate_pct", "CAST(NULL AS DECIMAL(5,2)) AS reviews_per_month", "2 AS minimum_nights")
+    r = pricing_analysis(df, min_n=1).first()
+    assert (r.p25_price, r.median_price, r.p75_price) == (2.5, 3.01, 3.26)  # 2.5075 -> 2.50, 3.2650 -> 3.26
+    assert r.avg_price == 2.76 and r.avg_occupancy_pct == 1.5 and r.avg_review_score is None

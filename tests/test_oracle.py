@@ -6,9 +6,8 @@ import math
 import pytest
 
 import __spark_entry__ as E
-
-ORACLE = E.oracle_sql()
-QUERIES = E.queries()
+from oracle.registry import ORACLE
+from rentalmart.registry import REGISTRY as QUERIES
 
 
 def _norm(v):
@@ -26,6 +25,7 @@ def _bag(rows, cols):
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
