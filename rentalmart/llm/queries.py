@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from . import (bpe_job, classifier, fingerprints, html_template, line_dedup, ngram_join, packing, pseudo_lm,
                quality_rules, shards)
 from .common import read
+from .oracle import ORACLE
+
+__all__ = ["ORACLE", "QUERIES"]
 
 #: Where the public tokenizers' files are.
 TOKENIZERS = "/opt/tokenizers"
@@ -71,4 +74,3 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_minimax_shards, op2_ngram_join, op3_fingerprints, op4_quality_rules, op5_pseudo_lm, op6_packing,
     op7_html_template, op8_line_dedup, op9_bpe, op10_quality_classifier)}
-ORACLE: dict[str, str] = {}
