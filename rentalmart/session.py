@@ -43,7 +43,8 @@ def get_session(master: str | None = None, app: str = "rentalmart",
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    SparkContext._ensure_initialized()  # starts the JVM, which knows what was submitted
+    launch = SparkConf(loadDefaults=False).setAll(list((extra or {}).items()))
+    SparkContext._ensure_initialized(conf=launch)  # starts the JVM, which knows what was submitted
     submitted = SparkConf()
     for key, value in DEFAULT_CONF.items():
         if not submitted.contains(key):
