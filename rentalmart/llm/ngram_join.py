@@ -14,13 +14,15 @@ equal, and of those the largest is among the D+1 largest blocks of either text.
 is the block, and level three the point's coordinates in that block (as a hash of its
 members, the finest grouping). Texts that meet in such a cell are candidates; none is missed.
 
-Cells are joined without pairing all their members. First every member meets the member that
-it shares most cells with, among the cells' least ids; verified links give components. Only
-cells in which different components are left go on, once each: their members are packed into
-leaves (cell, component, size slab) with boxes; each member descends into the leaves of other
-components whose box passes the bound, then to the points that pass it, and what survives is
-verified on the shingles. A group of copies of any size so costs a link per copy, and no link
-between different texts is lost. Hashes are 64 bits.
+Cells are joined without pairing all their members: each member meets its cell's least id,
+and the components of these meetings are families that hold every link. A family of bounded
+size is one group: its points are packed into leaves with boxes, leaves whose boxes pass the
+bound are compared point by point, and what passes again is verified on the shingles, unless
+the two are connected already. A larger family (copies that are a third of all rows, say) is
+never gathered: every member meets the member that it shares most cells with, verified links
+give components, and only cells in which different components are left go on, as joins of
+members with leaves and of leaves with their members. No link between different texts is
+lost. Hashes are 64 bits.
 """
 
 from __future__ import annotations
@@ -39,12 +41,13 @@ from .components import components
 from .shingles import Shingler, mixed
 
 K, PERCENT = 4, 85
-GROUPS = 64  # coordinates of a point in the bound
+GROUPS = 256  # coordinates of a point in the bound
+FAMILY_TEXTS, FAMILY_HASHES = 20_000, 4_000_000  # of a family that is handled as one group
 SPREAD = 1.5  # sizes of a class
 SEEN = 200_000  # sets that a task remembers, to find copies early
 HOT, SAMPLE = 65_536, 64  # rows of a cell from which it is handled apart; one text in SAMPLE tells
 BITS = 1 << 25  # of the filter for texts that are candidates: 4 MB at any size of input
-LEAF = 256  # members of a leaf, about
+LEAF = 64  # members of a leaf, about
 
 
 class Cells:
@@ -85,14 +88,13 @@ class Cells:
 
 
 def described(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """id, n (size of the set), first (an earlier text of the task with the same set), cells
-    and vector (GROUPS little-endian 32-bit counts); the last two are null for copies and
-    empty sets. ``docs`` has id and text."""
+    """id, n (size of the set), first (an earlier text of the task with the same set) and
+    cells, null for copies and empty sets. ``docs`` has id and text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, keys, seen = Shingler(k), Cells(percent), {}
         for batch in batches:
-            ns, firsts, cells, vectors = [], [], [], []
+            ns, firsts, cells = [], [], []
             for i, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()):
                 h = shingler.of(text)
                 ns.append(len(h))
@@ -105,14 +107,12 @@ def described(docs: DataFrame, k: int, percent: int) -> DataFrame:
                     seen[digest] = i
                 firsts.append(first)
                 cells.append(keys.of(h) if new else None)
-                vectors.append(np.bincount((h & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS).astype("<u4").tobytes()
-                               if new else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(ns, pa.int64()), pa.array(firsts, pa.int64()),
-                 pa.array(cells, pa.list_(pa.int64())), pa.array(vectors, pa.binary())],
-                names=["id", "n", "first", "cells", "vector"])
+                 pa.array(cells, pa.list_(pa.int64()))],
+                names=["id", "n", "first", "cells"])
 
-    return docs.mapInArrow(run, "id long, n long, first long, cells array<long>, vector binary")
+    return docs.mapInArrow(run, "id long, n long, first long, cells array<long>")
 
 
 def shared_cells(texts: DataFrame) -> DataFrame:
@@ -157,16 +157,76 @@ def sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
     return lean.mapInArrow(run, "id long, hashes binary")
 
 
+def point(h: np.ndarray) -> np.ndarray:
+    """The group counts of a set."""
+    return np.bincount((h & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS).astype(np.uint32)
+
+
+def alike(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets are similar enough."""
+    if len(x) > len(y):
+        x, y = y, x
+    at = np.searchsorted(y, x)
+    at[at == len(y)] = 0
+    both = int((y[at] == x).sum())
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
+def tree_links(ids: list[int], hashes: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """(least id, id) of every member of a family that links reach, by an R-tree self-join."""
+    order = sorted(range(len(ids)), key=lambda i: (len(hashes[i]), ids[i]))
+    sets, sizes = [hashes[i] for i in order], np.array([len(hashes[i]) for i in order])
+    points = np.stack([point(h) for h in sets])
+    points = points.astype(np.min_scalar_type(int(points.max(initial=0))))
+    starts = range(0, len(sets), LEAF)
+    boxes = np.stack([points[s:s + LEAF].max(axis=0) for s in starts])
+    root = np.arange(len(sets))
+    # sorted by size, a leaf's partners are the leaves up to the largest size that can match
+    reach = np.searchsorted(sizes * percent, 100 * sizes, side="right")
+
+    def enough(left, right, m, n):
+        most = np.minimum(left[:, None, :], right[None, :, :]).sum(axis=2, dtype=np.int64)
+        return (100 + percent) * most >= percent * (m[:, None] + n[None, :])
+
+    for k, s in enumerate(starts):
+        e = min(s + LEAF, len(sets))
+        last = -(-int(reach[e - 1]) // LEAF)
+        low = sizes[[j * LEAF for j in range(k, last)]]  # the least size in each leaf
+        passed = enough(boxes[k:k + 1], boxes[k:last], sizes[s:s + 1], low)[0]
+        for j in (np.flatnonzero(passed) + k).tolist():
+            a, b = j * LEAF, min(j * LEAF + LEAF, len(sets))
+            near = enough(points[s:e], points[a:b], sizes[s:e], sizes[a:b])
+            near &= root[s:e, None] != root[None, a:b]
+            for x, y in np.argwhere(near).tolist():
+                x, y = x + s, y + a
+                if x < y and root[x] != root[y] and alike(sets[x], sets[y], percent):
+                    root[root == root[y]] = root[x]
+    least: dict[int, int] = {}
+    for i, r in zip(order, root.tolist()):
+        least[r] = min(least.get(r, ids[i]), ids[i])
+    return [(least[r], ids[i]) for i, r in zip(order, root.tolist()) if least[r] != ids[i]]
+
+
+def family_links(members: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that connect what is linked in each family; ``members`` has family, id
+    and hashes."""
+
+    def run(table: pa.Table) -> pa.Table:
+        hashes = [np.frombuffer(h, np.uint64) for h in table["hashes"].to_pylist()]
+        found = tree_links(table["id"].to_pylist(), hashes, percent)
+        a, b = zip(*found) if found else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return members.select("family", "id", "hashes").groupBy("family").applyInArrow(run, "a long, b long")
+
+
 def verified(pairs: DataFrame, hashes: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets are alike enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("x"), batch.column("y")):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = len(x) + len(y) - len(np.union1d(x, y))
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
+            keep = [alike(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), percent)
+                    for x, y in zip(batch.column("x"), batch.column("y"))]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     b = hashes.select(F.col("id").alias("b"), F.col("hashes").alias("y"))
@@ -174,6 +234,19 @@ def verified(pairs: DataFrame, hashes: DataFrame, percent: int) -> DataFrame:
     return pairs.join(b, "b").join(a, "a").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
+def with_points(hashes: DataFrame) -> DataFrame:
+    """id, n and vector (the point as little-endian 32-bit counts) of each set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.frombuffer(h, np.uint64) for h in batch.column("hashes").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), pa.array([*map(len, found)], pa.int64()),
+                 pa.array([point(h).astype("<u4").tobytes() for h in found], pa.binary())], names=["id", "n", "vector"])
+
+    return hashes.select("id", "hashes").mapInArrow(run, "id long, n long, vector binary")
+
+
 def _bounded(percent: int, left: str, right: str, m: str, n: str, out: list[str], schema: str, df: DataFrame) -> DataFrame:
     """Rows whose summed coordinate minima of vectors ``left`` and ``right`` can reach the
     overlap that sizes ``m`` and ``n`` (the least possible) call for."""
@@ -190,7 +263,7 @@ def _bounded(percent: int, left: str, right: str, m: str, n: str, out: list[str]
     return df.mapInArrow(run, schema)
 
 
-def crossing(cells: DataFrame, texts: DataFrame, group: DataFrame, percent: int) -> DataFrame:
+def crossing(cells: DataFrame, points: DataFrame, group: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of different components that share a cell and pass the bound.
     ``group``: id, component of the ids that have links so far."""
     members = (cells.select("cell", "id").distinct().join(group, "id", "left")
@@ -199,7 +272,6 @@ def crossing(cells: DataFrame, texts: DataFrame, group: DataFrame, percent: int)
                    .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"),
                         F.expr("bit_xor(xxhash64(id))").alias("x"), F.expr("bit_xor(xxhash64(id, 1))").alias("y"))
                    .where("low != high").groupBy("size", "x", "y").agg(F.min("cell").alias("cell")))  # equal cells once
-    points = texts.where("vector is not null").select("id", "n", "vector")
     members = stored(members.join(mixed_cells.select("cell", "size"), "cell").join(points, "id")
                      .withColumn("leaf", F.xxhash64(F.floor(F.log("n") / F.lit(0.02)),
                                                     F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / LEAF)))), "crossing")
@@ -242,6 +314,16 @@ def crossing(cells: DataFrame, texts: DataFrame, group: DataFrame, percent: int)
     return _bounded(percent, "query", "vector", "m", "n", ["a", "b"], "a long, b long", met).distinct()
 
 
+def large_family_links(cells: DataFrame, hashes: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between the texts of ``cells``, without gathering a family."""
+    nearest = (cells.where("id != hub").groupBy("id", "hub").agg(F.count("*").alias("shared"))
+               .groupBy("id").agg(F.max(F.struct("shared", (-F.col("hub")).alias("minus"))).alias("best"))
+               .select((-F.col("best.minus")).alias("a"), F.col("id").alias("b")))
+    links = stored(verified(nearest, hashes, percent), "near_links")
+    group = stored(components(links), "near_components")
+    return links.unionByName(verified(crossing(cells, with_points(hashes), group, percent), hashes, percent))
+
+
 def similar(docs: DataFrame, *, k: int = K, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: the id, n_shingles and component_id, the least id that links reach (the own
     id without any).
@@ -254,20 +336,18 @@ def similar(docs: DataFrame, *, k: int = K, percent: int = PERCENT, id_col: str
     lean = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     texts = stored(described(lean, k, percent), "shingle_cells")
     cells = stored(shared_cells(texts), "shared_cells")
-    hashes = stored(sets(lean, cells.select("id").distinct(), k), "shingle_sets")
-    nearest = (cells.where("id != hub").groupBy("id", "hub").agg(F.count("*").alias("shared"))
-               .groupBy("id").agg(F.max(F.struct("shared", (-F.col("hub")).alias("minus"))).alias("best"))
-               .select((-F.col("best.minus")).alias("a"), F.col("id").alias("b")))
+    meetings = cells.where("id != hub").select(F.col("hub").alias("a"), F.col("id").alias("b"))
+    family = stored(components(meetings).withColumnRenamed("component", "family"), "families")
+    size = (texts.select("id", "n").join(family, "id").groupBy("family")
+            .agg(F.count("*").alias("texts"), F.sum("n").alias("hashes")))
+    large = stored(size.where((F.col("texts") > FAMILY_TEXTS) | (F.col("hashes") > FAMILY_HASHES)).select("family"), "large_families")
+    hashes = sets(lean, family.select("id"), k).join(family, "id")
     copies = texts.where("first is not null and id is not null").select(F.col("first").alias("a"), F.col("id").alias("b"))
-    links = stored(verified(nearest, hashes, percent).unionByName(copies), "near_links")
+    links = family_links(hashes.join(large, "family", "left_anti"), percent).unionByName(copies)
+    if not large.isEmpty():
+        of_large = stored(hashes.join(large, "family", "left_semi"), "shingle_sets")
+        links = links.unionByName(large_family_links(cells.join(of_large.select("id").distinct(), "id", "left_semi")
+                                                     .select("cell", "id", "hub"), of_large, percent))
     group = stored(components(links), "near_components")
-    more = stored(verified(crossing(cells, texts, group, percent), hashes, percent), "more_links")
-    roots = group.select("id", "component")
-    linked = more.join(roots.withColumnsRenamed({"id": "a", "component": "ca"}), "a", "left").join(
-        roots.withColumnsRenamed({"id": "b", "component": "cb"}), "b", "left").select(
-        F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
-    upper = components(linked)  # of components
-    out = (texts.select("id", "n").join(roots, "id", "left").withColumn("component", F.coalesce("component", "id"))
-           .join(upper.select(F.col("id").alias("component"), F.col("component").alias("top")), "component", "left"))
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-                      F.coalesce("top", "component").alias("component_id"))
+    return (texts.select("id", "n").join(group, "id", "left")
+            .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id")))

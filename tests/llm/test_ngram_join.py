@@ -62,16 +62,24 @@ def test_components_equal_brute_force(docs_of, seed, k, percent):
     assert got == brute(rows, k, percent)
 
 
-def test_small_leaves_and_hot_cells(docs_of, monkeypatch):
-    monkeypatch.setattr(ngram_join, "LEAF", 2)
-    monkeypatch.setattr(ngram_join, "HOT", 3)
-    monkeypatch.setattr(ngram_join, "SAMPLE", 1)
-    monkeypatch.setattr(ngram_join, "SEEN", 1)
+@pytest.mark.parametrize("texts", [1, 10])
+def test_small_leaves_hot_cells_and_large_families(docs_of, monkeypatch, texts):
+    for name, value in (("LEAF", 2), ("HOT", 3), ("SAMPLE", 1), ("SEEN", 1), ("FAMILY_TEXTS", texts)):
+        monkeypatch.setattr(ngram_join, name, value)
     rows = corpus(4, families=6, members=14)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.similar(docs_of(rows)).collect()}
     assert got == brute(rows, 4, 85)
 
 
+@pytest.mark.parametrize("leaf", [1, 3, 64])
+def test_tree_links_equal_brute_force(monkeypatch, leaf):
+    monkeypatch.setattr(ngram_join, "LEAF", leaf)
+    rows = sorted(corpus(9, families=10, members=12))
+    s = Shingler(4)
+    want = {i: c for i, (_, c) in brute(rows, 4, 85).items() if c != i}
+    assert {b: a for a, b in ngram_join.tree_links([i for i, _ in rows], [s.of(t) for _, t in rows], 85)} == want
+
+
 def test_matching_sets_share_a_cell():
     """The pigeonhole: any pair at the threshold has a cell in common, at every size."""
     r = np.random.default_rng(0)
@@ -91,8 +99,7 @@ def test_bound_is_never_below_the_overlap():
     s = Shingler(4)
     for _ in range(50):
         x, y = (s.of(" ".join(r.choice("abcdefg") for _ in range(60))) for _ in range(2))
-        g = [np.bincount((h & np.uint64(63)).astype(int), minlength=64) for h in (x, y)]
-        assert np.minimum(*g).sum() >= len(np.intersect1d(x, y))
+        assert np.minimum(ngram_join.point(x), ngram_join.point(y)).sum() >= len(np.intersect1d(x, y))
 
 
 def test_odd_texts(docs_of):
