@@ -27,9 +27,8 @@ NEAR = 0.15  # estimates this near the threshold are counted exactly
 EDGE = 3  # words of the neighbouring lines that make up the surroundings
 
 
-def _lines(text: Column, min_words: int) -> Column:
-    """(pos, k1, k2, context) of each line that is long enough; k1 and k2 are its key."""
-    del text
+def _lines(min_words: int) -> Column:
+    """(pos, k1, k2, context) of each line in ``lines`` that is long enough; k1 and k2 are its key."""
     enough = f"{WORD}+" + f"({SPACES}{WORD}+)" * (min_words - 1)
     return F.filter(F.expr(f"""
         transform(lines, (x, i) -> struct(
@@ -45,7 +44,7 @@ def boilerplate(docs: DataFrame, *, text_col: str = "text", site_col: str = "sou
     first occurrence). A null site is no site."""
     lines = (docs.select(F.col(id_col).alias("id"), F.col(site_col).cast("string").alias("site"),
                          F.split(F.coalesce(F.col(text_col), F.lit("")), "\n").alias("lines"))
-             .select("id", "site", F.explode(_lines(F.col("lines"), min_words)).alias("l"))
+             .select("id", "site", F.explode(_lines(min_words)).alias("l"))
              .select("id", "site", "l.pos", "l.k1", "l.k2", "l.context"))
     spread = (lines.groupBy("k1", "k2")
               .agg(F.count("*").alias("n"), F.min(F.struct("id", "pos")).alias("first"),
@@ -80,9 +79,9 @@ def dedup_lines(docs: DataFrame, *, text_col: str = "text", site_col: str = "sou
             .select("id", "k1", "k2", F.when(F.col("first.id").eqNullSafe(F.col("id")), F.col("first.pos")).otherwise(-1).alias("keep"))
             .groupBy("id").agg(F.collect_set(F.struct("k1", "k2", "keep")).alias("gone"))
             .withColumnRenamed("id", "gone_id"))
-    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("id"),
-                      F.split(F.col(text_col), "\n").alias("lines"))
-    joined = row.join(gone, F.col("id").eqNullSafe(F.col("gone_id")), "left").withColumn("kept", F.expr("""
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("id"))
+    joined = row.join(gone, F.col("id").eqNullSafe(F.col("gone_id")), "left").withColumn(
+        "lines", F.split(F.col(f"row.`{text_col}`"), "\n")).withColumn("kept", F.expr("""
         if(gone is null, lines, filter(lines, (x, i) -> not exists(gone,
             g -> g.k1 = xxhash64(trim(x)) and g.k2 = hash(trim(x)) and g.keep != i)))"""))
     added = ["n_lines", "n_removed"]

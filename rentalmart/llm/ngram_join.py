@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from .common import stored
+from .common import drop, stored
 from .components import components
 from .shingles import Shingler, mixed
 
@@ -334,8 +334,10 @@ def similar(docs: DataFrame, *, k: int = K, percent: int = PERCENT, id_col: str
     Other columns are ignored; an empty table gives an empty result.
     """
     lean = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    texts = stored(described(lean, k, percent), "shingle_cells")
-    cells = stored(shared_cells(texts), "shared_cells")
+    with_cells = stored(described(lean, k, percent), "shingle_cells")
+    cells = stored(shared_cells(with_cells), "shared_cells")
+    texts = stored(with_cells.select("id", "n", "first"), "shingle_sizes")
+    drop(with_cells)
     meetings = cells.where("id != hub").select(F.col("hub").alias("a"), F.col("id").alias("b"))
     family = stored(components(meetings).withColumnRenamed("component", "family"), "families")
     size = (texts.select("id", "n").join(family, "id").groupBy("family")
@@ -349,5 +351,6 @@ def similar(docs: DataFrame, *, k: int = K, percent: int = PERCENT, id_col: str
         links = links.unionByName(large_family_links(cells.join(of_large.select("id").distinct(), "id", "left_semi")
                                                      .select("cell", "id", "hub"), of_large, percent))
     group = stored(components(links), "near_components")
+    drop(cells)
     return (texts.select("id", "n").join(group, "id", "left")
             .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id")))
