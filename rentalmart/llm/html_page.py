@@ -25,8 +25,11 @@ ROLES = frozenset("navigation banner contentinfo complementary search form dialo
 MARKS = frozenset("""ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner nav
     navbar navigation menu breadcrumb breadcrumbs sidebar footer masthead topbar cookie cookies consent gdpr notice
     notices notification alert popup modal overlay newsletter subscribe subscription signup comment comments disqus
-    replies respond share sharing social related recommended recommendations widget toolbar pagination pager login
-    search skip""".split())
+    reply replies respond discussion reactions share sharing social related recommended recommendations widget toolbar
+    pagination pager login search skip side rail aside adbox adslot submenu dropdown""".split())
+ARTICLE_MARKS = frozenset("""ad ads advert advertisement sponsored promo comment comments reply related recommended
+    teaser""".split())  # on an article element itself
+STATES = frozenset("has with no not without is".split())  # "has-sidebar" says what the rest of the page has
 OUTER_MARKS = frozenset(["header"])  # not the article's own header
 
 TOKEN = re.compile(r"<!--(?:.*?-->|.*)|<!\[CDATA\[(.*?)\]\]>|<[!?][^>]*(?:>|$)"
@@ -58,8 +61,13 @@ class Open:
 
 
 def _words(value: str) -> set[str]:
-    spaced = re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower()
-    return set(PARTS.findall(spaced))
+    """The words in class names and ids, without names that only state something."""
+    out: set[str] = set()
+    for name in value.split():
+        parts = PARTS.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower())
+        if parts and parts[0] not in STATES:
+            out.update(parts)
+    return out
 
 
 def scan(page: str) -> tuple[list[tuple[int, str]], list[Text]]:
@@ -133,7 +141,7 @@ def scan(page: str) -> tuple[list[tuple[int, str]], list[Text]]:
             words = _words(named) if named else set()
             chrome = chrome or bool(words & MARKS) or (article < 0 and (name == "header" or bool(words & OUTER_MARKS)))
         elif name == "article":
-            chrome = chrome or bool(_words(named) & MARKS) if named else chrome
+            chrome = chrome or bool(_words(named) & ARTICLE_MARKS)
             if not chrome and article < 0:
                 article, articles = articles, articles + 1
         step = name + ("." + ".".join(named.split()) if named else "")

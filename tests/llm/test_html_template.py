@@ -24,6 +24,8 @@ def plain(page):
     ("<article><p>a</p><aside>s</aside><form>f<input></form><section class='user-comments'>c</section><div id=cookieNotice>n</div></article>", ["a"]),
     ("<article><table><tr><td>1<td>2<tr><td>3</table><ul><li>x<li>y</ul></article>", ["1", "2", "3", "x", "y"]),
     ("<article><p title=\"a>b\">t</p><p>1 < 2 &lt; 3 &copy &#8364; &bogus;</p></article>", ["t", "1 < 2 < 3 © € &bogus;"]),
+    ("<div class='has-sidebar no-comments'><article class='post share-on'>a<div class='adbox'>b</div></article></div>", ["a"]),
+    ("<article class=comment>c c c c</article><article>a</article>", ["a"]),
     ("<div class=sidebar>s</div><div><p>no article</p></div>", ["no article"]),
     ("<article class='teaser'>short</article><article>the longer one</article>", ["the longer one"]),
     ("<article><p>cut <b>off</b> he", ["cut off he"]), ("<article><p>cut<a hre", ["cut"]),
