@@ -21,16 +21,28 @@ def _same_columns(docs: DataFrame, like: DataFrame) -> DataFrame:
     return docs.select(*[F.col(f"`{c}`") for c in like.columns])
 
 
+def _rows_where(scored: DataFrame, condition: str, like: DataFrame) -> DataFrame:
+    """The rows of ``scored`` for which ``condition`` holds, with the columns of ``like``.
+
+    A plain filter would be pushed below the projections that compute the statistics, with
+    their expressions put in place of every reference, so that each is computed many times
+    over; an exploded array of no or one row is not.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in like.columns])
+    kept = scored.select(F.explode(F.when(F.expr(condition), F.array(row))).alias("row"))
+    return kept.select(*[F.col(f"row.`{c}`").alias(c) for c in like.columns])
+
+
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject."""
     scored = classifier.quality_scores(docs, read(spark, sf_dir, "labels"))
-    return _same_columns(scored.where("predicted = 1"), docs)
+    return _rows_where(scored, "predicted = 1", docs)
 
 
 def keep_by_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
     ruled = quality_rules.quality_rules(docs, read(spark, sf_dir, "labels").where("quality = 1"))
-    return _same_columns(ruled.where("kept"), docs)
+    return _rows_where(ruled, "kept", docs)
 
 
 def strip_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
