@@ -54,7 +54,7 @@ class Text:
 @dataclass(slots=True)
 class Open:
     name: str
-    step: str
+    path: str
     chrome: bool
     article: int
     main: bool
@@ -78,7 +78,7 @@ def scan(page: str) -> tuple[list[tuple[int, str]], list[Text]]:
     """
     tags: list[tuple[int, str]] = []
     texts: list[Text] = []
-    stack = [Open("", "", False, -1, False)]
+    stack = [Open("", "", False, -1, False)]  # paths start with the root's empty name
     place = block = articles = 0
     pos, size = 0, len(page)
 
@@ -86,14 +86,15 @@ def scan(page: str) -> tuple[list[tuple[int, str]], list[Text]]:
         nonlocal place
         if raw:
             top = stack[-1]
-            texts.append(Text(place, block, "/".join(o.step for o in stack), html.unescape(raw), top.chrome, top.article, top.main))
+            value = html.unescape(raw) if "&" in raw else raw
+            texts.append(Text(place, block, top.path, value, top.chrome, top.article, top.main))
             place += 1
 
     def close(k: int) -> None:
         nonlocal block, place
         while len(stack) > k:
             o = stack.pop()
-            tags.append((place, "/".join(x.step for x in stack) + "/" + o.step + "/end"))
+            tags.append((place, o.path + "/end"))
             place += 1
             block += o.name not in INLINE
 
@@ -144,23 +145,23 @@ def scan(page: str) -> tuple[list[tuple[int, str]], list[Text]]:
             chrome = chrome or bool(_words(named) & ARTICLE_MARKS)
             if not chrome and article < 0:
                 article, articles = articles, articles + 1
-        step = name + ("." + ".".join(named.split()) if named else "")
-        tags.append((place, "/".join(o.step for o in stack) + "/" + step))
+        path = f"{stack[-1].path}/{name}" + ("." + ".".join(named.split()) if named else "")
+        tags.append((place, path))
         place += 1
         block += name not in INLINE
         if name in RAW:
             end = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, pos)
             if name in ("title", "textarea"):
-                stack.append(Open(name, step, True, article, main))
+                stack.append(Open(name, path, True, article, main))
                 text(page[pos:end.start() if end else size])
                 stack.pop()
             pos = end.end() if end else size
         elif name not in VOID and not found[4].rstrip().endswith("/"):
-            stack.append(Open(name, step, chrome, article, main))
+            stack.append(Open(name, path, chrome, article, main))
         elif name not in VOID:
             if name not in INLINE or name in UNSEEN:
                 continue
-            stack.append(Open(name, step, chrome, article, main))
+            stack.append(Open(name, path, chrome, article, main))
     close(1)
     return tags, texts
 

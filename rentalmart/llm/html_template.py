@@ -34,17 +34,28 @@ def role_hash(path: str, value: str = "") -> int:
     return int.from_bytes(hashlib.blake2b(f"{path}\0{value}".encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
 
 
+class TagHashes(dict):
+    """role_hash of element paths, which recur on every page of a template."""
+
+    def __missing__(self, path: str) -> int:
+        if len(self) >= 1 << 16:
+            self.clear()
+        self[path] = value = role_hash(path)
+        return value
+
+
 def tokens(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
     """host, page, role, n (occurrences on the page), at (place of the first)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tag = TagHashes()
         for batch in batches:
             out: list[tuple] = []
             for host, page, text in zip(*(batch.column(c).to_pylist() for c in ("host", "page", "html"))):
                 tags, texts = scan(text)
                 seen: dict[int, list[int]] = {}
                 for at, path in tags:
-                    seen.setdefault(role_hash(path), [0, at])[0] += 1
+                    seen.setdefault(tag[path], [0, at])[0] += 1
                 for t in texts:
                     if value := clean(t.value):
                         seen.setdefault(role_hash(t.path, value), [0, t.at])[0] += 1
@@ -114,6 +125,7 @@ def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url",
     known = stored(templates(hosted, id_col, url_col, html_col), "page_templates")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tag = TagHashes()
         for batch in batches:
             out = []
             for page, members in zip(batch.column("html").to_pylist(), batch.column("members").to_pylist()):
@@ -122,11 +134,13 @@ def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url",
                 if members:
                     places: dict[int, int] = {}
                     for at, path in tags:
-                        places.setdefault(role_hash(path), at)
+                        places.setdefault(tag[path], at)
                     for t in texts:
-                        places.setdefault(role_hash(t.path, clean(t.value)), t.at)
+                        if value := clean(t.value):
+                            places.setdefault(role_hash(t.path, value), t.at)
                     template = nested({m["role"]: m["class"] for m in members}, places)
-                out.append("\n".join(blocks(texts, template, lambda t: role_hash(t.path, clean(t.value)))))
+                role = (lambda t: role_hash(t.path, clean(t.value))) if template else (lambda t: 0)
+                out.append("\n".join(blocks(texts, template, role)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("url"), pa.array(out, pa.string()), pa.array([*map(len, out)], pa.int64())],
                 names=[id_col, url_col, "text", "n_chars"])
