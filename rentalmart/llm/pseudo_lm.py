@@ -39,24 +39,27 @@ REMEMBERED = 300_000
 
 
 class Vocabulary(dict):
-    """word -> token. Tokens below FREQUENT are words, the others buckets."""
+    """word (UTF-8) -> token. Tokens below FREQUENT are words, the others buckets."""
 
     def __init__(self, frequent: list[str]):
-        super().__init__({w: k for k, w in enumerate(frequent)})
+        super().__init__({w.encode(): k for k, w in enumerate(frequent)})
         self.frequent = len(frequent)
 
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: bytes) -> int:
         if len(self) >= REMEMBERED:
             for w in [*self][self.frequent:]:
                 del self[w]
-        raw = word.encode("utf-8", "surrogatepass")
-        ending = xxh3_64_intdigest(word[-2:].encode("utf-8", "surrogatepass")) % ENDINGS
-        self[word] = token = FREQUENT + ending * BUCKETS + xxh3_64_intdigest(raw) % BUCKETS
+        ending = xxh3_64_intdigest(word.decode("utf-8", "replace")[-2:].encode()) % ENDINGS
+        self[word] = token = FREQUENT + ending * BUCKETS + xxh3_64_intdigest(word) % BUCKETS
         return token
 
-    def tokens(self, found: list[str]) -> np.ndarray:
+    def tokens(self, found: list[bytes]) -> np.ndarray:
         return np.fromiter(map(self.__getitem__, found), dtype=np.int32, count=len(found))
 
+    def of(self, text: str) -> np.ndarray:
+        """The tokens of a (lower-cased) text: bytes split at ASCII white space only."""
+        return self.tokens(text.encode().split())
+
 
 def class_of(tokens: np.ndarray) -> np.ndarray:
     return np.where(tokens < FREQUENT, tokens, FREQUENT + (tokens - FREQUENT) // BUCKETS)
@@ -101,6 +104,13 @@ class Network:
     def hidden(self, around: np.ndarray) -> np.ndarray:
         return np.tanh(sum(self.embed[around[:, j]] * self.place[j] for j in range(2 * WINDOW)))
 
+    def fixed(self) -> Network:
+        """Ready for scoring: embeddings by place, and whether logits can overflow at all
+        (hidden values lie within -1 and 1)."""
+        self.placed = [self.embed * self.place[j] for j in range(2 * WINDOW)]
+        self.small = float(np.abs(self.out).sum(axis=0).max() + np.abs(self.bias).max()) < 80
+        return self
+
     def log_probabilities(self, classes: np.ndarray, step: int = 4096) -> np.ndarray:
         """log p(class | both sides) of each position of one text."""
         around, out = contexts(classes), np.empty(len(classes))
@@ -109,11 +119,15 @@ class Network:
         return out
 
     def predicted(self, around: np.ndarray, classes: np.ndarray) -> np.ndarray:
-        z = self.hidden(around) @ self.out
+        h = self.placed[0][around[:, 0]]
+        for j in range(1, 2 * WINDOW):
+            h += self.placed[j][around[:, j]]
+        z = np.tanh(h, out=h) @ self.out
         z += self.bias
-        z -= z.max(axis=1, keepdims=True)
+        if not self.small:
+            z -= z.max(axis=1, keepdims=True)
         own = z[np.arange(len(classes)), classes]
-        return own - np.log(np.exp(z).sum(axis=1))
+        return own - np.log(np.exp(z, out=z).sum(axis=1))
 
     def learn(self, around: np.ndarray, classes: np.ndarray, sums: list[np.ndarray], rate: float) -> None:
         """One adaptive gradient step on a batch."""
@@ -142,7 +156,7 @@ def counted(docs: DataFrame, text_col: str) -> tuple[list[str], np.ndarray]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(frequent)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(vocabulary.tokens(batch.column("word").to_pylist())), batch.column("count")],
+            yield pa.RecordBatch.from_arrays([pa.array(vocabulary.tokens([w.encode() for w in batch.column("word").to_pylist()])), batch.column("count")],
                                              names=["token", "n"])
 
     counts = np.zeros(FREQUENT + ENDINGS * BUCKETS, dtype=np.int64)
@@ -157,9 +171,9 @@ def trained(docs: DataFrame, text_col: str, id_col: str, frequent: list[str], co
     np.add.at(class_counts, class_of(np.arange(len(counts))), counts)
     network = Network.start(class_counts)
     chosen = docs.where(F.pmod(F.xxhash64(id_col, text_col), F.lit(share)) == 0)
-    lines = stored(chosen.select(F.xxhash64(id_col, text_col).alias("key"), words(F.lower(text_col)).alias("words"))
-                   .where("size(words) > 0"), "lm_sample")
-    tokens = lines.agg(F.sum(F.size("words"))).first()[0] or 0
+    lines = stored(chosen.select(F.xxhash64(id_col, text_col).alias("key"), F.lower(text_col).alias("text"),
+                                 F.size(words(F.lower(text_col))).alias("n")).where("n > 0"), "lm_sample")
+    tokens = lines.agg(F.sum("n")).first()[0] or 0
     workers = max(1, -(-tokens // WORKER_TOKENS))
 
     def work(raw: bytes, rate: float):
@@ -167,7 +181,7 @@ def trained(docs: DataFrame, text_col: str, id_col: str, frequent: list[str], co
             net, vocabulary = Network.load(raw), Vocabulary(frequent)
             sums = [np.zeros_like(p) for p in net.parts()]
             frame = frame.sort_values("key", kind="stable")
-            texts = [class_of(vocabulary.tokens(list(w))) for w in frame["words"]]
+            texts = [class_of(vocabulary.of(t)) for t in frame["text"]]
             around, own = np.concatenate([contexts(c) for c in texts]), np.concatenate(texts)
             order = np.random.default_rng(int(frame["worker"].iloc[0])).permutation(len(own))
             for a in range(0, len(own), BATCH):
@@ -208,17 +222,17 @@ def scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, raw, within = given.value
-        net, vocabulary = Network.load(raw), Vocabulary(frequent)
+        net, vocabulary = Network.load(raw).fixed(), Vocabulary(frequent)
         for batch in batches:
             n, total = [], []
-            for found in batch.column("words").to_pylist():
-                tokens = vocabulary.tokens(found)
+            for text in batch.column("text").to_pylist():
+                tokens = vocabulary.of(text)
                 n.append(len(tokens))
                 total.append(float(net.log_probabilities(class_of(tokens)).sum() + within[tokens].sum(dtype="f8")) if len(tokens) else 0.0)
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n, pa.int64()), pa.array(total, pa.float64())],
                                              names=["id", "n_tokens", "log_likelihood"])
 
-    lean = docs.select(F.col(id_col).cast("long").alias("id"), words(F.lower(text_col)).alias("words"))
+    lean = docs.select(F.col(id_col).cast("long").alias("id"), F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("text"))
     return (lean.mapInArrow(run, "id long, n_tokens long, log_likelihood double")
             .select(F.col("id").alias(id_col), "n_tokens", "log_likelihood",
                     (F.col("log_likelihood") / F.greatest("n_tokens", F.lit(1))).alias("mean_log_prob")))
