@@ -2,8 +2,8 @@
 
 A line that many different sites carry is boilerplate. For each line's hash, HyperLogLog
 sketches of its sites and of its surroundings merge by aggregation (partly before the
-shuffle, so a line that a third of all documents carry costs a row per task). Lines whose
-estimated spread is near the threshold get exact distinct counts.
+shuffle, so a line that a third of all documents carry costs a row per task). Lines with an
+estimate of sites or of surroundings near its threshold get exact distinct counts of both.
 
 Copies of a document also bring their lines to many sites, but always between the same
 neighbours: a line is boilerplate only if its surroundings (the last words before and the
@@ -22,6 +22,7 @@ from .common import SPACES, WORD, stored
 SITES = 10  # sites from which a line is boilerplate
 MIN_WORDS = 3  # shorter lines recur by chance
 DIFFERENT = 0.3  # share of occurrences that differ in their surroundings, at least
+VARIED = 0.85  # different surroundings for each of the sites, at least
 LG_K = 10  # sketches of 2^LG_K registers: a standard error of about 3 %
 NEAR = 0.15  # estimates this near the threshold are counted exactly
 EDGE = 3  # words of the neighbouring lines that make up the surroundings
@@ -51,16 +52,21 @@ def boilerplate(docs: DataFrame, *, text_col: str = "text", site_col: str = "sou
                    F.hll_sketch_agg("site", LG_K).alias("sites"), F.hll_sketch_agg("context", LG_K).alias("contexts"))
               .where(F.col("n") >= sites)
               .select("k1", "k2", "first", F.hll_sketch_estimate("sites").alias("n_sites"),
-                      (F.hll_sketch_estimate("contexts") >= F.greatest(F.lit(float(sites)) * (1 - NEAR), DIFFERENT * F.col("n")))
-                      .alias("differs"))
-              .where("differs").drop("differs"))
-    spread = stored(spread.where(F.col("n_sites") >= sites * (1 - NEAR)), "line_spread")
-    near = spread.where(F.col("n_sites") <= sites * (1 + NEAR))
-    exact = (lines.where("site is not null").join(near.select("k1", "k2"), ["k1", "k2"], "left_semi")
-             .groupBy("k1", "k2", "site").agg(F.lit(1)).groupBy("k1", "k2").agg(F.count("*").alias("exact")))
+                      F.hll_sketch_estimate("contexts").alias("n_contexts"),
+                      F.greatest(F.lit(sites * VARIED), DIFFERENT * F.col("n")).alias("least")))
+    spread = stored(spread.where((F.col("n_sites") >= sites * (1 - NEAR)) & (F.col("n_contexts") >= F.col("least") * (1 - NEAR))),
+                    "line_spread")
+    near = spread.where((F.col("n_sites") <= sites * (1 + NEAR)) | (F.col("n_contexts") <= F.col("least") * (1 + NEAR)))
+    values = F.array(F.struct(F.lit(True).alias("is_site"), F.col("site").alias("value")),
+                     F.struct(F.lit(False).alias("is_site"), F.col("context").cast("string").alias("value")))
+    exact = (lines.join(near.select("k1", "k2"), ["k1", "k2"], "left_semi")
+             .select("k1", "k2", F.explode(values).alias("v")).select("k1", "k2", "v.is_site", "v.value")
+             .where("value is not null").distinct().groupBy("k1", "k2")
+             .agg(F.count_if("is_site").alias("exact_sites"), F.count_if(~F.col("is_site")).alias("exact_contexts")))
     found = (spread.join(exact, ["k1", "k2"], "left")
-             .withColumn("n_sites", F.coalesce("exact", "n_sites")).drop("exact")
-             .where(F.col("n_sites") >= sites))
+             .withColumn("n_sites", F.coalesce("exact_sites", "n_sites"))
+             .where((F.col("n_sites") >= sites) & (F.coalesce("exact_contexts", "n_contexts") >= F.col("least")))
+             .select("k1", "k2", "first", "n_sites"))
     return lines, stored(found, "boilerplate")
 
 

@@ -45,6 +45,15 @@ def test_near_threshold_counts_are_exact(docs_of):
     assert got == brute(rows, 9)
 
 
+def test_surroundings_near_the_bound_are_exact(docs_of):
+    rows, n = [], 700
+    for j in range(12):
+        different = 210 - j % 2  # 0.3 n, or one less
+        rows += [(j * n + k, f"before {k % different}\nthe shared line number {j}\nafter", f"s{k % 20}") for k in range(n)]
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs_of(rows)).collect()}
+    assert got == brute(rows, 10)
+
+
 def test_odd_texts(docs_of):
     docs = docs_of(ODD + [(None, "no id"), (3, "one")])
     out = line_dedup.dedup_lines(docs)
