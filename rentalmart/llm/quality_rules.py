@@ -9,9 +9,10 @@ whole words are too rare to tell the two corpora apart.
 
 Everything is a DataFrame expression. Counting pre-aggregates per bucket before the shuffle,
 so what reaches the driver is one row per bucket (``buckets`` rows, a parameter), and
-scoring looks the buckets up in an array literal of that size. The target model is fitted on
-a bounded sample of the trusted documents (``TRUSTED_ROWS``, by a hash of the id), whose ids
-are broadcast, so texts are never shuffled; the raw model counts every document.
+scoring looks the buckets up in an array literal of that size. Both models count every
+document they are about. Trusted ids become one bitmap per range of 32,768 ids, so documents
+are marked by a broadcast of a bit per id and texts are not shuffled; ids that lie in more
+than ``BITMAPS`` ranges are joined as they are.
 """
 
 from __future__ import annotations
@@ -20,12 +21,13 @@ from math import log
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
 
 from . import stats
 from .common import number_literal
 
 BUCKETS = 1 << 14
-TRUSTED_ROWS = 100_000  # trusted documents that the target model is fitted on, at most
+BITMAPS = 1 << 13  # bitmaps (of 4 KB) that are broadcast, at most
 TAIL = 3  # characters of a word end
 SMOOTHING = 1.0
 THRESHOLD = -0.15
@@ -69,28 +71,36 @@ def score(ratios: list[float]) -> Column:
     return F.coalesce(total / F.greatest(F.lit(1), 2 * F.size("w") - 1), F.lit(0.0))
 
 
-def with_trust(docs: DataFrame, good: DataFrame, id_col: str, trusted_rows: int = TRUSTED_ROWS) -> DataFrame:
-    """Adds ``trusted``: whether the row's id is among the (sampled) ids of ``good``."""
-    ids = (good.select(F.col(id_col).alias("good_id")).where("good_id is not null").distinct()
-           .orderBy(F.xxhash64("good_id"), "good_id").limit(trusted_rows))
-    return (docs.join(F.broadcast(ids), F.col(id_col) == F.col("good_id"), "left")  # trusted_rows ids
-            .withColumn("trusted", F.col("good_id").isNotNull()).drop("good_id"))
+def with_trust(docs: DataFrame, good: DataFrame, id_col: str, bitmaps: int = BITMAPS) -> DataFrame:
+    """Adds ``trusted``: whether the row's id is among the ids of ``good``."""
+    ids = good.select(F.col(id_col).alias("good_id")).where("good_id is not null")
+    whole = all(isinstance(t, (ByteType, ShortType, IntegerType, LongType))
+                for t in (docs.schema[id_col].dataType, ids.schema["good_id"].dataType))
+    ranges = F.bitmap_bucket_number(F.col("good_id").cast("long")).alias("range")
+    if not whole or ids.select(ranges).distinct().count() > bitmaps:
+        return (docs.join(ids.distinct(), F.col(id_col) == F.col("good_id"), "left")
+                .withColumn("trusted", F.col("good_id").isNotNull()).drop("good_id"))
+    marks = ids.groupBy(ranges).agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("good_id").cast("long"))).alias("bits"))
+    place = F.bitmap_bit_position(F.col(id_col).cast("long"))
+    byte = F.conv(F.hex(F.substring("bits", (place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    bit = F.call_function("shiftright", byte, (place % 8).cast("int")).bitwiseAND(F.lit(1))
+    return (docs.join(F.broadcast(marks), F.bitmap_bucket_number(F.col(id_col).cast("long")) == F.col("range"), "left")
+            .withColumn("trusted", F.coalesce(bit == 1, F.lit(False))).drop("range", "bits"))
 
 
 def quality_rules(docs: DataFrame, good: DataFrame, *, text_col: str = "text", id_col: str = "doc_id",
-                  buckets: int = BUCKETS, threshold: float = THRESHOLD,
-                  trusted_rows: int = TRUSTED_ROWS) -> DataFrame:
+                  buckets: int = BUCKETS, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     llr (the mean log ratio) and kept.
 
-    ``good`` has the ids of the trusted documents; the texts of at most ``trusted_rows`` of
-    them are the target corpus, all rows are the raw corpus. A null text has no words and fails the base rule, as does any
+    ``good`` has the ids of the trusted documents; the texts of all of them are the target
+    corpus, all rows are the raw corpus. A null text has no words and fails the base rule, as does any
     text under ``MIN_WORDS`` words; without trusted documents every ratio is 0 and only the
     base rule decides. Repeated rows are scored alike, each counts. Columns of ``docs`` with
     the names above are replaced, other columns stay. An empty table gives an empty result.
     """
     lean = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    target, raw = counts(with_trust(lean, good.select(F.col(id_col).alias("id")), "id", trusted_rows),
+    target, raw = counts(with_trust(lean, good.select(F.col(id_col).alias("id")), "id"),
                          "text", F.col("trusted"), buckets)
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text_col).alias("text"))
     scored = (stats.with_base(stats.with_words(row, "text"))

@@ -2,6 +2,9 @@ import re
 from collections import Counter
 from math import isclose, log
 
+import pytest
+from pyspark.sql import functions as F
+
 from rentalmart.llm import quality_rules
 from tests.llm.conftest import ODD
 
@@ -56,3 +59,22 @@ def test_no_trusted_documents_and_empty_table(docs_of, spark):
     rows = quality_rules.quality_rules(docs_of(["a b c d e f g h i j k", "a b"]), nobody).collect()
     assert [(r.llr, r.kept) for r in sorted(rows, key=lambda r: r.doc_id)] == [(0.0, True), (0.0, False)]
     assert quality_rules.quality_rules(docs_of([]), nobody).collect() == []
+
+
+def test_every_trusted_document_counts(docs_of, spark):
+    texts = [f"alpha beta gamma number{k}" for k in range(20)] + [f"zz** yy** xx** number{k}" for k in range(20)]
+    most = spark.range(300_000).select(F.col("id").alias("doc_id")).where("doc_id < 20 or doc_id >= 40")
+    few = spark.createDataFrame([(k,) for k in range(20)], "doc_id long")
+    llr = [sorted((r.doc_id, r.llr) for r in quality_rules.quality_rules(docs_of(texts), good).collect()) for good in (few, most)]
+    assert llr[0] == llr[1] and llr[0][0][1] > llr[0][39][1]
+
+
+@pytest.mark.parametrize("bitmaps", [quality_rules.BITMAPS, 0])
+def test_documents_are_marked_exactly(spark, bitmaps):
+    edges = [0, 1, 7, 8, 9, 32_767, 32_768, 32_769, 65_536, 65_537, 1 << 40, (1 << 62) + 5]
+    ids = sorted({s * k for k in edges for s in (1, -1)})
+    trusted = set(ids[::2]) | {-7, 8}
+    docs = spark.createDataFrame([(k,) for k in [*ids, *ids[:3], None]], "id long")
+    good = spark.createDataFrame([(k,) for k in [*trusted, 8, None, 12_345]], "id long")
+    got = [(r.id, r.trusted) for r in quality_rules.with_trust(docs, good, "id", bitmaps).collect()]
+    assert sorted(got, key=str) == sorted([(k, k in trusted) for k in [*ids, *ids[:3], None]], key=str)
