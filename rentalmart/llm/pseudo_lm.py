@@ -7,11 +7,11 @@ is that of its class (the frequent words are classes of their own, the buckets f
 classes by the word's ending) times its share of the class in the corpus:
 p(token | both sides) = p(class | both sides) p(token | class).
 
-The counts run over all documents. The network is trained in numpy inside tasks: a fixed
-share of all documents, so an amount that grows with the corpus, is dealt to workers of
-about ``WORKER_TOKENS`` tokens each; in every round all workers start from the same weights,
-go over their tokens, and their weights are averaged (first in groups, so that the driver
-gets ``GROUPS`` sets of weights however many workers there are).
+The counts and the training run over all documents. The network is trained in numpy inside
+tasks: the texts, as one byte per token (its class), are dealt to workers of about
+``WORKER_TOKENS`` tokens each; in every round all workers start from the same weights, go
+over their tokens, and their weights are averaged (first in groups, so that the driver gets
+``GROUPS`` sets of weights however many workers there are).
 """
 
 from __future__ import annotations
@@ -32,7 +32,8 @@ WINDOW = 2  # tokens on either side
 FREQUENT, ENDINGS, BUCKETS = 191, 64, 1024  # word classes, ending classes, tokens in one of these
 CLASSES = FREQUENT + ENDINGS + 1  # and one beyond the text's ends
 WIDTH = 24
-SHARE = 16  # one document in SHARE is trained on
+CLASS = np.min_scalar_type(CLASSES - 1)  # what holds a class
+SHARE = 1  # one document in SHARE is trained on: all
 WORKER_TOKENS = 200_000
 ROUNDS, BATCH, RATE, GROUPS = 2, 256, 0.1, 16
 REMEMBERED = 300_000
@@ -132,17 +133,21 @@ class Network:
     def learn(self, around: np.ndarray, classes: np.ndarray, sums: list[np.ndarray], rate: float) -> None:
         """One adaptive gradient step on a batch."""
         h = self.hidden(around)
-        z = h @ self.out + self.bias
-        z -= z.max(axis=1, keepdims=True)
-        p = np.exp(z)
-        p /= p.sum(axis=1, keepdims=True)
-        p[np.arange(len(classes)), classes] -= 1
-        p /= len(classes)
+        p = h @ self.out
+        p += self.bias
+        p -= p.max(axis=1, keepdims=True)
+        np.exp(p, out=p)
+        p /= p.sum(axis=1, keepdims=True) * len(classes)
+        p[np.arange(len(classes)), classes] -= 1 / len(classes)
         back = (p @ self.out.T) * (1 - h * h)
         d_embed, d_place = np.zeros_like(self.embed), np.empty_like(self.place)
         for j in range(2 * WINDOW):
             d_place[j] = (back * self.embed[around[:, j]]).sum(axis=0)
-            np.add.at(d_embed, around[:, j], back * self.place[j])
+        flat = around.T.ravel()
+        order = np.argsort(flat, kind="stable")
+        starts = np.flatnonzero(np.diff(flat[order], prepend=-1))
+        moved = (back * self.place[:, None, :]).reshape(-1, WIDTH)
+        d_embed[flat[order][starts]] = np.add.reduceat(moved[order], starts, axis=0)
         for part, grad, total in zip(self.parts(), (d_embed, d_place, h.T @ p, p.sum(axis=0)), sums):
             total += grad * grad
             part -= rate * grad / (np.sqrt(total) + 1e-6)
@@ -171,22 +176,30 @@ def trained(docs: DataFrame, text_col: str, id_col: str, frequent: list[str], co
     np.add.at(class_counts, class_of(np.arange(len(counts))), counts)
     network = Network.start(class_counts)
     chosen = docs.where(F.pmod(F.xxhash64(id_col, text_col), F.lit(share)) == 0)
-    lines = stored(chosen.select(F.xxhash64(id_col, text_col).alias("key"), F.lower(text_col).alias("text"),
-                                 F.size(words(F.lower(text_col))).alias("n")).where("n > 0"), "lm_sample")
+
+    def as_classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = Vocabulary(frequent)
+        for batch in batches:
+            found = [class_of(vocabulary.of(t)).astype(CLASS) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array([*map(len, found)], pa.int64()),
+                                              pa.array([c.tobytes() for c in found], pa.binary())], names=["key", "n", "classes"])
+
+    lean = chosen.select(F.xxhash64(id_col, text_col).alias("key"), F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("text"))
+    lines = stored(lean.mapInArrow(as_classes, "key long, n long, classes binary").where("n > 0"), "lm_classes")
     tokens = lines.agg(F.sum("n")).first()[0] or 0
     workers = max(1, -(-tokens // WORKER_TOKENS))
 
     def work(raw: bytes, rate: float):
         def run(frame: pd.DataFrame) -> pd.DataFrame:
-            net, vocabulary = Network.load(raw), Vocabulary(frequent)
+            net = Network.load(raw)
             sums = [np.zeros_like(p) for p in net.parts()]
             frame = frame.sort_values("key", kind="stable")
-            texts = [class_of(vocabulary.of(t)) for t in frame["text"]]
+            texts = [np.frombuffer(c, CLASS) for c in frame["classes"]]
             around, own = np.concatenate([contexts(c) for c in texts]), np.concatenate(texts)
             order = np.random.default_rng(int(frame["worker"].iloc[0])).permutation(len(own))
             for a in range(0, len(own), BATCH):
                 at = order[a:a + BATCH]
-                net.learn(around[at], own[at], sums, rate)
+                net.learn(around[at].astype(np.intp), own[at], sums, rate)
             return pd.DataFrame({"worker": [frame["worker"].iloc[0]], "n": [len(own)], "weights": [net.dump()]})
         return run
 

@@ -77,6 +77,12 @@ def test_workers_and_averaging(docs_of, monkeypatch):
     assert np.mean([r.mean_log_prob for r in rows]) > log(1 / 24)
 
 
+def test_every_document_is_trained_on(docs_of):
+    texts = [" ".join(f"{w}of{k}" for t in sentences(k, 40) for w in t.split()) for k in range(6)]  # 24 words of its own each
+    got = {r.doc_id: r.mean_log_prob for r in pseudo_lm.scores(docs_of(texts)).collect()}
+    assert min(got.values()) > log(1 / 144) + 0.5
+
+
 def test_class_and_token_shares_add_up():
     tokens = np.arange(pseudo_lm.FREQUENT + pseudo_lm.ENDINGS * pseudo_lm.BUCKETS)
     classes = pseudo_lm.class_of(tokens)
