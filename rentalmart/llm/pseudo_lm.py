@@ -22,7 +22,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
@@ -170,6 +170,12 @@ def counted(docs: DataFrame, text_col: str) -> tuple[list[str], np.ndarray]:
     return frequent, counts
 
 
+def dealt(rows: DataFrame, of: str, n: int, seed: int) -> Column:
+    """Which of ``n`` parts a row goes to, by a hash of its own of the column ``of``: keys chosen
+    or dealt by other hashes still spread over all parts."""
+    return F.pmod(F.xxhash64(rows[of], F.lit(seed)), F.lit(n))
+
+
 def trained(docs: DataFrame, text_col: str, id_col: str, frequent: list[str], counts: np.ndarray,
             share: int = SHARE, rounds: int = ROUNDS) -> Network:
     class_counts = np.zeros(CLASSES)
@@ -208,10 +214,10 @@ def trained(docs: DataFrame, text_col: str, id_col: str, frequent: list[str], co
         total = sum(np.frombuffer(w, "<f4").astype("f8") * k for w, k in zip(frame["weights"], frame["n"]))
         return pd.DataFrame({"n": [n], "weights": [(total / n).astype("<f4").tobytes()]})
 
-    dealt = lines.withColumn("worker", F.pmod("key", F.lit(workers)))
+    parts = lines.withColumn("worker", dealt(lines, "key", workers, 1))
     for k in range(rounds if tokens else 0):
-        weights = (dealt.groupBy("worker").applyInPandas(work(network.dump(), RATE / (1 + k)), "worker long, n long, weights binary")
-                   .groupBy(F.pmod("worker", F.lit(GROUPS))).applyInPandas(mean, "n long, weights binary"))
+        weights = parts.groupBy("worker").applyInPandas(work(network.dump(), RATE / (1 + k)), "worker long, n long, weights binary")
+        weights = weights.groupBy(dealt(weights, "worker", GROUPS, 2)).applyInPandas(mean, "n long, weights binary")
         network = Network.load(mean(weights.toPandas())["weights"][0])  # GROUPS rows at most
     return network
 

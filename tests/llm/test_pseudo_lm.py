@@ -83,6 +83,15 @@ def test_every_document_is_trained_on(docs_of):
     assert min(got.values()) > log(1 / 144) + 0.5
 
 
+@pytest.mark.parametrize("workers", [16, 48])
+def test_chosen_documents_reach_all_workers_and_groups(spark, workers):
+    rows = spark.range(0, 16 * 4000, 16).withColumnRenamed("id", "key")  # as chosen by key mod 16
+    sizes = [r["count"] for r in rows.groupBy(pseudo_lm.dealt(rows, "key", workers, 1).alias("worker")).count().collect()]
+    assert len(sizes) == workers and max(sizes) < 2 * 4000 / workers
+    numbers = spark.range(0, 16 * 400, 16).withColumnRenamed("id", "worker")
+    assert numbers.select(pseudo_lm.dealt(numbers, "worker", pseudo_lm.GROUPS, 2)).distinct().count() == pseudo_lm.GROUPS
+
+
 def test_class_and_token_shares_add_up():
     tokens = np.arange(pseudo_lm.FREQUENT + pseudo_lm.ENDINGS * pseudo_lm.BUCKETS)
     classes = pseudo_lm.class_of(tokens)
