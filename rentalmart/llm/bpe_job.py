@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import islice
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -52,7 +52,7 @@ def digests(docs: DataFrame, spec: str, *, id_col: str = "doc_id", text_col: str
                 ids = encoder.packed(text)
                 n.append(len(ids) // 4)
                 of_ids.append(hashlib.sha256(ids).hexdigest())
-                of_text.append(hashlib.sha256(decoder.text(np.frombuffer(ids, "<u4").tolist()).encode()).hexdigest())
+                of_text.append(_sha256(decoder.stream(memoryview(ids).cast("I"))))
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n, pa.int64()), pa.array(of_ids), pa.array(of_text)],
                                              names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
 
@@ -60,5 +60,13 @@ def digests(docs: DataFrame, spec: str, *, id_col: str = "doc_id", text_col: str
         run, f"`{id_col}` long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
+def _sha256(pieces: Iterator[str], step: int = 4096) -> str:
+    """SHA-256 of the UTF-8 text that ``pieces`` make up, ``step`` of them at a time."""
+    sha = hashlib.sha256()
+    while some := [*islice(pieces, step)]:
+        sha.update("".join(some).encode())
+    return sha.hexdigest()
+
+
 def _lean(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))

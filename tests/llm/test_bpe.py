@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -80,3 +81,22 @@ def test_jobs(docs_of):
         assert texts[r.doc_id] == LIBRARY.decode(want, skip_special_tokens=False)
         assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
     assert bpe_job.digests(docs_of([]), WORD_SPEC).collect() == []
+
+
+def test_digests_decode_piece_by_piece(monkeypatch):
+    monkeypatch.setattr(bpe_job.Decoder, "text", None)  # the whole-text way
+    sha = lambda text: hashlib.sha256("".join(DECODER.stream(ENCODER.ids(text))).encode()).hexdigest()
+    texts = ["é ü ß 🙂 end", "word " * 10_000]
+    monkeypatch.setattr(bpe_job, "_lean", lambda docs, *_: Once(docs))
+    rows = bpe_job.digests(texts, WORD_SPEC)
+    assert rows == [sha(t) for t in texts]
+
+
+class Once:
+    """Runs a mapInArrow function in this process, for one batch of texts."""
+
+    def __init__(self, texts):
+        self.batch = pa.RecordBatch.from_arrays([pa.array([*range(len(texts))]), pa.array(texts)], names=["id", "text"])
+
+    def mapInArrow(self, run, schema):
+        return next(run(iter([self.batch]))).column("decoded_sha256").to_pylist()
