@@ -82,9 +82,10 @@ def templates(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> Dat
                       "page_classes")
     large = frequent.groupBy("host", "class").agg(F.count("*").alias("size")).where(F.col("size") >= MIN_CLASS)
     members = stored(frequent.join(large, ["host", "class"], "left_semi"), "page_members")
-    # the order of a class's tokens on each page: equal sequences have equal hashes
+    # the order of a class's tokens on each page (a set, as repeated rows are one page): equal
+    # sequences have equal hashes
     placed = found.join(members, ["host", "role"]).groupBy("host", "class", "page").agg(
-        F.sort_array(F.collect_list(F.struct("at", "role"))).alias("sequence"))
+        F.sort_array(F.collect_set(F.struct("at", "role"))).alias("sequence"))
     ordered = placed.groupBy("host", "class").agg(
         F.min(F.xxhash64(F.col("sequence.role"))).alias("low"), F.max(F.xxhash64(F.col("sequence.role"))).alias("high"),
         F.avg(F.element_at("sequence", 1)["at"]).alias("first")).where("low = high")
@@ -117,7 +118,7 @@ def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url",
     none) and n_chars.
 
     A null html is an empty page. A null or odd url has the host of the empty name. Repeated
-    rows stay; on a host whose pages are all alike nothing counts as template. Other columns
+    rows stay, and each counts as a page of its host; on a host whose pages are all alike nothing counts as template. Other columns
     are ignored; an empty table gives an empty result.
     """
     host = F.coalesce(F.lower(F.regexp_extract(F.col(url_col), r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))

@@ -57,6 +57,12 @@ def test_a_class_out_of_order_is_no_template(pages_of):
     assert all("fixed 1" in r.text for r in got)
 
 
+def test_a_repeated_row_leaves_the_template(pages_of):
+    rows = [(k, f"http://r.example/{k}", site(k, f"<p>own text {k}</p>")) for k in range(12)]
+    got = html_template.extract(pages_of([*rows, rows[3]])).collect()
+    assert len(got) == 13 and all(r.text == f"Title {r.page_id}\nown text {r.page_id}" for r in got)
+
+
 def test_nested_classes():
     outer, inner, crossed = {1: 10, 2: 10, 3: 10}, {4: 20, 5: 20, 6: 20}, {7: 30, 8: 30, 9: 30}
     places = {1: 0, 2: 10, 3: 20, 4: 11, 5: 13, 6: 15, 7: 12, 8: 14, 9: 18}
