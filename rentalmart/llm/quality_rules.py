@@ -1,7 +1,9 @@
 """Quality rules: hashed n-gram log-likelihood ratio.
 
 Two multinomials over hashed n-grams are counted: one over a trusted target corpus, one over
-the whole raw corpus. A text's score is the mean over its n-grams of
+the whole raw corpus. The target's is smoothed towards the raw one (``PRIOR`` n-grams dealt
+out by the raw shares), so that a bucket without evidence has a ratio near 0 whatever the
+sizes of the two corpora. A text's score is the mean over its n-grams of
 log p_target(bucket) - log p_raw(bucket); a text is kept when the score reaches a fixed
 threshold. The n-grams are single word ends and pairs of neighbouring word ends (the last
 characters of a word, with its letter case), because in a corpus with an open vocabulary
@@ -29,7 +31,7 @@ from .common import number_literal
 BUCKETS = 1 << 14
 BITMAPS = 1 << 13  # bitmaps (of 4 KB) that are broadcast, at most
 TAIL = 3  # characters of a word end
-SMOOTHING = 1.0
+PRIOR = 1000.0  # n-grams of the raw corpus that the target model starts from
 THRESHOLD = -0.15
 MIN_WORDS = 10  # fewer words: the base rule fails the text
 MAX_REPEAT_PERCENT = 20  # more repeated words than this: the base rule fails the text
@@ -55,13 +57,13 @@ def counts(docs: DataFrame, text_col: str, trusted: Column, buckets: int) -> tup
     return target, raw
 
 
-def log_ratios(target: list[int], raw: list[int], smoothing: float = SMOOTHING) -> list[float]:
-    """log p_target - log p_raw per bucket, add-``smoothing``; zero without any target."""
-    if not sum(target):
+def log_ratios(target: list[int], raw: list[int], prior: float = PRIOR) -> list[float]:
+    """log p_target - log p_raw per bucket, with p_target = (target + prior * p_raw) / (total
+    + prior); zero without any target, and for buckets that no document has."""
+    t, r = sum(target), sum(raw)
+    if not t:
         return [0.0] * len(raw)
-    t = sum(target) + smoothing * len(target)
-    r = sum(raw) + smoothing * len(raw)
-    return [log((a + smoothing) / t) - log((b + smoothing) / r) for a, b in zip(target, raw)]
+    return [log((a * r / b + prior) / (t + prior)) if b else 0.0 for a, b in zip(target, raw)]
 
 
 def score(ratios: list[float]) -> Column:

@@ -39,9 +39,10 @@ def test_score_is_the_mean_log_ratio(docs_of, spark):
         w = [x[-3:] for x in WORD.findall(t or "")]
         return w + [*zip(w, w[1:])]
     target, raw = Counter(g for t in texts[:2] for g in grams(t)), Counter(g for t in texts for g in grams(t))
-    t_all, r_all = sum(target.values()) + buckets, sum(raw.values()) + buckets
+    t_all, r_all, prior = sum(target.values()), sum(raw.values()), quality_rules.PRIOR
     for k, t in enumerate(texts):
-        want = [log((target[g] + 1) / t_all) - log((raw[g] + 1) / r_all) for g in grams(t)]
+        p_raw = [raw[g] / r_all for g in grams(t)]
+        want = [log((target[g] + prior * p) / (t_all + prior)) - log(p) for g, p in zip(grams(t), p_raw)]
         assert isclose(got[k], sum(want) / max(1, len(want)), abs_tol=1e-9)
 
 
