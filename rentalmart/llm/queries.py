@@ -7,8 +7,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe_job, classifier, fingerprints, html_template, line_dedup, ngram_join, packing, pseudo_lm,
-               quality_rules, shards)
+from . import (bpe_job, classifier, exact_dedup, filter_audit, fingerprints, html_template, line_dedup, merkle, ngram_join,
+               packing, pseudo_lm, quality_rules, shards)
 from .common import read
 from .oracle import ORACLE
 
@@ -71,6 +71,21 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classifier.quality_scores(docs, read(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hit = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    return merkle.checked(read(spark, sf_dir, "documents"), {"n_chars": F.when(hit, F.col("n_chars") + 1)})
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = exact_dedup.exact_dedup(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_minimax_shards, op2_ngram_join, op3_fingerprints, op4_quality_rules, op5_pseudo_lm, op6_packing,
-    op7_html_template, op8_line_dedup, op9_bpe, op10_quality_classifier)}
+    op7_html_template, op8_line_dedup, op9_bpe, op10_quality_classifier, op11_merkle_manifest,
+    op12_exact_dedup, op13_filter_audit)}
