@@ -2,7 +2,8 @@
 
 The calendar is stored by the month of its date key, so a new batch is matched against the
 target months it covers only. A review's month is not a function of its key (a review can
-come again with another date), so reviews match on ``review_id`` against the whole target.
+come again with another date), so reviews match on ``review_id`` against the files whose key
+filter says that they may have one of the batch.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rentalmart.operators.incremental import AppendResult, append_new, read_table
+from rentalmart.operators.incremental import AppendResult, append_new, first_versions, read_table
 
 REVIEW_KEYS = ["review_id"]
 CALENDAR_KEYS = ["listing_id", "calendar_date"]
@@ -41,3 +42,13 @@ def read_fct_reviews(spark: SparkSession, target: str) -> DataFrame:
 
 def read_fct_calendar(spark: SparkSession, target: str) -> DataFrame:
     return read_table(spark, target, CALENDAR_PART)
+
+
+def reviews_after(batches: list[DataFrame]) -> DataFrame:
+    """The fact that appending staged ``batches`` leaves, without writing it."""
+    return first_versions(batches, REVIEW_KEYS)
+
+
+def calendar_after(batches: list[DataFrame]) -> DataFrame:
+    """The fact that appending staged ``batches`` leaves, without writing it."""
+    return with_cal_key(first_versions(batches, CALENDAR_KEYS))

@@ -14,13 +14,16 @@ task chain; ``raise_on_failure=False`` records the failure and continues instead
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rentalmart.operators import versions
 from rentalmart.operators.incremental import is_table_name
 from rentalmart.plans import facts, marts, quality, staging
+from rentalmart.session import discard
 from rentalmart.sources.adapters import RawInputs
 
 
@@ -53,15 +56,35 @@ def ensure_database(spark: SparkSession, wh: Warehouse) -> None:
 
 def write_table(spark: SparkSession, df: DataFrame, target: str,
                 sort_by: list[str] | None = None) -> DataFrame:
-    """Full refresh of a mart (drop + create as select); returns the written table."""
+    """Full refresh of a mart; returns the written table.
+
+    The new content is written first and then takes the old one's place in one step, so that
+    a failed refresh leaves the mart as it was (a folder: ``versions``; a catalog table: its
+    location moves to the new files).
+    """
     if sort_by:
         df = df.sortWithinPartitions(*sort_by)  # min/max stats per file prune later scans
-    w = df.write.mode("overwrite").format("parquet")
-    if is_table_name(target):
-        w.saveAsTable(target)
-        return spark.table(target)
-    w.save(target)
-    return spark.read.parquet(target)
+    if not is_table_name(target):
+        return versions.replace(spark, df, target)
+    database, name = target.split(".") if "." in target else (spark.catalog.currentDatabase(), target)
+    base = spark.catalog.getDatabase(database).locationUri.rstrip("/")
+    folder = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    try:
+        df.write.parquet(folder)
+    except Exception:
+        discard(spark, folder)
+        raise
+    shape = [(f.name, f.dataType) for f in versions.as_stored(df.schema).fields]
+    if spark.catalog.tableExists(target):
+        row = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {target}").collect()}
+        if row.get("Type") == "EXTERNAL" and [(f.name, f.dataType) for f in spark.table(target).schema.fields] == shape:
+            spark.sql(f"ALTER TABLE {target} SET LOCATION '{folder}'")
+            spark.catalog.refreshTable(target)
+            discard(spark, row["Location"])
+            return spark.table(target)
+        spark.sql(f"DROP TABLE {target}")  # other columns: a new table
+    spark.catalog.createTable(target, folder, "parquet")
+    return spark.table(target)
 
 
 def build_models(spark: SparkSession, raw: RawInputs, wh: Warehouse) -> dict[str, DataFrame]:
@@ -107,12 +130,7 @@ def build_models(spark: SparkSession, raw: RawInputs, wh: Warehouse) -> dict[str
 def run_tests(models: dict[str, DataFrame], as_of, wh: Warehouse) -> bool:
     """Generic and singular tests; each logs PASS or FAIL with its failure count."""
     results = quality.union_all([
-        quality.run_not_null_tests(models)
-        .select(F.concat_ws(".", "model", "column", F.lit("not_null")).alias("test"),
-                "failures"),
-        quality.run_unique_tests(models)
-        .select(F.concat_ws(".", "model", "column", F.lit("unique")).alias("test"),
-                "failures"),
+        quality.generic_tests(models).select(F.concat_ws(".", "model", "column", "test").alias("test"), "failures"),
         quality.non_positive_price(models["dim_listing"])
         .agg(F.count(F.lit(1)).alias("failures"))
         .select(F.lit("assert_listing_price_positive").alias("test"), "failures"),

@@ -13,13 +13,19 @@ Fixed values (defaults that must equal the reference's):
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rentalmart.plans import staging
+
 EARLIEST_REVIEW = "2010-01-01"
 MART_STALE_DAYS = 365
 EMPTY_AGE_DAYS = 999
+PROBE_ERRORS = (PySparkException, Py4JJavaError, ValueError)  # what a check may fail of
 
 SOURCE_FRESHNESS = {  # source -> (loaded_at column, warn days, error days)
     "raw_listings": ("last_scraped", 180, 365),
@@ -44,6 +50,13 @@ UNIQUE_TESTS = {  # model -> columns declared unique
     "stg_reviews": ["review_id"],
 }
 
+STAGED_FROM = {  # raw table -> (staged model, its columns as expressions over the raw one)
+    "raw_listings": ("stg_listings", staging.STG_LISTINGS_EXPRS),
+    "raw_reviews": ("stg_reviews", staging.STG_REVIEWS_EXPRS),
+    "raw_neighbourhoods": None,
+    "raw_calendar": ("stg_calendar", staging.STG_CALENDAR_EXPRS),
+}
+
 
 def _lit_date(d) -> Column:
     """A fixed snapshot date, or the session's CURRENT_DATE when ``d`` is None."""
@@ -102,49 +115,68 @@ def _date_text(c: Column) -> Column:
                     F.lit(")"))
 
 
+def probe_checks() -> list[tuple[str, str, list[Column], Callable[..., Column]]]:
+    """(table, check, aggregates, text of the result)."""
+    one = lambda v: _tuple_text(v.cast("string"))
+    return [
+        ("listings", "Listings with price > 0", [F.count_if(F.col("price") > 0)], one),
+        ("listings", "Listings with reviews", [F.count_if(F.col("number_of_reviews") > 0)], one),
+        ("listings", "Neighbourhoods", [F.countDistinct("neighbourhood")], one),
+        ("reviews", "Total reviews", [F.count(F.lit(1))], one),
+        ("calendar", "Calendar date range", [F.min("calendar_date"), F.max("calendar_date")],
+         lambda lo, hi: _tuple_text(_date_text(lo), _date_text(hi)))]
+
+
+def probe_values(df: DataFrame, checks: list[tuple]) -> DataFrame:
+    """One row with text<i> and v<i> (the first aggregate) of each check of a table."""
+    values = df.agg(*[v.alias(f"v{i}_{k}") for i, c in enumerate(checks) for k, v in enumerate(c[2])])
+    return values.select(
+        *[c[3](*[F.col(f"v{i}_{k}") for k in range(len(c[2]))]).alias(f"text{i}") for i, c in enumerate(checks)],
+        *[F.col(f"v{i}_0").alias(f"v{i}") for i in range(len(checks))])
+
+
 def quality_probe(dim_listing: DataFrame | None, fct_reviews: DataFrame | None,
                   fct_calendar: DataFrame | None, min_values: dict[str, int] | None = None) -> DataFrame:
     """J-34: the five runtime checks as (check, result, status).
 
-    A check passes when it evaluates (as in the reference); ``min_values`` optionally turns a
-    count below a minimum into FAIL. One aggregate per table. A table that cannot be read
-    (None, or an error when its checks are planned) fails its own checks with the error's
-    text, and the others go on.
+    The checks run when this is called, one aggregate per table; what fails is caught, so a
+    table that is missing (None), lacks a column or has a file that cannot be read fails its
+    own checks with the error's text and the others go on. After an error a table's checks
+    run one by one, so that only those fail that need what is broken. A check passes when it
+    evaluates (as in the reference); ``min_values`` optionally turns a count below a minimum
+    into FAIL.
     """
     mins = min_values or {}
-
-    def counted(df: DataFrame, *checks: tuple[str, Column]) -> DataFrame:
-        totals = df.agg(*[c.alias(f"v{k}") for k, (_, c) in enumerate(checks)])
-        pairs = ", ".join(f"'{name}', v{k}" for k, (name, _) in enumerate(checks))
-        rows = totals.selectExpr(f"stack({len(checks)}, {pairs}) AS (check, v)")
-        least = F.coalesce(*[F.when(F.col("check") == n, F.lit(m)) for n, m in mins.items()], F.lit(None).cast("long"))
-        return rows.select("check", _tuple_text(F.col("v").cast("string")).alias("result"),
-                           F.when(F.col("v") < least, "FAIL").otherwise("PASS").alias("status"))
-
-    def dated(df: DataFrame, name: str) -> DataFrame:
-        span = df.agg(F.min("calendar_date").alias("lo"), F.max("calendar_date").alias("hi"))
-        return span.select(F.lit(name).alias("check"), _tuple_text(_date_text(F.col("lo")), _date_text(F.col("hi")))
-                           .alias("result"), F.lit("PASS").alias("status"))
-
-    groups = [
-        (dim_listing, ["Listings with price > 0", "Listings with reviews", "Neighbourhoods"],
-         lambda df, names: counted(df, *zip(names, (F.count_if(F.col("price") > 0), F.count_if(F.col("number_of_reviews") > 0),
-                                                   F.countDistinct("neighbourhood"))))),
-        (fct_reviews, ["Total reviews"], lambda df, names: counted(df, (names[0], F.count(F.lit(1))))),
-        (fct_calendar, ["Calendar date range"], lambda df, names: dated(df, names[0]))]
-    out = []
-    for df, names, probe in groups:
+    tables = {"listings": dim_listing, "reviews": fct_reviews, "calendar": fct_calendar}
+    found: dict[str, tuple[str, str]] = {}
+
+    def run(df: DataFrame | None, checks) -> None:
+        if df is None:
+            raise ValueError("table is missing")
+        row = probe_values(df, checks).first()
+        for i, c in enumerate(checks):
+            low = c[1] in mins and row[f"v{i}"] < mins[c[1]]
+            found[c[1]] = (row[f"text{i}"], "FAIL" if low else "PASS")
+
+    checks = probe_checks()
+    for table, df in tables.items():
+        own = [c for c in checks if c[0] == table]
         try:
-            if df is None:
-                raise ValueError("table is missing")
-            rows = probe(df, names)
-            rows.schema  # noqa: B018 - a missing column shows here, not in the middle of the job
-        except (PySparkException, ValueError) as exc:
-            text = str(exc).splitlines()[0]
-            rows = _session(dim_listing, fct_reviews, fct_calendar).createDataFrame(
-                [(n, text, "FAIL") for n in names], "check string, result string, status string")
-        out.append(rows)
-    return union_all(out)
+            run(df, own)
+        except PROBE_ERRORS:
+            for c in own:
+                try:
+                    run(df, [c])
+                except PROBE_ERRORS as exc:
+                    found[c[1]] = (_first_line(exc), "FAIL")
+    return _session(*tables.values()).createDataFrame(
+        [(c[1], *found[c[1]]) for c in checks], "check string, result string, status string")
+
+
+def _first_line(exc: Exception) -> str:
+    """The error's message; of a failed job, what it failed of."""
+    text = str(getattr(exc, "java_exception", None) or exc)
+    return next((line for line in text.splitlines() if line.strip()), type(exc).__name__)
 
 
 def _session(*frames: DataFrame | None):
@@ -183,13 +215,43 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
-def run_not_null_tests(models: dict[str, DataFrame]) -> DataFrame:
-    return union_all([not_null(models[m], cols, m) for m, cols in NOT_NULL_TESTS.items()])
+def generic_tests(raw: dict[str, DataFrame], tests: list[str] = ("not_null", "unique")) -> DataFrame:
+    """J-30, J-31: all declared tests of the raw tables and their staged forms, as (model,
+    column, test, failures), with one scan and one aggregate per raw table.
 
-
-def run_unique_tests(models: dict[str, DataFrame]) -> DataFrame:
-    return union_all([unique(models[m], c, m)
-                      for m, cols in UNIQUE_TESTS.items() for c in cols])
+    Tests without a unique one are counted as they are. Otherwise every tested column of a
+    row gives a (column, value) pair; pairs are counted (combined map-side, so a hot value
+    costs one partial row per task), and the counts say what is NULL and what occurs twice.
+    """
+    out = []
+    for table, stage in STAGED_FROM.items():
+        columns = {}  # (model, column) -> (expression, its tests)
+        for model, exprs in ((table, None), (stage and stage[0], stage and dict(e.rsplit(" AS ", 1)[::-1] if " AS " in e else (e, e)
+                                                                                for e in stage[1]))):
+            for test, declared in (("not_null", NOT_NULL_TESTS), ("unique", UNIQUE_TESTS)):
+                for c in declared.get(model, []) if test in tests else []:
+                    columns.setdefault((model, c), (exprs[c] if exprs else c, []))[1].append(test)
+        if not columns:
+            continue
+        keys = [*columns]
+        if any("unique" in wanted for _, wanted in columns.values()):
+            # a value that is only tested for NULL counts as one value
+            pairs = ", ".join(f"struct({k} AS k, {f'CAST({e} AS STRING)' if 'unique' in t else f'IF(({e}) IS NULL, NULL, 0)'} AS v)"
+                              for k, (e, t) in enumerate(columns.values()))
+            counts = (raw[table].selectExpr(f"explode(array({pairs})) AS p").groupBy("p.k", "p.v").agg(F.count(F.lit(1)).alias("n"))
+                      .groupBy("k").agg(F.sum(F.when(F.col("v").isNull(), F.col("n")).otherwise(0)).alias("not_null"),
+                                        F.count_if(F.col("v").isNotNull() & (F.col("n") > 1)).alias("unique")))
+        else:
+            nulls = raw[table].selectExpr(*[f"count_if(({e}) IS NULL) AS c{k}" for k, (e, _) in enumerate(columns.values())])
+            counts = nulls.selectExpr(f"stack({len(keys)}, {', '.join(f'{k}, c{k}' for k in range(len(keys)))}) AS (k, not_null)") \
+                .withColumn("unique", F.lit(None).cast("long"))
+        declared = [(k, m, c, t) for k, ((m, c), (_, wanted)) in enumerate(columns.items()) for t in wanted]
+        results = raw[table].sparkSession.createDataFrame(declared, "k int, model string, column string, test string")
+        # an empty table has no pairs and no failures
+        out.append(results.join(counts, "k", "left").select(
+            "model", "column", "test", F.coalesce(F.when(F.col("test") == "unique", F.col("unique")).otherwise(F.col("not_null")),
+                                                  F.lit(0)).cast("long").alias("failures")))
+    return union_all(out)
 
 
 def all_source_freshness(raw: dict[str, DataFrame], as_of=None) -> DataFrame:

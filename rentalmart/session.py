@@ -95,7 +95,8 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{base}/rentalmart/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def _located(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's path of ``path`` and the file system that it lies in."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     return where, where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
 
@@ -103,7 +104,7 @@ def _located(spark: SparkSession, path: str):
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` (a file, or a folder with anything but hidden files) exists, asked of
     its file system."""
-    where, fs = _located(spark, path)
+    where, fs = file_system(spark, path)
     if not fs.exists(where):
         return False
     if not fs.getFileStatus(where).isDirectory():
@@ -112,12 +113,12 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def discard(spark: SparkSession, path: str) -> None:
-    where, fs = _located(spark, path)
+    where, fs = file_system(spark, path)
     fs.delete(where, True)
 
 
 def discard_at_exit(spark: SparkSession, path: str) -> str:
     """Delete ``path`` when the application ends."""
-    where, fs = _located(spark, path)
+    where, fs = file_system(spark, path)
     fs.deleteOnExit(where)
     return path

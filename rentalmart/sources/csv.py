@@ -2,10 +2,12 @@
 
 Files are read with their header, every column as text, then cast *by name* to the
 declared schema (``schemas.py``), so extra columns in a real export are ignored and a
-missing declared column is an error instead of a silent shift. Only listings and reviews
-have free text with line breaks in quotes (``multiLine``, one task per file); the calendar,
-the large input, and the neighbourhoods are split like any text file. Output files are
-sized by bytes (``rebalance``). Gzip files (``.csv.gz``) are read directly.
+missing declared column is an error instead of a silent shift. Listings and reviews have
+free text with line breaks in quotes: their records are found range by range
+(``records.py``) and parsed one by one, so a file is read by many tasks. The calendar and
+the neighbourhoods are split like any text file. Output files are sized by bytes
+(``rebalance``). Gzip files (``.csv.gz``) are read directly; they cannot be cut, so each is
+one task.
 """
 
 from __future__ import annotations
@@ -14,9 +16,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
+from rentalmart.operators import versions
 from rentalmart.session import exists
+from rentalmart.sources.records import records
 from rentalmart.sources.schemas import RAW_TABLES
 
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "mode": "FAILFAST"}
@@ -27,13 +31,33 @@ class MissingColumnError(ValueError):
     pass
 
 
+def free_text_csv(spark: SparkSession, path: str, needed: list[str]) -> DataFrame:
+    """All columns, as text, of a CSV file or folder whose quoted fields may span lines.
+
+    The names come from the header of the first file; another file's header that has one of
+    the ``needed`` columns in another place fails the read.
+    """
+    names = spark.read.options(**CSV_OPTIONS, multiLine=True).csv(path).columns  # reads the header only
+    schema = StructType([StructField(n, StringType()) for n in names])
+    options = {**CSV_OPTIONS, "multiLine": "true"}
+    rows = records(spark, path).select(((F.col("start") == 0) & (F.col("at") == 0)).alias("is_header"), "file",
+                                       F.from_csv("record", schema.simpleString(), options).alias("r"))
+    same = F.lit(True)
+    for n in needed:
+        same = same & (F.col(f"r.`{n}`") == n)
+    other = F.raise_error(F.concat(F.lit("HeaderError: other columns than in the first file: "), "file"))
+    body = rows.where(F.when(~F.col("is_header"), True).when(F.coalesce(same, F.lit(False)), False).otherwise(other.cast("boolean")))
+    return body.select("r.*")
+
+
 def read_csv(spark: SparkSession, path: str, schema: StructType, free_text: bool = True) -> DataFrame:
     """Read one landed CSV (file or folder) and cast it to ``schema`` by name; ``free_text``
     allows line breaks inside quotes."""
-    text = spark.read.options(**CSV_OPTIONS, multiLine=free_text).csv(path)
-    missing = [f.name for f in schema.fields if f.name not in text.columns]
+    plain = spark.read.options(**CSV_OPTIONS, multiLine=free_text).csv(path)  # plans, reads the header
+    missing = [f.name for f in schema.fields if f.name not in plain.columns]
     if missing:
         raise MissingColumnError(f"{path}: missing columns {missing}")
+    text = free_text_csv(spark, path, [f.name for f in schema.fields]) if free_text else plain
     return text.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
@@ -58,7 +82,8 @@ def landed(spark: SparkSession, folder: str, name: str) -> str | None:
 
 def load_raw(spark: SparkSession, landing: dict[str, str], out_dir: str,
              database: str | None = None) -> DataFrame:
-    """Load every landed file to ``<out_dir>/<table>`` as Parquet (drop + create).
+    """Load every landed file to ``<out_dir>/<table>`` as Parquet. A table is replaced in one
+    step (``versions``): a failed load leaves the one before.
 
     ``landing`` maps table name -> CSV path. With ``database`` the tables are catalog tables
     ``<database>.<table>`` (read later with ``spark.table``). A missing file is skipped and
@@ -73,13 +98,12 @@ def load_raw(spark: SparkSession, landing: dict[str, str], out_dir: str,
         if path is None or not exists(spark, path):
             report.append(LoadedTable(table, 0, 0, True))
             continue
-        w = read_csv(spark, path, schema, table in FREE_TEXT).hint("rebalance").write.mode("overwrite").format("parquet")
+        rows = read_csv(spark, path, schema, table in FREE_TEXT).hint("rebalance")
         if database:
-            w.saveAsTable(f"{database}.{table}")
+            rows.write.mode("overwrite").format("parquet").saveAsTable(f"{database}.{table}")
             loaded = spark.table(f"{database}.{table}")
         else:
-            w.save(f"{out_dir}/{table}")
-            loaded = spark.read.parquet(f"{out_dir}/{table}")
+            loaded = versions.replace(spark, rows, f"{out_dir.rstrip('/')}/{table}")
         report.append(LoadedTable(table, loaded.count(), len(loaded.columns), False))
     return spark.createDataFrame(
         [(r.table, r.rows, r.cols, r.skipped) for r in report],
@@ -90,4 +114,4 @@ def read_raw(spark: SparkSession, out_dir: str, table: str,
              database: str | None = None) -> DataFrame:
     if database:
         return spark.table(f"{database}.{table}")
-    return spark.read.parquet(f"{out_dir}/{table}")
+    return versions.read(spark, f"{out_dir.rstrip('/')}/{table}")

@@ -1,6 +1,7 @@
 """End-to-end pipeline (J-38): failing tests stop the run; a rerun appends nothing."""
 import pytest
 
+from rentalmart.operators import versions
 from rentalmart.plans import facts
 from rentalmart.plans.pipeline import PipelineFailed, run_pipeline
 from rentalmart.sources import adapters
@@ -20,7 +21,7 @@ def test_pipeline_gate_and_idempotent_rerun(spark, scratch):
     assert steps["assert_listing_price_positive"].status == "FAIL"
     assert steps["raw_listings.id.unique"].status == "PASS"
     assert steps["quality: Total reviews"].status == "PASS"
-    assert spark.read.parquet(f"{wh}/pricing_analysis").count() > 0
+    assert versions.read(spark, f"{wh}/pricing_analysis").count() > 0
 
 
 def test_pipeline_with_catalog_tables(spark, scratch):

@@ -35,8 +35,33 @@ def test_pricing_and_box_scan_the_listing_chain_once(spark):
 
 def test_quality_probe_scans_each_table_once(spark):
     from conftest import SF_SMALL
-    plan = REGISTRY["quality_probe"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
-    assert sum("o_totalprice" in x for x in plan.split("Relation")[1:]) == 1
+    from rentalmart import registry
+    from rentalmart.plans import quality
+    checks = [c for c in quality.probe_checks() if c[0] == "listings"]
+    plan = quality.probe_values(registry._dim_listing(spark, SF_SMALL), checks)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(checks) == 3 and sum("o_totalprice" in x for x in plan.split("Relation")[1:]) == 1
+
+
+@pytest.mark.parametrize("name, tables", [("not_null", ["orders", "events", "lineitem"]),
+                                          ("unique", ["orders", "events"])])
+def test_declared_tests_scan_each_table_once(spark, name, tables):
+    from conftest import SF_SMALL
+    plan = REGISTRY[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    for table in tables:
+        assert sum(f"/{table}.parquet" in line for line in scans) == 1, table
+
+
+@pytest.mark.parametrize("name", ["monthly_occupancy", "occupancy_trend", "quarterly_occupancy", "review_volume",
+                                  "bad_review_dates", "quality_probe", "mart_freshness"])
+def test_building_a_report_writes_nothing(spark, name, monkeypatch):
+    from conftest import SF_SMALL
+
+    def refuse(self, *a, **k):
+        raise AssertionError("a report writes")
+    for method in ("save", "parquet", "saveAsTable"):
+        monkeypatch.setattr(DataFrameWriter, method, refuse)
+    assert REGISTRY[name](spark, SF_SMALL).columns
 
 
 def test_column_pruning_reaches_the_scan(spark):

@@ -31,3 +31,47 @@ def test_a_broken_table_is_recorded_with_its_error(spark):
 def test_minimums(spark):
     got = status(quality.quality_probe(*tables(spark), min_values={"Neighbourhoods": 3, "Total reviews": 1}))
     assert got["Neighbourhoods"] == "FAIL" and got["Total reviews"] == "PASS"
+
+
+def test_a_corrupt_file_fails_its_own_checks_only(spark, scratch):
+    """The error comes up while the checks run, not while they are planned."""
+    listings, reviews, calendar = tables(spark)
+    reviews.write.parquet(f"{scratch}/reviews")
+    listings.write.parquet(f"{scratch}/listings")
+    schemas = {n: spark.read.parquet(f"{scratch}/{n}").schema for n in ("reviews", "listings")}
+    with open(f"{scratch}/reviews/part-x.parquet", "w") as f:
+        f.write("not parquet")
+    broken = spark.read.schema(schemas["reviews"]).parquet(f"{scratch}/reviews")
+    rows = quality.quality_probe(spark.read.schema(schemas["listings"]).parquet(f"{scratch}/listings"), broken, calendar).collect()
+    assert {r.check for r in rows if r.status == "FAIL"} == {"Total reviews"} and len(rows) == 5
+    assert next(r.result for r in rows if r.status == "FAIL")
+
+
+def test_a_column_that_fails_at_run_time_fails_the_checks_that_read_it(spark):
+    from pyspark.sql import functions as F
+    listings, reviews, calendar = tables(spark)
+    bad = listings.withColumn("price", F.raise_error(F.lit("no price")).cast("double"))
+    got = status(quality.quality_probe(bad, reviews, calendar))
+    assert [c for c, s in got.items() if s == "FAIL"] == ["Listings with price > 0"]
+
+
+def test_declared_tests_count_what_single_tests_count(spark):
+    from rentalmart.plans import staging
+    from rentalmart.sources.schemas import RAW_CALENDAR, RAW_LISTINGS, RAW_NEIGHBOURHOODS, RAW_REVIEWS
+
+    def rows(schema, column, values):
+        at = [f.name for f in schema.fields].index(column)
+        return spark.createDataFrame([tuple(v if k == at else None for k in range(len(schema))) for v in values], schema)
+    raw = {"raw_listings": rows(RAW_LISTINGS, "id", [1, 1, 2, None, None, None, 3, 3, 3]),
+           "raw_reviews": rows(RAW_REVIEWS, "id", [5, 5, None]),
+           "raw_neighbourhoods": rows(RAW_NEIGHBOURHOODS, "neighbourhood", []),
+           "raw_calendar": rows(RAW_CALENDAR, "listing_id", [1, None, None])}
+    models = {**raw, "stg_listings": staging.stg_listings(raw["raw_listings"]),
+              "stg_reviews": staging.stg_reviews(raw["raw_reviews"]), "stg_calendar": staging.stg_calendar(raw["raw_calendar"])}
+    got = sorted((r.test, r.model, r.column, r.failures) for r in quality.generic_tests(raw).collect())
+    want = [("not_null", m, r.column, r.failures) for m, cols in quality.NOT_NULL_TESTS.items()
+            for r in quality.not_null(models[m], cols, m).collect()]
+    want += [("unique", m, c, quality.unique(models[m], c, m).first().failures)
+             for m, cols in quality.UNIQUE_TESTS.items() for c in cols]
+    assert got == sorted(want) and ("unique", "raw_listings", "id", 2) in got
+    assert ("not_null", "raw_listings", "id", 3) in got and ("not_null", "stg_calendar", "listing_id", 2) in got

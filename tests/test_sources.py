@@ -36,7 +36,7 @@ def test_load_raw_reports_and_skips_missing(spark, scratch):
         f"{scratch}/raw").collect()}
     assert (rep["raw_neighbourhoods"].rows, rep["raw_neighbourhoods"].cols) == (2, 2)
     assert rep["raw_listings"].skipped and rep["raw_reviews"].skipped
-    assert spark.read.parquet(f"{scratch}/raw/raw_neighbourhoods").count() == 2
+    assert csv.read_raw(spark, f"{scratch}/raw", "raw_neighbourhoods").count() == 2
 
 
 def test_gzip_csv_is_read_directly(spark, scratch):
