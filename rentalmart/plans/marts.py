@@ -29,6 +29,7 @@ from rentalmart.functions.numeric import (avg_double_sql, avg_of_sums_sql, avg_r
                                           round_half_sql)
 from rentalmart.plans.staging import STG_LISTINGS_COLUMNS
 
+# What tells a host apart, and the columns of the listing dimension.
 HOST_KEYS = ["host_id", "host_name", "host_since", "host_location", "host_response_time",
              "host_response_rate", "host_acceptance_rate", "host_is_superhost",
              "host_neighbourhood", "host_total_listings_count"]
