@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import drop, stored
+from .hot_groups import join_groups
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -16,24 +17,28 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """id and component (the least id reachable) for every id in ``links``.
 
     Null ends and self-links are passed over. Every step groups by a node after partial
-    aggregation and joins the least neighbour back, so a hub is one row per task in the
-    grouping and its links are split by the skew join.
+    aggregation, so a hub is one row per task in the grouping, and joins the least neighbour
+    back; the links of hubs stay where they are for that (``join_groups``).
     """
     edges = stored(links.where(F.col(a) != F.col(b))
                    .select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "links")
     state = _state(edges)
     while state[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        least = stored(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count("*").alias("size")), "least")
+        large = (join_groups(both.where("v > u"), least, ["u"], "size", 2 * state[0])
+                 .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         large = stored(large, "large_star")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        drop(least)
+        least = stored(large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("size")), "least")
+        small = (join_groups(large, least, ["u"], "size", large.count()).where("v != m")
+                 .select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(least.select("u", F.col("m").alias("v"))).distinct())
         small = stored(small, "small_star")
         new = _state(small)
         drop(edges)
         drop(large)
+        drop(least)
         edges = small
         if new == state:
             break

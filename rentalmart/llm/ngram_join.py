@@ -45,13 +45,22 @@ GROUPS = 256  # coordinates of a point in the bound
 FAMILY_TEXTS, FAMILY_HASHES = 20_000, 4_000_000  # of a family that is handled as one group
 SPREAD = 1.5  # sizes of a class
 SEEN = 200_000  # sets that a task remembers, to find copies early
-HOT, SAMPLE = 65_536, 64  # rows of a cell from which it is handled apart; one text in SAMPLE tells
+HOT, SAMPLE = 65_536, 64  # rows of a cell from which it is salted; one text in SAMPLE tells
+HOT_CELLS, SALTS = 1 << 16, 64  # cells handled apart, at most; parts of each
+ROUNDS = 8  # of dealing groups into blocks
+CELL, TEXT, COPY, ALONE = range(4)  # kinds of rows
+_ROUND = np.uint64(0xD1B54A32D192ED03)
 BITS = 1 << 25  # of the filter for texts that are candidates: 4 MB at any size of input
 LEAF = 64  # members of a leaf, about
 
 
 class Cells:
-    """Cell keys of a set of hashes. ``percent`` is the least similarity in hundredths."""
+    """Cell keys of a set of hashes. ``percent`` is the least similarity in hundredths.
+
+    A matching pair may have nothing but empty blocks in common, which must not be keys, as
+    every text has some. Then each of the two has more empty blocks than the spare ones, and
+    both deal their groups out anew (and so on, up to ROUNDS).
+    """
 
     def __init__(self, percent: int):
         self.percent = percent
@@ -74,61 +83,106 @@ class Cells:
         n = len(h)
         c = int(np.searchsorted(self.starts, n, side="right")) - 1
         out = []
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(h), dtype=np.uint64)])
+        dealt = [(h, self._sums(h))]
         while c < len(self.starts) - 1 and n * 100 >= self.percent * self.starts[c] or not out:
             m, spare, bounds = self._class(c)
-            at = np.concatenate([[0], np.searchsorted(h, bounds), [n]])
-            size = np.diff(at)
-            kept = np.argpartition(size * m + np.arange(m), spare)[spare:] if spare else np.arange(m)
-            low, high = at[kept], at[kept + 1]
-            where = (np.uint64(c) << np.uint64(40)) + kept.astype(np.uint64)
-            out.append(mixed(mixed(sums[high] - sums[low] + size[kept].astype(np.uint64)) + mixed(where + np.uint64(1))))
+            for r in range(ROUNDS):
+                if r == len(dealt):
+                    again = np.sort(mixed(h ^ mixed(np.array([r], np.uint64) + _ROUND)))
+                    dealt.append((again, self._sums(again)))
+                own, sums = dealt[r]
+                at = np.concatenate([[0], np.searchsorted(own, bounds), [n]])
+                size = np.diff(at)
+                kept = np.argpartition(size * m + np.arange(m), spare)[spare:] if spare else np.arange(m)
+                last = int((size == 0).sum()) <= spare or r == ROUNDS - 1
+                if r < ROUNDS - 1:
+                    kept = kept[size[kept] > 0]
+                low, high = at[kept], at[kept + 1]
+                where = (np.uint64(r) << np.uint64(56)) + (np.uint64(c) << np.uint64(40)) + kept.astype(np.uint64)
+                out.append(mixed(mixed(sums[high] - sums[low] + size[kept].astype(np.uint64)) + mixed(where + np.uint64(1))))
+                if last:
+                    break
             c += 1
         return np.concatenate(out).view(np.int64)
 
+    @staticmethod
+    def _sums(h: np.ndarray) -> np.ndarray:
+        return np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(h), dtype=np.uint64)])
+
 
-def described(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """id, n (size of the set), first (an earlier text of the task with the same set) and
-    cells, null for copies and empty sets. ``docs`` has id and text."""
+def described(docs: DataFrame, k: int, percent: int, hot: np.ndarray | None = None) -> DataFrame:
+    """cell, salt, id, n and kind: the cells of every text (kind CELL), and one row of its own
+    (kind TEXT, COPY or ALONE) whose cell is a hash of its whole set. ``docs`` has id and text.
+
+    A copy of an earlier text of the task (COPY) and a text without words or id (ALONE, in a
+    cell by itself) have no cells. Rows of the cells in ``hot`` (ascending) are salted.
+    """
+    known = docs.sparkSession.sparkContext.broadcast(np.empty(0, np.int64) if hot is None else hot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, keys, seen = Shingler(k), Cells(percent), {}
+        shingler, keys, seen = Shingler(k), Cells(percent), set()
         for batch in batches:
-            ns, firsts, cells = [], [], []
-            for i, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()):
+            ids = batch.column("id")
+            found, ns, kinds = [], [], []
+            for place, (i, text) in enumerate(zip(ids.to_pylist(), batch.column("text").to_pylist())):
                 h = shingler.of(text)
                 ns.append(len(h))
-                digest = hashlib.blake2b(h.tobytes(), digest_size=16).digest() if len(h) else None
-                first = seen.get(digest) if len(h) else None
-                new = len(h) > 0 and first is None and i is not None
-                if new:
-                    if len(seen) >= SEEN:
-                        seen.clear()
-                    seen[digest] = i
-                firsts.append(first)
-                cells.append(keys.of(h) if new else None)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(ns, pa.int64()), pa.array(firsts, pa.int64()),
-                 pa.array(cells, pa.list_(pa.int64()))],
-                names=["id", "n", "first", "cells"])
-
-    return docs.mapInArrow(run, "id long, n long, first long, cells array<long>")
-
-
-def shared_cells(texts: DataFrame) -> DataFrame:
-    """(cell, id, hub): the members of every cell with two ids or more, hub the least id."""
-    members = texts.where("cells is not null").select("id", F.explode("cells").alias("cell"))
-    sample = texts.where(F.pmod(F.xxhash64("id"), F.lit(SAMPLE)) == 0)
-    hot = stored(sample.select(F.explode("cells").alias("cell")).groupBy("cell").count()
-                 .where(F.col("count") >= HOT // SAMPLE).select("cell"), "hot_cells")
-    cell = Window.partitionBy("cell")
-    cold = (members.join(hot, "cell", "left_anti")
+                if i is None or not len(h):
+                    found.append(mixed(np.array([place], np.uint64) + np.uint64(hash(i) & 0xFFFFFFFF)).view(np.int64))
+                    kinds.append(ALONE)
+                    continue
+                digest = hashlib.blake2b(h.tobytes(), digest_size=16).digest()
+                own = np.frombuffer(digest[:8], np.int64)
+                if digest in seen:
+                    found.append(own)
+                    kinds.append(COPY)
+                    continue
+                if len(seen) >= SEEN:
+                    seen.clear()
+                seen.add(digest)
+                found.append(np.concatenate([own, keys.of(h)]))
+                kinds.append(TEXT)
+            if not found:
+                continue
+            each = np.array([*map(len, found)])
+            cell, first = np.concatenate(found), np.cumsum(each) - each
+            kind = np.full(len(cell), CELL, np.int32)
+            kind[first] = kinds
+            n = np.zeros(len(cell), np.int64)
+            n[first] = ns
+            ids = ids.take(pa.array(np.repeat(np.arange(len(each)), each)))
+            salt = np.zeros(len(cell), np.int32)
+            if len(known.value):
+                at = np.searchsorted(known.value, cell)
+                at[at == len(known.value)] = 0
+                met = (known.value[at] == cell) & (kind != ALONE)
+                dealt = mixed(ids.fill_null(0).to_numpy(zero_copy_only=False).view(np.uint64)) % np.uint64(SALTS)
+                salt[met] = 1 + dealt[met].astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(salt), ids, pa.array(n), pa.array(kind)],
+                                             names=["cell", "salt", "id", "n", "kind"])
+
+    return docs.mapInArrow(run, "cell long, salt int, id long, n long, kind int")
+
+
+def hot_cells(docs: DataFrame, k: int, percent: int) -> np.ndarray:
+    """The cells of many texts, told from a sample of the texts; less than HOT_CELLS."""
+    cells = described(docs.where(F.pmod(F.xxhash64("id"), F.lit(SAMPLE)) == 0), k, percent).groupBy("cell").count()
+    counted = stored(cells.where(f"count >= {max(2, HOT // SAMPLE)}"), "hot_cells")
+    least = counted.orderBy(F.desc("count")).select("count").offset(HOT_CELLS).first()
+    if least:
+        counted = counted.where(F.col("count") > least[0])
+    return np.sort(np.array([r.cell for r in counted.select("cell").collect()], np.int64))
+
+
+def shared_cells(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """cell, salt, id, n, kind and hub: the members of every cell with two ids or more, with
+    the least id of the cell (of its salt), and the rows of all texts; ``own`` is the least id
+    of a text's set that has cells."""
+    cell = Window.partitionBy("cell", "salt")
+    return (described(docs, k, percent, hot_cells(docs, k, percent))
             .withColumn("hub", F.min("id").over(cell)).withColumn("last", F.max("id").over(cell))
-            .where("hub != last").select("cell", "id", "hub"))
-    # a hot cell is never gathered: its least id is aggregated, then joined back
-    warm = members.join(hot, "cell", "left_semi")
-    least = warm.groupBy("cell").agg(F.min("id").alias("hub"))
-    return cold.unionByName(warm.join(least, "cell").select("cell", "id", "hub"))
+            .withColumn("own", F.min(F.when(F.col("kind") == TEXT, F.col("id"))).over(cell))
+            .where(f"kind != {CELL} or hub != last or salt > 0").drop("last"))
 
 
 def sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
@@ -334,23 +388,29 @@ def similar(docs: DataFrame, *, k: int = K, percent: int = PERCENT, id_col: str
     Other columns are ignored; an empty table gives an empty result.
     """
     lean = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    with_cells = stored(described(lean, k, percent), "shingle_cells")
-    cells = stored(shared_cells(with_cells), "shared_cells")
-    texts = stored(with_cells.select("id", "n", "first"), "shingle_sizes")
-    drop(with_cells)
-    meetings = cells.where("id != hub").select(F.col("hub").alias("a"), F.col("id").alias("b"))
-    family = stored(components(meetings).withColumnRenamed("component", "family"), "families")
-    size = (texts.select("id", "n").join(family, "id").groupBy("family")
-            .agg(F.count("*").alias("texts"), F.sum("n").alias("hashes")))
+    members = stored(shared_cells(lean, k, percent), "shared_cells")
+    texts = members.where(f"kind != {CELL}").select("id", "n")
+    # the salts of a hot cell meet at their least ids
+    salts = (members.where("salt > 0").groupBy("cell", "salt").agg(F.min("hub").alias("id"), (F.min("kind") != CELL).alias("whole"))
+             .withColumn("hub", F.min("id").over(Window.partitionBy("cell"))).where("id != hub"))  # SALTS rows a cell at most
+    cells = members.where(f"kind = {CELL}").select("cell", "id", "hub")
+    meetings = cells.where("id != hub").select("hub", "id").unionByName(salts.where("not whole").select("hub", "id"))
+    copies = (members.where(f"kind in ({TEXT}, {COPY}) and id != hub").select("hub", "id")
+              .unionByName(salts.where("whole").select("hub", "id")))
+    family = components(meetings.select(F.col("hub").alias("a"), F.col("id").alias("b"))).withColumnRenamed("component", "family")
+    # one text of equal ones is compared with others
+    again = members.where(f"kind = {TEXT} and id != own").select("id").distinct()
+    family = stored(family.join(again, "id", "left_anti"), "families")
+    size = (texts.join(family, "id").groupBy("family").agg(F.count("*").alias("texts"), F.sum("n").alias("hashes")))
     large = stored(size.where((F.col("texts") > FAMILY_TEXTS) | (F.col("hashes") > FAMILY_HASHES)).select("family"), "large_families")
-    hashes = sets(lean, family.select("id"), k).join(family, "id")
-    copies = texts.where("first is not null and id is not null").select(F.col("first").alias("a"), F.col("id").alias("b"))
-    links = family_links(hashes.join(large, "family", "left_anti"), percent).unionByName(copies)
+    # always a shuffle of the sets, as at scale the ids are too many to broadcast
+    hashes = sets(lean, family.select("id"), k).join(family.hint("merge"), "id")
+    links = family_links(hashes.join(large, "family", "left_anti"), percent).unionByName(
+        copies.select(F.col("hub").alias("a"), F.col("id").alias("b")))
     if not large.isEmpty():
         of_large = stored(hashes.join(large, "family", "left_semi"), "shingle_sets")
         links = links.unionByName(large_family_links(cells.join(of_large.select("id").distinct(), "id", "left_semi")
                                                      .select("cell", "id", "hub"), of_large, percent))
     group = stored(components(links), "near_components")
-    drop(cells)
-    return (texts.select("id", "n").join(group, "id", "left")
+    return (texts.join(group, "id", "left")
             .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id")))
