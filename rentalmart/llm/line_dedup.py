@@ -1,15 +1,14 @@
 """Line dedup: boilerplate lines by distinct-site spread.
 
-A line that many different sites carry is boilerplate. For each line's hash, HyperLogLog
-sketches of its sites and of its surroundings merge by aggregation (partly before the
-shuffle, so a line that a third of all documents carry costs a row per task). Lines with an
-estimate of sites or of surroundings near its threshold get exact distinct counts of both.
+A line that many different sites carry is boilerplate. For each line's hash, a HyperLogLog
+sketch of its sites merges by aggregation (partly before the shuffle, so a line that a third
+of all documents carry costs a row per task). Lines with an estimate near the threshold get
+an exact distinct count before anything is removed.
 
-Copies of a document also bring their lines to many sites, but always between the same
-neighbours: a line is boilerplate only if its surroundings (the last words before and the
-first words after it) differ about as often as it occurs. So copies stay whole, and are left
-to near-duplicate removal. Of every boilerplate line the first occurrence, by document id,
-stays, so no text is lost altogether.
+Copies of a document also bring its lines to many sites, so a content counts once, at the
+site of the row with the least id: copies are told by a hash of the whole text, and their
+rows are marked without moving any text. Boilerplate goes from copies too. Of every
+boilerplate line the first occurrence, by document id, stays, so no text is lost altogether.
 """
 
 from __future__ import annotations
@@ -18,55 +17,56 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import SPACES, WORD, stored
+from .hot_groups import join_groups
+from .quality_rules import with_trust
 
 SITES = 10  # sites from which a line is boilerplate
-MIN_WORDS = 3  # shorter lines recur by chance
-DIFFERENT = 0.3  # share of occurrences that differ in their surroundings, at least
-VARIED = 0.85  # different surroundings for each of the sites, at least
+MIN_WORDS = 1  # lines with fewer words are none
 LG_K = 10  # sketches of 2^LG_K registers: a standard error of about 3 %
 NEAR = 0.15  # estimates this near the threshold are counted exactly
-EDGE = 3  # words of the neighbouring lines that make up the surroundings
 
 
 def _lines(min_words: int) -> Column:
-    """(pos, k1, k2, context) of each line in ``lines`` that is long enough; k1 and k2 are its key."""
-    enough = f"{WORD}+" + f"({SPACES}{WORD}+)" * (min_words - 1)
-    return F.filter(F.expr(f"""
-        transform(lines, (x, i) -> struct(
-            i as pos, xxhash64(trim(x)) as k1, hash(trim(x)) as k2, x as line,
-            xxhash64(substring_index(coalesce(get(lines, i - 1), ''), ' ', -{EDGE}),
-                     substring_index(coalesce(get(lines, i + 1), ''), ' ', {EDGE})) as context))"""),
-        lambda s: s["line"].rlike(enough))
+    """(pos, k1, k2) of each line in ``lines`` that has enough words; k1 and k2 are its key."""
+    enough = WORD + (f"+({SPACES}{WORD}+)" + f"{{{min_words - 1}}}" if min_words > 1 else "")
+    return F.filter(F.expr("transform(lines, (x, i) -> struct(i as pos, xxhash64(trim(x)) as k1, hash(trim(x)) as k2, x as line))"),
+                    lambda s: s["line"].rlike(enough))
+
+
+def copies(docs: DataFrame) -> DataFrame:
+    """The ids of rows whose whole text a row with a smaller id has too. ``docs`` has id and text."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    same = ["h1", "h2"]
+    lean = stored(docs.where("id is not null").select("id", F.xxhash64(text).alias("h1"), F.xxhash64(text, F.lit(1)).alias("h2")),
+                  "content_hashes")
+    groups = stored(lean.groupBy(*same).agg(F.min("id").alias("first_id"), F.count("*").alias("copies"))
+                    .where("copies > 1"), "content_groups")
+    return join_groups(lean, groups, same, "copies", lean.count()).where("id > first_id").select("id").distinct()
 
 
 def boilerplate(docs: DataFrame, *, text_col: str = "text", site_col: str = "source", id_col: str = "doc_id",
                 sites: int = SITES, min_words: int = MIN_WORDS) -> tuple[DataFrame, DataFrame]:
-    """(lines: id, site, pos, k1, k2, context; the keys of boilerplate with n_sites and its
-    first occurrence). A null site is no site."""
-    lines = (docs.select(F.col(id_col).alias("id"), F.col(site_col).cast("string").alias("site"),
-                         F.split(F.coalesce(F.col(text_col), F.lit("")), "\n").alias("lines"))
-             .select("id", "site", F.explode(_lines(min_words)).alias("l"))
-             .select("id", "site", "l.pos", "l.k1", "l.k2", "l.context"))
-    spread = (lines.groupBy("k1", "k2")
-              .agg(F.count("*").alias("n"), F.min(F.struct("id", "pos")).alias("first"),
-                   F.hll_sketch_agg("site", LG_K).alias("sites"), F.hll_sketch_agg("context", LG_K).alias("contexts"))
-              .where(F.col("n") >= sites)
-              .select("k1", "k2", "first", F.hll_sketch_estimate("sites").alias("n_sites"),
-                      F.hll_sketch_estimate("contexts").alias("n_contexts"),
-                      F.greatest(F.lit(sites * VARIED), DIFFERENT * F.col("n")).alias("least")))
-    spread = stored(spread.where((F.col("n_sites") >= sites * (1 - NEAR)) & (F.col("n_contexts") >= F.col("least") * (1 - NEAR))),
-                    "line_spread")
-    near = spread.where((F.col("n_sites") <= sites * (1 + NEAR)) | (F.col("n_contexts") <= F.col("least") * (1 + NEAR)))
-    values = F.array(F.struct(F.lit(True).alias("is_site"), F.col("site").alias("value")),
-                     F.struct(F.lit(False).alias("is_site"), F.col("context").cast("string").alias("value")))
-    exact = (lines.join(near.select("k1", "k2"), ["k1", "k2"], "left_semi")
-             .select("k1", "k2", F.explode(values).alias("v")).select("k1", "k2", "v.is_site", "v.value")
-             .where("value is not null").distinct().groupBy("k1", "k2")
-             .agg(F.count_if("is_site").alias("exact_sites"), F.count_if(~F.col("is_site")).alias("exact_contexts")))
+    """(lines of all rows: id, site, copy, text_hash, pos, k1, k2; the keys of boilerplate with
+    n_sites and its first occurrence). A null site is no site."""
+    lean = docs.select(F.col(id_col).alias("id"), F.col(site_col).cast("string").alias("site"),
+                       F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    marked = with_trust(lean, stored(copies(lean), "copies"), "id").withColumnRenamed("trusted", "copy")
+    lines = (marked.select("id", "site", "copy", F.xxhash64("text").alias("text_hash"), F.split("text", "\n").alias("lines"))
+             .select("id", "site", "copy", "text_hash", F.explode(_lines(min_words)).alias("l"))
+             .select("id", "site", "copy", "text_hash", "l.pos", "l.k1", "l.k2"))
+    counted = lines.withColumn("site", F.when(~F.col("copy"), F.col("site")))
+    spread = stored(counted.groupBy("k1", "k2")
+                    .agg(F.count("*").alias("n"), F.min(F.struct("id", "pos")).alias("first"),
+                         F.hll_sketch_agg("site", LG_K).alias("sites"))
+                    .where(F.col("n") >= sites)
+                    .select("k1", "k2", "first", F.hll_sketch_estimate("sites").alias("n_sites"))
+                    .where(F.col("n_sites") >= sites * (1 - NEAR)), "line_spread")
+    near = spread.where(F.col("n_sites") <= sites * (1 + NEAR))
+    exact = (counted.where("site is not null").join(near.select("k1", "k2"), ["k1", "k2"], "left_semi")
+             .select("k1", "k2", "site").distinct().groupBy("k1", "k2").agg(F.count("*").alias("exact_sites")))
     found = (spread.join(exact, ["k1", "k2"], "left")
-             .withColumn("n_sites", F.coalesce("exact_sites", "n_sites"))
-             .where((F.col("n_sites") >= sites) & (F.coalesce("exact_contexts", "n_contexts") >= F.col("least")))
-             .select("k1", "k2", "first", "n_sites"))
+             .withColumn("n_sites", F.coalesce("exact_sites", F.when(F.col("n_sites") > sites * (1 + NEAR), F.col("n_sites")), F.lit(0)))
+             .where(F.col("n_sites") >= sites).select("k1", "k2", "first", "n_sites"))
     return lines, stored(found, "boilerplate")
 
 
@@ -74,22 +74,24 @@ def dedup_lines(docs: DataFrame, *, text_col: str = "text", site_col: str = "sou
                 sites: int = SITES, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with boilerplate lines taken out of the text, and n_lines, n_removed.
 
-    A line is compared without surrounding spaces. The first occurrence of a boilerplate
-    line (least id, then position) stays. A null text stays null; rows with equal ids are
-    treated alike; a text of boilerplate only becomes empty, its row stays. An existing
-    n_lines or n_removed is replaced, other columns stay. An empty table gives an empty
-    result.
+    A line is compared without surrounding spaces; a line without a word is never boilerplate.
+    The first occurrence of a boilerplate line (least id, then position) stays. A null text
+    stays null; rows with equal ids are copies or not together, and repeated rows are treated
+    alike; a row without an id is never a copy, and comes first; a text of boilerplate only
+    becomes empty, its row stays. An existing n_lines or n_removed is replaced, other columns
+    stay. An empty table gives an empty result.
     """
     lines, found = boilerplate(docs, text_col=text_col, site_col=site_col, id_col=id_col, sites=sites, min_words=min_words)
-    gone = (lines.join(found, ["k1", "k2"])
-            .select("id", "k1", "k2", F.when(F.col("first.id").eqNullSafe(F.col("id")), F.col("first.pos")).otherwise(-1).alias("keep"))
-            .groupBy("id").agg(F.collect_set(F.struct("k1", "k2", "keep")).alias("gone"))
-            .withColumnRenamed("id", "gone_id"))
-    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("id"))
-    joined = row.join(gone, F.col("id").eqNullSafe(F.col("gone_id")), "left").withColumn(
-        "lines", F.split(F.col(f"row.`{text_col}`"), "\n")).withColumn("kept", F.expr("""
-        if(gone is null, lines, filter(lines, (x, i) -> not exists(gone,
-            g -> g.k1 = xxhash64(trim(x)) and g.k2 = hash(trim(x)) and g.keep != i)))"""))
+    is_first = F.col("first.id").eqNullSafe(F.col("id")) & (F.col("first.pos") == F.col("pos"))
+    gone = (lines.join(found, ["k1", "k2"]).where(~is_first)
+            .groupBy("id", "text_hash").agg(F.collect_set("pos").alias("gone"))
+            .withColumnsRenamed({"id": "gone_id", "text_hash": "gone_hash"}))
+    text = F.col(f"row.`{text_col}`")
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("id"),
+                      F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_hash"))
+    joined = row.join(gone, F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("text_hash") == F.col("gone_hash")), "left") \
+        .withColumn("lines", F.split(text, "\n")).withColumn("kept", F.expr("""
+            if(gone is null, lines, transform(array_except(sequence(0, size(lines) - 1), gone), i -> get(lines, i)))"""))
     added = ["n_lines", "n_removed"]
     return joined.select(
         *[F.array_join("kept", "\n").alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c)

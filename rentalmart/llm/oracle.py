@@ -29,21 +29,20 @@ FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id
 JOIN (SELECT doc_id, min(node) AS component_id FROM reach GROUP BY doc_id) r ON r.doc_id = d.doc_id
 """
 
-# Lines of three words or more, the sites that carry them, and their surroundings.
+# Lines with a word, and the sites that carry them in documents that are no copies.
 LINE_DEDUP = r"""
-WITH split AS (SELECT doc_id, source, text, string_split(text, chr(10)) AS lines FROM documents),
-places AS (SELECT doc_id, source, lines, unnest(range(1, len(lines) + 1)) AS k FROM split),
-long AS (
-  SELECT doc_id, source, k, trim(lines[k], ' ') AS line,
-         array_to_string(string_split(coalesce(lines[k - 1], ''), ' ')[-3:], ' ') AS before,
-         array_to_string(string_split(coalesce(lines[k + 1], ''), ' ')[1:3], ' ') AS after
-  FROM places WHERE len(regexp_extract_all(lines[k], '[^\x20\x09-\x0D]+')) >= 3),
+WITH split AS (
+  SELECT doc_id, source, string_split(text, chr(10)) AS lines, doc_id > min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS copy
+  FROM documents),
+places AS (SELECT doc_id, source, copy, lines, unnest(range(1, len(lines) + 1)) AS k FROM split),
+worded AS (
+  SELECT doc_id, source, copy, k, trim(lines[k], ' ') AS line FROM places
+  WHERE regexp_matches(lines[k], '[^\x20\x09-\x0D]')),
 spread AS (
   SELECT line, min(struct_pack(doc_id := doc_id, k := k)) AS first
-  FROM long GROUP BY line
-  HAVING count(DISTINCT source) >= 10 AND count(DISTINCT (before, after)) >= greatest(8.5, 0.3 * count(*))),
+  FROM worded GROUP BY line HAVING count(DISTINCT source) FILTER (NOT coalesce(copy, false)) >= 10),
 gone AS (
-  SELECT doc_id, list(k) AS ks FROM long JOIN spread USING (line)
+  SELECT doc_id, list(k) AS ks FROM worded JOIN spread USING (line)
   WHERE (first).doc_id != doc_id OR (first).k != k GROUP BY doc_id)
 SELECT s.doc_id,
        array_to_string([lines[k] for k in range(1, len(lines) + 1) if ks IS NULL OR NOT list_contains(ks, k)], chr(10)) AS text,
