@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import html
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 # HTML element names by kind.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -29,6 +29,7 @@ MARKS = frozenset("""ad ads advert adverts advertisement advertising adsense spo
     pagination pager login search skip side rail aside adbox adslot submenu dropdown""".split())
 ARTICLE_MARKS = frozenset("""ad ads advert advertisement sponsored promo comment comments reply related recommended
     teaser""".split())  # on an article element itself
+CONTAINERS = frozenset("article body center div main section td".split())
 STATES = frozenset("has with no not without is".split())  # "has-sidebar" says what the rest of the page has
 OUTER_MARKS = frozenset(["header"])  # not the article's own header
 
@@ -49,6 +50,8 @@ class Text:
     chrome: bool
     article: int  # number of the article, or of main, that it lies in; -1 outside
     main: bool
+    seen: bool  # in no element that a browser does not show as text
+    linked: bool
 
 
 @dataclass(slots=True)
@@ -58,6 +61,9 @@ class Open:
     chrome: bool
     article: int
     main: bool
+    seen: bool = True
+    linked: bool = False
+    children: dict[str, int] = field(default_factory=dict)  # how many there were of each container
 
 
 def _words(value: str) -> set[str]:
@@ -71,7 +77,8 @@ def _words(value: str) -> set[str]:
 
 
 def scan(page: str) -> tuple[list[tuple[int, str]], list[Text]]:
-    """(tags: place and role; texts). A role is the element's path with classes and ids.
+    """(tags: place and role; texts). A role is the element's path with classes and ids, and
+    with the number of a container that is not the first of its like in its parent.
 
     Unclosed elements end where HTML says they do or with the page; stray end tags, comments
     and a tag that the page's end cuts short are passed over.
@@ -87,7 +94,7 @@ def scan(page: str) -> tuple[list[tuple[int, str]], list[Text]]:
         if raw:
             top = stack[-1]
             value = html.unescape(raw) if "&" in raw else raw
-            texts.append(Text(place, block, top.path, value, top.chrome, top.article, top.main))
+            texts.append(Text(place, block, top.path, value, top.chrome, top.article, top.main, top.seen, top.linked))
             place += 1
 
     def close(k: int) -> None:
@@ -145,23 +152,29 @@ def scan(page: str) -> tuple[list[tuple[int, str]], list[Text]]:
             chrome = chrome or bool(_words(named) & ARTICLE_MARKS)
             if not chrome and article < 0:
                 article, articles = articles, articles + 1
-        path = f"{stack[-1].path}/{name}" + ("." + ".".join(named.split()) if named else "")
+        segment = name + ("." + ".".join(named.split()) if named else "")
+        if name in CONTAINERS:
+            nth = top.children[segment] = top.children.get(segment, 0) + 1
+            if nth > 1:
+                segment += f"[{nth}]"
+        path = f"{top.path}/{segment}"
+        seen, linked = top.seen and name not in UNSEEN, top.linked or name == "a"
         tags.append((place, path))
         place += 1
         block += name not in INLINE
         if name in RAW:
             end = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, pos)
             if name in ("title", "textarea"):
-                stack.append(Open(name, path, True, article, main))
+                stack.append(Open(name, path, True, article, main, False))
                 text(page[pos:end.start() if end else size])
                 stack.pop()
             pos = end.end() if end else size
         elif name not in VOID and not found[4].rstrip().endswith("/"):
-            stack.append(Open(name, path, chrome, article, main))
+            stack.append(Open(name, path, chrome, article, main, seen, linked))
         elif name not in VOID:
             if name not in INLINE or name in UNSEEN:
                 continue
-            stack.append(Open(name, path, chrome, article, main))
+            stack.append(Open(name, path, chrome, article, main, seen, linked))
     close(1)
     return tags, texts
 
@@ -187,9 +200,14 @@ def blocks(texts: list[Text], template: set[int], role) -> list[str]:
     slots = [t for t in own if role(t) not in template]
     if not any(t.value.strip() for t in slots):
         slots = own  # nothing varies on this host: the template tells nothing
+    return joined(slots)
+
+
+def joined(texts: list[Text]) -> list[str]:
+    """The blocks that texts make up, in page order, without empty ones."""
     out: list[str] = []
     last = None
-    for t in slots:
+    for t in texts:
         if t.block == last:
             out[-1] += t.value
         else:

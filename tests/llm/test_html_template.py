@@ -81,6 +81,87 @@ def test_odd_pages(pages_of):
 
 
 def test_whole_table_equals_page_by_page(spark):
+    """These pages mark their articles, so element names alone find them too."""
     pages = read(spark, "/root/testdata/sf0.001", "pages")
     got = {r.page_id: r.text for r in html_template.extract(pages).collect()}
     assert got == {r.page_id: "\n".join(plain(r.html)) for r in pages.collect()}
+
+
+WORDS = "alpha beta gamma delta kappa lambda sigma omega theta iota zeta eta".split()
+
+
+def bare(k, article):
+    """A page without article, main, class names or ids: menu, notice, advert and author box around the article."""
+    own = " ".join(WORDS[(k * 7 + j * 3) % 12] for j in range(4))
+    return (f"<html><body><div><a href=/a>Home</a> <a href=/b>News of {WORDS[k % 3]}</a></div><div>We use cookies, see our terms</div>"
+            f"<div>Sale {own}</div><div><h1>Story {k}</h1>{article}<p>Share this story</p></div>"
+            f"<div><a href=/x{k}>Read {own}</a> <a href=/y{k}>Also {own} now</a></div><div>Written by {WORDS[k % 2]}</div></body></html>")
+
+
+def paragraphs(k):
+    return [" ".join(f"word{(k * 31 + j * 17 + n * 13) % 997}" for n in range(25)) for j in range(2 + k % 3)]
+
+
+def test_template_finds_the_article_without_names(pages_of):
+    rows = [(k, f"http://bare.example/{k}", bare(k, "".join(f"<p>{p}</p>" for p in paragraphs(k)))) for k in range(24)]
+    got = {r.page_id: r.text for r in html_template.extract(pages_of(rows)).collect()}
+    assert got == {k: "\n".join([f"Story {k}", *paragraphs(k)]) for k in range(24)}
+    off = {r.page_id: r.text for r in html_template.extract(pages_of(rows), use_template=False).collect()}
+    assert all(off[k] != got[k] and "cookies" in off[k] for k in range(24))
+
+
+def test_slots_are_judged_over_the_host(pages_of):
+    """What repeats on many pages, and what is mostly links, is no content, even inside the article's container."""
+    def page(k):
+        links = "".join(f"<a href=/{j}>{WORDS[(k + j) % 12]} {k}</a> " for j in range(6))
+        return (f"<body><div><h1>Title {k}</h1><div>{' '.join(paragraphs(k))}</div><ul><li>{links}</ul>"
+                f"<h5>{WORDS[k % 2]}</h5></div><div>end {k}</div></body>")
+    rows = [(k, "http://slots.example/", page(k)) for k in range(40)]
+    got = {r.page_id: r.text for r in html_template.extract(pages_of(rows)).collect()}
+    assert got == {k: f"Title {k}\n{' '.join(paragraphs(k))}" for k in range(40)}
+
+
+def classes_by_hand(pages):
+    """{frozenset of roles} of the valid classes of one host, from whole vectors in plain Python."""
+    seen = []
+    for html in pages:
+        tags, texts = scan(html)
+        places = {}
+        for at, path in tags:
+            places.setdefault(html_template.role_hash(path), []).append(at)
+        for t in texts:
+            if value := html_template.clean(t.value):
+                places.setdefault(html_template.role_hash(t.path, value), []).append(t.at)
+        is_text = {html_template.role_hash(t.path, html_template.clean(t.value)) for t in texts}
+        seen.append((places, is_text))
+    vectors, texts = {}, set().union(*(t for _, t in seen))
+    for role in {r for places, _ in seen for r in places}:
+        vectors.setdefault(tuple(len(places.get(role, ())) for places, _ in seen), set()).add(role)
+    out = set()
+    for vector, roles in vectors.items():
+        on = sum(n > 0 for n in vector)
+        if on < html_template.SHARE * len(pages):
+            continue
+        roles = {r for r in roles if r not in texts or on >= html_template.TEXT_PAGES}
+        orders = {tuple(sorted(roles, key=lambda r: places[r][0])) for (places, _), n in zip(seen, vector) if n}
+        if len(roles) >= html_template.MIN_CLASS and len(orders) == 1:
+            out.add(frozenset(roles))
+    return out
+
+
+def test_classes_equal_brute_force(pages_of, spark):
+    pages = read(spark, "/root/testdata/sf0.01", "pages").select("page_id", "url", "html")
+    rows = [(r.page_id, r.url, r.html) for r in pages.collect()]
+    rows += [(9000 + k, f"http://bare.example/{k}", bare(k, "".join(f"<p>{p}</p>" for p in paragraphs(k)))) for k in range(9)]
+    by_host = {}
+    for i, url, html in rows:
+        by_host.setdefault(url.split("://", 1)[1].split("/")[0].split("?")[0].split("#")[0].lower() if "://" in (url or "") else "", []).append((i, url, html or ""))
+    hosted = spark.createDataFrame([(h, *r) for h, own in by_host.items() for r in own], "host string, id long, url string, html string")
+    got = {}
+    for r in html_template.templates(hosted, "id", "url", "html").collect():
+        classes = {}
+        for m in r.members:
+            classes.setdefault(m["class"], set()).add(m["role"])
+        got[r.host] = {frozenset(c) for c in classes.values()}
+    want = {h: classes_by_hand([html for _, _, html in own]) for h, own in by_host.items() if len({*own}) >= html_template.MIN_PAGES}
+    assert got == {h: c for h, c in want.items() if c} and len(got) > 20
