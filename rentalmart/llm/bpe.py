@@ -21,6 +21,7 @@ import codecs
 import json
 from array import array
 from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import regex
 from tokenizers import Tokenizer
@@ -28,6 +29,8 @@ from tokenizers import Tokenizer
 from .encoders import COMMON, REMEMBERED, byte_letters
 
 LONGEST_REMEMBERED = 48  # symbols of a word that is worth remembering
+WORDS = 4096  # words, or ids, that are handled at a time
+SHORT = 1 << 16  # characters of a text whose words are found at once
 
 
 def lookahead(merges: list[tuple[str, str]], size=len) -> int:
@@ -50,8 +53,9 @@ class Encoder:
     """Text to ids for a tokenizers file of kind BPE whose pre-tokenizer is a split pattern
     followed by byte letters.
 
-    ``ids`` gives a whole text's ids; ``word`` streams one word. The library is asked only
-    how to normalise and split texts with characters outside the common ones.
+    ``pieces`` streams a text's ids, ``ids`` gives all of them, ``word`` streams one word. The
+    library is asked only how to normalise and split texts with characters outside the common
+    ones, which it does to the whole text.
     """
 
     def __init__(self, spec: str):
@@ -68,7 +72,7 @@ class Encoder:
         self.special = {t["content"]: t["id"] for t in parsed["added_tokens"]}
         self.specials = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")")
         steps = [s for s in parsed["pre_tokenizer"].get("pretokenizers", [parsed["pre_tokenizer"]]) if s["type"] == "Split"]
-        self.split = regex.compile(steps[0]["pattern"]["Regex"]).findall
+        self.split = regex.compile(steps[0]["pattern"]["Regex"])
         self.odd = regex.compile(COMMON).search
         self.library = Tokenizer.from_str(spec)
         self.known: dict[str, bytes] = {}
@@ -112,40 +116,55 @@ class Encoder:
     def _words(self, text: str) -> Iterable[str]:
         """The words of a text without special tokens, as byte letters."""
         if not self.odd(text):
-            words = self.split(text.lower())
+            lower = text.lower()
+            words = self.split.findall(lower) if len(lower) <= SHORT else (m[0] for m in self.split.finditer(lower))
             if text.isascii():
                 return words
             letters = self.letters
-            return [w if w.isascii() else "".join([letters[b] for b in w.encode()]) for w in words]
+            return (w if w.isascii() else "".join([letters[b] for b in w.encode()]) for w in words)
         if not text:
-            return []
+            return ()
         normal = self.library.normalizer.normalize_str(text) if self.library.normalizer else text
-        return [w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(normal)]
-
-    def _plain(self, text: str) -> bytes:
-        known, words = self.known, self._words(text)
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            pass
-        out = []
-        for w in words:
-            ids = known.get(w)
-            if ids is None:
-                ids = array("I", self.word(w)).tobytes()
-                if len(w) <= LONGEST_REMEMBERED:
-                    if len(known) >= REMEMBERED:
-                        known.clear()
-                    known[w] = ids
-            out.append(ids)
-        return b"".join(out)
+        return (w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(normal))
+
+    def _word(self, w: str) -> Iterator[bytes]:
+        """The word's ids; those of a long word as they come, WORDS at a time."""
+        ids = self.known.get(w)
+        if ids is None and len(w) <= LONGEST_REMEMBERED:
+            if len(self.known) >= REMEMBERED:
+                self.known.clear()
+            self.known[w] = ids = array("I", self.word(w)).tobytes()
+        if ids is not None:
+            yield ids
+            return
+        stream = self.word(w)
+        while some := array("I", islice(stream, WORDS)):
+            yield some.tobytes()
+
+    def _plain(self, text: str) -> Iterator[bytes]:
+        known, words = self.known, iter(self._words(text))
+        while some := [*islice(words, WORDS)]:
+            try:
+                yield b"".join([known[w] for w in some])
+            except KeyError:
+                for w in some:
+                    yield from self._word(w)
+
+    def pieces(self, text: str) -> Iterator[bytes]:
+        """The text's ids as little-endian unsigned 32-bit numbers, a bounded number at a time."""
+        if not any(s in text for s in self.special):
+            yield from self._plain(text)
+            return
+        at = 0
+        for found in self.specials.finditer(text):
+            yield from self._plain(text[at:found.start()])
+            yield self.special[found[0]].to_bytes(4, "little")
+            at = found.end()
+        yield from self._plain(text[at:])
 
     def packed(self, text: str) -> bytes:
-        """The text's ids as little-endian unsigned 32-bit numbers."""
-        if "<|" not in text:
-            return self._plain(text)
-        parts = self.specials.split(text)
-        return b"".join([self.special[p].to_bytes(4, "little") if k % 2 else self._plain(p) for k, p in enumerate(parts)])
+        """All ids of the text, as ``pieces`` gives them."""
+        return b"".join(self.pieces(text))
 
     def ids(self, text: str) -> list[int]:
         return array("I", self.packed(text)).tolist()
@@ -167,18 +186,39 @@ class Decoder:
         self.bytes = {i: bytes(back[c] for c in t) if raw else t.encode() for t, i in parsed["model"]["vocab"].items()}
         self.bytes |= {t["id"]: t["content"].encode() for t in parsed["added_tokens"]}
 
+    def start(self) -> Decoding:
+        return Decoding(self)
+
     def stream(self, ids: Iterable[int]) -> Iterator[str]:
         """The text of ``ids`` piece by piece."""
-        to_text = codecs.getincrementaldecoder("utf-8")(errors="replace")
-        first = True
+        state = self.start()
         for i in ids:
-            piece = self.bytes.get(i)
-            if piece is None:  # no such id: the library leaves it out
-                continue
-            yield to_text.decode(piece if first else self.between + piece)
-            first = False
-        yield to_text.decode(b"", final=True)
+            if i in self.bytes:  # the library leaves out what is no id
+                yield state.feed((i,))
+        yield state.end()
 
     def text(self, ids: Iterable[int]) -> str:
         table = self.bytes
         return self.between.join([table[i] for i in ids if i in table]).decode("utf-8", "replace")
+
+
+class Decoding:
+    """The state between ids: the bytes of an unfinished character, and whether any id came."""
+
+    def __init__(self, decoder: Decoder):
+        self.table, self.between, self.first = decoder.bytes, decoder.between, True
+        self.to_text = codecs.getincrementaldecoder("utf-8")(errors="replace")
+
+    def feed(self, ids: Iterable[int]) -> str:
+        """The text that some more ids finish."""
+        table = self.table
+        found = [table[i] for i in ids if i in table]
+        if not found:
+            return ""
+        if not self.first and self.between:
+            found.insert(0, b"")
+        self.first = False
+        return self.to_text.decode(self.between.join(found))
+
+    def end(self) -> str:
+        return self.to_text.decode(b"", final=True)

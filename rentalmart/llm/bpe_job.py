@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -41,18 +40,23 @@ def decode(encoded: DataFrame, spec: str, *, id_col: str = "doc_id", ids_col: st
 
 def digests(docs: DataFrame, spec: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: the id, n_tokens, ids_sha256 (ids as little-endian unsigned 32-bit numbers)
-    and decoded_sha256 (the UTF-8 text that the ids decode to); nothing of a text's length
-    leaves the task. Defined as ``encode`` and ``decode`` are."""
+    and decoded_sha256 (the UTF-8 text that the ids decode to). Ids are hashed and decoded as
+    they come, so neither the words, the ids nor the decoded text of a row is ever whole. Defined as ``encode`` and ``decode`` are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, decoder = Encoder(spec), Decoder(spec)
         for batch in batches:
             n, of_ids, of_text = [], [], []
             for text in batch.column("text").to_pylist():
-                ids = encoder.packed(text)
-                n.append(len(ids) // 4)
-                of_ids.append(hashlib.sha256(ids).hexdigest())
-                of_text.append(_sha256(decoder.stream(memoryview(ids).cast("I"))))
+                count, ids_sha, text_sha, state = 0, hashlib.sha256(), hashlib.sha256(), decoder.start()
+                for ids in encoder.pieces(text):
+                    count += len(ids) // 4
+                    ids_sha.update(ids)
+                    text_sha.update(state.feed(memoryview(ids).cast("I")).encode())
+                text_sha.update(state.end().encode())
+                n.append(count)
+                of_ids.append(ids_sha.hexdigest())
+                of_text.append(text_sha.hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n, pa.int64()), pa.array(of_ids), pa.array(of_text)],
                                              names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
 
@@ -60,13 +64,5 @@ def digests(docs: DataFrame, spec: str, *, id_col: str = "doc_id", text_col: str
         run, f"`{id_col}` long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
-def _sha256(pieces: Iterator[str], step: int = 4096) -> str:
-    """SHA-256 of the UTF-8 text that ``pieces`` make up, ``step`` of them at a time."""
-    sha = hashlib.sha256()
-    while some := [*islice(pieces, step)]:
-        sha.update("".join(some).encode())
-    return sha.hexdigest()
-
-
 def _lean(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))

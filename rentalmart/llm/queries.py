@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pathlib import Path
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,12 +15,9 @@ from .oracle import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
 
-#: Where the public tokenizers' files are.
-TOKENIZERS = "/opt/tokenizers"
-
-
-def tokenizer(name: str, folder: str = TOKENIZERS) -> str:
-    return Path(folder, name).read_text(encoding="utf-8")
+def tokenizer(name: str, folder: str | None = None) -> str:
+    """A tokenizer's file: one of the public ones, or one in ``folder``."""
+    return Path(folder, name).read_text(encoding="utf-8") if folder else Path(public_tokenizers.path(name)).read_text(encoding="utf-8")
 
 
 def op1_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:

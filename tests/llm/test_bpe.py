@@ -100,3 +100,36 @@ class Once:
 
     def mapInArrow(self, run, schema):
         return next(run(iter([self.batch]))).column("decoded_sha256").to_pylist()
+
+
+def test_a_long_text_is_encoded_and_decoded_in_bounded_memory():
+    """A million words: neither words nor ids nor the decoded text are held."""
+    import tracemalloc
+    r = random.Random(4)
+    some = ["".join(r.choice("etaoinshr") for _ in range(r.randint(2, 9))) for _ in range(3000)]
+    text = " ".join(r.choice(some) for _ in range(1_000_000))
+    encoder, decoder = bpe.Encoder(WORD_SPEC), bpe.Decoder(WORD_SPEC)
+    [*encoder.pieces(" ".join(some))]  # the words' own ids are remembered
+    ids_sha, text_sha, state, n = hashlib.sha256(), hashlib.sha256(), decoder.start(), 0
+    tracemalloc.start()
+    for ids in encoder.pieces(text):
+        n += len(ids) // 4
+        ids_sha.update(ids)
+        text_sha.update(state.feed(memoryview(ids).cast("I")).encode())
+    text_sha.update(state.end().encode())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < len(text) + 3_000_000  # the lower-cased text, and a little
+    want = LIBRARY.encode(text, add_special_tokens=False).ids
+    assert n == len(want) > 1_000_000 and ids_sha.digest() == hashlib.sha256(np.array(want, "<u4").tobytes()).digest()
+    assert text_sha.digest() == hashlib.sha256(LIBRARY.decode(want, skip_special_tokens=False).encode()).digest()
+
+
+@pytest.mark.parametrize("text", ["a<|startoftext|><|endoftext|>", "[X] b [X]", "[X]", "no"])
+def test_other_special_tokens(text):
+    """Special tokens are told by the file, not by how they look."""
+    import json
+    spec = json.loads(WORD_SPEC)
+    spec["added_tokens"].append({**spec["added_tokens"][0], "id": len(spec["model"]["vocab"]) + 2, "content": "[X]"})
+    own = json.dumps(spec)
+    assert bpe.Encoder(own).ids(text) == Tokenizer.from_str(own).encode(text, add_special_tokens=False).ids
