@@ -41,10 +41,12 @@ add("dim_listing", "SELECT * FROM dim_listing", ["dim_listing"], STG_LISTINGS_DE
     ENRICHED_BIG)
 add("dim_host", "SELECT * FROM dim_host", ["dim_host"], (), ("total_reviews_received",))
 add("dim_neighbourhood", "SELECT * FROM dim_neighbourhood", ["dim_neighbourhood"])
-add("monthly_occupancy", "SELECT * FROM monthly_occupancy", ["monthly_occupancy"],
-    ("estimated_revenue",), ("booked_days", "available_days"))
-add("pricing_analysis", "SELECT * FROM pricing_analysis", ["pricing_analysis"],
-    ("min_price", "p25_price", "median_price", "p75_price", "max_price"))
+for _name in ("monthly_occupancy", "monthly_occupancy_kept"):  # the second is the same mart, kept up to date
+    add(_name, "SELECT * FROM monthly_occupancy", ["monthly_occupancy"],
+        ("estimated_revenue",), ("booked_days", "available_days"))
+for _name in ("pricing_analysis", "pricing_analysis_kept"):  # the second is the same mart, kept up to date
+    add(_name, "SELECT * FROM pricing_analysis", ["pricing_analysis"],
+        ("min_price", "p25_price", "median_price", "p75_price", "max_price"))
 
 # ---------------------------------------------------------------- incremental facts
 AS_OF = "DATE '2025-09-30'"
@@ -261,13 +263,15 @@ add("quality_probe", _PROBE_SQL, ["dim_listing", "fct_reviews", "fct_calendar"])
 
 _SRC = [("raw_listings", "last_scraped", 180, 365), ("raw_reviews", "date", 90, 180),
         ("raw_calendar", "date", 30, 60)]
-add("source_freshness", "\nUNION ALL\n".join(f"""
+_SOURCES = "\nUNION ALL\n".join(f"""
 SELECT '{t}' AS source, max_loaded_at, age_days,
   CASE WHEN max_loaded_at IS NULL THEN 'error' WHEN age_days > {err} THEN 'error'
        WHEN age_days > {warn} THEN 'warn' ELSE 'pass' END AS status
 FROM (SELECT MAX({c}) AS max_loaded_at,
         CAST(date_diff('day', MAX({c}), DATE '1999-02-15') AS INTEGER) AS age_days FROM {t})"""
-    for t, c, warn, err in _SRC), ["raw_listings", "raw_reviews", "raw_calendar"])
+    for t, c, warn, err in _SRC)
+for _name in ("source_freshness", "source_freshness_from_files"):
+    add(_name, _SOURCES, ["raw_listings", "raw_reviews", "raw_calendar"])
 
 _MARTS = [("Listings (last_scraped)", "stg_listings", "last_scraped_date"),
           ("Reviews (most recent)", "fct_reviews", "review_date"),

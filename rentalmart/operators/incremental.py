@@ -80,18 +80,19 @@ def _same_partitions(existing: DataFrame, batch: DataFrame, partition_col: str)
 
 
 def append_new(spark: SparkSession, batch: DataFrame, target: str, keys: list[str],
-               partition_col: str | None = None, partition_expr: Column | None = None
-               ) -> AppendResult:
+               partition_col: str | None = None, partition_expr: Column | None = None,
+               buckets: tuple[int, str] | None = None) -> AppendResult:
     """Append the rows of ``batch`` whose ``keys`` are not in ``target``.
 
     ``target`` is a catalog table name (``db.table``; existence via the catalog, writes via
     ``saveAsTable``) or a folder. ``partition_col``/``partition_expr`` name and compute the
     storage partition, which must be a function of the keys (e.g. ``trunc(date, 'month')`` of
-    a date key); ``read_table`` drops that column again.
+    a date key); ``read_table`` drops that column again. ``buckets`` (a number and a column)
+    buckets a catalog table.
     """
     rows = batch if partition_col is None else batch.withColumn(partition_col, partition_expr)
     if is_table_name(target):
-        return _append_to_catalog(spark, rows, target, keys, partition_col)
+        return _append_to_catalog(spark, rows, target, keys, partition_col, buckets)
     target = target.rstrip("/")
     version = versions.current(spark, target)
     mode, files, tries = "full", None, []
@@ -159,7 +160,7 @@ def _writer(rows: DataFrame, partition_col: str | None) -> DataFrameWriter:
 
 
 def _append_to_catalog(spark: SparkSession, rows: DataFrame, target: str, keys: list[str],
-                       partition_col: str | None) -> AppendResult:
+                       partition_col: str | None, buckets: tuple[int, str] | None) -> AppendResult:
     mode = "full"
     if spark.catalog.tableExists(target):
         mode, existing = "append", spark.table(target)
@@ -167,7 +168,8 @@ def _append_to_catalog(spark: SparkSession, rows: DataFrame, target: str, keys:
         if partition_col is not None:
             existing = _same_partitions(existing, rows, partition_col)
         rows = _unseen(rows, existing, keys)
-    _writer(rows, partition_col).mode("append").saveAsTable(target)
+    w = _writer(rows, partition_col)
+    (w.bucketBy(*buckets) if buckets else w).mode("append").saveAsTable(target)
     return AppendResult(target, mode)
 
 

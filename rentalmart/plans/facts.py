@@ -30,10 +30,11 @@ def fct_reviews(spark: SparkSession, reviews: DataFrame, target: str) -> AppendR
     return append_new(spark, reviews, target, REVIEW_KEYS)
 
 
-def fct_calendar(spark: SparkSession, calendar: DataFrame, target: str) -> AppendResult:
-    """J-12: append staged calendar days whose (listing_id, calendar_date) is unseen."""
+def fct_calendar(spark: SparkSession, calendar: DataFrame, target: str, buckets: int | None = None) -> AppendResult:
+    """J-12: append staged calendar days whose (listing_id, calendar_date) is unseen; a catalog
+    table may have ``buckets`` by listing."""
     return append_new(spark, with_cal_key(calendar), target, CALENDAR_KEYS, CALENDAR_PART,
-                      F.trunc("calendar_date", "month"))
+                      F.trunc("calendar_date", "month"), (buckets, "listing_id") if buckets else None)
 
 
 def read_fct_reviews(spark: SparkSession, target: str) -> DataFrame:

@@ -11,9 +11,8 @@ Scale notes (the calendar is the big input: listings x days):
   listings, carrying exact decimal partial sums plus the number of booked days without a
   nightly price; the listing-price fallback is applied after the join (exact in decimal).
   The join input is therefore at most listings x months rows, whatever the skew.
-* Percentiles in ``pricing_analysis`` are exact (``percentile`` on integer cents). Its
-  per-group buffer holds one entry per *distinct* price of the group, combined map-side,
-  so memory grows with the number of distinct prices, not with rows.
+* Percentiles in ``pricing_analysis`` are exact: listings are counted per segment and price
+  first, and running counts over a segment's distinct prices give every order statistic.
 """
 
 from __future__ import annotations
@@ -161,7 +160,15 @@ def monthly_occupancy(calendar: DataFrame, listings: DataFrame) -> DataFrame:
     Inner join: calendar days of unknown listings are dropped. ``occupancy_rate_pct`` is
     the share of *booked* days. Nightly price falls back to the listing price.
     """
-    parts = calendar_month_parts(calendar)
+    return monthly_from_parts(calendar_month_parts(calendar), listings)
+
+
+#: The columns of ``calendar_month_parts`` that add up.
+MONTH_SUMS = ["days_in_month", "booked_days", "priced_sum", "n_priced", "n_unpriced", "n_zero"]
+
+
+def monthly_from_parts(parts: DataFrame, listings: DataFrame) -> DataFrame:
+    """J-13 from the partial sums of (listing, month)."""
     dims = listings.selectExpr("listing_id", "neighbourhood", "room_type",
                                "price AS listing_price")
     joined = parts.join(dims, "listing_id").selectExpr(
@@ -207,13 +214,28 @@ def pricing_analysis(listings: DataFrame, min_n: int = MIN_GROUP_SIZE) -> DataFr
     columns; quartiles and averages follow from that table. PERCENTILE_CONT of money
     truncates to whole cents.
     """
-    keys = ["neighbourhood", "room_type"]
-    averaged = {"price": ("price", 2), "rating": ("review_scores_rating", 1),
-                "occupancy": ("CAST(occupancy_rate_pct AS DECIMAL(24,1))", 1),
-                "monthly": ("reviews_per_month", 2), "nights": ("minimum_nights", 0)}
-    counts = (listings.where("price > 0").groupBy(*keys, F.expr("price AS value"))
-              .agg(*_x("count(1) AS c", *[f"sum({e}) AS {n}_sum" for n, (e, _) in averaged.items()],
-                       *[f"count({e}) AS {n}_n" for n, (e, _) in averaged.items()])))
+    return pricing_from_counts(price_counts(listings), min_n)
+
+
+SEGMENT = ["neighbourhood", "room_type"]
+# What is averaged over a segment, and its decimals.
+AVERAGED = {"price": ("price", 2), "rating": ("review_scores_rating", 1),
+            "occupancy": ("CAST(occupancy_rate_pct AS DECIMAL(24,1))", 1),
+            "monthly": ("reviews_per_month", 2), "nights": ("minimum_nights", 0)}
+#: The columns of ``price_counts`` that add up.
+PRICE_SUMS = ["c", *[f"{n}_sum" for n in AVERAGED], *[f"{n}_n" for n in AVERAGED]]
+
+
+def price_counts(listings: DataFrame) -> DataFrame:
+    """Per segment and price (``value``): listings (c), and sums and counts of what is averaged."""
+    return (listings.where("price > 0").groupBy(*SEGMENT, F.expr("price AS value"))
+            .agg(*_x("count(1) AS c", *[f"sum({e}) AS {n}_sum" for n, (e, _) in AVERAGED.items()],
+                     *[f"count({e}) AS {n}_n" for n, (e, _) in AVERAGED.items()])))
+
+
+def pricing_from_counts(counts: DataFrame, min_n: int = MIN_GROUP_SIZE) -> DataFrame:
+    """J-14 from the counts of each segment's prices."""
+    keys, averaged = SEGMENT, AVERAGED
     cents = "CAST(value * 100 AS BIGINT)"
     quartiled = ranked(counts, keys, "value").selectExpr(
         "*", *[f"floor({quantile_sql(cents, q, keys)}) / 100.0D AS q{k}" for k, q in enumerate(QUARTILES)])

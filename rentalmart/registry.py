@@ -150,6 +150,40 @@ def q_monthly_occupancy(spark, sf_dir):
     return marts.monthly_occupancy(_fct_calendar(spark, sf_dir), _dim_listing(spark, sf_dir))
 
 
+@register("monthly_occupancy_kept")
+def q_monthly_occupancy_kept(spark, sf_dir):
+    """J-13 kept up to date: the calendar's batches are appended one after another, and the mart
+    is updated from each."""
+    from rentalmart.plans import facts, maintained
+    from rentalmart.session import discard_at_exit, fresh_path
+    fact, parts, mart = (fresh_path(spark, n) for n in ("fct_calendar", "month_parts", "monthly"))
+    listings = _dim_listing(spark, sf_dir)
+    for batch in adapters.calendar_batches(_raw_calendar(spark, sf_dir)):
+        facts.fct_calendar(spark, staging.stg_calendar(batch), fact)
+        maintained.update_monthly(spark, fact, listings, parts, mart)
+    for path in (fact, parts, mart):
+        discard_at_exit(spark, path)
+    return maintained.read_monthly(spark, mart)
+
+
+@register("pricing_analysis_kept")
+def q_pricing_analysis_kept(spark, sf_dir):
+    """J-14 kept up to date: two thirds of the listings, some with another price, are counted;
+    then these prices change back and the other third comes in."""
+    from rentalmart.plans import maintained
+    from rentalmart.session import discard_at_exit, fresh_path
+    counts = fresh_path(spark, "price_counts")
+    final = _dim_listing(spark, sf_dir)
+    first = final.where("listing_id % 3 != 0").withColumn(
+        "price", F.expr("CAST(IF(listing_id % 5 = 0, price + 7, price) AS DECIMAL(10,2))"))
+    maintained.build_price_counts(spark, first, counts)
+    maintained.change_price_counts(spark, first.where("listing_id % 5 = 0"),
+                                   final.where("listing_id % 3 != 0 AND listing_id % 5 = 0"), counts)
+    maintained.change_price_counts(spark, final.where("false"), final.where("listing_id % 3 = 0"), counts)
+    discard_at_exit(spark, counts)
+    return maintained.pricing(spark, counts)
+
+
 @register("pricing_analysis")
 def q_pricing_analysis(spark, sf_dir):
     """J-14"""
@@ -318,6 +352,20 @@ def q_source_freshness(spark, sf_dir):
     return quality.all_source_freshness(_raw_models(spark, sf_dir), SOURCES_AS_OF)
 
 
+@register("source_freshness_from_files")
+def q_source_freshness_from_files(spark, sf_dir):
+    """J-35 over the loaded raw tables, by the statistics of their files."""
+    from rentalmart.operators import versions
+    from rentalmart.plans import quality
+    from rentalmart.session import discard_at_exit, fresh_path
+    paths = {}
+    for table in quality.SOURCE_FRESHNESS:
+        paths[table] = fresh_path(spark, table)
+        versions.replace(spark, _raw_models(spark, sf_dir)[table].hint("rebalance"), paths[table])
+        discard_at_exit(spark, paths[table])
+    return quality.source_freshness_from_files(spark, paths, SOURCES_AS_OF)
+
+
 @register("mart_freshness")
 def q_mart_freshness(spark, sf_dir):
     """J-36: listings (last scrape), reviews and calendar."""

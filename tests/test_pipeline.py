@@ -48,3 +48,30 @@ def test_load_raw_into_catalog(spark, scratch):
     csv.load_raw(spark, {"raw_neighbourhoods": path}, scratch, database=db)
     assert csv.read_raw(spark, scratch, "raw_neighbourhoods", db).count() == 1
     spark.sql(f"DROP DATABASE {db} CASCADE")
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, scratch):
+    """J-06 and J-13 over written tables: co-located by listing, also after another append."""
+    from conftest import SF_SMALL
+    from rentalmart.plans import marts, staging
+    raw = adapters.raw_inputs(spark, SF_SMALL)
+    db = "buckets_" + scratch.rstrip("/").split("/")[-1].replace("-", "_")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    first = adapters.RawInputs(raw.listings, raw.reviews, adapters.calendar_batches(raw.calendar)[0], raw.neighbourhoods)
+    try:
+        for inputs in (first, raw):
+            run_pipeline(spark, inputs, scratch, "2025-09-30", raise_on_failure=False, database=db, buckets=8)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        stg = [spark.table(f"{db}.{n}") for n in ("stg_listings", "stg_reviews", "stg_calendar")]
+        calendar, dim = facts.read_fct_calendar(spark, f"{db}.fct_calendar"), spark.table(f"{db}.dim_listing")
+        for name, bucketed, plain in (
+                ("J-06", marts.listings_enriched(*stg), marts.listings_enriched(
+                    staging.stg_listings(raw.listings), staging.stg_reviews(raw.reviews), staging.stg_calendar(raw.calendar))),
+                ("J-13", marts.monthly_occupancy(calendar, dim), marts.monthly_occupancy(
+                    staging.stg_calendar(raw.calendar), marts.dim_listing(marts.listings_enriched(*stg))))):
+            plan = bucketed._jdf.queryExecution().executedPlan().toString()
+            assert "Join" in plan and "Exchange" not in plan, name
+            assert sorted(map(str, bucketed.collect())) == sorted(map(str, plain.collect())), name
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")

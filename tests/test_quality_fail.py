@@ -75,3 +75,25 @@ def test_declared_tests_count_what_single_tests_count(spark):
              for m, cols in quality.UNIQUE_TESTS.items() for c in cols]
     assert got == sorted(want) and ("unique", "raw_listings", "id", 2) in got
     assert ("not_null", "raw_listings", "id", 3) in got and ("not_null", "stg_calendar", "listing_id", 2) in got
+
+
+def test_freshness_from_file_statistics(spark, scratch):
+    """The newest date comes from the files' footers: the aggregate is pushed, no column is read."""
+    from rentalmart.operators import versions
+    days = spark.createDataFrame([(k, dt.date(2024, 1, 1) + dt.timedelta(days=k)) for k in range(90)], "id long, date date")
+    versions.replace(spark, days.repartition(5), f"{scratch}/t")
+    newest = quality.newest_in_files(spark, f"{scratch}/t", "date")
+    plan = newest._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [MAX(date)]" in plan
+    assert newest.first()[0] == dt.date(2024, 3, 30) == versions.read(spark, f"{scratch}/t").agg({"date": "max"}).first()[0]
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") != ""
+
+
+def test_source_freshness_from_files_equals_the_scan(spark, scratch):
+    from rentalmart.operators import versions
+    raw = {s: spark.createDataFrame([(dt.date(2024, 5, k + 1),) for k in range(n)], f"{col} date")
+           for (s, (col, _, _)), n in zip(quality.SOURCE_FRESHNESS.items(), (9, 0, 4))}
+    for s, df in raw.items():
+        versions.replace(spark, df, f"{scratch}/{s}")
+    got = quality.source_freshness_from_files(spark, {s: f"{scratch}/{s}" for s in raw}, "2024-07-01")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, quality.all_source_freshness(raw, "2024-07-01").collect()))
