@@ -1,17 +1,26 @@
 """LM scoring: masked pseudo-likelihood with a bidirectional window network.
 
 Each token is predicted from the ``WINDOW`` tokens before and after it; the sum of the
-conditional log-probabilities is the text's pseudo-log-likelihood. The vocabulary is made of
-the corpus's most frequent words and of hash buckets for all others; a token's probability
-is that of its class (the frequent words are classes of their own, the buckets fall into
-classes by the word's ending) times its share of the class in the corpus:
-p(token | both sides) = p(class | both sides) p(token | class).
-
-The counts and the training run over all documents. The network is trained in numpy inside
-tasks: the texts, as one byte per token (its class), are dealt to workers of about
-``WORKER_TOKENS`` tokens each; in every round all workers start from the same weights, go
-over their tokens, and their weights are averaged (first in groups, so that the driver gets
-``GROUPS`` sets of weights however many workers there are).
+conditional log-probabilities is the text's pseudo-log-likelihood. What the model gathers
+grows with the corpus:
+
+* Word classes. The most frequent words are classes of their own, all other words fall into
+  classes by their ending. There are ``side(tokens)`` squared of them, about the square root
+  of the number of tokens. The network gives p(class | both sides) in two steps, a group of
+  classes and a class of the group, so a token costs twice the side and not its square.
+* The words of a class. p(word | class) is the word's share of the class in the corpus: exact
+  for the HEAD most frequent words, by hash buckets for the others.
+* A memory of rare words in their places. For every occurrence of a word outside the head,
+  the corpus is asked how often its neighbours' classes and its own stand around such a word
+  elsewhere, and how often around this very word: p(word | class, neighbours) is that share,
+  smoothed towards p(word | class) by the number of different words there (Witten-Bell). The
+  occurrence itself is left out, so a text that stands alone gains nothing from itself.
+
+All documents are counted and trained on. The network is trained in numpy inside tasks: texts
+are written once as classes, every task goes over its part of that table from the same
+weights, and the weights of all tasks are averaged in a tree of fixed fan-in; this is a
+round. No text, however long or often repeated, has to be in one place for that. The memory
+is two aggregations by 64-bit keys; only keys that occur again are joined back.
 """
 
 from __future__ import annotations
@@ -22,236 +31,427 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from .common import stored, words
+from .common import drop, stored, words
+from .hot_groups import join_groups
 
 WINDOW = 2  # tokens on either side
-FREQUENT, ENDINGS, BUCKETS = 191, 64, 1024  # word classes, ending classes, tokens in one of these
-CLASSES = FREQUENT + ENDINGS + 1  # and one beyond the text's ends
 WIDTH = 24
-CLASS = np.min_scalar_type(CLASSES - 1)  # what holds a class
-SHARE = 1  # one document in SHARE is trained on: all
-WORKER_TOKENS = 200_000
-ROUNDS, BATCH, RATE, GROUPS = 2, 256, 0.1, 16
+SIDE, GROWTH = 16, 2.83  # least groups of classes; they grow as the fourth root of the tokens
+HEAD = 1 << 15  # words whose counts are kept exactly
+BUCKETS = 1 << 17  # counts of other words by hash, over all ending classes
+ROUNDS, RATE = 1, 0.1
+BATCH, LARGEST, DOUBLED = 256, 4096, 64  # tokens of a first step, of the largest, steps until they double
+CHUNK, PIECE = 500_000, 1 << 14  # tokens that a task holds as arrays, words that it looks up at once
+FAN = 16  # sets of weights that are averaged together
 REMEMBERED = 300_000
+BITS = 1 << 25  # of the bitmap of places that occur again: 4 MB at any size of input
+_ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 
 
-class Vocabulary(dict):
-    """word (UTF-8) -> token. Tokens below FREQUENT are words, the others buckets."""
+def side(tokens: int) -> int:
+    """Groups of classes, and classes of a group."""
+    return max(SIDE, int(tokens ** 0.25 / GROWTH))
 
-    def __init__(self, frequent: list[str]):
-        super().__init__({w.encode(): k for k, w in enumerate(frequent)})
-        self.frequent = len(frequent)
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            for w in [*self][self.frequent:]:
-                del self[w]
-        ending = xxh3_64_intdigest(word.decode("utf-8", "replace")[-2:].encode()) % ENDINGS
-        self[word] = token = FREQUENT + ending * BUCKETS + xxh3_64_intdigest(word) % BUCKETS
-        return token
+@dataclass(frozen=True)
+class Sizes:
+    """Of the classes for a corpus."""
+
+    side: int
+
+    @property
+    def classes(self) -> int:
+        return self.side ** 2
 
-    def tokens(self, found: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, found), dtype=np.int32, count=len(found))
+    @property
+    def endings(self) -> int:
+        return self.classes // 4
 
-    def of(self, text: str) -> np.ndarray:
-        """The tokens of a (lower-cased) text: bytes split at ASCII white space only."""
-        return self.tokens(text.encode().split())
+    @property
+    def frequent(self) -> int:
+        return self.classes - self.endings
 
+    @property
+    def buckets(self) -> int:
+        return max(16, BUCKETS // self.endings)
 
-def class_of(tokens: np.ndarray) -> np.ndarray:
-    return np.where(tokens < FREQUENT, tokens, FREQUENT + (tokens - FREQUENT) // BUCKETS)
+    def ending(self, word: bytes) -> int:
+        return self.frequent + xxh3_64_intdigest(word.decode("utf-8", "replace")[-2:].encode()) % self.endings
 
+    def bucket(self, word: bytes) -> int:
+        return (self.ending(word) - self.frequent) * self.buckets + xxh3_64_intdigest(word) % self.buckets
 
-def contexts(classes: np.ndarray) -> np.ndarray:
-    """The classes around each position, 2 * WINDOW columns; CLASSES - 1 beyond the ends."""
-    pad = np.full(WINDOW, CLASSES - 1, dtype=classes.dtype)
-    line = np.concatenate([pad, classes, pad])
-    n = len(classes)
-    return np.stack([line[j:j + n] for j in range(2 * WINDOW + 1) if j != WINDOW], axis=1)
+
+class Vocabulary(dict):
+    """word (UTF-8) -> its place in the arrays cls, share (log p(word | class)), rare and hash."""
+
+    def __init__(self, sizes: Sizes, head: list[str], head_share: np.ndarray, bucket_share: np.ndarray):
+        super().__init__()
+        self.sizes, self.bucket_share = sizes, bucket_share
+        room = len(head) + REMEMBERED
+        self.cls, self.share = np.zeros(room, np.int32), np.zeros(room, np.float32)
+        self.rare, self.hash = np.zeros(room, bool), np.zeros(room, np.uint64)
+        for k, w in enumerate(head):
+            word = w.encode()
+            self[word] = k
+            self.cls[k] = k if k < sizes.frequent else sizes.ending(word)
+        self.share[:len(head)] = head_share
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = at = len(self)  # fewer than REMEMBERED others: see ``tokenized``
+        self.cls[at], self.share[at] = self.sizes.ending(word), self.bucket_share[self.sizes.bucket(word)]
+        self.rare[at], self.hash[at] = True, xxh3_64_intdigest(word)
+        return at
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * _ODD[0]
+    return x ^ (x >> np.uint64(29))
+
+
+def contexts(texts: list[np.ndarray], pad: int) -> tuple[np.ndarray, np.ndarray]:
+    """(the classes around each position of the texts, 2 * WINDOW columns, ``pad`` beyond a
+    text's ends; the classes at the positions)."""
+    gap = np.full(WINDOW, pad, dtype=np.int32)
+    pieces = [gap]
+    for t in texts:
+        pieces += [t, gap]
+    line, lengths = np.concatenate(pieces), np.array([len(t) for t in texts], dtype=np.int64)
+    at = np.arange(lengths.sum()) + np.repeat(WINDOW * (1 + np.arange(len(texts))), lengths)
+    return np.stack([line[at + j] for j in range(-WINDOW, WINDOW + 1) if j], axis=1), line[at]
 
 
 @dataclass
 class Network:
-    embed: np.ndarray  # CLASSES x WIDTH
+    embed: np.ndarray  # classes + 1 x WIDTH, the last for what lies beyond a text's ends
     place: np.ndarray  # 2 WINDOW x WIDTH
-    out: np.ndarray  # WIDTH x CLASSES
-    bias: np.ndarray  # CLASSES
+    out: np.ndarray  # WIDTH x side: groups
+    bias: np.ndarray  # side
+    member: np.ndarray  # side x WIDTH x side: the classes of each group
+    lean: np.ndarray  # side x side
+
+    @staticmethod
+    def shapes(n: int) -> list[tuple[int, ...]]:
+        return [(n * n + 1, WIDTH), (2 * WINDOW, WIDTH), (WIDTH, n), (n,), (n, WIDTH, n), (n, n)]
 
     @staticmethod
     def start(class_counts: np.ndarray) -> Network:
-        r = np.random.default_rng(0)
-        p = (class_counts + 1) / (class_counts.sum() + len(class_counts))
-        return Network(r.normal(0, 0.3, (CLASSES, WIDTH)).astype("f4"), np.ones((2 * WINDOW, WIDTH), "f4"),
-                       np.zeros((WIDTH, CLASSES), "f4"), np.log(p).astype("f4"))
+        """The class shares of the corpus, whatever the neighbours."""
+        n = int(len(class_counts) ** 0.5)
+        p = ((class_counts + 1) / (class_counts.sum() + len(class_counts))).reshape(n, n)
+        shapes = Network.shapes(n)
+        return Network(np.random.default_rng(0).normal(0, 0.3, shapes[0]).astype("f4"), np.ones(shapes[1], "f4"),
+                       np.zeros(shapes[2], "f4"), np.log(p.sum(axis=1)).astype("f4"),
+                       np.zeros(shapes[4], "f4"), np.log(p / p.sum(axis=1, keepdims=True)).astype("f4"))
 
     def parts(self) -> list[np.ndarray]:
-        return [self.embed, self.place, self.out, self.bias]
+        return [self.embed, self.place, self.out, self.bias, self.member, self.lean]
 
     def dump(self) -> bytes:
         return np.concatenate([p.ravel() for p in self.parts()]).astype("<f4").tobytes()
 
     @staticmethod
-    def load(raw: bytes) -> Network:
+    def load(raw: bytes, n: int) -> Network:
         flat, out, at = np.frombuffer(raw, "<f4").copy(), [], 0
-        for shape in ((CLASSES, WIDTH), (2 * WINDOW, WIDTH), (WIDTH, CLASSES), (CLASSES,)):
+        for shape in Network.shapes(n):
             out.append(flat[at:at + int(np.prod(shape))].reshape(shape))
             at += int(np.prod(shape))
         return Network(*out)
 
     def hidden(self, around: np.ndarray) -> np.ndarray:
-        return np.tanh(sum(self.embed[around[:, j]] * self.place[j] for j in range(2 * WINDOW)))
-
-    def fixed(self) -> Network:
-        """Ready for scoring: embeddings by place, and whether logits can overflow at all
-        (hidden values lie within -1 and 1)."""
-        self.placed = [self.embed * self.place[j] for j in range(2 * WINDOW)]
-        self.small = float(np.abs(self.out).sum(axis=0).max() + np.abs(self.bias).max()) < 80
-        return self
-
-    def log_probabilities(self, classes: np.ndarray, step: int = 4096) -> np.ndarray:
-        """log p(class | both sides) of each position of one text."""
-        around, out = contexts(classes), np.empty(len(classes))
+        h = self.embed[around[:, 0]] * self.place[0]
+        for j in range(1, 2 * WINDOW):
+            h += self.embed[around[:, j]] * self.place[j]
+        return np.tanh(h, out=h)
+
+    @staticmethod
+    def _softmax(z: np.ndarray) -> np.ndarray:
+        """Probabilities, in place."""
+        z -= z.max(axis=1, keepdims=True)
+        np.exp(z, out=z)
+        z /= z.sum(axis=1, keepdims=True)
+        return z
+
+    def log_probabilities(self, around: np.ndarray, classes: np.ndarray, step: int = 8192) -> np.ndarray:
+        """log p(class | both sides) of each position."""
+        out, n = np.empty(len(classes)), len(self.bias)
         for a in range(0, len(classes), step):
-            out[a:a + step] = self.predicted(around[a:a + step], classes[a:a + step])
+            group, own = np.divmod(classes[a:a + step], n)
+            h = self.hidden(around[a:a + step])
+            p = self._softmax(h @ self.out + self.bias)
+            found = np.log(p[np.arange(len(group)), group])
+            for k, rows in _by_group(group):
+                q = self._softmax(h[rows] @ self.member[k] + self.lean[k])
+                found[rows] += np.log(q[np.arange(len(rows)), own[rows]])
+            out[a:a + step] = found
         return out
 
-    def predicted(self, around: np.ndarray, classes: np.ndarray) -> np.ndarray:
-        h = self.placed[0][around[:, 0]]
-        for j in range(1, 2 * WINDOW):
-            h += self.placed[j][around[:, j]]
-        z = np.tanh(h, out=h) @ self.out
-        z += self.bias
-        if not self.small:
-            z -= z.max(axis=1, keepdims=True)
-        own = z[np.arange(len(classes)), classes]
-        return own - np.log(np.exp(z, out=z).sum(axis=1))
-
     def learn(self, around: np.ndarray, classes: np.ndarray, sums: list[np.ndarray], rate: float) -> None:
         """One adaptive gradient step on a batch."""
+        size = len(classes)
+        group, own = np.divmod(classes, len(self.bias))
         h = self.hidden(around)
-        p = h @ self.out
-        p += self.bias
-        p -= p.max(axis=1, keepdims=True)
-        np.exp(p, out=p)
-        p /= p.sum(axis=1, keepdims=True) * len(classes)
-        p[np.arange(len(classes)), classes] -= 1 / len(classes)
-        back = (p @ self.out.T) * (1 - h * h)
-        d_embed, d_place = np.zeros_like(self.embed), np.empty_like(self.place)
+        p = self._softmax(h @ self.out + self.bias)
+        p[np.arange(size), group] -= 1
+        p /= size
+        back = p @ self.out.T
+        for k, rows in _by_group(group):
+            q = self._softmax(h[rows] @ self.member[k] + self.lean[k])
+            q[np.arange(len(rows)), own[rows]] -= 1
+            q /= size
+            back[rows] += q @ self.member[k].T
+            for part, grad, total in ((self.member[k], h[rows].T @ q, sums[4][k]), (self.lean[k], q.sum(axis=0), sums[5][k])):
+                total += grad * grad
+                part -= rate * grad / (np.sqrt(total) + 1e-6)
+        back *= 1 - h * h
+        d_place = np.empty_like(self.place)
+        moved = np.empty((2 * WINDOW, size, WIDTH), "f4")
         for j in range(2 * WINDOW):
             d_place[j] = (back * self.embed[around[:, j]]).sum(axis=0)
+            np.multiply(back, self.place[j], out=moved[j])
         flat = around.T.ravel()
         order = np.argsort(flat, kind="stable")
         starts = np.flatnonzero(np.diff(flat[order], prepend=-1))
-        moved = (back * self.place[:, None, :]).reshape(-1, WIDTH)
-        d_embed[flat[order][starts]] = np.add.reduceat(moved[order], starts, axis=0)
-        for part, grad, total in zip(self.parts(), (d_embed, d_place, h.T @ p, p.sum(axis=0)), sums):
-            total += grad * grad
-            part -= rate * grad / (np.sqrt(total) + 1e-6)
+        some = flat[order][starts]
+        d_embed = np.add.reduceat(moved.reshape(-1, WIDTH)[order], starts, axis=0)
+        sums[0][some] += d_embed * d_embed
+        self.embed[some] -= rate * d_embed / (np.sqrt(sums[0][some]) + 1e-6)
+        for k, grad in ((1, d_place), (2, h.T @ p), (3, p.sum(axis=0))):
+            sums[k] += grad * grad
+            self.parts()[k][...] -= rate * grad / (np.sqrt(sums[k]) + 1e-6)
 
 
-def counted(docs: DataFrame, text_col: str) -> tuple[list[str], np.ndarray]:
-    """(the most frequent words, occurrences of each token in the whole corpus)."""
-    by_word = stored(docs.select(F.explode(words(F.lower(text_col))).alias("word")).groupBy("word").count(), "word_counts")
-    frequent = [r[0] for r in by_word.orderBy(F.desc("count"), "word").limit(FREQUENT).collect()]
+def _by_group(group: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(group, its rows) of every group that occurs."""
+    order = np.argsort(group, kind="stable")
+    starts = np.flatnonzero(np.diff(group[order], prepend=-1))
+    for rows in np.split(order, starts[1:]):
+        yield int(group[rows[0]]), rows
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(frequent)
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(vocabulary.tokens([w.encode() for w in batch.column("word").to_pylist()])), batch.column("count")],
-                                             names=["token", "n"])
 
-    counts = np.zeros(FREQUENT + ENDINGS * BUCKETS, dtype=np.int64)
-    for token, n in by_word.mapInArrow(run, "token int, n long").groupBy("token").agg(F.sum("n")).collect():
-        counts[token] = n  # one row per token of the fixed vocabulary
-    return frequent, counts
+@dataclass
+class Counts:
+    """Of the corpus: its tokens, the head words, log p(word | class) of these and of the
+    buckets, and the tokens of each class."""
 
+    sizes: Sizes
+    tokens: int
+    head: list[str]
+    head_share: np.ndarray
+    bucket_share: np.ndarray
+    classes: np.ndarray
 
-def dealt(rows: DataFrame, of: str, n: int, seed: int) -> Column:
-    """Which of ``n`` parts a row goes to, by a hash of its own of the column ``of``: keys chosen
-    or dealt by other hashes still spread over all parts."""
-    return F.pmod(F.xxhash64(rows[of], F.lit(seed)), F.lit(n))
 
+def counted(docs: DataFrame, text_col: str) -> Counts:
+    by_word = stored(docs.select(F.explode(words(F.lower(text_col))).alias("word")).groupBy("word").count(), "word_counts")
+    tokens = by_word.agg(F.sum("count")).first()[0] or 0
+    sizes = Sizes(side(tokens))
+    top = by_word.orderBy(F.desc("count"), "word").limit(max(HEAD, sizes.frequent)).collect()
+    head = [r[0] for r in top]
+    known = docs.sparkSession.sparkContext.broadcast(frozenset(w.encode() for w in head))
 
-def trained(docs: DataFrame, text_col: str, id_col: str, frequent: list[str], counts: np.ndarray,
-            share: int = SHARE, rounds: int = ROUNDS) -> Network:
-    class_counts = np.zeros(CLASSES)
-    np.add.at(class_counts, class_of(np.arange(len(counts))), counts)
-    network = Network.start(class_counts)
-    chosen = docs.where(F.pmod(F.xxhash64(id_col, text_col), F.lit(share)) == 0)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [w.encode() for w in batch.column("word").to_pylist()]
+            buckets = [-1 if w in known.value else sizes.bucket(w) for w in found]
+            yield pa.RecordBatch.from_arrays([pa.array(buckets, pa.int32()), batch.column("count")], names=["bucket", "n"])
+
+    in_bucket = np.zeros(sizes.endings * sizes.buckets)
+    for bucket, n in by_word.mapInArrow(run, "bucket int, n long").where("bucket >= 0").groupBy("bucket").agg(F.sum("n")).collect():
+        in_bucket[bucket] = n  # one row per bucket
+    cls = np.array([k if k < sizes.frequent else sizes.ending(w.encode()) for k, w in enumerate(head)], dtype=np.int64)
+    n_head = np.array([r[1] for r in top], dtype=np.float64)
+    classes = np.zeros(sizes.classes)
+    np.add.at(classes, cls, n_head)
+    classes[sizes.frequent:] += in_bucket.reshape(sizes.endings, -1).sum(axis=1)
+    log_share = lambda n, of: np.log(np.maximum(n, 1) / np.maximum(of, 1)).astype("f4")
+    drop(by_word)
+    return Counts(sizes, tokens, head, log_share(n_head, classes[cls]),
+                  log_share(in_bucket, np.repeat(classes[sizes.frequent:], sizes.buckets)), classes)
+
+
+def tokenized(docs: DataFrame, counts: Counts) -> DataFrame:
+    """``docs`` (row, id, text) as row, id, n, classes (of the tokens), share (the sum of log
+    p(word | class)) and rare: key1 (class and neighbours' classes), key2 (the same with the
+    word) and share of each rare word."""
+    # of bounded size; plain values, as a broadcast class would have to be installed on executors
+    given = docs.sparkSession.sparkContext.broadcast((counts.head, counts.head_share, counts.bucket_share))
+    sizes = counts.sizes
 
-    def as_classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(frequent)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        v = Vocabulary(sizes, *given.value)
+        pad = np.array([sizes.classes], np.int32)
         for batch in batches:
-            found = [class_of(vocabulary.of(t)).astype(CLASS) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array([*map(len, found)], pa.int64()),
-                                              pa.array([c.tobytes() for c in found], pa.binary())], names=["key", "n", "classes"])
-
-    lean = chosen.select(F.xxhash64(id_col, text_col).alias("key"), F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("text"))
-    lines = stored(lean.mapInArrow(as_classes, "key long, n long, classes binary").where("n > 0"), "lm_classes")
-    tokens = lines.agg(F.sum("n")).first()[0] or 0
-    workers = max(1, -(-tokens // WORKER_TOKENS))
-
-    def work(raw: bytes, rate: float):
-        def run(frame: pd.DataFrame) -> pd.DataFrame:
-            net = Network.load(raw)
-            sums = [np.zeros_like(p) for p in net.parts()]
-            frame = frame.sort_values("key", kind="stable")
-            texts = [np.frombuffer(c, CLASS) for c in frame["classes"]]
-            around, own = np.concatenate([contexts(c) for c in texts]), np.concatenate(texts)
-            order = np.random.default_rng(int(frame["worker"].iloc[0])).permutation(len(own))
-            for a in range(0, len(own), BATCH):
-                at = order[a:a + BATCH]
-                net.learn(around[at].astype(np.intp), own[at], sums, rate)
-            return pd.DataFrame({"worker": [frame["worker"].iloc[0]], "n": [len(own)], "weights": [net.dump()]})
+            ns, classes, shares, rares = [], [], [], []
+            for text in batch.column("text").to_pylist():
+                found = text.encode().split()  # bytes: at ASCII white space only
+                n = len(found)
+                parts = [], [], [], [], []  # in pieces, so that the arrays' places stay valid
+                for a in range(0, n, PIECE):
+                    some = found[a:a + PIECE]
+                    if len(v) + len(some) > len(v.cls):
+                        v = Vocabulary(sizes, *given.value)
+                    at = np.fromiter(map(v.__getitem__, some), dtype=np.int64, count=len(some))
+                    rare = np.flatnonzero(v.rare[at])
+                    for part, x in zip(parts, (v.cls[at], v.share[at], rare + a, v.hash[at[rare]], v.share[at[rare]])):
+                        part.append(x)
+                ns.append(n)
+                if not n:
+                    classes.append(b"")
+                    shares.append(0.0)
+                    rares.append(b"")
+                    continue
+                cls, share, place, word, own = (np.concatenate(p) for p in parts)
+                line = np.concatenate([pad, cls, pad]).astype(np.uint64)
+                key1 = mixed(mixed(mixed(line[place]) * _ODD[1] + line[place + 1]) * _ODD[2] + line[place + 2])
+                table = np.empty(len(place), dtype=[("key1", "<u8"), ("key2", "<u8"), ("share", "<f4")])
+                table["key1"], table["key2"], table["share"] = key1, mixed(key1 + mixed(word)), own
+                classes.append(cls.astype("<i4").tobytes() if pad[0] > 0xFFFF else cls.astype("<u2").tobytes())
+                shares.append(float(share.sum(dtype="f8")))
+                rares.append(table.tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("row"), batch.column("id"), pa.array(ns, pa.int64()), pa.array(classes, pa.binary()),
+                 pa.array(shares, pa.float64()), pa.array(rares, pa.binary())], names=["row", "id", "n", "classes", "share", "rare"])
+
+    return docs.mapInArrow(run, "row long, id long, n long, classes binary, share double, rare binary")
+
+
+def _chunks(batch: pa.RecordBatch, pad: int) -> Iterator[tuple[list[int], list[np.ndarray]]]:
+    """(rows, their classes) of a batch, about CHUNK tokens at a time; rows without tokens too."""
+    kind = "<i4" if pad > 0xFFFF else "<u2"
+    rows, texts, held = [], [], 0
+    for k, raw in enumerate(batch.column("classes").to_pylist()):
+        rows.append(k)
+        texts.append(np.frombuffer(raw, kind).astype(np.int32))
+        held += len(texts[-1])
+        if held >= CHUNK:
+            yield rows, texts
+            rows, texts, held = [], [], 0
+    if rows:
+        yield rows, texts
+
+
+def trained(lines: DataFrame, counts: Counts, rounds: int) -> Network:
+    """The network after ``rounds`` passes over all of ``lines``."""
+    n, network = counts.sizes.side, Network.start(counts.classes)
+    pad, spark = counts.sizes.classes, lines.sparkSession
+
+    def work(raw, rate: float):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            net = Network.load(raw.value, n)
+            sums, worker, seen, steps = [np.zeros_like(p) for p in net.parts()], TaskContext.get().partitionId(), 0, 0
+            for batch in batches:
+                for _, texts in _chunks(batch, pad):
+                    around, own = contexts(texts, pad)
+                    order = np.random.default_rng(worker + seen).permutation(len(own))
+                    at = 0
+                    while at < len(order):
+                        some = order[at:at + min(LARGEST, BATCH << steps // DOUBLED)]
+                        net.learn(around[some], own[some], sums, rate)
+                        at, steps = at + len(some), steps + 1
+                    seen += len(own)
+            if seen:
+                yield pa.RecordBatch.from_arrays([pa.array([worker], pa.int64()), pa.array([seen], pa.int64()),
+                                                  pa.array([net.dump()], pa.binary())], names=["worker", "n", "weights"])
         return run
 
     def mean(frame: pd.DataFrame) -> pd.DataFrame:
-        n = frame["n"].sum()
-        total = sum(np.frombuffer(w, "<f4").astype("f8") * k for w, k in zip(frame["weights"], frame["n"]))
-        return pd.DataFrame({"n": [n], "weights": [(total / n).astype("<f4").tobytes()]})
-
-    parts = lines.withColumn("worker", dealt(lines, "key", workers, 1))
-    for k in range(rounds if tokens else 0):
-        weights = parts.groupBy("worker").applyInPandas(work(network.dump(), RATE / (1 + k)), "worker long, n long, weights binary")
-        weights = weights.groupBy(dealt(weights, "worker", GROUPS, 2)).applyInPandas(mean, "n long, weights binary")
-        network = Network.load(mean(weights.toPandas())["weights"][0])  # GROUPS rows at most
+        total = np.zeros(len(frame["weights"].iloc[0]) // 4)
+        for w, k in zip(frame["weights"], frame["n"]):
+            total += np.frombuffer(w, "<f4").astype("f8") * (k / frame["n"].sum())
+        return pd.DataFrame({"worker": [frame["worker"].min()], "n": [frame["n"].sum()], "weights": [total.astype("<f4").tobytes()]})
+
+    types = "worker long, n long, weights binary"
+    for k in range(rounds if counts.tokens else 0):
+        raw = spark.sparkContext.broadcast(network.dump())
+        weights = stored(lines.select("classes").mapInArrow(work(raw, RATE / (1 + k)), types), "lm_weights")
+        sets = weights.count()
+        while sets > FAN:
+            sets = -(-sets // FAN)
+            weights = weights.groupBy(F.pmod(F.xxhash64("worker"), F.lit(sets))).applyInPandas(mean, types)
+        network = Network.load(mean(weights.toPandas())["weights"][0], n)  # FAN rows at most
     return network
 
 
-def scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", share: int = SHARE, rounds: int = ROUNDS) -> DataFrame:
+def remembered(lines: DataFrame) -> DataFrame:
+    """row and gain: what the memory adds to the log-likelihood of the rows that have rare words
+    in places that occur again."""
+    place = F.pmod(F.col("key1"), F.lit(BITS)) + 1  # bitmaps count from 1
+
+    def rare(only: bytes | None):
+        sent = lines.sparkSession.sparkContext.broadcast(only)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            marks = None if sent.value is None else np.frombuffer(sent.value, np.uint8)
+            for batch in batches:
+                raws = batch.column("rare").to_pylist()
+                table = np.frombuffer(b"".join(raws), dtype=[("key1", "<i8"), ("key2", "<i8"), ("share", "<f4")])
+                rows = np.repeat(batch.column("row").to_numpy(), [len(r) // 20 for r in raws])
+                if marks is not None:
+                    at = np.mod(table["key1"], BITS)
+                    hit = (marks[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+                    table, rows = table[hit], rows[hit]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(rows), pa.array(table["key1"].copy()), pa.array(table["key2"].copy()), pa.array(table["share"].copy())],
+                    names=["row", "key1", "key2", "share"])
+
+        return lines.select("row", "rare").mapInArrow(run, "row long, key1 long, key2 long, share float")
+
+    again = rare(None).groupBy("key1").agg(F.count("*").alias("n")).where("n > 1")
+    bits = np.zeros(BITS // 8, np.uint8)
+    for bucket, some in (again.select(place.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("bucket"))
+                         .agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits")).collect()):  # BITS bits at most
+        at = (bucket - 1) * 4096
+        bits[at:at + len(some)] = np.frombuffer(bytes(some), np.uint8)
+    met = stored(rare(bits.tobytes()), "lm_places")
+    of_word = stored(met.groupBy("key1", "key2").agg(F.count("*").alias("n2")), "lm_words")
+    of_place = stored(of_word.groupBy("key1").agg(F.sum("n2").alias("n1"), F.count("*").alias("kinds"),
+                                                  F.count("*").alias("size")).where("n1 > 1"), "lm_contexts")
+    known = join_groups(of_word, of_place, ["key1"], "size", of_word.count()).drop("size")
+    # a place's occurrences are joined by place and word; words of one place have its counts
+    found = join_groups(met, known.withColumn("size", F.col("n2")), ["key1", "key2"], "size", met.count())
+    share = F.exp("share")
+    gain = F.log((F.col("n2") - 1 + F.col("kinds") * share) / (F.col("n1") - 1 + F.col("kinds"))) - F.col("share")
+    return found.groupBy("row").agg(F.sum(gain).alias("gain"))
+
+
+def scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS) -> DataFrame:
     """Per row: the id, n_tokens, log_likelihood (natural log, summed over all tokens) and
     mean_log_prob.
 
     Words are lower-cased. A null text or one without words has no tokens and zero for both.
-    Repeated rows stay and count in the corpus each; equal texts have equal scores. Other
-    columns are ignored; an empty table gives an empty result.
+    Repeated rows stay and count in the corpus each; equal texts have equal scores (up to the
+    rounding of 32-bit numbers). Other columns are ignored; an empty table gives an empty result.
     """
-    frequent, counts = counted(docs, text_col)
-    network = trained(docs, text_col, id_col, frequent, counts, share, rounds).dump()
-    cls = class_of(np.arange(len(counts)))
-    totals = np.zeros(CLASSES)
-    np.add.at(totals, cls, counts)
-    within = np.log(np.maximum(counts, 1) / np.maximum(totals[cls], 1)).astype("f4")
-    spark = docs.sparkSession
-    given = spark.sparkContext.broadcast((frequent, network, within))  # of fixed size
+    counts = counted(docs, text_col)
+    lean = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"),
+                       F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("text"))
+    lines = stored(tokenized(lean, counts), "lm_tokens")
+    network = trained(lines, counts, rounds).dump()
+    side_, pad = counts.sizes.side, counts.sizes.classes
+    given = docs.sparkSession.sparkContext.broadcast(network)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, raw, within = given.value
-        net, vocabulary = Network.load(raw).fixed(), Vocabulary(frequent)
+        net = Network.load(given.value, side_)
         for batch in batches:
-            n, total = [], []
-            for text in batch.column("text").to_pylist():
-                tokens = vocabulary.of(text)
-                n.append(len(tokens))
-                total.append(float(net.log_probabilities(class_of(tokens)).sum() + within[tokens].sum(dtype="f8")) if len(tokens) else 0.0)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n, pa.int64()), pa.array(total, pa.float64())],
-                                             names=["id", "n_tokens", "log_likelihood"])
-
-    lean = docs.select(F.col(id_col).cast("long").alias("id"), F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("text"))
-    return (lean.mapInArrow(run, "id long, n_tokens long, log_likelihood double")
+            total = batch.column("share").to_numpy().copy()
+            for rows, texts in _chunks(batch, pad):
+                around, own = contexts(texts, pad)
+                some = np.array([len(t) for t in texts])
+                if len(own):
+                    starts = (np.cumsum(some) - some)[some > 0]
+                    total[np.array(rows)[some > 0]] += np.add.reduceat(net.log_probabilities(around, own), starts)
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("id"), batch.column("n"), pa.array(total)],
+                                             names=["row", "id", "n_tokens", "base"])
+
+    base = lines.select("row", "id", "n", "classes", "share").mapInArrow(run, "row long, id long, n_tokens long, base double")
+    gains = remembered(lines).withColumnRenamed("row", "gain_row")
+    return (base.join(gains, F.col("row") == F.col("gain_row"), "left")
+            .withColumn("log_likelihood", F.col("base") + F.coalesce("gain", F.lit(0.0)))
             .select(F.col("id").alias(id_col), "n_tokens", "log_likelihood",
                     (F.col("log_likelihood") / F.greatest("n_tokens", F.lit(1))).alias("mean_log_prob")))
