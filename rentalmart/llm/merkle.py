@@ -136,7 +136,8 @@ def manifest(rows: DataFrame, key: str, order: list[str], arity: int = ARITY, le
                     .withColumn("rank", F.col("position") - F.col("tree")).drop("position"), "merkle_leaves")
     subroots, packs = packed(leaves.select("tree", "size", "rank", "digest"), largest, arity, levels)
     order_of_trees = ranked(subroots.select("tree", F.col("digest").alias("subroot")), ["tree"])
-    known = stored(order_of_trees.join(trees, "tree").withColumnRenamed("position", "place"), "merkle_subroots")
+    known = stored(order_of_trees.join(trees, "tree").withColumnRenamed("position", "place")
+                   .withColumn("forest", F.lit(0).cast("long")), "merkle_subroots")  # the key of the tree of subroots
     n_trees = known.count()
     last, top = packed(known.select(F.lit(0).cast("long").alias("tree"), F.lit(n_trees).cast("long").alias("size"),
                                     F.col("place").alias("rank"), F.col("subroot").alias("digest")), n_trees, arity, levels)
@@ -191,10 +192,10 @@ def proofs(known: Manifest, wanted: DataFrame) -> DataFrame:
     the root."""
     none = [F.array().cast("array<int>").alias("digits"), F.array().cast("array<binary>").alias("others")]
     trees = known.trees
-    begin = trees.limit(1).select(F.lit(0).cast("long").alias("tree"), F.lit(trees.count()).cast("long").alias("size"),
+    begin = trees.limit(1).select(F.col("forest").alias("tree"), F.lit(trees.count()).cast("long").alias("size"),
                                   F.lit(known.root).cast("binary").alias("digest"), *none)
     asked = trees.join(wanted.select("tree").distinct(), "tree", "left_semi").select(
-        F.lit(0).cast("long").alias("tree"), F.col("place").alias("rank"))
+        F.col("forest").alias("tree"), F.col("place").alias("rank"))
     to_trees = descended(begin, asked, known.top, known.arity, known.levels)
     starts = stored(to_trees.drop("tree").join(trees.select(F.col("place").alias("rank"), "tree", "size"), "rank").drop("rank"),
                     "merkle_starts")
