@@ -1,7 +1,10 @@
 import hashlib
 import random
+import re
+import struct
 
 import pytest
+from xxhash import xxh64_intdigest
 
 from rentalmart.llm import fingerprints
 from tests.llm.conftest import ODD
@@ -40,6 +43,45 @@ def test_likeness_follows_similarity(docs_of):
     assert all(abs(a - b) < 0.13 for a, b in zip(near, want)) and near[3] == 1.0
 
 
+def spark_hash(*values):
+    """Spark's xxhash64: each value hashed with the hash of those before it as seed; signed."""
+    h = 42
+    for v in values:
+        h = xxh64_intdigest(v.encode() if isinstance(v, str) else struct.pack("<q", v), h & (2**64 - 1))
+    return h - 2**64 if h >= 2**63 else h
+
+
+def brute(text):
+    """One-permutation MinHash with optimal densification, bin by bin."""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    if not words:
+        return ""
+    if len(words) < fingerprints.WORDS:
+        hashes = [spark_hash(" ".join(words))]
+    else:
+        hashes = [spark_hash(*words[k:k + fingerprints.WORDS]) for k in range(len(words) - fingerprints.WORDS + 1)]
+    least = {}
+    for h in hashes:
+        b, value = divmod(h & (2**63 - 1), 2**56)
+        least[b] = min(least.get(b, value), value)
+    bins = sorted(least)
+    out = []
+    for b in range(fingerprints.BINS):
+        if b not in least:  # the non-empty bin that comes first in this bin's own order
+            out.append(least[min(bins, key=lambda o: (spark_hash(b, o) & ~127) | bins.index(o))])
+        else:
+            out.append(least[b])
+    return "".join("%x" % (v & 15) for v in out)
+
+
+def test_fingerprints_equal_brute_force(docs_of):
+    r = random.Random(9)
+    texts = [t or "" for t in ODD] + [" ".join(r.choice(["ab", "cd", "é", "🙂", "w"]) + str(r.randrange(50)) for _ in range(n))
+                                      for n in (4, 5, 6, 30, 100, 300, 2000)]
+    got = {x.doc_id: x.fingerprint for x in fingerprints.fingerprints(docs_of(texts)).collect()}
+    assert got == {k: brute(t) for k, t in enumerate(texts)}
+
+
 def test_densification_borrows_from_real_bins(spark):
     df = spark.createDataFrame([("a b c d e f g h",), ("one",), ("",)], "text string")
     rows = [r.fp for r in fingerprints.with_fingerprint(df, "text", "fp").collect()]
