@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rentalmart.session import fresh_path
+from rentalmart.session import discard, discard_at_exit, fresh_path
 
 # Fixed: the separators between words, as a Java regular expression.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -28,8 +28,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, name)
     df.write.parquet(path)
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(hadoop_path)
+    discard_at_exit(spark, path)
     out = spark.read.schema(df.schema).parquet(path)
     out.stored_path = path
     return out
@@ -37,9 +36,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def drop(df: DataFrame) -> None:
     """Delete the files of a ``stored`` table that nothing reads any more."""
-    spark = df.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(df.stored_path)
-    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+    discard(df.sparkSession, df.stored_path)
 
 
 def number_literal(values) -> Column:
