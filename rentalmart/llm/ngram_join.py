@@ -14,6 +14,9 @@ equal, and of those the largest is among the D+1 largest blocks of either text.
 is the block, and level three the point's coordinates in that block (as a hash of its
 members, the finest grouping). Texts that meet in such a cell are candidates; none is missed.
 
+Shingles that very many texts have (told from a sample, as a bitmap of fixed size) carry no
+weight in this: their blocks are keys only where two texts have nothing else in common.
+
 Cells are joined without pairing all their members: each member meets its cell's least id,
 and the components of these meetings are families that hold every link. A family of bounded
 size is one group: its points are packed into leaves with boxes, leaves whose boxes pass the
@@ -42,12 +45,13 @@ from .shingles import Shingler, mixed
 
 K, PERCENT = 4, 85
 GROUPS = 256  # coordinates of a point in the bound
-FAMILY_TEXTS, FAMILY_HASHES = 20_000, 4_000_000  # of a family that is handled as one group
+FAMILY_TEXTS, FAMILY_HASHES = 20_000, 16_000_000  # of a family that is handled as one group: 128 MB
 SPREAD = 1.5  # sizes of a class
 SEEN = 200_000  # sets that a task remembers, to find copies early
 HOT, SAMPLE = 65_536, 64  # rows of a cell from which it is salted; one text in SAMPLE tells
 HOT_CELLS, SALTS = 1 << 16, 64  # cells handled apart, at most; parts of each
-ROUNDS = 8  # of dealing groups into blocks
+ROUNDS = 6  # of dealing groups into blocks
+COMMON = 3  # texts of the sample that have a shingle, from which it is common
 CELL, TEXT, COPY, ALONE = range(4)  # kinds of rows
 _ROUND = np.uint64(0xD1B54A32D192ED03)
 BITS = 1 << 25  # of the filter for texts that are candidates: 4 MB at any size of input
@@ -57,13 +61,16 @@ LEAF = 64  # members of a leaf, about
 class Cells:
     """Cell keys of a set of hashes. ``percent`` is the least similarity in hundredths.
 
-    A matching pair may have nothing but empty blocks in common, which must not be keys, as
-    every text has some. Then each of the two has more empty blocks than the spare ones, and
-    both deal their groups out anew (and so on, up to ROUNDS).
+    Shingles that very many texts have (``common``, a bitmap by the hash's low bits; a pair
+    agrees on it, so what it holds changes no result) do not count in a block's size: a block
+    of a passage that stands everywhere is no sign of likeness. A matching pair may have
+    nothing but such blocks, or empty ones, in common. Then each of the two has more of them
+    than the spare ones, and both deal their groups out anew, up to ROUNDS; in the last round
+    these blocks are keys too.
     """
 
-    def __init__(self, percent: int):
-        self.percent = percent
+    def __init__(self, percent: int, common: np.ndarray | None = None):
+        self.percent, self.common = percent, common
         self.starts = [1]
         while self.starts[-1] < 1 << 40:
             self.starts.append(max(self.starts[-1] + 1, int(self.starts[-1] * SPREAD)))
@@ -83,20 +90,23 @@ class Cells:
         n = len(h)
         c = int(np.searchsorted(self.starts, n, side="right")) - 1
         out = []
-        dealt = [(h, self._sums(h))]
+        dealt = [(h, self._sums(h), self._rare(h))]
         while c < len(self.starts) - 1 and n * 100 >= self.percent * self.starts[c] or not out:
             m, spare, bounds = self._class(c)
             for r in range(ROUNDS):
                 if r == len(dealt):
-                    again = np.sort(mixed(h ^ mixed(np.array([r], np.uint64) + _ROUND)))
-                    dealt.append((again, self._sums(again)))
-                own, sums = dealt[r]
+                    again = mixed(h ^ mixed(np.array([r], np.uint64) + _ROUND))
+                    order = np.argsort(again)
+                    again = again[order]
+                    rare = np.concatenate([np.zeros(1, np.int64), np.cumsum(np.diff(dealt[0][2])[order])])
+                    dealt.append((again, self._sums(again), rare))
+                own, sums, rare = dealt[r]
                 at = np.concatenate([[0], np.searchsorted(own, bounds), [n]])
-                size = np.diff(at)
-                kept = np.argpartition(size * m + np.arange(m), spare)[spare:] if spare else np.arange(m)
-                last = int((size == 0).sum()) <= spare or r == ROUNDS - 1
+                size, weight = np.diff(at), np.diff(rare[at])
+                kept = np.argpartition(weight * m + np.arange(m), spare)[spare:] if spare else np.arange(m)
+                last = int((weight == 0).sum()) <= spare or r == ROUNDS - 1
                 if r < ROUNDS - 1:
-                    kept = kept[size[kept] > 0]
+                    kept = kept[weight[kept] > 0]
                 low, high = at[kept], at[kept + 1]
                 where = (np.uint64(r) << np.uint64(56)) + (np.uint64(c) << np.uint64(40)) + kept.astype(np.uint64)
                 out.append(mixed(mixed(sums[high] - sums[low] + size[kept].astype(np.uint64)) + mixed(where + np.uint64(1))))
@@ -105,12 +115,46 @@ class Cells:
             c += 1
         return np.concatenate(out).view(np.int64)
 
+    def _rare(self, h: np.ndarray) -> np.ndarray:
+        """How many shingles before each place are not common."""
+        rare = np.ones(len(h), np.int64)
+        if self.common is not None:
+            at = h & np.uint64(len(self.common) * 8 - 1)
+            rare = 1 - ((self.common[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1).astype(np.int64)
+        return np.concatenate([np.zeros(1, np.int64), np.cumsum(rare)])
+
     @staticmethod
     def _sums(h: np.ndarray) -> np.ndarray:
         return np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(h), dtype=np.uint64)])
 
 
-def described(docs: DataFrame, k: int, percent: int, hot: np.ndarray | None = None) -> DataFrame:
+def common_shingles(docs: DataFrame, k: int) -> bytes:
+    """The bitmap of the shingles that COMMON texts or more of a sample have."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler(k)
+        for batch in batches:
+            places = [shingler.of(t) & np.uint64(BITS - 1) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(places).astype(np.int64) if places else np.empty(0, np.int64))],
+                                             names=["place"])
+
+    sample = docs.where(F.pmod(F.xxhash64("id"), F.lit(SAMPLE)) == 0)
+    places = sample.mapInArrow(run, "place long").groupBy("place").count().where(f"count >= {COMMON}").select((F.col("place") + 1).alias("p"))
+    return _bitmap(places).tobytes()
+
+
+def _bitmap(places: DataFrame) -> np.ndarray:
+    """The bits at the places ``p`` (from 1 to BITS), merged before they reach the driver."""
+    bitmap = np.zeros(BITS // 8, dtype=np.uint8)
+    rows = (places.groupBy(F.bitmap_bucket_number("p").alias("bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits")).collect())  # BITS bits at most
+    for bucket, bits in rows:
+        at = (bucket - 1) * 4096
+        bitmap[at:at + len(bits)] |= np.frombuffer(bytes(bits), np.uint8)
+    return bitmap
+
+
+def described(docs: DataFrame, k: int, percent: int, common: bytes, hot: np.ndarray | None = None) -> DataFrame:
     """cell, salt, id, n and kind: the cells of every text (kind CELL), and one row of its own
     (kind TEXT, COPY or ALONE) whose cell is a hash of its whole set. ``docs`` has id and text.
 
@@ -118,9 +162,10 @@ def described(docs: DataFrame, k: int, percent: int, hot: np.ndarray | None = No
     cell by itself) have no cells. Rows of the cells in ``hot`` (ascending) are salted.
     """
     known = docs.sparkSession.sparkContext.broadcast(np.empty(0, np.int64) if hot is None else hot)
+    frequent = docs.sparkSession.sparkContext.broadcast(common)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, keys, seen = Shingler(k), Cells(percent), set()
+        shingler, keys, seen = Shingler(k), Cells(percent, np.frombuffer(frequent.value, np.uint8)), set()
         for batch in batches:
             ids = batch.column("id")
             found, ns, kinds = [], [], []
@@ -164,9 +209,9 @@ def described(docs: DataFrame, k: int, percent: int, hot: np.ndarray | None = No
     return docs.mapInArrow(run, "cell long, salt int, id long, n long, kind int")
 
 
-def hot_cells(docs: DataFrame, k: int, percent: int) -> np.ndarray:
+def hot_cells(docs: DataFrame, k: int, percent: int, common: bytes) -> np.ndarray:
     """The cells of many texts, told from a sample of the texts; less than HOT_CELLS."""
-    cells = described(docs.where(F.pmod(F.xxhash64("id"), F.lit(SAMPLE)) == 0), k, percent).groupBy("cell").count()
+    cells = described(docs.where(F.pmod(F.xxhash64("id"), F.lit(SAMPLE)) == 0), k, percent, common).groupBy("cell").count()
     counted = stored(cells.where(f"count >= {max(2, HOT // SAMPLE)}"), "hot_cells")
     least = counted.orderBy(F.desc("count")).select("count").offset(HOT_CELLS).first()
     if least:
@@ -178,8 +223,8 @@ def shared_cells(docs: DataFrame, k: int, percent: int) -> DataFrame:
     """cell, salt, id, n, kind and hub: the members of every cell with two ids or more, with
     the least id of the cell (of its salt), and the rows of all texts; ``own`` is the least id
     of a text's set that has cells."""
-    cell = Window.partitionBy("cell", "salt")
-    return (described(docs, k, percent, hot_cells(docs, k, percent))
+    cell, common = Window.partitionBy("cell", "salt"), common_shingles(docs, k)
+    return (described(docs, k, percent, common, hot_cells(docs, k, percent, common))
             .withColumn("hub", F.min("id").over(cell)).withColumn("last", F.max("id").over(cell))
             .withColumn("own", F.min(F.when(F.col("kind") == TEXT, F.col("id"))).over(cell))
             .where(f"kind != {CELL} or hub != last or salt > 0").drop("last"))
@@ -190,12 +235,7 @@ def sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
     BITS bits stands for the ids, so that no text has to be shuffled)."""
     spark = docs.sparkSession
     place = F.pmod(F.xxhash64("id"), F.lit(BITS)) + 1
-    bitmap = np.zeros(BITS // 8, dtype=np.uint8)
-    rows = (ids.select(place.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("bucket"))
-            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits")).collect())  # BITS bits at most
-    for bucket, bits in rows:
-        at = (bucket - 1) * 4096
-        bitmap[at:at + len(bits)] = np.frombuffer(bytes(bits), np.uint8)
+    bitmap = _bitmap(ids.select(place.alias("p")))
     wanted = spark.sparkContext.broadcast(bitmap.tobytes())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,7 +306,7 @@ def family_links(members: DataFrame, percent: int) -> DataFrame:
     and hashes."""
 
     def run(table: pa.Table) -> pa.Table:
-        hashes = [np.frombuffer(h, np.uint64) for h in table["hashes"].to_pylist()]
+        hashes = [np.frombuffer(h.as_buffer(), np.uint64) for h in table["hashes"]]  # views
         found = tree_links(table["id"].to_pylist(), hashes, percent)
         a, b = zip(*found) if found else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})

@@ -64,7 +64,8 @@ def test_components_equal_brute_force(docs_of, seed, k, percent):
 
 @pytest.mark.parametrize("texts", [1, 10])
 def test_small_leaves_hot_cells_and_large_families(docs_of, monkeypatch, texts):
-    for name, value in (("LEAF", 2), ("HOT", 3), ("SAMPLE", 1), ("SEEN", 1), ("FAMILY_TEXTS", texts)):
+    for name, value in (("LEAF", 2), ("HOT", 3), ("SAMPLE", 1), ("SEEN", 1), ("FAMILY_TEXTS", texts),
+                        ("COMMON", 2)):
         monkeypatch.setattr(ngram_join, name, value)
     rows = corpus(4, families=6, members=14)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.similar(docs_of(rows)).collect()}
@@ -80,10 +81,13 @@ def test_tree_links_equal_brute_force(monkeypatch, leaf):
     assert {b: a for a, b in ngram_join.tree_links([i for i, _ in rows], [s.of(t) for _, t in rows], 85)} == want
 
 
-def test_matching_sets_share_a_cell():
-    """The pigeonhole: any pair at the threshold has a cell in common, at every size."""
+@pytest.mark.parametrize("share", [None, 0.0, 0.5, 0.95, 1.0])
+def test_matching_sets_share_a_cell(share):
+    """The pigeonhole: any pair at the threshold has a cell in common, at every size and
+    whatever shingles count as common."""
     r = np.random.default_rng(0)
-    cells = ngram_join.Cells(85)
+    common = None if share is None else np.packbits(r.random(1 << 12) < share, bitorder="little")
+    cells = ngram_join.Cells(85, common)
     for _ in range(300):
         n = int(r.integers(1, 400))
         a = np.unique(r.integers(0, 2**63, n).astype(np.uint64))
