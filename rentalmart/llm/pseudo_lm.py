@@ -32,7 +32,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
@@ -42,7 +42,7 @@ from .hot_groups import join_groups
 WINDOW = 2  # tokens on either side
 WIDTH = 24
 SIDE, GROWTH = 16, 2.83  # least groups of classes; they grow as the fourth root of the tokens
-HEAD = 1 << 15  # words whose counts are kept exactly
+HEAD = 1 << 17  # words whose counts are kept exactly
 BUCKETS = 1 << 17  # counts of other words by hash, over all ending classes
 ROUNDS, RATE = 1, 0.1
 BATCH, LARGEST, DOUBLED = 256, 4096, 64  # tokens of a first step, of the largest, steps until they double
@@ -215,7 +215,7 @@ class Network:
             d_place[j] = (back * self.embed[around[:, j]]).sum(axis=0)
             np.multiply(back, self.place[j], out=moved[j])
         flat = around.T.ravel()
-        order = np.argsort(flat, kind="stable")
+        order = _order(flat, len(self.embed))
         starts = np.flatnonzero(np.diff(flat[order], prepend=-1))
         some = flat[order][starts]
         d_embed = np.add.reduceat(moved.reshape(-1, WIDTH)[order], starts, axis=0)
@@ -226,9 +226,14 @@ class Network:
             self.parts()[k][...] -= rate * grad / (np.sqrt(sums[k]) + 1e-6)
 
 
+def _order(values: np.ndarray, end: int) -> np.ndarray:
+    """The stable order of values below ``end``; short ones are sorted by digits, far faster."""
+    return np.argsort(values.astype(np.uint16) if end <= 1 << 16 else values, kind="stable")
+
+
 def _by_group(group: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """(group, its rows) of every group that occurs."""
-    order = np.argsort(group, kind="stable")
+    order = _order(group, 1 << 16)  # there are fewer groups
     starts = np.flatnonzero(np.diff(group[order], prepend=-1))
     for rows in np.split(order, starts[1:]):
         yield int(group[rows[0]]), rows
@@ -409,11 +414,11 @@ def remembered(lines: DataFrame) -> DataFrame:
         at = (bucket - 1) * 4096
         bits[at:at + len(some)] = np.frombuffer(bytes(some), np.uint8)
     met = stored(rare(bits.tobytes()), "lm_places")
-    of_word = stored(met.groupBy("key1", "key2").agg(F.count("*").alias("n2")), "lm_words")
-    of_place = stored(of_word.groupBy("key1").agg(F.sum("n2").alias("n1"), F.count("*").alias("kinds"),
-                                                  F.count("*").alias("size")).where("n1 > 1"), "lm_contexts")
-    known = join_groups(of_word, of_place, ["key1"], "size", of_word.count()).drop("size")
-    # a place's occurrences are joined by place and word; words of one place have its counts
+    # a place's different words: their occurrences are counted already, so this is never a hot group of rows
+    words_of = Window.partitionBy("key1")
+    known = (met.groupBy("key1", "key2").agg(F.count("*").alias("n2"))
+             .withColumn("n1", F.sum("n2").over(words_of)).withColumn("kinds", F.count("*").over(words_of)).where("n1 > 1"))
+    known = stored(known, "lm_words")
     found = join_groups(met, known.withColumn("size", F.col("n2")), ["key1", "key2"], "size", met.count())
     share = F.exp("share")
     gain = F.log((F.col("n2") - 1 + F.col("kinds") * share) / (F.col("n1") - 1 + F.col("kinds"))) - F.col("share")
