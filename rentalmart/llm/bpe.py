@@ -127,28 +127,30 @@ class Encoder:
         normal = self.library.normalizer.normalize_str(text) if self.library.normalizer else text
         return (w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(normal))
 
-    def _word(self, w: str) -> Iterator[bytes]:
-        """The word's ids; those of a long word as they come, WORDS at a time."""
-        ids = self.known.get(w)
-        if ids is None and len(w) <= LONGEST_REMEMBERED:
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
-            self.known[w] = ids = array("I", self.word(w)).tobytes()
-        if ids is not None:
-            yield ids
-            return
-        stream = self.word(w)
-        while some := array("I", islice(stream, WORDS)):
-            yield some.tobytes()
-
     def _plain(self, text: str) -> Iterator[bytes]:
+        """Ids of WORDS words at a time; those of a long word as they come."""
         known, words = self.known, iter(self._words(text))
         while some := [*islice(words, WORDS)]:
             try:
                 yield b"".join([known[w] for w in some])
+                continue
             except KeyError:
-                for w in some:
-                    yield from self._word(w)
+                pass
+            out: list[bytes] = []
+            for w in some:
+                ids = known.get(w)
+                if ids is None and len(w) <= LONGEST_REMEMBERED:
+                    if len(known) >= REMEMBERED:
+                        known.clear()
+                    known[w] = ids = array("I", self.word(w)).tobytes()
+                if ids is not None:
+                    out.append(ids)
+                    continue
+                yield b"".join(out)
+                out, stream = [], self.word(w)
+                while piece := array("I", islice(stream, WORDS)):
+                    yield piece.tobytes()
+            yield b"".join(out)
 
     def pieces(self, text: str) -> Iterator[bytes]:
         """The text's ids as little-endian unsigned 32-bit numbers, a bounded number at a time."""
@@ -212,7 +214,10 @@ class Decoding:
     def feed(self, ids: Iterable[int]) -> str:
         """The text that some more ids finish."""
         table = self.table
-        found = [table[i] for i in ids if i in table]
+        try:
+            found = [*map(table.__getitem__, ids)]
+        except KeyError:  # the library leaves out what is no id
+            found = [table[i] for i in ids if i in table]
         if not found:
             return ""
         if not self.first and self.between:
