@@ -135,7 +135,8 @@ class Slots:
         places: dict[int, int] = {}
         for at, path in self.tags:
             places.setdefault(tag[path], at)
-        self.roles = [role_hash(t.path, value) if (value := clean(t.value)) else 0 for t in self.texts] if members else [0] * len(self.texts)
+        self.values = [clean(t.value) for t in self.texts] if members else []
+        self.roles = [role_hash(t.path, v) if v else 0 for t, v in zip(self.texts, self.values)] if members else [0] * len(self.texts)
         for role, t in zip(self.roles, self.texts):
             if role:
                 places.setdefault(role, t.at)
@@ -152,13 +153,13 @@ class Slots:
     def filled(self) -> dict[int, list]:
         """By slot: words, words in links, and the text, of those that have any."""
         out: dict[int, list] = {}
-        for role, t in zip(self.roles, self.texts):
+        for role, t, value in zip(self.roles, self.texts, self.values):
             if role and t.seen and role not in self.template:
                 slot = out.setdefault(self.names[self.gap(t)], [0, 0, []])
-                words = len(t.value.split())
+                words = value.count(" ") + 1
                 slot[0] += words
                 slot[1] += words * t.linked
-                slot[2].append(clean(t.value))
+                slot[2].append(value)
         return out
 
     def article(self, content: dict[int, int], tag: TagHashes) -> list[Text] | None:
