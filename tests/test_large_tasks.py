@@ -1,0 +1,71 @@
+"""What a single task holds: no wide aggregate above the month join, no self-join of batches,
+and a mart's sort in another task than its join."""
+import datetime as dt
+import random
+from decimal import Decimal
+
+from rentalmart.operators.incremental import first_versions
+from rentalmart.plans import marts, pipeline
+from test_semantics import CAL, listings
+
+
+def _days(spark, n=300, seed=5):
+    rnd = random.Random(seed)
+    return spark.createDataFrame([
+        (rnd.choice([1, 2, 3, None]), rnd.choice([None, dt.date(2024, rnd.randint(1, 3), rnd.randint(1, 28))]),
+         rnd.choice([True, False, False, None]), rnd.choice([None, Decimal(rnd.randint(100, 9000)) / 100]), None, 1, 2)
+        for _ in range(n)], CAL)
+
+
+def test_month_join_has_no_aggregate_above_it(spark):
+    lst = listings(spark, [(1, Decimal("10.00"), None, None, "A", "R")])
+    plan = marts.monthly_occupancy(_days(spark), lst)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan[:plan.index("Join Inner")]
+
+
+def test_repeated_listings_add_up_per_neighbourhood_and_room(spark):
+    lst = listings(spark, [(1, Decimal("10.00"), None, None, "A", "R"), (1, None, None, None, "A", "R"),
+                           (1, Decimal("7.50"), None, None, "A", "R"), (1, Decimal("3.00"), None, None, None, "R"),
+                           (2, None, None, None, None, None), (2, None, None, None, None, None)])
+    days = _days(spark)
+    want = {}
+    for d in days.collect():
+        for x in (x for x in lst.collect() if x.listing_id == d.listing_id):
+            w = want.setdefault((d.calendar_date and d.calendar_date.replace(day=1), d.listing_id, x.neighbourhood, x.room_type),
+                                [0, 0, [], 0])
+            w[0] += 1
+            w[1] += d.is_available is not True
+            if d.is_available is False:
+                value = d.price if d.price is not None else x.price
+                w[2] += [value] if value is not None else []
+            else:
+                w[3] += 1
+    got = {(r.month, r.listing_id, r.neighbourhood, r.room_type): r for r in marts.monthly_occupancy(days, lst).collect()}
+    assert got.keys() == want.keys() and len(got) > 8
+    for key, (n, booked, values, zero) in want.items():
+        r = got[key]
+        assert (r.days_in_month, r.booked_days, r.available_days) == (n, booked, n - booked)
+        assert r.estimated_revenue == (sum(values, Decimal(0)) if values or zero else None)
+        assert (r.avg_price is None) if not values else abs(r.avg_price - float(sum(values)) / len(values)) < 0.006
+
+
+def test_first_versions_of_three_batches(spark):
+    rnd = random.Random(9)
+    batches = [[(rnd.choice([None, *range(6)]), rnd.choice([None, "x", "y"]), f"{b}-{k}") for k in range(n)]
+               for b, n in enumerate((6, 9, 30))]
+    kept, seen = [], set()
+    for rows in batches:
+        kept += [r for r in rows if r[:2] not in seen]
+        seen |= {r[:2] for r in rows}
+    frames = [spark.createDataFrame(rows, "a int, b string, c string") for rows in batches]
+    out = first_versions(frames, ["a", "b"])
+    assert sorted(r.c for r in out.collect()) == sorted(r[2] for r in kept)
+    assert "Aggregate" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_sorted_mart_is_sorted_in_a_task_of_its_own(spark, scratch, monkeypatch):
+    plans = []
+    monkeypatch.setattr(pipeline.versions, "replace", lambda s, df, t: plans.append(df._jdf.queryExecution().optimizedPlan().toString()))
+    pipeline.write_table(spark, spark.range(20).selectExpr("id % 3 AS month"), f"{scratch}/m", sort_by=["month"])
+    sort, below = plans[0].split("\n")[:2]
+    assert "Sort [month" in sort and "RebalancePartitions [month" in below
