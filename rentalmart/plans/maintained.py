@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rentalmart.operators import versions
-from rentalmart.plans import marts
+from rentalmart.plans import facts, marts
 
 MONTH, PART, PARTS = "part_month", "segment_part", 64
 
@@ -49,8 +49,8 @@ def _rows(spark: SparkSession, fact: str, now: versions.Version, folders: list[s
 
 
 def _months(days: DataFrame) -> list:
-    """A short list at any number of days."""
-    return [r[0] for r in days.select(F.trunc("calendar_date", "month")).distinct().collect()]
+    """A short list at any number of days: the fact is stored by month, so no day is read."""
+    return [r[0] for r in days.select(facts.CALENDAR_PART).distinct().collect()]
 
 
 def update_month_parts(spark: SparkSession, fact: str, parts: str) -> list | None:
@@ -70,8 +70,8 @@ def update_month_parts(spark: SparkSession, fact: str, parts: str) -> list | Non
         before = None
         months = sorted({*months, *_stored_months(old)}, key=str) if old else months
     schema = added.schema if before is None else before.schema
-    both = added if before is None else before.unionByName(added)
-    summed = _sums(both, ["listing_id", "month", MONTH], marts.MONTH_SUMS)
+    # the sums of new days alone are one row per (listing, month) already
+    summed = added if before is None else _sums(before.unionByName(added), ["listing_id", "month", MONTH], marts.MONTH_SUMS)
     out = summed.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
     versions.replace_parts(spark, out, parts, MONTH, months, old, [*now.folders])
     return None if folders is None else months
