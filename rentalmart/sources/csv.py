@@ -13,6 +13,7 @@ one task.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,13 +41,17 @@ def free_text_csv(spark: SparkSession, path: str, needed: list[str]) -> DataFram
     names = spark.read.options(**CSV_OPTIONS, multiLine=True).csv(path).columns  # reads the header only
     schema = StructType([StructField(n, StringType()) for n in names])
     options = {**CSV_OPTIONS, "multiLine": "true"}
-    rows = records(spark, path).select(((F.col("start") == 0) & (F.col("at") == 0)).alias("is_header"), "file",
-                                       F.from_csv("record", schema.simpleString(), options).alias("r"))
-    same = F.lit(True)
-    for n in needed:
-        same = same & (F.col(f"r.`{n}`") == n)
+    parsed = F.from_csv("record", schema.simpleString(), options)
+    rows = records(spark, path).withColumn("is_header", (F.col("start") == 0) & (F.col("at") == 0))
+
+    def same(r):
+        return reduce(lambda x, y: x & y, [r[n] == n for n in needed], F.lit(True))
+
+    # one call of the parser: a call for each column makes code too large to be compiled
+    agrees = F.coalesce(F.exists(F.array(parsed), same), F.lit(False))
     other = F.raise_error(F.concat(F.lit("HeaderError: other columns than in the first file: "), "file"))
-    body = rows.where(F.when(~F.col("is_header"), True).when(F.coalesce(same, F.lit(False)), False).otherwise(other.cast("boolean")))
+    body = rows.where(F.when(~F.col("is_header"), True).when(agrees, False).otherwise(other.cast("boolean"))) \
+        .select(parsed.alias("r"))
     return body.select("r.*")
 
 

@@ -21,7 +21,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -48,41 +50,56 @@ def ranges(lines: DataFrame) -> DataFrame:
 
 def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Records of ranges that come one after another, numbered in each range; kind 0 is a
-    whole record, 1 the start of one, 2 the end of one, 3 a range inside one."""
-    key, held, is_open, begun, at = None, [], False, True, 0
-
-    def taken(rows: list[tuple], kind: int) -> int:
-        text = "\n".join(held)
-        if kind == 0 and text in ("", "\r"):  # a blank line
-            return at
-        rows.append((*key, at, kind, text))
-        return at + 1
+    whole record, 1 the start of one, 2 the end of one, 3 a range inside one.
 
+    A batch's lines of one range are joined at once: where the count of quotes so far is even
+    a record ends, and lines that are records by themselves are passed on as they are."""
+    key, held, is_open, begun, at = None, [], False, True, 0
     for batch in batches:
-        rows: list[tuple] = []
-        for file, start, line, quotes, starts_open in zip(*(batch.column(c).to_pylist() for c in (
-                *RANGE, "line", "quotes", "starts_open"))):
-            if (file, start) != key:
+        file, start = batch.column("file"), batch.column("start").to_numpy(zero_copy_only=False)
+        moved = pc.not_equal(file.slice(1), file.slice(0, max(0, len(file) - 1))).to_numpy(zero_copy_only=False)
+        cuts = (np.flatnonzero(moved | (start[1:] != start[:-1])) + 1).tolist()
+        for low, high in zip([0, *cuts], [*cuts, batch.num_rows]):
+            if low == high:
+                continue
+            if (here := (file[int(low)].as_py(), int(start[low]))) != key:
+                if held:
+                    yield _table(key, at, ["\n".join(held)], [1 if begun else 3])
+                starts_open = batch.column("starts_open")[int(low)].as_py()
+                key, held, is_open, begun, at = here, [], starts_open, not starts_open, 0
+            lines = batch.column("line").slice(low, high - low)
+            quotes = batch.column("quotes").slice(low, high - low).to_numpy(zero_copy_only=False)
+            open_after = (np.cumsum(quotes & 1) + is_open) & 1
+            ends = np.flatnonzero(open_after == 0) + 1
+            is_open = bool(open_after[-1])
+            if len(ends):
+                first, rest = int(ends[0]), int(ends[-1])
+                texts = lines.slice(0, rest)
+                if len(ends) != rest:
+                    offsets = np.concatenate([[0], ends]).astype(np.int32)
+                    texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), texts), "\n")
                 if held:
-                    taken(rows, 1 if begun else 3)
-                key, held, is_open, begun, at = (file, start), [], starts_open, not starts_open, 0
-            held.append(line)
-            is_open ^= bool(quotes & 1)
-            if not is_open:
-                at = taken(rows, 0 if begun else 2)
-                held, begun = [], True
-        yield _table(rows)
+                    head = "\n".join([*held, *lines.slice(0, first).to_pylist()])
+                    texts = pa.concat_arrays([pa.array([head], texts.type), texts.slice(1)])
+                kinds = np.zeros(len(ends), np.int32)
+                kinds[0] = 0 if begun else 2
+                blank = pc.is_in(texts, pa.array(["", "\r"], texts.type)).to_numpy(zero_copy_only=False) & (kinds == 0)
+                if blank.any():
+                    texts, kinds = texts.filter(pa.array(~blank)), kinds[~blank]
+                yield _table(key, at, texts, kinds)
+                at, held, begun, lines = at + len(kinds), [], True, lines.slice(rest)
+            held += lines.to_pylist()
     if held:
-        rows = []
-        taken(rows, 1 if begun else 3)
-        yield _table(rows)
+        yield _table(key, at, ["\n".join(held)], [1 if begun else 3])
 
 
-def _table(rows: list[tuple]) -> pa.RecordBatch:
-    columns = [*zip(*rows)] or [()] * 5
-    types = (pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.string())
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)],
-                                      names=["file", "start", "at", "kind", "record"])
+def _table(key: tuple[str, int], at: int, records, kinds) -> pa.RecordBatch:
+    n = len(kinds)
+    records = records if isinstance(records, pa.Array) else pa.array(records, pa.string())
+    return pa.RecordBatch.from_arrays(
+        [pa.repeat(pa.scalar(key[0], pa.string()), n), pa.repeat(pa.scalar(key[1], pa.int64()), n),
+         pa.array(np.arange(at, at + n)), pa.array(kinds, pa.int32()), records.cast(pa.string())],
+        names=["file", "start", "at", "kind", "record"])
 
 
 def _assembled(lines: DataFrame, some: DataFrame, how: str, broadcast: bool) -> DataFrame:
