@@ -19,7 +19,8 @@ grows with the corpus:
 All documents are counted and trained on. The network is trained in numpy inside tasks: texts
 are written once as classes, every task goes over its part of that table from the same
 weights, and the weights of all tasks are averaged in a tree of fixed fan-in; this is a
-round. No text, however long or often repeated, has to be in one place for that. The memory
+round. No text, however long or often repeated, has to be in one place for that. Words are
+counted and looked up a piece of text at a time, each different word of it once. The memory
 is two aggregations by 64-bit keys; only keys that occur again are joined back.
 """
 
@@ -31,12 +32,13 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from .common import drop, stored, words
+from .common import drop, stored
 from .hot_groups import join_groups
 
 WINDOW = 2  # tokens on either side
@@ -46,9 +48,9 @@ HEAD = 1 << 17  # words whose counts are kept exactly
 BUCKETS = 1 << 17  # counts of other words by hash, over all ending classes
 ROUNDS, RATE = 1, 0.1
 BATCH, LARGEST, DOUBLED = 256, 4096, 64  # tokens of a first step, of the largest, steps until they double
-CHUNK, PIECE = 500_000, 1 << 14  # tokens that a task holds as arrays, words that it looks up at once
+CHUNK, PIECE = 500_000, 1 << 22  # tokens that a task holds as arrays, bytes of text that it looks up at once
+SAFE = 80  # logits up to this need no shift before 32-bit exp()
 FAN = 16  # sets of weights that are averaged together
-REMEMBERED = 300_000
 BITS = 1 << 25  # of the bitmap of places that occur again: 4 MB at any size of input
 _ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 
@@ -86,27 +88,39 @@ class Sizes:
     def bucket(self, word: bytes) -> int:
         return (self.ending(word) - self.frequent) * self.buckets + xxh3_64_intdigest(word) % self.buckets
 
+    def others(self, found: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ending, bucket, hash) of each word."""
+        last = pc.utf8_slice_codeunits(found, -2).dictionary_encode()
+        by_last = np.array([self.ending(x.encode()) for x in last.dictionary.to_pylist()], dtype=np.int64)
+        endings = by_last[last.indices.to_numpy()]
+        hashes = np.fromiter(map(xxh3_64_intdigest, found.cast(pa.binary()).to_pylist()), np.uint64, len(found))
+        return endings, (endings - self.frequent) * self.buckets + (hashes % np.uint64(self.buckets)).astype(np.int64), hashes
 
-class Vocabulary(dict):
-    """word (UTF-8) -> its place in the arrays cls, share (log p(word | class)), rare and hash."""
 
-    def __init__(self, sizes: Sizes, head: list[str], head_share: np.ndarray, bucket_share: np.ndarray):
-        super().__init__()
-        self.sizes, self.bucket_share = sizes, bucket_share
-        room = len(head) + REMEMBERED
-        self.cls, self.share = np.zeros(room, np.int32), np.zeros(room, np.float32)
-        self.rare, self.hash = np.zeros(room, bool), np.zeros(room, np.uint64)
-        for k, w in enumerate(head):
-            word = w.encode()
-            self[word] = k
-            self.cls[k] = k if k < sizes.frequent else sizes.ending(word)
-        self.share[:len(head)] = head_share
+def pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Consecutive rows with about PIECE bytes of text, one row at least."""
+    ends, a = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False), dtype=np.int64), 0
+    while a < len(ends):
+        b = max(a + 1, int(np.searchsorted(ends, PIECE + (ends[a - 1] if a else 0), side="right")))
+        yield batch.slice(a, b - a)
+        a = b
 
-    def __missing__(self, word: bytes) -> int:
-        self[word] = at = len(self)  # fewer than REMEMBERED others: see ``tokenized``
-        self.cls[at], self.share[at] = self.sizes.ending(word), self.bucket_share[self.sizes.bucket(word)]
-        self.rare[at], self.hash[at] = True, xxh3_64_intdigest(word)
-        return at
+
+def split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """(the words of all texts, at ASCII white space only; their number in each text)."""
+    lists = pc.ascii_split_whitespace(texts)
+    found, n = lists.flatten(), pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    real = pc.not_equal(pc.binary_length(found), 0)  # white space at a text's ends gives empty ones
+    if not pc.all(real).as_py():
+        n = np.bincount(np.repeat(np.arange(len(n)), n)[real.to_numpy(zero_copy_only=False)], minlength=len(n))
+        found = found.filter(real)
+    return found, n
+
+
+def bytes_of(values: np.ndarray, n: np.ndarray) -> pa.Array:
+    """The bytes of ``values``, n of them to a row."""
+    ends = np.concatenate([[0], np.cumsum(n)]) * values.itemsize
+    return pa.Array.from_buffers(pa.large_binary(), len(n), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(values)]).cast(pa.binary())
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -163,65 +177,99 @@ class Network:
             at += int(np.prod(shape))
         return Network(*out)
 
-    def hidden(self, around: np.ndarray) -> np.ndarray:
-        h = self.embed[around[:, 0]] * self.place[0]
-        for j in range(1, 2 * WINDOW):
-            h += self.embed[around[:, j]] * self.place[j]
-        return np.tanh(h, out=h)
+    def tables(self) -> list[np.ndarray]:
+        """What each class adds to the hidden layer, by its place beside the token."""
+        return [self.embed * place for place in self.place]
+
+    def layers(self) -> tuple[np.ndarray, np.ndarray]:
+        """Weights of the groups and of each group's classes, the biases as their last row."""
+        return np.vstack([self.out, self.bias]), np.concatenate([self.member, self.lean[:, None]], axis=1)
+
+    @staticmethod
+    def hidden(tables: list[np.ndarray], around: np.ndarray) -> np.ndarray:
+        """Of positions whose neighbours' classes are the columns of ``around``; a last column
+        of ones meets the biases."""
+        h = tables[0].take(around[0], axis=0)
+        for table, classes in zip(tables[1:], around[1:]):
+            h += table.take(classes, axis=0)
+        out = np.ones((len(h), WIDTH + 1), "f4")
+        np.tanh(h, out=out[:, :WIDTH])
+        return out
+
+    @staticmethod
+    def _shifted(z: np.ndarray, *weights: np.ndarray) -> np.ndarray:
+        """Logits of these weights so that exp() is finite and its sums are not zero, in place.
+        Hidden values are 1 at most, so most weights are too small for that to take a shift."""
+        if max(np.abs(w).sum(axis=-2).max() for w in weights) > SAFE:
+            z -= z.max(axis=1, keepdims=True)
+        return z
 
     @staticmethod
-    def _softmax(z: np.ndarray) -> np.ndarray:
-        """Probabilities, in place."""
-        z -= z.max(axis=1, keepdims=True)
-        np.exp(z, out=z)
-        z /= z.sum(axis=1, keepdims=True)
+    def _in_groups(h: np.ndarray, members: np.ndarray, groups: list[tuple[int, slice]]) -> np.ndarray:
+        """Logits of the classes of each position's group."""
+        z = np.empty((len(h), members.shape[2]), "f4")
+        for k, rows in groups:
+            np.matmul(h[rows], members[k], out=z[rows])
         return z
 
     def log_probabilities(self, around: np.ndarray, classes: np.ndarray, step: int = 8192) -> np.ndarray:
         """log p(class | both sides) of each position."""
         out, n = np.empty(len(classes)), len(self.bias)
+        tables, (top, members) = self.tables(), self.layers()
+        ones = np.ones(n, "f4")
         for a in range(0, len(classes), step):
-            group, own = np.divmod(classes[a:a + step], n)
-            h = self.hidden(around[a:a + step])
-            p = self._softmax(h @ self.out + self.bias)
-            found = np.log(p[np.arange(len(group)), group])
-            for k, rows in _by_group(group):
-                q = self._softmax(h[rows] @ self.member[k] + self.lean[k])
-                found[rows] += np.log(q[np.arange(len(rows)), own[rows]])
-            out[a:a + step] = found
+            order, groups = _by_group(classes[a:a + step] // n)
+            group, own = np.divmod(classes[a:a + step][order], n)
+            h = self.hidden(tables, around[a:a + step][order].T.astype(np.intp))
+            at, found = np.arange(len(order)), np.zeros(len(order))
+            for z, k in ((self._shifted(h @ top, top), group), (self._shifted(self._in_groups(h, members, groups), members), own)):
+                found += z[at, k]
+                found -= np.log(np.exp(z, out=z) @ ones)
+            out[a + order] = found
         return out
 
     def learn(self, around: np.ndarray, classes: np.ndarray, sums: list[np.ndarray], rate: float) -> None:
         """One adaptive gradient step on a batch."""
-        size = len(classes)
-        group, own = np.divmod(classes, len(self.bias))
-        h = self.hidden(around)
-        p = self._softmax(h @ self.out + self.bias)
-        p[np.arange(size), group] -= 1
-        p /= size
-        back = p @ self.out.T
-        for k, rows in _by_group(group):
-            q = self._softmax(h[rows] @ self.member[k] + self.lean[k])
-            q[np.arange(len(rows)), own[rows]] -= 1
-            q /= size
-            back[rows] += q @ self.member[k].T
-            for part, grad, total in ((self.member[k], h[rows].T @ q, sums[4][k]), (self.lean[k], q.sum(axis=0), sums[5][k])):
-                total += grad * grad
-                part -= rate * grad / (np.sqrt(total) + 1e-6)
+        size, n = len(classes), len(self.bias)
+        order, groups = _by_group(classes // n)
+        group, own = np.divmod(classes[order], n)
+        around = around[order].T.astype(np.intp)
+        top, members = self.layers()
+        h = self.hidden(self.tables(), around)
+        at, ones = np.arange(size), np.ones(n, "f4")
+
+        def less_own(z: np.ndarray, k: np.ndarray) -> np.ndarray:
+            """The loss's gradient by the logits, in place."""
+            np.exp(z, out=z)
+            z *= (1 / (size * (z @ ones)))[:, None]
+            z[at, k] -= np.float32(1 / size)
+            return z
+
+        p = less_own(self._shifted(h @ top, top), group)
+        q = less_own(self._shifted(self._in_groups(h, members, groups), members), own)
+        d_top, d_members, back = h.T @ p, np.zeros_like(members), np.empty((size, WIDTH), "f4")
+        for k, rows in groups:
+            np.matmul(h[rows].T, q[rows], out=d_members[k])
+            np.matmul(q[rows], self.member[k].T, out=back[rows])
+        back += p @ self.out.T
+        h = np.ascontiguousarray(h[:, :WIDTH])
         back *= 1 - h * h
-        d_place = np.empty_like(self.place)
-        moved = np.empty((2 * WINDOW, size, WIDTH), "f4")
-        for j in range(2 * WINDOW):
-            d_place[j] = (back * self.embed[around[:, j]]).sum(axis=0)
-            np.multiply(back, self.place[j], out=moved[j])
-        flat = around.T.ravel()
-        order = _order(flat, len(self.embed))
-        starts = np.flatnonzero(np.diff(flat[order], prepend=-1))
-        some = flat[order][starts]
-        d_embed = np.add.reduceat(moved.reshape(-1, WIDTH)[order], starts, axis=0)
+        # the sums of ``back`` over each class in each place; both gradients of the products follow from them
+        d_place, d_embed, met = np.empty_like(self.place), np.zeros_like(self.embed), np.zeros(len(self.embed), bool)
+        for j, neighbours in enumerate(around):
+            order = _order(neighbours, len(self.embed))
+            starts = np.flatnonzero(np.diff(neighbours[order], prepend=-1))
+            some = neighbours[order[starts]]
+            pairs = back.take(order, axis=0).view(np.complex64)  # two numbers a step
+            of_class = np.add.reduceat(pairs, starts, axis=0).view("f4")
+            d_place[j] = np.einsum("cw,cw->w", of_class, self.embed[some])
+            d_embed[some] += of_class * self.place[j]
+            met[some] = True
+        some = np.flatnonzero(met)
+        d_embed = d_embed[some]
         sums[0][some] += d_embed * d_embed
         self.embed[some] -= rate * d_embed / (np.sqrt(sums[0][some]) + 1e-6)
-        for k, grad in ((1, d_place), (2, h.T @ p), (3, p.sum(axis=0))):
+        for k, grad in ((1, d_place), (2, d_top[:-1]), (3, d_top[-1]), (4, d_members[:, :-1]), (5, d_members[:, -1])):
             sums[k] += grad * grad
             self.parts()[k][...] -= rate * grad / (np.sqrt(sums[k]) + 1e-6)
 
@@ -231,12 +279,12 @@ def _order(values: np.ndarray, end: int) -> np.ndarray:
     return np.argsort(values.astype(np.uint16) if end <= 1 << 16 else values, kind="stable")
 
 
-def _by_group(group: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """(group, its rows) of every group that occurs."""
+def _by_group(group: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]:
+    """(an order of the rows by group; each group that occurs, its rows in that order)."""
     order = _order(group, 1 << 16)  # there are fewer groups
-    starts = np.flatnonzero(np.diff(group[order], prepend=-1))
-    for rows in np.split(order, starts[1:]):
-        yield int(group[rows[0]]), rows
+    of = group[order]
+    starts = np.flatnonzero(np.diff(of, prepend=-1)).tolist()
+    return order, [(int(of[a]), slice(a, b)) for a, b in zip(starts, [*starts[1:], len(of)])]
 
 
 @dataclass
@@ -252,25 +300,36 @@ class Counts:
     classes: np.ndarray
 
 
+def lowered(text_col: str) -> Column:
+    return F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("text")
+
+
 def counted(docs: DataFrame, text_col: str) -> Counts:
-    by_word = stored(docs.select(F.explode(words(F.lower(text_col))).alias("word")).groupBy("word").count(), "word_counts")
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for some in pieces(batch):
+                words, n = split(some.column("text"))[0].value_counts().flatten()
+                yield pa.RecordBatch.from_arrays([words, n], names=["word", "n"])
+
+    by_word = stored(docs.select(lowered(text_col)).mapInArrow(count, "word string, n long")
+                     .groupBy("word").agg(F.sum("n").alias("count")), "word_counts")
     tokens = by_word.agg(F.sum("count")).first()[0] or 0
     sizes = Sizes(side(tokens))
     top = by_word.orderBy(F.desc("count"), "word").limit(max(HEAD, sizes.frequent)).collect()
     head = [r[0] for r in top]
-    known = docs.sparkSession.sparkContext.broadcast(frozenset(w.encode() for w in head))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [w.encode() for w in batch.column("word").to_pylist()]
-            buckets = [-1 if w in known.value else sizes.bucket(w) for w in found]
+            buckets = sizes.others(batch.column("word"))[1]
             yield pa.RecordBatch.from_arrays([pa.array(buckets, pa.int32()), batch.column("count")], names=["bucket", "n"])
 
     in_bucket = np.zeros(sizes.endings * sizes.buckets)
-    for bucket, n in by_word.mapInArrow(run, "bucket int, n long").where("bucket >= 0").groupBy("bucket").agg(F.sum("n")).collect():
+    for bucket, n in by_word.mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n")).collect():
         in_bucket[bucket] = n  # one row per bucket
-    cls = np.array([k if k < sizes.frequent else sizes.ending(w.encode()) for k, w in enumerate(head)], dtype=np.int64)
     n_head = np.array([r[1] for r in top], dtype=np.float64)
+    cls, own_buckets, _ = sizes.others(pa.array(head, pa.string()))
+    np.subtract.at(in_bucket, own_buckets, n_head)  # what remains are the other words
+    cls[:sizes.frequent] = np.arange(min(sizes.frequent, len(head)))
     classes = np.zeros(sizes.classes)
     np.add.at(classes, cls, n_head)
     classes[sizes.frequent:] += in_bucket.reshape(sizes.endings, -1).sum(axis=1)
@@ -289,39 +348,32 @@ def tokenized(docs: DataFrame, counts: Counts) -> DataFrame:
     sizes = counts.sizes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = Vocabulary(sizes, *given.value)
-        pad = np.array([sizes.classes], np.int32)
-        for batch in batches:
-            ns, classes, shares, rares = [], [], [], []
-            for text in batch.column("text").to_pylist():
-                found = text.encode().split()  # bytes: at ASCII white space only
-                n = len(found)
-                parts = [], [], [], [], []  # in pieces, so that the arrays' places stay valid
-                for a in range(0, n, PIECE):
-                    some = found[a:a + PIECE]
-                    if len(v) + len(some) > len(v.cls):
-                        v = Vocabulary(sizes, *given.value)
-                    at = np.fromiter(map(v.__getitem__, some), dtype=np.int64, count=len(some))
-                    rare = np.flatnonzero(v.rare[at])
-                    for part, x in zip(parts, (v.cls[at], v.share[at], rare + a, v.hash[at[rare]], v.share[at[rare]])):
-                        part.append(x)
-                ns.append(n)
-                if not n:
-                    classes.append(b"")
-                    shares.append(0.0)
-                    rares.append(b"")
-                    continue
-                cls, share, place, word, own = (np.concatenate(p) for p in parts)
-                line = np.concatenate([pad, cls, pad]).astype(np.uint64)
-                key1 = mixed(mixed(mixed(line[place]) * _ODD[1] + line[place + 1]) * _ODD[2] + line[place + 2])
-                table = np.empty(len(place), dtype=[("key1", "<u8"), ("key2", "<u8"), ("share", "<f4")])
-                table["key1"], table["key2"], table["share"] = key1, mixed(key1 + mixed(word)), own
-                classes.append(cls.astype("<i4").tobytes() if pad[0] > 0xFFFF else cls.astype("<u2").tobytes())
-                shares.append(float(share.sum(dtype="f8")))
-                rares.append(table.tobytes())
+        head, head_share, bucket_share = given.value
+        head, pad = pa.array(head, pa.string()), sizes.classes
+        head_cls = sizes.others(head)[0]
+        head_cls[:sizes.frequent] = np.arange(min(sizes.frequent, len(head)))
+        for batch in (x for whole in batches for x in pieces(whole)):
+            found, n = split(batch.column("text"))
+            coded = found.dictionary_encode()  # what follows is looked up once for each different word
+            at = coded.indices.to_numpy()
+            known = pc.fill_null(pc.index_in(coded.dictionary.cast(pa.string()), value_set=head), -1).to_numpy()
+            is_rare = known < 0
+            endings, buckets, hashes = sizes.others(coded.dictionary.filter(pa.array(is_rare)))
+            cls_of, share_of, hash_of = np.empty(len(known), np.int64), np.empty(len(known), np.float32), np.zeros(len(known), np.uint64)
+            cls_of[~is_rare], share_of[~is_rare] = head_cls[known[~is_rare]], head_share[known[~is_rare]]
+            cls_of[is_rare], share_of[is_rare], hash_of[is_rare] = endings, bucket_share[buckets], hashes
+            cls, row = cls_of[at], np.repeat(np.arange(len(n)), n)
+            line = np.full(len(cls) + len(n) + 1, pad, np.uint64)
+            line[np.arange(len(cls)) + row + 1] = cls
+            rare = np.flatnonzero(is_rare[at])
+            place, own = rare + row[rare], at[rare]
+            key1 = mixed(mixed(mixed(line[place]) * _ODD[1] + line[place + 1]) * _ODD[2] + line[place + 2])
+            table = np.empty(len(place), dtype=[("key1", "<u8"), ("key2", "<u8"), ("share", "<f4")])
+            table["key1"], table["key2"], table["share"] = key1, mixed(key1 + mixed(hash_of[own])), share_of[own]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), batch.column("id"), pa.array(ns, pa.int64()), pa.array(classes, pa.binary()),
-                 pa.array(shares, pa.float64()), pa.array(rares, pa.binary())], names=["row", "id", "n", "classes", "share", "rare"])
+                [batch.column("row"), batch.column("id"), pa.array(n, pa.int64()), bytes_of(cls.astype("<i4" if pad > 0xFFFF else "<u2"), n),
+                 pa.array(np.bincount(row, share_of[at], len(n)), pa.float64()), bytes_of(table, np.bincount(row[rare], minlength=len(n)))],
+                names=["row", "id", "n", "classes", "share", "rare"])
 
     return docs.mapInArrow(run, "row long, id long, n long, classes binary, share double, rare binary")
 
@@ -388,26 +440,30 @@ def remembered(lines: DataFrame) -> DataFrame:
     in places that occur again."""
     place = F.pmod(F.col("key1"), F.lit(BITS)) + 1  # bitmaps count from 1
 
-    def rare(only: bytes | None):
+    kind = [("key1", "<i8"), ("key2", "<i8"), ("share", "<f4")]
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            table = np.frombuffer(b"".join(batch.column("rare").to_pylist()), kind)
+            yield pa.RecordBatch.from_arrays([pa.array(table["key1"].copy())], names=["key1"])
+
+    def rare(only: bytes):
         sent = lines.sparkSession.sparkContext.broadcast(only)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            marks = None if sent.value is None else np.frombuffer(sent.value, np.uint8)
+            marks = np.frombuffer(sent.value, np.uint8)
             for batch in batches:
                 raws = batch.column("rare").to_pylist()
-                table = np.frombuffer(b"".join(raws), dtype=[("key1", "<i8"), ("key2", "<i8"), ("share", "<f4")])
-                rows = np.repeat(batch.column("row").to_numpy(), [len(r) // 20 for r in raws])
-                if marks is not None:
-                    at = np.mod(table["key1"], BITS)
-                    hit = (marks[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
-                    table, rows = table[hit], rows[hit]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows), pa.array(table["key1"].copy()), pa.array(table["key2"].copy()), pa.array(table["share"].copy())],
-                    names=["row", "key1", "key2", "share"])
+                table = np.frombuffer(b"".join(raws), kind)
+                at = np.mod(table["key1"], BITS)
+                hit = np.flatnonzero((marks[at >> 3] >> (at & 7).astype(np.uint8)) & 1)
+                rows = np.repeat(batch.column("row").to_numpy(), [len(r) // 20 for r in raws])[hit]
+                yield pa.RecordBatch.from_arrays([pa.array(rows), *(pa.array(table[k][hit]) for k, _ in kind)],
+                                                 names=["row", "key1", "key2", "share"])
 
         return lines.select("row", "rare").mapInArrow(run, "row long, key1 long, key2 long, share float")
 
-    again = rare(None).groupBy("key1").agg(F.count("*").alias("n")).where("n > 1")
+    again = lines.select("rare").mapInArrow(keys, "key1 long").groupBy("key1").agg(F.count("*").alias("n")).where("n > 1")
     bits = np.zeros(BITS // 8, np.uint8)
     for bucket, some in (again.select(place.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("bucket"))
                          .agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits")).collect()):  # BITS bits at most
@@ -434,8 +490,7 @@ def scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", r
     rounding of 32-bit numbers). Other columns are ignored; an empty table gives an empty result.
     """
     counts = counted(docs, text_col)
-    lean = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"),
-                       F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("text"))
+    lean = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), lowered(text_col))
     lines = stored(tokenized(lean, counts), "lm_tokens")
     network = trained(lines, counts, rounds).dump()
     side_, pad = counts.sizes.side, counts.sizes.classes
